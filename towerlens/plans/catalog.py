@@ -382,14 +382,6 @@ def q_stream_kpi_update(spark, sf_dir):
                                     ["window_start", "window_end", "postal_code", "description"])
 
 
-def _raw_read_schema(spark, sf_dir) -> T.StructType:
-    base = _wire(spark, sf_dir).schema
-    fields = [T.StructField(f.name, T.TimestampType() if f.name == RECORD_TS else f.dataType)
-              for f in base.fields]
-    return T.StructType(fields + [T.StructField(c, T.IntegerType())
-                                  for c in ("year", "month", "day", "hour_part")])
-
-
 def q_stream_raw_sink(spark, sf_dir):
     apply_job_conf(spark)
     out = new_run_dir(spark, "stream_raw_sink")

@@ -23,7 +23,9 @@ from towerlens.operators.clean import drop_null_fields, remove_null_rows
 from towerlens.operators.kpis import average_by_operator, status_by_postal_code, with_batch_window
 from towerlens.operators.mapping import apply_mapping
 from towerlens.schema import RECORD_TS
-from towerlens.sinks.lake import add_ingest_partitions, write_batch_table
+from towerlens.sinks.lake import (
+    add_ingest_partitions, cluster_by_partition, spread_by_time, write_batch_table,
+)
 
 
 def clean_records(batch: DataFrame, null_is_blank: bool = False) -> DataFrame:
@@ -73,11 +75,13 @@ class MicroBatchWriter:
                 return
             key = f"{self.tag}-{epoch_id}"
             p = self.paths()
-            write_batch_table(add_ingest_partitions(batch, RECORD_TS), p["raw"], key,
-                              compression="none")
+            raw = add_ingest_partitions(spread_by_time(batch, RECORD_TS), RECORD_TS)
+            write_batch_table(raw, p["raw"], key, compression="none")
             avg, status = kpi_frames(clean_records(batch, self.null_is_blank),
                                      self.window_seconds)
-            write_batch_table(avg, p["average_by_operator"], key, compression="none")
-            write_batch_table(status, p["status_by_postal_code"], key, compression="snappy")
+            write_batch_table(cluster_by_partition(avg), p["average_by_operator"], key,
+                              compression="none")
+            write_batch_table(cluster_by_partition(status), p["status_by_postal_code"], key,
+                              compression="snappy")
         finally:
             batch.unpersist()

@@ -268,10 +268,12 @@ FROM kpi WHERE {LABEL} >= {_bound(C.OPERATOR_RANGE)}""",
     "cast_numeric": f"""{W}
 SELECT record_id, {_r('TRY_CAST(signal AS DOUBLE)')} AS signal,
        {_r('TRY_CAST(precission AS DOUBLE)')} AS precission FROM wire""",
-    "apply_mapping": f"""{M}
-SELECT hour, lat, long, signal, network, operator, status, description, speed, satellites,
-       {_r('precission')} AS precission, provider, activity, postal_code, record_ts
-FROM mapped""",
+    "apply_mapping": f"""{W}
+SELECT hour, lat, long, TRY_CAST(TRY_CAST(signal AS DOUBLE) AS INTEGER) AS signal, network,
+       operator, status, description, speed, satellites,
+       {_r('TRY_CAST(precission AS DOUBLE)')} AS precission, provider, activity, postal_code,
+       record_ts
+FROM wire""",
     "remove_null_rows": f"""{W}
 SELECT * FROM wire
 WHERE NOT ({' AND '.join(f"coalesce(trim({c}), '') = ''" for c in _PAYLOAD)})""",

@@ -13,15 +13,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every towerlens job relies on. Partition columns of the lake tables
-# are zero-padded text, so inference must not turn "05" into 5.
+# Settings every towerlens job relies on: calendar parts, hour labels and
+# event-time windows are UTC; AQE re-plans shuffles from runtime sizes.
+# (Lake tables are always read with an explicit schema, so zero-padded text
+# partition values never depend on partition type inference.)
 _JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

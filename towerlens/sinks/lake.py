@@ -1,12 +1,13 @@
 """Lake writes.
 
-Layout: ``<table>/ingest_year=YYYY/ingest_month=MM/ingest_day=DD/ingest_hour=HH/
-batch_key=<query>-<batch>/part-*.parquet``. The ingest hour is derived from
+Layout: ``<table>/batch_key=<query>-<batch>/ingest_year=YYYY/ingest_month=MM/
+ingest_day=DD/ingest_hour=HH/part-*.parquet``. The ingest hour is derived from
 the records' own arrival time (not the driver clock), and ``batch_key``
-identifies the writing query and micro-batch. A write replaces exactly the
-partitions it produces (dynamic partition overwrite), so a retried or replayed
-batch leaves the table unchanged instead of duplicating rows; other batches'
-files are never touched.
+identifies the writing query and micro-batch. A batch write replaces its own
+``batch_key=`` folder (a static overwrite of that one path), so a retried or
+replayed batch leaves the table unchanged instead of duplicating rows, and no
+other batch's files are ever touched. Readers see all five as partition
+columns; a filter on the ingest columns prunes folders whatever their depth.
 """
 
 from __future__ import annotations
@@ -23,17 +24,47 @@ def add_ingest_partitions(df: DataFrame, ts: str = RECORD_TS) -> DataFrame:
     return df.select("*", *ingest_parts(ts))
 
 
+def batch_path(table_path: str, batch_key: str) -> str:
+    return f"{table_path.rstrip('/')}/{BATCH_KEY}={batch_key}"
+
+
+def cluster_by_partition(df: DataFrame, partition_cols: list[str] | None = None) -> DataFrame:
+    """Hash-cluster a small (aggregated) frame by its partition columns.
+
+    Each partition folder is then written by one task: one file per folder
+    instead of one per (task, folder). The partition count is explicit, so
+    AQE does not fold the writers into a single task.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *(partition_cols or INGEST_COLS))
+
+
+def spread_by_time(df: DataFrame, ts_col: str = RECORD_TS) -> DataFrame:
+    """Give an under-partitioned frame one write task per core.
+
+    Only when the frame has fewer partitions than the cluster has cores (a
+    small batch, or one unsplittable file). Range partitioning on the
+    timestamp keeps each task on a contiguous time span, so few hour folders
+    per task, and splits a hot hour over several tasks instead of piling it
+    on one. Well-partitioned input is written as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartitionByRange(cores, ts_col)
+
+
 def write_batch_table(df: DataFrame, path: str, batch_key: str,
                       compression: str = "snappy",
-                      partition_cols: list[str] | None = None) -> None:
-    """Idempotent append of one batch into a partitioned Parquet table."""
-    parts = list(partition_cols or INGEST_COLS) + [BATCH_KEY]
-    (df.withColumn(BATCH_KEY, F.lit(batch_key))
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
+                      partition_cols: list[str] | None = None) -> str:
+    """Idempotent write of one batch into a partitioned Parquet table."""
+    target = batch_path(path, batch_key)
+    (df.write.mode("overwrite")
+       .option("partitionOverwriteMode", "static")
        .option("compression", compression)
-       .partitionBy(*parts)
-       .parquet(path))
+       .partitionBy(*(partition_cols or INGEST_COLS))
+       .parquet(target))
+    return target
 
 
 def register_tables(spark: SparkSession, database: str,
@@ -45,7 +76,7 @@ def register_tables(spark: SparkSession, database: str,
     New partition folders become visible after ``MSCK REPAIR TABLE``; this
     is re-run on every call, so it also picks up hours written since.
     """
-    parts = list(partition_cols or (INGEST_COLS + [BATCH_KEY]))
+    parts = list(partition_cols or ([BATCH_KEY] + INGEST_COLS))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     names = []
     for name, (location, schema) in tables.items():

@@ -108,10 +108,10 @@ class _UpdateWriter:
         self.path, self.tag = path, tag
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
+        # one folder per batch, replaced as a whole when the batch is replayed
         (batch_df.withColumn("epoch_id", F.lit(epoch_id).cast("bigint"))
-         .withColumn("batch_key", F.lit(f"{self.tag}-{epoch_id}"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_key").parquet(self.path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{self.path}/batch_key={self.tag}-{epoch_id}"))
 
 
 def start_update_sink(kpis: DataFrame, path: str, checkpoint: str,
