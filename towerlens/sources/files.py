@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from towerlens.schema import WIRE_SCHEMA
@@ -13,17 +14,29 @@ CSV_NULL_TOKEN = "empty_values"
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              null_token: str = CSV_NULL_TOKEN) -> DataFrame:
-    """CSV with a header row; every field text (no inference pass).
+    """CSV with a header row; every field text.
+
+    Columns are taken by header name (only the first line is read for that;
+    no inference pass over the data), so files whose columns come in another
+    order, or lack some fields, still map correctly: a field of ``schema``
+    missing from the header becomes a NULL column. Extra columns are dropped.
 
     The token and an unquoted empty cell read as NULL; a quoted ``""`` stays
     ``''``.
     """
-    return (spark.read.schema(schema or WIRE_SCHEMA)
-            .option("header", "true")
-            .option("nullValue", null_token)
-            .option("emptyValue", "")
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    schema = schema or WIRE_SCHEMA
+    raw = (spark.read
+           .option("header", "true")
+           .option("inferSchema", "false")
+           .option("nullValue", null_token)
+           .option("emptyValue", "")
+           .option("mode", "PERMISSIVE")
+           .csv(path))
+    have = set(raw.columns)
+    return raw.select(*[
+        (F.col(f"`{f.name}`").cast(f.dataType) if f.name in have
+         else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
 
 
 def scan_json_records(spark: SparkSession, path: str,
