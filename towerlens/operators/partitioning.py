@@ -1,0 +1,37 @@
+"""Partitioning helpers for under-partitioned input.
+
+A single unsplittable file (one Parquet row group, one micro-batch from one
+stream partition) is read by one task. When a frame has fewer partitions than
+the cluster has cores, it is spread over all cores; input that is already well
+partitioned is returned unchanged, without a shuffle, which is the normal
+case on a cluster.
+
+* ``spread_evenly`` (round-robin) for computation: no sampling job, equal
+  shares, no key to be skewed on.
+* ``spread_by_time`` (range on a timestamp) before hour-partitioned writes:
+  each task holds a contiguous time span, so it writes into few hour folders
+  (one file per hour and task, not per hour and core), and a hot hour is split
+  over several tasks by the sampled range bounds instead of landing on one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread_evenly(df: DataFrame) -> DataFrame:
+    cores = _cores(df)
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
+def spread_by_time(df: DataFrame, ts_col: str) -> DataFrame:
+    cores = _cores(df)
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartitionByRange(cores, ts_col)

@@ -21,14 +21,14 @@ from towerlens.operators.mapping import apply_mapping
 from towerlens.operators.parse import (
     encode_records, parse_records, type_records, with_processing_time,
 )
-from towerlens.plans.microbatch import MicroBatchWriter, clean_records, kpi_frames
+from towerlens.plans.microbatch import KPI_INPUTS, MicroBatchWriter, clean_records, kpi_frames
 from towerlens.schema import (
     AVERAGE_BY_OPERATOR_SCHEMA, BATCH_KEY, CORRUPT, PAYLOAD_FIELDS, RECORD_TS,
     STATUS_BY_POSTAL_CODE_SCHEMA, WIRE_SCHEMA,
 )
 from towerlens.session import apply_job_conf, new_run_dir
 from towerlens.sinks.lake import publish_records, register_tables, write_result
-from towerlens.sources.events import RECORD_ID, load_table, wire_from_events
+from towerlens.sources.events import RECORD_ID, load_events, load_table, wire_from_events
 from towerlens.sources.files import CSV_NULL_TOKEN, read_lake_table, scan_csv
 from towerlens.sources.stream import stream_source, with_record_ts
 from towerlens.streaming import jobs
@@ -59,7 +59,7 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def _wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_job_conf(spark)
-    return wire_from_events(load_table(spark, sf_dir, "events"))
+    return wire_from_events(load_events(spark, sf_dir))
 
 
 def _typed(spark, sf_dir):
@@ -67,7 +67,7 @@ def _typed(spark, sf_dir):
 
 
 def _mapped(spark, sf_dir):
-    return clean_records(_wire(spark, sf_dir))
+    return clean_records(_wire(spark, sf_dir), only=KPI_INPUTS)
 
 
 def _kpi_tables(spark, sf_dir):
@@ -252,9 +252,11 @@ def q_distinct_status(spark, sf_dir):
 
 def _write_one_batch(spark, sf_dir, name) -> MicroBatchWriter:
     """Run the micro-batch body once over the whole table (one batch)."""
+    apply_job_conf(spark)
     out = new_run_dir(spark, name)
     writer = MicroBatchWriter(out, f"{name}-backfill")
-    writer(_wire(spark, sf_dir), 0)
+    # unspread input: the writer range-partitions it by time for the hour folders
+    writer(wire_from_events(load_table(spark, sf_dir, "events")), 0)
     return writer
 
 

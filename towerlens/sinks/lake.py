@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from towerlens.functions.timeparts import ingest_parts
+from towerlens.operators.partitioning import spread_by_time  # noqa: F401  (re-export)
 from towerlens.schema import BATCH_KEY, INGEST_COLS, RECORD_TS
 
 
@@ -39,21 +40,6 @@ def cluster_by_partition(df: DataFrame, partition_cols: list[str] | None = None)
     return df.repartition(n, *(partition_cols or INGEST_COLS))
 
 
-def spread_by_time(df: DataFrame, ts_col: str = RECORD_TS) -> DataFrame:
-    """Give an under-partitioned frame one write task per core.
-
-    Only when the frame has fewer partitions than the cluster has cores (a
-    small batch, or one unsplittable file). Range partitioning on the
-    timestamp keeps each task on a contiguous time span, so few hour folders
-    per task, and splits a hot hour over several tasks instead of piling it
-    on one. Well-partitioned input is written as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartitionByRange(cores, ts_col)
-
-
 def write_batch_table(df: DataFrame, path: str, batch_key: str,
                       compression: str = "snappy",
                       partition_cols: list[str] | None = None) -> str:

@@ -31,6 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from towerlens.operators.partitioning import spread_evenly
 from towerlens.schema import PAYLOAD_FIELDS, RECORD_TS
 
 RECORD_ID = "record_id"
@@ -69,9 +70,14 @@ def wire_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table, spread over all cores when it arrives in too few splits."""
+    return spread_evenly(load_table(spark, sf_dir, "events"))
+
+
 def wire_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text measurement records (plus record_ts, record_id)."""
-    return wire_from_events(load_table(spark, sf_dir, "events"))
+    return wire_from_events(load_events(spark, sf_dir))
 
 
 def typed_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
