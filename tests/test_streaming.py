@@ -119,3 +119,26 @@ def test_replay_to_stream_roundtrip(spark, sf_small):
     back = parse_records(enc.select("value"))
     assert back.filter(F.col("_corrupt").isNotNull()).count() == 0
     assert back.count() == wire.count()
+
+
+def test_runners_on_replayed_json(spark, sf_small):
+    from towerlens.sinks.lake import publish_records
+    from towerlens.streaming import runner
+
+    out = new_run_dir(spark, "t_runner")
+    stage = f"{out}/stage"
+    wire = wire_measurements(spark, sf_small)
+    publish_records(encode_records(wire), fmt="json", path=stage)
+    with open(f"{stage}/bad.json", "w") as fh:
+        fh.write('{"key": "k", "value": "not json"}\n')
+    parsed = runner.parsed_stream(spark, "json", stage, {})
+    live = runner.start_live_job(spark, parsed, f"{out}/live", available_now=True)
+    for q in live:
+        _run(q)
+    assert spark.read.parquet(f"{out}/live/raw").count() == wire.count()
+    assert spark.read.json(f"{out}/live/dead_letter").count() == 1
+    hourly = runner.start_hourly_job(spark, runner.parsed_stream(spark, "json", stage, {}),
+                                     f"{out}/hourly", available_now=True)
+    for q in hourly:
+        _run(q)
+    assert spark.read.parquet(f"{out}/hourly/raw").count() == wire.count()
