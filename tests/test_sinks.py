@@ -52,3 +52,19 @@ def test_register_tables_sees_new_partitions(spark, sf_small):
     direct = read_lake_table(spark, w.paths()["average_by_operator"], AVERAGE_BY_OPERATOR_SCHEMA)
     assert direct.count() == 2 * n1
     assert dict(direct.dtypes)["ingest_month"] == "string"
+
+
+def test_batch_partitions_added_without_repair(spark, sf_small):
+    out = new_run_dir(spark, "test_addpart")
+    db = "tl_add_" + os.path.basename(out).split("-")[-1]
+    w0 = MicroBatchWriter(out, "t")
+    w0(wire_measurements(spark, sf_small).limit(0), 0)  # nothing written, nothing registered
+    w0(wire_measurements(spark, sf_small), 0)
+    register_tables(spark, db, {"average_by_operator": (w0.paths()["average_by_operator"],
+                                                        AVERAGE_BY_OPERATOR_SCHEMA)})
+    n0 = spark.table(f"{db}.average_by_operator").count()
+    w = MicroBatchWriter(out, "t", catalog={"average_by_operator": f"{db}.average_by_operator"})
+    w(wire_measurements(spark, sf_small), 1)
+    assert spark.table(f"{db}.average_by_operator").count() == 2 * n0
+    w(wire_measurements(spark, sf_small), 1)  # replay: same partitions, same rows
+    assert spark.table(f"{db}.average_by_operator").count() == 2 * n0

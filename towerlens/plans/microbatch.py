@@ -24,7 +24,9 @@ from towerlens.operators.kpis import average_by_operator, status_by_postal_code,
 from towerlens.operators.mapping import apply_mapping
 from towerlens.schema import RECORD_TS
 from towerlens.operators.partitioning import spread_by_time
-from towerlens.sinks.lake import add_ingest_partitions, cluster_by_partition, write_batch_table
+from towerlens.sinks.lake import (
+    add_batch_partitions, add_ingest_partitions, cluster_by_partition, write_batch_table,
+)
 
 
 # Columns the two KPI aggregates read (after mapping).
@@ -75,6 +77,9 @@ class MicroBatchWriter:
     tag: str
     window_seconds: int = MICRO_BATCH_SECONDS
     null_is_blank: bool = False
+    # catalog tables (name → qualified table) to extend with each batch's
+    # partitions, e.g. {"average_by_operator": "db.average_by_operator"}
+    catalog: dict[str, str] | None = None
 
     def paths(self) -> dict[str, str]:
         return {n: f"{self.out_dir}/{n}" for n in
@@ -95,5 +100,14 @@ class MicroBatchWriter:
                               compression="none")
             write_batch_table(cluster_by_partition(status), p["status_by_postal_code"], key,
                               compression="snappy")
+            if self.catalog:
+                self._register(batch, key)
         finally:
             batch.unpersist()
+
+    def _register(self, batch: DataFrame, key: str) -> None:
+        # the batch's hours: one row per hour it spans (1-2 for a live batch)
+        hours = [tuple(r) for r in batch.select(*ingest_parts(RECORD_TS)).distinct().collect()]
+        spark = batch.sparkSession
+        for name, table in self.catalog.items():
+            add_batch_partitions(spark, table, key, hours)

@@ -75,6 +75,24 @@ def register_tables(spark: SparkSession, database: str,
     return names
 
 
+def add_batch_partitions(spark: SparkSession, table: str, batch_key: str,
+                         hours: list[tuple[str, str, str, str]]) -> None:
+    """Register one batch's partitions in the catalog without listing the table.
+
+    ``MSCK REPAIR`` lists every folder of the table, which grows with every
+    batch; after a write the new partitions are known (the batch's hours), so
+    they are added directly. Re-running it for a replayed batch is harmless.
+    """
+    if not hours:
+        return
+    specs = " ".join(
+        "PARTITION (" + ", ".join(
+            [f"{BATCH_KEY}='{batch_key}'"]
+            + [f"{c}='{v}'" for c, v in zip(INGEST_COLS, h)]) + ")"
+        for h in hours)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
 def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write a (small, already aggregated) query result to a location."""
     w = df.write.mode("overwrite")
