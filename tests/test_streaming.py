@@ -67,14 +67,27 @@ def test_late_file_dropped_and_counted(spark):
                 fh.write(json.dumps({"ts": f"2024-01-01 00:{minute_base + i:02d}:00",
                                      "value": json.dumps(rec)}) + "\n")
 
+    from towerlens.streaming.listener import LateRowsListener
+
+    listener = LateRowsListener()
+    spark.streams.addListener(listener)
     drops = []
-    for name, base in [("f1", 0), ("f2", 10), ("f3", 20), ("f4", 1)]:
-        put(name, base)
-        kpi = jobs.event_time_operator_kpis(_typed_stream_from(spark, stage, schema),
-                                            "10 minutes", "1 minute")
-        q = jobs.start_event_time_sink(kpi, data, ckpt, available_now=True)
-        _run(q)
-        drops.append(jobs.dropped_by_watermark(q))
+    try:
+        for name, base in [("f1", 0), ("f2", 10), ("f3", 20), ("f4", 1)]:
+            put(name, base)
+            kpi = jobs.event_time_operator_kpis(_typed_stream_from(spark, stage, schema),
+                                                "10 minutes", "1 minute")
+            q = jobs.start_event_time_sink(kpi, data, ckpt, available_now=True, name="late_test")
+            _run(q)
+            drops.append(jobs.dropped_by_watermark(q))
+        import time
+        for _ in range(50):  # listener events arrive asynchronously
+            if listener.dropped.get("late_test", 0) >= 2:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.dropped.get("late_test") == 2
     rows = spark.read.parquet(data).orderBy("window_start", "operator").collect()
     got = [(str(r.window_start), r.operator, r.n_records) for r in rows]
     # the window 00:20 is still open; the late file changed nothing

@@ -5,9 +5,10 @@ from towerlens.streaming.jobs import (
     read_latest_updates, start_event_time_sink, start_microbatch_job,
     start_raw_sink, start_update_sink, trigger_options,
 )
+from towerlens.streaming.listener import LateRowsListener
 
 __all__ = [
     "dropped_by_watermark", "event_time_operator_kpis", "event_time_status_counts",
     "read_latest_updates", "start_event_time_sink", "start_microbatch_job",
-    "start_raw_sink", "start_update_sink", "trigger_options",
+    "start_raw_sink", "start_update_sink", "trigger_options", "LateRowsListener",
 ]
