@@ -23,7 +23,7 @@ from towerlens.operators.parse import (
 )
 from towerlens.plans.microbatch import KPI_INPUTS, MicroBatchWriter, clean_records, kpi_frames
 from towerlens.schema import (
-    AVERAGE_BY_OPERATOR_SCHEMA, BATCH_KEY, CORRUPT, PAYLOAD_FIELDS, RECORD_TS,
+    AVERAGE_BY_OPERATOR_SCHEMA, BATCH_KEY, PAYLOAD_FIELDS, RECORD_TS,
     STATUS_BY_POSTAL_CODE_SCHEMA, WIRE_SCHEMA,
 )
 from towerlens.session import apply_job_conf, new_run_dir

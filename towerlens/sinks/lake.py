@@ -13,11 +13,9 @@ columns; a filter on the ingest columns prunes folders whatever their depth.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from towerlens.functions.timeparts import ingest_parts
-from towerlens.operators.partitioning import spread_by_time  # noqa: F401  (re-export)
 from towerlens.schema import BATCH_KEY, INGEST_COLS, RECORD_TS
 
 
