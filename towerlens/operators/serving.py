@@ -23,8 +23,18 @@ MAX_PIVOT_VALUES = 10_000
 
 def time_range_filter(kpi: DataFrame, as_of: str | None, time_range: str = "1 hour",
                       mode: str = "interval") -> DataFrame:
+    """Keep hour buckets whose label is at or after ``as_of − range``.
+
+    The label test is a ``concat`` over four partition columns: Spark prunes
+    folders with it, but a metastore cannot evaluate it and would return
+    every partition. The implied (year, month) bound is added as plain
+    comparisons, which a metastore can apply; it never changes the result.
+    """
     hours = parse_range_hours(time_range, mode)
-    return kpi.filter(hour_label() >= range_bound_text(as_of, hours))
+    bound = range_bound_text(as_of, hours)
+    y, m = F.substring(bound, 1, 4), F.substring(bound, 6, 2)
+    coarse = (F.col("ingest_year") > y) | ((F.col("ingest_year") == y) & (F.col("ingest_month") >= m))
+    return kpi.filter(coarse & (hour_label() >= bound))
 
 
 def with_hour_label(kpi: DataFrame, name: str = "hour_label") -> DataFrame:

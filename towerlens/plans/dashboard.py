@@ -42,13 +42,21 @@ class Dashboard:
             df.unpersist()
 
 
-def build_dashboard(spark: SparkSession, average_path: str, status_path: str,
+def _read(spark: SparkSession, source: str, schema) -> DataFrame:
+    """A folder path, or a catalog table name (partitions pruned in the metastore)."""
+    if "/" in source or ":" in source:
+        return read_lake_table(spark, source, schema)
+    return spark.table(source)
+
+
+def build_dashboard(spark: SparkSession, average_source: str, status_source: str,
                     as_of: str | None = None, time_range: str = DEFAULT_RANGE,
                     mode: str = "interval") -> Dashboard:
+    """Sources are folder paths or registered table names (``db.table``)."""
     avg = serving.time_range_filter(
-        read_lake_table(spark, average_path, AVERAGE_BY_OPERATOR_SCHEMA), as_of, time_range, mode)
+        _read(spark, average_source, AVERAGE_BY_OPERATOR_SCHEMA), as_of, time_range, mode)
     status = serving.time_range_filter(
-        read_lake_table(spark, status_path, STATUS_BY_POSTAL_CODE_SCHEMA), as_of, time_range, mode)
+        _read(spark, status_source, STATUS_BY_POSTAL_CODE_SCHEMA), as_of, time_range, mode)
     avg = avg.persist(StorageLevel.MEMORY_AND_DISK)
     status = status.persist(StorageLevel.MEMORY_AND_DISK)
     # the range was applied above; "as_of" here only re-applies the same rule
