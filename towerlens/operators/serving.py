@@ -41,46 +41,52 @@ def with_hour_label(kpi: DataFrame, name: str = "hour_label") -> DataFrame:
     return kpi.withColumn(name, hour_label())
 
 
+def _sorted(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+    """Sort for presentation only; a result that feeds another computation
+    (cards, pivot) is left unsorted so no global sort is planned for it."""
+    return df.orderBy(*keys) if ordered else df
+
+
 def operator_metrics(kpi: DataFrame, as_of: str | None, time_range: str = "1 hour",
-                     mode: str = "interval") -> DataFrame:
+                     mode: str = "interval", ordered: bool = True) -> DataFrame:
     """Mean of the per-batch means per operator (unweighted, as served)."""
-    return (time_range_filter(kpi, as_of, time_range, mode)
-            .groupBy("operator")
-            .agg(F.avg("avg_signal").alias("avg_signal_strength"),
-                 F.avg("avg_precission").alias("avg_precision"))
-            .orderBy(F.col("avg_signal_strength").desc_nulls_last()))
+    out = (time_range_filter(kpi, as_of, time_range, mode)
+           .groupBy("operator")
+           .agg(F.avg("avg_signal").alias("avg_signal_strength"),
+                F.avg("avg_precission").alias("avg_precision")))
+    return _sorted(out, ordered, F.col("avg_signal_strength").desc_nulls_last())
 
 
 def operator_metrics_weighted(kpi: DataFrame, as_of: str | None, time_range: str = "1 hour",
-                              mode: str = "interval") -> DataFrame:
+                              mode: str = "interval", ordered: bool = True) -> DataFrame:
     """Exact per-operator means over all rows in range (batches weighted by rows)."""
-    return (time_range_filter(kpi, as_of, time_range, mode)
-            .groupBy("operator")
-            .agg((F.sum("sum_signal") / F.sum("n_signal")).alias("avg_signal_strength"),
-                 (F.sum("sum_precission") / F.sum("n_precission")).alias("avg_precision"))
-            .orderBy(F.col("avg_signal_strength").desc_nulls_last()))
+    out = (time_range_filter(kpi, as_of, time_range, mode)
+           .groupBy("operator")
+           .agg((F.sum("sum_signal") / F.sum("n_signal")).alias("avg_signal_strength"),
+                (F.sum("sum_precission") / F.sum("n_precission")).alias("avg_precision")))
+    return _sorted(out, ordered, F.col("avg_signal_strength").desc_nulls_last())
 
 
 def postal_code_status(status: DataFrame, as_of: str | None, time_range: str = "1 hour",
-                       mode: str = "interval") -> DataFrame:
-    return (time_range_filter(status, as_of, time_range, mode)
-            .groupBy("postal_code", "description")
-            .agg(F.sum("status_count").cast("bigint").alias("status_count"))
-            .withColumnRenamed("description", "status_description")
-            .orderBy(F.col("postal_code").asc_nulls_last(),
-                     F.col("status_count").desc_nulls_last()))
+                       mode: str = "interval", ordered: bool = True) -> DataFrame:
+    out = (time_range_filter(status, as_of, time_range, mode)
+           .groupBy("postal_code", "description")
+           .agg(F.sum("status_count").cast("bigint").alias("status_count"))
+           .withColumnRenamed("description", "status_description"))
+    return _sorted(out, ordered, F.col("postal_code").asc_nulls_last(),
+                   F.col("status_count").desc_nulls_last())
 
 
 def hourly_metrics(kpi: DataFrame, as_of: str | None, time_range: str = "24 hours",
-                   mode: str = "interval") -> DataFrame:
-    return (time_range_filter(kpi, as_of, time_range, mode)
-            .groupBy("operator", hour_label().alias("hour_text"))
-            .agg(F.avg("avg_signal").alias("avg_signal_strength"),
-                 F.avg("avg_precission").alias("avg_precision"))
-            .select("operator",
-                    F.to_timestamp_ntz("hour_text", F.lit("yyyy-MM-dd HH:mm:ss")).alias("hour"),
-                    "avg_signal_strength", "avg_precision")
-            .orderBy(F.col("hour").asc_nulls_last(), F.col("operator").asc_nulls_last()))
+                   mode: str = "interval", ordered: bool = True) -> DataFrame:
+    out = (time_range_filter(kpi, as_of, time_range, mode)
+           .groupBy("operator", hour_label().alias("hour_text"))
+           .agg(F.avg("avg_signal").alias("avg_signal_strength"),
+                F.avg("avg_precission").alias("avg_precision"))
+           .select("operator",
+                   F.to_timestamp_ntz("hour_text", F.lit("yyyy-MM-dd HH:mm:ss")).alias("hour"),
+                   "avg_signal_strength", "avg_precision"))
+    return _sorted(out, ordered, F.col("hour").asc_nulls_last(), F.col("operator").asc_nulls_last())
 
 
 def summary_cards(op_metrics: DataFrame, postal_status: DataFrame) -> DataFrame:

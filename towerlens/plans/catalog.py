@@ -234,18 +234,21 @@ def q_hourly_metrics(spark, sf_dir):
 
 def q_summary_cards(spark, sf_dir):
     avg, status = _kpi_tables(spark, sf_dir)
-    return rounded(serving.summary_cards(serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE),
-                                         serving.postal_code_status(status, AS_OF, OPERATOR_RANGE)))
+    return rounded(serving.summary_cards(
+        serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE, ordered=False),
+        serving.postal_code_status(status, AS_OF, OPERATOR_RANGE, ordered=False)))
 
 
 def q_pivot_status(spark, sf_dir):
     _, status = _kpi_tables(spark, sf_dir)
-    return serving.pivot_status(serving.postal_code_status(status, AS_OF, OPERATOR_RANGE))
+    return serving.pivot_status(serving.postal_code_status(status, AS_OF, OPERATOR_RANGE,
+                                                           ordered=False))
 
 
 def q_distinct_status(spark, sf_dir):
     _, status = _kpi_tables(spark, sf_dir)
-    return serving.distinct_status(serving.postal_code_status(status, AS_OF, OPERATOR_RANGE))
+    return serving.distinct_status(serving.postal_code_status(status, AS_OF, OPERATOR_RANGE,
+                                                              ordered=False))
 
 
 # -------------------------------------------------------------- lake tables

@@ -30,12 +30,19 @@ class Dashboard:
     hourly_metrics: DataFrame
     summary_cards: DataFrame
     _cached: list[DataFrame] = field(default_factory=list, repr=False)
+    _as_of: str | None = None
+    _range: str = DEFAULT_RANGE
+    _mode: str = "interval"
 
     def pivot_status(self, values: list[str] | None = None) -> DataFrame:
-        return serving.pivot_status(self.postal_code_status, values)
+        return serving.pivot_status(self._unordered_status(), values)
 
     def distinct_status(self) -> DataFrame:
-        return serving.distinct_status(self.postal_code_status)
+        return serving.distinct_status(self._unordered_status())
+
+    def _unordered_status(self) -> DataFrame:
+        return serving.postal_code_status(self._cached[1], self._as_of, self._range, self._mode,
+                                          ordered=False)
 
     def close(self) -> None:
         for df in self._cached:
@@ -60,13 +67,14 @@ def build_dashboard(spark: SparkSession, average_source: str, status_source: str
     avg = avg.persist(StorageLevel.MEMORY_AND_DISK)
     status = status.persist(StorageLevel.MEMORY_AND_DISK)
     # the range was applied above; "as_of" here only re-applies the same rule
-    om = serving.operator_metrics(avg, as_of, time_range, mode)
-    ps = serving.postal_code_status(status, as_of, time_range, mode)
+    cards = serving.summary_cards(
+        serving.operator_metrics(avg, as_of, time_range, mode, ordered=False),
+        serving.postal_code_status(status, as_of, time_range, mode, ordered=False))
     return Dashboard(
-        operator_metrics=om,
+        operator_metrics=serving.operator_metrics(avg, as_of, time_range, mode),
         operator_metrics_weighted=serving.operator_metrics_weighted(avg, as_of, time_range, mode),
-        postal_code_status=ps,
+        postal_code_status=serving.postal_code_status(status, as_of, time_range, mode),
         hourly_metrics=serving.hourly_metrics(avg, as_of, time_range, mode),
-        summary_cards=serving.summary_cards(om, ps),
-        _cached=[avg, status],
+        summary_cards=cards,
+        _cached=[avg, status], _as_of=as_of, _range=time_range, _mode=mode,
     )
