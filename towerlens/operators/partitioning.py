@@ -19,19 +19,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def _cores(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
+def _shortfall(df: DataFrame) -> int | None:
+    """Core count when ``df`` has fewer partitions than cores, else None.
+
+    Sessions without a SparkContext (Spark Connect) cannot tell; their input
+    is left as it is.
+    """
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no SparkContext / RDD access)
+        return None
+    return cores if parts < cores else None
 
 
 def spread_evenly(df: DataFrame) -> DataFrame:
-    cores = _cores(df)
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    cores = _shortfall(df)
+    return df if cores is None else df.repartition(cores)
 
 
 def spread_by_time(df: DataFrame, ts_col: str) -> DataFrame:
-    cores = _cores(df)
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartitionByRange(cores, ts_col)
+    cores = _shortfall(df)
+    return df if cores is None else df.repartitionByRange(cores, ts_col)
