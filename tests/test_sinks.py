@@ -68,3 +68,17 @@ def test_batch_partitions_added_without_repair(spark, sf_small):
     assert spark.table(f"{db}.average_by_operator").count() == 2 * n0
     w(wire_measurements(spark, sf_small), 1)  # replay: same partitions, same rows
     assert spark.table(f"{db}.average_by_operator").count() == 2 * n0
+
+
+def test_replay_first_n_in_file_order(spark):
+    from towerlens.operators.parse import encode_records, parse_records
+    from towerlens.sinks.lake import publish_records
+
+    src = new_run_dir(spark, "test_first_n")
+    with open(f"{src}/a.csv", "w") as fh:
+        fh.write("operator,network\n" + "".join(f"op{i},net_{i % 3}\n" for i in range(50)))
+    rows = scan_csv(spark, src, WIRE_SCHEMA)
+    out = new_run_dir(spark, "test_first_n_out")
+    publish_records(encode_records(rows), fmt="json", path=out, limit=7)
+    back = parse_records(spark.read.schema("key string, value string").json(out))
+    assert sorted(r.operator for r in back.collect()) == sorted(f"op{i}" for i in range(7))
