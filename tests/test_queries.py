@@ -24,7 +24,7 @@ def _norm(v):
     if isinstance(v, bool):
         return (2, str(v))
     if isinstance(v, (int, float)):
-        return (1, "nan" if isinstance(v, float) and math.isnan(v) else repr(round(float(v), 6)))
+        return (1, "nan" if isinstance(v, float) and math.isnan(v) else repr(float(v)))
     if isinstance(v, dt.datetime):
         return (3, v.replace(tzinfo=None).isoformat())
     return (4, str(v))

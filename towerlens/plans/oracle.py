@@ -138,6 +138,11 @@ def _r(expr: str) -> str:
     return f"round({expr}, {D})"
 
 
+def _rs(expr: str) -> str:
+    """Rounding for sums of doubles (see catalog.SUM_DIGITS)."""
+    return f"round({expr}, {C.SUM_DIGITS})"
+
+
 OP_METRICS = f"""
 op_metrics AS (
   SELECT operator, avg(avg_signal) AS avg_signal_strength, avg(avg_precission) AS avg_precision
@@ -156,13 +161,13 @@ KO = _with(_WIRE, _mapped(), _kpi(), OP_METRICS)
 _AVG_BY_OP = f"""
 SELECT operator, {_r('avg(signal)')} AS avg_signal, {_r('avg(precission)')} AS avg_precission,
        CAST(sum(signal) AS BIGINT) AS sum_signal, count(signal) AS n_signal,
-       {_r('sum(precission)')} AS sum_precission, count(precission) AS n_precission
+       {_rs('sum(precission)')} AS sum_precission, count(precission) AS n_precission
 FROM mapped GROUP BY operator"""
 
 _KPI_ROWS = f"""
 SELECT batch_window, operator, {_r('avg_signal')} AS avg_signal,
        {_r('avg_precission')} AS avg_precission, sum_signal, n_signal,
-       {_r('sum_precission')} AS sum_precission, n_precission,
+       {_rs('sum_precission')} AS sum_precission, n_precission,
        ingest_year, ingest_month, ingest_day, ingest_hour
 FROM kpi"""
 
@@ -235,7 +240,7 @@ SELECT network, max(signal) AS max_signal, {_r('min(speed)')} AS min_speed,
        count(status) AS count_status
 FROM typed GROUP BY network""",
     "generic_aggregate_global": f"""{T}
-SELECT {_r('avg(signal)')} AS avg_signal, {_r('sum(precission)')} AS sum_precission,
+SELECT {_r('avg(signal)')} AS avg_signal, {_rs('sum(precission)')} AS sum_precission,
        count(status) AS count_status
 FROM typed""",
     "distinct_values": f"""{W}
