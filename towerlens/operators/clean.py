@@ -82,12 +82,18 @@ def _row_test(path: list[str], dtype: T.DataType, arrays: list[int], null_string
     return F.coalesce(F.forall(arr, elem_blank), F.lit(bool(null_is_blank)))
 
 
-def find_null_fields(df: DataFrame, null_strings=NULL_STRING_SET,
-                     null_numbers=NULL_NUMBER_SET, null_is_blank: bool = False) -> list[str]:
-    """Dotted paths of the leaf columns that the drop-null-fields rule removes."""
+def scan_null_fields(df: DataFrame, null_strings=NULL_STRING_SET,
+                     null_numbers=NULL_NUMBER_SET,
+                     null_is_blank: bool = False) -> tuple[list[str], int]:
+    """(dotted paths the drop-null-fields rule removes, number of rows).
+
+    One aggregate job; the row count comes with it, so a caller that must
+    skip empty batches needs no separate count.
+    """
     always: list[str] = []
     tests: list[tuple[str, Column]] = []
-    for path, dtype, arrays in _leaves(df.schema, [], []):
+    leaves = list(_leaves(df.schema, [], []))
+    for path, dtype, arrays in leaves:
         dotted = ".".join(path)
         if isinstance(dtype, T.NullType):
             always.append(dotted)
@@ -95,15 +101,19 @@ def find_null_fields(df: DataFrame, null_strings=NULL_STRING_SET,
         t = _row_test(path, dtype, arrays, null_strings, null_numbers, null_is_blank)
         if t is not None:
             tests.append((dotted, t))
-    if not tests:
-        return always
     # bool_and over zero rows is NULL: an empty set is a subset of any set
     aggs = [F.coalesce(F.bool_and(t), F.lit(True)).alias(f"c{i}")
             for i, (_, t) in enumerate(tests)]
-    row = df.agg(*aggs).collect()[0]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *aggs).collect()[0]
     blank = [p for i, (p, _) in enumerate(tests) if row[f"c{i}"]]
-    order = {".".join(p): i for i, (p, _, _) in enumerate(_leaves(df.schema, [], []))}
-    return sorted(always + blank, key=lambda p: order[p])
+    order = {".".join(p): i for i, (p, _, _) in enumerate(leaves)}
+    return sorted(always + blank, key=lambda p: order[p]), int(row["n"])
+
+
+def find_null_fields(df: DataFrame, null_strings=NULL_STRING_SET,
+                     null_numbers=NULL_NUMBER_SET, null_is_blank: bool = False) -> list[str]:
+    """Dotted paths of the leaf columns that the drop-null-fields rule removes."""
+    return scan_null_fields(df, null_strings, null_numbers, null_is_blank)[0]
 
 
 def _drop_in_type(dtype: T.DataType, value: Column, rel: list[list[str]]) -> Column | None:

@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.functions.timeparts import MICRO_BATCH_SECONDS, ingest_parts
-from towerlens.operators.clean import drop_null_fields, remove_null_rows
+from towerlens.operators.clean import (
+    drop_fields, drop_null_fields, remove_null_rows, scan_null_fields,
+)
 from towerlens.operators.kpis import average_by_operator, status_by_postal_code, with_batch_window
 from towerlens.operators.mapping import apply_mapping
 from towerlens.schema import RECORD_TS
@@ -42,10 +44,14 @@ def clean_records(batch: DataFrame, null_is_blank: bool = False,
     that is not read later cannot change the result; skipping it makes the
     scan (one aggregate job per batch) proportionally cheaper.
     """
-    scoped = batch.select(*[c for c in batch.columns if c in set(only)]) if only else batch
+    scoped = _scope(batch, only)
     return apply_mapping(remove_null_rows(drop_null_fields(scoped, null_is_blank=null_is_blank)))
 
 
+def _scope(batch: DataFrame, only: list[str] | None) -> DataFrame:
+    return batch.select(*[c for c in batch.columns if c in set(only)]) if only else batch
+
+
 def kpi_frames(mapped: DataFrame, window_seconds: int = MICRO_BATCH_SECONDS
                ) -> tuple[DataFrame, DataFrame]:
     """(average_by_operator, status_by_postal_code) per arrival window.
@@ -88,14 +94,17 @@ class MicroBatchWriter:
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
+            # one job: the blank-field decision and the empty-batch guard
+            scoped = _scope(batch, KPI_INPUTS)
+            blank, n_rows = scan_null_fields(scoped, null_is_blank=self.null_is_blank)
+            if n_rows == 0:
                 return
             key = f"{self.tag}-{epoch_id}"
             p = self.paths()
             raw = add_ingest_partitions(spread_by_time(batch, RECORD_TS), RECORD_TS)
             write_batch_table(raw, p["raw"], key, compression="none")
-            avg, status = kpi_frames(clean_records(batch, self.null_is_blank, KPI_INPUTS),
-                                     self.window_seconds)
+            mapped = apply_mapping(remove_null_rows(drop_fields(scoped, blank)))
+            avg, status = kpi_frames(mapped, self.window_seconds)
             write_batch_table(cluster_by_partition(avg), p["average_by_operator"], key,
                               compression="none")
             write_batch_table(cluster_by_partition(status), p["status_by_postal_code"], key,
