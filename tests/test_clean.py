@@ -99,3 +99,11 @@ def test_missing_mapped_column_becomes_typed_null(spark):
     r = out.first()
     assert r.signal is None and r.precission == 1.5 and r.operator == "a"
     assert out.columns == [m[2] for m in LIVE_MAPPING]
+
+
+def test_scan_returns_row_count_with_decision(spark):
+    from towerlens.operators.clean import scan_null_fields
+
+    df = spark.createDataFrame([("", "x"), ("null", "y")], "a string, b string")
+    assert scan_null_fields(df) == (["a"], 2)
+    assert scan_null_fields(df.limit(0)) == (["a", "b"], 0)

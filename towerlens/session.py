@@ -61,14 +61,17 @@ def shared_dir(spark: SparkSession) -> str:
 
     Read from the session; a private folder is created only when unset.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        configured = sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext)
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="towerlens-ckpt-")
-        sc.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
