@@ -146,12 +146,11 @@ def test_runners_on_replayed_json(spark, sf_small):
         fh.write('{"key": "k", "value": "not json"}\n')
     parsed = runner.parsed_stream(spark, "json", stage, {})
     live = runner.start_live_job(spark, parsed, f"{out}/live", available_now=True)
-    for q in live:
-        _run(q)
+    runner.await_all(spark, live, available_now=True)
+    assert all(not q.isActive and q.exception() is None for q in live)
     assert spark.read.parquet(f"{out}/live/raw").count() == wire.count()
     assert spark.read.json(f"{out}/live/dead_letter").count() == 1
     hourly = runner.start_hourly_job(spark, runner.parsed_stream(spark, "json", stage, {}),
                                      f"{out}/hourly", available_now=True)
-    for q in hourly:
-        _run(q)
+    runner.await_all(spark, hourly, available_now=True)
     assert spark.read.parquet(f"{out}/hourly/raw").count() == wire.count()

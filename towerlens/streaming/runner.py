@@ -74,10 +74,18 @@ def start_hourly_job(spark: SparkSession, parsed: DataFrame, out_dir: str,
     ]
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Block until one query ends; an error in any query stops all and is raised."""
+def await_all(spark: SparkSession, queries: list[StreamingQuery],
+              available_now: bool = False) -> None:
+    """Continuous triggers: block until one query ends (they only end on error
+    or stop), then stop the rest and raise the first error.
+    availableNow: every query ends by itself once its input is done; wait for all.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        if available_now:
+            for q in queries:
+                q.awaitTermination()
+        else:
+            spark.streams.awaitAnyTermination()
     finally:
         errors = [q.exception() for q in queries if q.exception() is not None]
         for q in queries:
@@ -98,16 +106,25 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--window-seconds", type=int, default=MICRO_BATCH_SECONDS)
     ap.add_argument("--delay", default=jobs.DEFAULT_DELAY)
     ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--rocksdb", action="store_true",
+                    help="keep streaming state in RocksDB (large key spaces)")
+    ap.add_argument("--max-offsets-per-trigger", type=int, default=None,
+                    help="Kafka: cap records per micro-batch (bounded batch size on backlog)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"towerlens-{a.job}").getOrCreate()
     apply_job_conf(spark)
+    if a.rocksdb:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     opts = dict(o.split("=", 1) for o in a.option)
+    if a.max_offsets_per_trigger and a.source_format == "kafka":
+        opts.setdefault("maxOffsetsPerTrigger", str(a.max_offsets_per_trigger))
     parsed = parsed_stream(spark, a.source_format, a.source_path, opts, a.starting)
     if a.job == "live":
         qs = start_live_job(spark, parsed, a.out, a.available_now, a.window_seconds)
     else:
         qs = start_hourly_job(spark, parsed, a.out, a.available_now, a.delay, a.window_seconds)
-    await_all(spark, qs)
+    await_all(spark, qs, a.available_now)
 
 
 if __name__ == "__main__":
