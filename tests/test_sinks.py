@@ -82,3 +82,21 @@ def test_replay_first_n_in_file_order(spark):
     publish_records(encode_records(rows), fmt="json", path=out, limit=7)
     back = parse_records(spark.read.schema("key string, value string").json(out))
     assert sorted(r.operator for r in back.collect()) == sorted(f"op{i}" for i in range(7))
+
+
+def test_first_n_rows_across_splits(spark):
+    from towerlens.operators.select import first_n_rows
+
+    src = new_run_dir(spark, "test_first_n_split")
+    with open(f"{src}/a.csv", "w") as fh:
+        fh.write("operator,network\n" + "".join(f"op{i:05d},n\n" for i in range(20000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        rows = scan_csv(spark, src, WIRE_SCHEMA).select("operator")
+        assert rows.rdd.getNumPartitions() > 3
+        for n in (0, 1, 7, 4321, 20000, 25000):
+            got = sorted(r.operator for r in first_n_rows(rows, n).collect())
+            assert got == [f"op{i:05d}" for i in range(min(n, 20000))]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

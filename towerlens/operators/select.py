@@ -1,0 +1,33 @@
+"""First-N selection in source order, without funnelling rows into one task.
+
+``limit(n)`` after a sort merges the N rows in a single task. Here every row
+gets its position inside its input partition (from
+``monotonically_increasing_id``, whose upper bits are the partition index);
+the row count of each partition — one row per partition — gives each
+partition's starting offset, and a row is kept when offset + position < N.
+The offsets table is broadcast: its size is bounded by the number of input
+partitions, not by the data. Rows stay where they were read.
+
+Use it directly on a source scan (the positions are recomputed by the two
+jobs; a file scan splits the same way both times).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def first_n_rows(df: DataFrame, n: int) -> DataFrame:
+    if n < 0:
+        raise ValueError("n must be >= 0")
+    pid = F.spark_partition_id()
+    tagged = df.select("*", pid.alias("_pid"),
+                       (F.monotonically_increasing_id()
+                        - F.shiftleft(pid.cast("long"), 33)).alias("_idx"))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .filter(F.col("_off") + F.col("_idx") < F.lit(n))
+            .drop("_pid", "_idx", "_off"))

@@ -13,10 +13,10 @@ columns; a filter on the ingest columns prunes folders whatever their depth.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from towerlens.functions.timeparts import ingest_parts
+from towerlens.operators.select import first_n_rows
 from towerlens.schema import BATCH_KEY, INGEST_COLS, RECORD_TS
 
 
@@ -105,14 +105,13 @@ def publish_records(encoded: DataFrame, fmt: str = "json", path: str | None = No
     """Publish (key, value) records: Kafka in production, files in tests.
 
     ``limit`` is the "first N records" choice of the replay tool: the first N
-    in source order (scan position), as a top-N — each task keeps at most N
-    rows, then the N smallest positions are merged — not an arbitrary N.
+    in source order (scan position), selected in place by
+    ``operators.select.first_n_rows`` (no single task holds the N rows).
     Pass ``encoded`` straight from the source scan so positions follow it.
     """
     out = encoded.select("key", "value")
     if limit is not None:
-        out = (encoded.select("key", "value", F.monotonically_increasing_id().alias("_pos"))
-               .orderBy("_pos").limit(limit).select("key", "value"))
+        out = first_n_rows(out, limit)
     w = out.write.format(fmt).options(**(options or {}))
     if fmt != "kafka":
         w = w.mode("append")
