@@ -76,3 +76,10 @@ def test_parse_keeps_passthrough_columns(spark):
     out = parse_records(df)
     assert out.columns[0] == "record_id"
     assert out.select(F.col("operator")).first()[0] == "x"
+
+
+def test_type_records_is_idempotent_on_renamed_hour(spark):
+    typed = type_records(_parse(spark, ['{"hour":"10:20:30","signal":"4"}']))
+    again = type_records(typed)
+    assert again.columns == typed.columns
+    assert again.first()[MEASURED_AT] == "10:20:30" and again.first().signal == 4

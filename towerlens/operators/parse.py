@@ -62,7 +62,8 @@ def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def type_records(wire: DataFrame) -> DataFrame:
     """All-text record → canonical types; payload ``hour`` → ``measured_at_text``."""
     src = {f: f for f in PAYLOAD_FIELDS}
-    src[MEASURED_AT] = "hour"
+    src[MEASURED_AT] = MEASURED_AT if ("hour" not in wire.columns
+                                       and MEASURED_AT in wire.columns) else "hour"
     out: list[Column] = []
     for name, typ in TYPED_FIELDS:
         s = src[name]
@@ -71,7 +72,7 @@ def type_records(wire: DataFrame) -> DataFrame:
                        else F.col(s).alias(name))
         else:
             out.append(F.lit(None).cast(typ).alias(name))
-    fields = set(PAYLOAD_FIELDS)
+    fields = set(PAYLOAD_FIELDS) | {MEASURED_AT}
     rest = [F.col(c) for c in wire.columns if c not in fields]
     return wire.select(*out, *rest)
 
