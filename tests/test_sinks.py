@@ -100,3 +100,24 @@ def test_first_n_rows_across_splits(spark):
             assert got == [f"op{i:05d}" for i in range(min(n, 20000))]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_compaction_keeps_rows_and_leaves_one_file_per_hour(spark, sf_small):
+    from towerlens.sinks.lake import compact_hours, read_compacted
+
+    out = new_run_dir(spark, "test_compact")
+    w = MicroBatchWriter(out, "t")
+    wire = wire_measurements(spark, sf_small)
+    w(wire.filter("day(record_ts) < 12"), 0)
+    w(wire.filter("day(record_ts) >= 12"), 1)
+    live_path, comp = w.paths()["average_by_operator"], f"{out}/average_by_operator_compacted"
+    until = "2024-01-20 00:00:00"
+    compact_hours(spark, live_path, comp, AVERAGE_BY_OPERATOR_SCHEMA, until)
+    compact_hours(spark, live_path, comp, AVERAGE_BY_OPERATOR_SCHEMA, until)  # rerun: harmless
+    live = read_lake_table(spark, live_path, AVERAGE_BY_OPERATOR_SCHEMA).drop("batch_key")
+    both = read_compacted(spark, live_path, comp, AVERAGE_BY_OPERATOR_SCHEMA, until)
+    cols = sorted(live.columns)
+    assert sorted(map(tuple, both.select(cols).collect())) == sorted(map(tuple, live.select(cols).collect()))
+    for root, _, files in os.walk(comp):
+        data = [f for f in files if f.endswith(".parquet")]
+        assert len(data) <= 1, root

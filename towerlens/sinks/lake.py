@@ -13,6 +13,7 @@ columns; a filter on the ingest columns prunes folders whatever their depth.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from towerlens.functions.timeparts import ingest_parts
@@ -116,3 +117,44 @@ def publish_records(encoded: DataFrame, fmt: str = "json", path: str | None = No
     if fmt != "kafka":
         w = w.mode("append")
     w.save(path) if path else w.save()
+
+
+def compact_hours(spark: SparkSession, table_path: str, compacted_path: str,
+                  schema: T.StructType, until_label: str, since_label: str | None = None) -> None:
+    """Rewrite the per-batch files of closed hours into one file per hour.
+
+    Hours with label in [since, until) are read from the live table (partition
+    filter) and written to ``compacted_path`` partitioned by the ingest
+    columns, replacing only those hour folders (dynamic overwrite), so a rerun
+    is harmless. Rows are kept as they are (per-batch rows; the mean-of-means
+    rollup needs them); only the file layout changes. The live table is never
+    modified: without an atomic swap, deleting there would let readers see
+    gaps or duplicates. Read both through ``read_compacted``.
+    """
+    from towerlens.functions.timeparts import hour_label
+    from towerlens.sources.files import read_lake_table
+
+    sel = read_lake_table(spark, table_path, schema).filter(hour_label() < F.lit(until_label))
+    if since_label:
+        sel = sel.filter(hour_label() >= F.lit(since_label))
+    (cluster_by_partition(sel.drop(BATCH_KEY))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*INGEST_COLS).parquet(compacted_path))
+
+
+def read_compacted(spark: SparkSession, table_path: str, compacted_path: str,
+                   schema: T.StructType, until_label: str) -> DataFrame:
+    """Hours before ``until_label`` from the compacted table, the rest live.
+
+    Same rows as the live table alone (without ``batch_key``); both sides are
+    pruned by partition filters.
+    """
+    from towerlens.functions.timeparts import hour_label
+    from towerlens.sources.files import read_lake_table
+
+    compact_schema = T.StructType([f for f in schema.fields if f.name != BATCH_KEY])
+    old = read_lake_table(spark, compacted_path, compact_schema).filter(
+        hour_label() < F.lit(until_label))
+    new = read_lake_table(spark, table_path, schema).filter(
+        hour_label() >= F.lit(until_label)).drop(BATCH_KEY)
+    return old.unionByName(new)
