@@ -13,7 +13,7 @@ import pytest
 
 import __spark_entry__ as E
 
-SLOW = {"scan_kpi_table", "batch_raw_sink", "batch_kpi_sink", "register_tables",
+SLOW = {"scan_kpi_table", "compacted_kpi_table", "batch_raw_sink", "batch_kpi_sink", "register_tables",
         "microbatch_kpis", "stream_restart", "stream_raw_sink", "late_data_drop"}
 KEYS = [k for k in E.queries() if os.environ.get("TOWERLENS_FULL") or k not in SLOW]
 

@@ -49,6 +49,7 @@ WINDOW = "1 hour"
 DELAY = "1 minute"
 LATE_WINDOW = "1 day"
 LATE_DELAY = "1 hour"
+COMPACT_UNTIL = "2024-01-20 00:00:00"
 
 DISTINCT_COLUMNS = ["network", "operator", "activity"]
 PROFILE_COLUMNS = ["network", "operator", "activity", "description"]
@@ -305,6 +306,17 @@ def q_register_tables(spark, sf_dir):
     return spark.table(f"{db}.status_by_postal_code").drop(BATCH_KEY)
 
 
+def q_compacted_kpi_table(spark, sf_dir):
+    """Closed hours compacted to one file per hour, read together with the live rest."""
+    from towerlens.sinks.lake import compact_hours, read_compacted
+
+    writer = _write_one_batch(spark, sf_dir, "compacted_kpi_table")
+    live = writer.paths()["average_by_operator"]
+    comp = f"{writer.out_dir}/average_by_operator_compacted"
+    compact_hours(spark, live, comp, AVERAGE_BY_OPERATOR_SCHEMA, COMPACT_UNTIL)
+    return rounded(read_compacted(spark, live, comp, AVERAGE_BY_OPERATOR_SCHEMA, COMPACT_UNTIL))
+
+
 def q_write_result(spark, sf_dir):
     avg, _ = _kpi_tables(spark, sf_dir)
     path = new_run_dir(spark, "write_result")
@@ -506,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_raw_sink": q_batch_raw_sink,
     "batch_kpi_sink": q_batch_kpi_sink,
     "register_tables": q_register_tables,
+    "compacted_kpi_table": q_compacted_kpi_table,
     "write_result": q_write_result,
     "replay_records": q_replay_records,
     "scan_csv_null_token": q_scan_csv_null_token,

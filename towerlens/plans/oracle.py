@@ -315,6 +315,7 @@ SELECT operator, {_r('avg_signal_strength')} AS avg_signal_strength,
     "batch_raw_sink": f"{W}\nSELECT *, {_INGEST} FROM wire",
     "batch_kpi_sink": f"{K}\n{_STATUS_ROWS}",
     "register_tables": f"{K}\n{_STATUS_ROWS}",
+    "compacted_kpi_table": f"{K}\n{_KPI_ROWS}",
     "write_result": f"""{KO}
 SELECT operator, {_r('avg_signal_strength')} AS avg_signal_strength,
        {_r('avg_precision')} AS avg_precision FROM op_metrics""",
