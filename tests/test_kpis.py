@@ -77,3 +77,23 @@ def test_property_status_sum_and_weighted_mean(spark, rows):
     for k in a:
         assert (a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9
     random.seed(0)
+
+
+def test_hot_operator_is_pre_aggregated_before_shuffle(spark):
+    # one operator holds well over a third of the rows
+    rows = [("hot", str(i % 90), "1.5") for i in range(900)] + \
+           [(f"op{i % 5}", str(i), "2.5") for i in range(400)]
+    df = spark.createDataFrame(rows, "operator string, signal string, precission string")
+    from towerlens.operators.mapping import apply_mapping
+    out = kpis.average_by_operator(apply_mapping(df))
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    # partial aggregation sits below the exchange: one row per task and key is shuffled
+    assert "partial_avg" in plan and "partial_count" in plan
+    got = {r.operator: r.n_signal for r in out.collect()}
+    assert got["hot"] == 900 and sum(got.values()) == 1300
+
+
+def test_notebook_join_is_planned_without_join(spark):
+    df = spark.createDataFrame([("a", "1", "2")], "operator string, signal string, precission string")
+    plan = kpis.operator_kpis(df)._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "HashAggregate" in plan
