@@ -44,10 +44,10 @@ def test_register_tables_sees_new_partitions(spark, sf_small):
     w(wire_measurements(spark, sf_small), 0)
     db = "tl_test_" + os.path.basename(out).split("-")[-1]
     tables = {"average_by_operator": (w.paths()["average_by_operator"], AVERAGE_BY_OPERATOR_SCHEMA)}
-    register_tables(spark, db, tables)
+    register_tables(spark, db, tables, database_location=f"{out}/_catalog")
     n1 = spark.table(f"{db}.average_by_operator").count()
     w(wire_measurements(spark, sf_small), 1)
-    register_tables(spark, db, tables)
+    register_tables(spark, db, tables, database_location=f"{out}/_catalog")
     assert spark.table(f"{db}.average_by_operator").count() == 2 * n1
     direct = read_lake_table(spark, w.paths()["average_by_operator"], AVERAGE_BY_OPERATOR_SCHEMA)
     assert direct.count() == 2 * n1
@@ -61,7 +61,8 @@ def test_batch_partitions_added_without_repair(spark, sf_small):
     w0(wire_measurements(spark, sf_small).limit(0), 0)  # nothing written, nothing registered
     w0(wire_measurements(spark, sf_small), 0)
     register_tables(spark, db, {"average_by_operator": (w0.paths()["average_by_operator"],
-                                                        AVERAGE_BY_OPERATOR_SCHEMA)})
+                                                        AVERAGE_BY_OPERATOR_SCHEMA)},
+                    database_location=f"{out}/_catalog")
     n0 = spark.table(f"{db}.average_by_operator").count()
     w = MicroBatchWriter(out, "t", catalog={"average_by_operator": f"{db}.average_by_operator"})
     w(wire_measurements(spark, sf_small), 1)

@@ -302,7 +302,7 @@ def q_register_tables(spark, sf_dir):
     register_tables(spark, db, {
         "average_by_operator": (p["average_by_operator"], AVERAGE_BY_OPERATOR_SCHEMA),
         "status_by_postal_code": (p["status_by_postal_code"], STATUS_BY_POSTAL_CODE_SCHEMA),
-    })
+    }, database_location=f"{writer.out_dir}/_catalog/{db}.db")
     return spark.table(f"{db}.status_by_postal_code").drop(BATCH_KEY)
 
 

@@ -55,15 +55,19 @@ def write_batch_table(df: DataFrame, path: str, batch_key: str,
 
 def register_tables(spark: SparkSession, database: str,
                     tables: dict[str, tuple[str, T.StructType]],
-                    partition_cols: list[str] | None = None) -> list[str]:
+                    partition_cols: list[str] | None = None,
+                    database_location: str | None = None) -> list[str]:
     """Create catalog tables over partition folders and discover partitions.
 
     ``tables`` maps name → (location, schema including partition columns).
     New partition folders become visible after ``MSCK REPAIR TABLE``; this
     is re-run on every call, so it also picks up hours written since.
+    ``database_location`` puts the database folder on shared storage when
+    the session's warehouse folder is not (the tables themselves are external).
     """
     parts = list(partition_cols or ([BATCH_KEY] + INGEST_COLS))
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    loc = f" LOCATION '{database_location}'" if database_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     names = []
     for name, (location, schema) in tables.items():
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
