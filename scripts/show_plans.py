@@ -31,6 +31,18 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     print("# Physical plans\n\nGenerated by `scripts/show_plans.py` on", sf, "(local[8], AQE on; "
           "plans shown before AQE re-optimisation).\n")
+    print("What to look for:\n\n"
+          "* `average_by_operator`: 4-column `ReadSchema`; partial `HashAggregate` below the only "
+          "key exchange (a hot operator costs one row per task in the shuffle). The round-robin "
+          "exchange appears only because the test file is one unsplittable row group.\n"
+          "* `kpi_operator_join`: the notebook join planned as one aggregate; the NULL-key filter "
+          "reaches the scan (`PushedFilters`).\n"
+          "* `distinct_profile`: one scan for all columns; distinct pre-aggregated per task.\n"
+          "* `summary_cards`: two results combined by a tagged union and one aggregate: no join, "
+          "no sort.\n"
+          "* lake-table rollup: the range rule as `PartitionFilters` (year/month bound first), "
+          "3-column `ReadSchema`.\n"
+          "* event-time KPIs: partial aggregate before the state-store shuffle; watermark filter.\n")
     for k in ["average_by_operator", "kpi_operator_join", "distinct_profile", "summary_cards"]:
         show(f"`{k}`", C.QUERIES[k](spark, sf))
     out = new_run_dir(spark, "plans")
