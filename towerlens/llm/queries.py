@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from towerlens.llm import op3_exact, op4_mixture, op7_urls
 from towerlens.llm.op1_substring import op1_substring_dedup
+from towerlens.llm.op9_bpe import op9_bpe
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_exact_dedup": op3_exact.op3_exact_dedup,
+    "op4_source_mixing": op4_mixture.op4_source_mixing,
+    "op7_url_rules": op7_urls.op7_url_rules,
+    "op9_bpe": op9_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": op3_exact.SQL,
+    "op4_source_mixing": op4_mixture.SQL,
+    "op7_url_rules": op7_urls.SQL,
+}
