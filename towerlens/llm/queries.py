@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from towerlens.llm import op3_exact, op4_mixture, op7_urls
 from towerlens.llm.op1_substring import op1_substring_dedup
+from towerlens.llm.op2_suffix import op2_suffix_dedup
+from towerlens.llm.op6_quality import op6_quality_rules
 from towerlens.llm.op9_bpe import op9_bpe
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact.op3_exact_dedup,
     "op4_source_mixing": op4_mixture.op4_source_mixing,
+    "op6_quality_rules": op6_quality_rules,
     "op7_url_rules": op7_urls.op7_url_rules,
     "op9_bpe": op9_bpe,
 }
