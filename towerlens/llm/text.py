@@ -92,8 +92,8 @@ def chunks(raw: np.ndarray, offs: np.ndarray, size: int = CHUNK) -> Iterator[tup
 class Words:
     """Word bounds of consecutive texts: ``start``/``end`` bytes, ``first`` word of each row."""
 
-    def __init__(self, raw: np.ndarray, offs: np.ndarray, lower: bool = False):
-        solid = ~SPACE[raw]
+    def __init__(self, raw: np.ndarray, offs: np.ndarray, lower: bool = False, gaps: np.ndarray = SPACE):
+        solid = ~gaps[raw]
         edge = np.zeros(len(raw) + 1, dtype=bool)
         edge[offs] = True
         before = np.empty_like(solid)
