@@ -128,21 +128,24 @@ def duplicate_lines(raw: np.ndarray, offs: np.ndarray, words: Words) -> np.ndarr
     return np.bincount(row[order[1:]][again], minlength=len(offs) - 1)
 
 
-def repeated_words(words: Words, rows: int) -> np.ndarray:
-    """Words inside windows that are found twice or more in their row."""
+def repeated_flags(words: Words) -> np.ndarray:
+    """Whether each word lies in a window that is found twice or more in its row."""
     starts = np.flatnonzero(words.room() >= REPEAT_WINDOW)
-    if not len(starts):
-        return np.zeros(rows, np.int64)
-    code = mix(Prefix(words.hashes()).windows(REPEAT_WINDOW)[starts] + mix(words.row[starts].astype(np.uint64)))
-    order = np.argsort(code)
-    same = code[order[1:]] == code[order[:-1]]
-    twice = np.zeros(len(starts), dtype=bool)
-    twice[order[1:]] |= same
-    twice[order[:-1]] |= same
     step = np.zeros(len(words.start) + 1, np.int64)
-    step[starts[twice]] += 1
-    np.subtract.at(step, starts[twice] + REPEAT_WINDOW, 1)
-    return np.bincount(words.row[np.cumsum(step)[:-1] > 0], minlength=rows)
+    if len(starts):
+        code = mix(Prefix(words.hashes()).windows(REPEAT_WINDOW)[starts] + mix(words.row[starts].astype(np.uint64)))
+        order = np.argsort(code)
+        same = code[order[1:]] == code[order[:-1]]
+        twice = np.zeros(len(starts), dtype=bool)
+        twice[order[1:]] |= same
+        twice[order[:-1]] |= same
+        step[starts[twice]] += 1
+        step[starts[twice] + REPEAT_WINDOW] -= 1
+    return np.cumsum(step)[:-1] > 0
+
+
+def repeated_words(words: Words, rows: int) -> np.ndarray:
+    return np.bincount(words.row[repeated_flags(words)], minlength=rows)
 
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

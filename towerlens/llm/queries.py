@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from towerlens.llm import op3_exact, op4_mixture, op7_urls
 from towerlens.llm.op1_substring import op1_substring_dedup
+from towerlens.llm.op10_mil import op10_quality_classifier
 from towerlens.llm.op2_suffix import op2_suffix_dedup
+from towerlens.llm.op5_license import op5_license_scan
 from towerlens.llm.op6_quality import op6_quality_rules
+from towerlens.llm.op8_jaccard import op8_jaccard_join
 from towerlens.llm.op9_bpe import op9_bpe
 
 QUERIES = {
@@ -13,9 +16,12 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_exact_dedup": op3_exact.op3_exact_dedup,
     "op4_source_mixing": op4_mixture.op4_source_mixing,
+    "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_rules": op7_urls.op7_url_rules,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {
