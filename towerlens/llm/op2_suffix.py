@@ -1,14 +1,14 @@
 """Suffix-array dedup: bytes of repeated 100-byte strings, later occurrences removed.
 
 Sorting every suffix would move a hundred times the corpus, so the suffix array
-is sparse: it holds the suffixes at seeds (of the 32-byte strings in each
-100-byte window the one of least hash, about 3 in 100 bytes). Equal windows have
+is sparse: it holds the suffixes at seeds (of the 48-byte strings in each
+100-byte window the one of least hash, about 4 in 100 bytes). Equal windows have
 equal seeds at equal places, so each match of 100 bytes meets at a seed suffix.
 
 1. Seeds are shuffled by hash; those met once are dropped.
 2. Suffixes at the others go, with the bytes before them that their windows
    reach, to buckets: splitters sampled over all of them range-partition them by
-   their 32 leading bytes. All suffixes of one leading string are in one bucket,
+   their 48 leading bytes. All suffixes of one leading string are in one bucket,
    so a match never crosses the boundary of two buckets; what a task reads at
    once is cut between leading strings only, and a group cut by the end of a
    batch is carried over that boundary.
@@ -41,7 +41,7 @@ from towerlens.llm.text import (BYTE_CODE, RADIX, Prefix, chunks, documents, joi
                                 powers, read_table, repeated, row_key, sliding_argmin, unpacked, utf8)
 
 WINDOW = 100
-SEED = 32
+SEED = 48
 #: Bytes of pieces that a bucket sorts at once; a group of one leading string is never cut.
 SORT_BYTES = 4 << 20
 
