@@ -1,12 +1,12 @@
 """Substring dedup by relative Lempel-Ziv parsing.
 
 The corpus is its own reference. Its index is dealt over the shuffle partitions
-(the reference blocks) by seed: of the 8-word sequences in each 35-word window
+(the reference blocks) by seed: of the 16-word sequences in each 35-word window
 the one of least hash. Equal windows have equal seeds at equal places, so a
 window that occurs in any block is found by looking up its own seed in the one
 block that can hold it; that answers for every block without a pass over each.
 
-1. Seeds (one for about 14 words) are shuffled; those met once are dropped.
+1. Seeds (one for about 10 words) are shuffled; those met once are dropped.
 2. Each document is factored: only windows whose seed is repeated can lie in a
    factor, and these are looked up by a 96-bit hash of all their words.
 3. Greedy parse: from each word on, the factor runs as long as every window of
@@ -39,7 +39,7 @@ from towerlens.llm.text import (Prefix, Words, chunks, documents, joined, known_
                                 read_table, repeated, row_key, sliding_argmin, unpacked, utf8)
 
 WINDOW = 35
-SEED = 8
+SEED = 16
 
 
 def window_seeds(words: Words, codes: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
