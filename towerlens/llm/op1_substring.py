@@ -6,18 +6,19 @@ the one of least hash. Equal windows have equal seeds at equal places, so a
 window that occurs in any block is found by looking up its own seed in the one
 block that can hold it; that answers for every block without a pass over each.
 
-1. Seeds (one for about 10 words) are shuffled; those met once are dropped.
-2. Each document is factored: only windows whose seed is repeated can lie in a
+1. Texts: each distinct text is kept once (compressed), with its number of rows.
+   All later steps read this one shuffle.
+2. Seeds (one for about 10 words) are shuffled; those met once are dropped.
+3. Each document is factored: only windows whose seed is repeated can lie in a
    factor, and these are looked up by a 96-bit hash of all their words.
-3. Greedy parse: from each word on, the factor runs as long as every window of
+4. Greedy parse: from each word on, the factor runs as long as every window of
    it is found elsewhere. Windows over the boundary of two factors are looked
    up like all others, so a match that begins in one and ends in the next is
    not lost. Factors of 35 words or more are duplicate spans.
 
-A seed or window that a batch meets twice is known to be repeated; its further
-rows take a key of their own, so a passage that a third of the corpus holds
-costs a reducer one row a batch. Texts cross one shuffle (compressed) that both
-uses share.
+A seed or window that a batch meets twice is known to be repeated, as is all of a
+text that two rows hold; further rows of a batch take a key of their own, so a
+passage that a third of the corpus holds costs a reducer one row a batch.
 
 Defined results: null and empty texts have no words; the sha256 is then that of
 the empty string. Every row is a document, so rows equal in doc_id and text
@@ -27,7 +28,6 @@ read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm.text import (Prefix, Words, chunks, documents, joined, known_locally, mix, packed,
-                                read_table, repeated, row_key, sliding_argmin, unpacked, utf8)
+from towerlens.llm.text import (Prefix, Words, chunks, distinct_texts, documents, held_places, joined, known_locally,
+                                mix, read_table, repeated, same_value, slices, sliding_argmin, text_keys, unpacked)
 
 WINDOW = 35
 SEED = 16
@@ -52,65 +52,54 @@ def window_seeds(words: Words, codes: np.ndarray, window: int, seed: int) -> tup
     return starts, place[starts], grams
 
 
-def seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """(anchor, known, row_key, pos): the seeds of all documents, pre-aggregated by batch."""
+def seeds(texts: DataFrame, window: int, seed: int) -> DataFrame:
+    """(anchor, known, h1, pos): the seeds of all texts, pre-aggregated by batch."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, offs = utf8(b.column("text"))
-            keys = b.column("row_key").to_numpy()
+        for b in slices(batches, 2000):
+            raw, offs = joined(unpacked(b.column("z").to_pylist()))
+            keys, copies = b.column("h1").to_numpy(), b.column("copies").to_numpy()
             anchors, rows, places = [], [], []
             for i, j in chunks(raw, offs):
                 words = Words(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
                 _, place, grams = window_seeds(words, words.hashes(), window, seed)
                 place = np.unique(place)
                 anchors.append(grams[place])
-                rows.append(keys[i + words.row[place]])
+                rows.append(i + words.row[place])
                 places.append(words.index[place])
-            if not anchors:
-                continue
             anchor, row, pos = map(np.concatenate, (anchors, rows, places))
-            key, known = known_locally(anchor, row.view(np.uint64) + mix(pos.astype(np.uint64)))
+            key, known = known_locally(anchor, keys[row].view(np.uint64) + mix(pos.astype(np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(known), pa.array(row), pa.array(pos.astype(np.int32))],
-                ["anchor", "known", "row_key", "pos"])
+                [pa.array(key.view(np.int64)), pa.array(known | (copies[row] > 1)), pa.array(keys[row]),
+                 pa.array(pos.astype(np.int32))], ["anchor", "known", "h1", "pos"])
 
-    rows = docs.select(row_key(), "text")
-    return rows.mapInArrow(find, "anchor long, known boolean, row_key long NOT NULL, pos int")
+    return texts.mapInArrow(
+        find, "anchor long, known boolean, h1 long NOT NULL, pos int")
 
 
 def windows(held: DataFrame, window: int, seed: int) -> DataFrame:
-    """(whash, check, known, row_key, doc_id, pos): windows whose seed is one of ``places``."""
+    """(whash, check, known, h1, h2, pos): windows whose seed is one of ``places``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = unpacked(b.column("z").to_pylist())
-            all_keys, all_ids, all_places = b.column("row_key").to_numpy(), b.column("doc_id"), b.column("places")
-            raw, offs = joined(texts)
+        for b in slices(batches, 2000):
+            raw, offs = joined(unpacked(b.column("z").to_pylist()))
+            h1, h2, copies = (b.column(c).to_numpy() for c in ("h1", "h2", "copies"))
             for i, j in chunks(raw, offs):
                 words = Words(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
                 codes = words.hashes()
                 starts, place, _ = window_seeds(words, codes, window, seed)
-                wanted = np.zeros(len(codes), dtype=bool)
-                part = all_places.slice(i, j - i)
-                wanted[np.repeat(words.first[:-1], part.value_lengths().to_numpy()) + part.flatten().to_numpy()] = True
-                starts = starts[wanted[place]]
+                starts = starts[held_places(b.column("places").slice(i, j - i), words.first, len(codes))[place]]
                 hashes = Prefix(codes).windows(window)[starts]
                 check = Prefix(mix(codes + np.uint64(1))).windows(window)[starts] >> np.uint64(33)
-                row, pos = words.row[starts], words.index[starts]
-                key, known = known_locally(hashes, all_keys[i + row].view(np.uint64) + mix(pos.astype(np.uint64)))
+                row, pos = i + words.row[starts], words.index[starts]
+                key, known = known_locally(hashes, h1[row].view(np.uint64) + mix(pos.astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(check.astype(np.int32)), pa.array(known),
-                     pa.array(all_keys[i + row]), all_ids.take(pa.array(i + row)), pa.array(pos.astype(np.int32))],
-                    ["whash", "check", "known", "row_key", "doc_id", "pos"])
+                    [pa.array(key.view(np.int64)), pa.array(check.astype(np.int32)), pa.array(known | (copies[row] > 1)),
+                     pa.array(h1[row]), pa.array(h2[row]), pa.array(pos.astype(np.int32))],
+                    ["whash", "check", "known", "h1", "h2", "pos"])
 
-    return held.select("row_key", "doc_id", "z", "places").mapInArrow(
-        find, "whash long, check int, known boolean, row_key long NOT NULL, doc_id long, pos int")
-
-
-def by_row(marks: DataFrame, name: str, *keys: str) -> DataFrame:
-    """The places of each document, each once."""
-    return marks.groupBy(*keys).agg(F.collect_set("pos").alias(name))
+    return held.mapInArrow(
+        find, "whash long, check int, known boolean, h1 long NOT NULL, h2 long, pos int")
 
 
 def duplicate_spans(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -129,16 +118,15 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     by one space.
     """
     docs = documents(docs)
-    anchors = by_row(repeated(seeds(docs, window, seed), "anchor"), "places", "row_key")
-    texts = packed(docs)
-    found = repeated(windows(texts.join(anchors, "row_key"), window, seed), "whash", "check")
-    marks = by_row(found, "starts", "row_key", "doc_id").withColumnsRenamed({"row_key": "k", "doc_id": "d"})
-    # only row_key is a join key, so that both joins share the shuffle of the texts
-    same_doc = F.coalesce(F.col("doc_id") == F.col("d"), F.col("doc_id").isNull() & F.col("d").isNull())
-    cut_from = texts.join(marks, (F.col("row_key") == F.col("k")) & same_doc, "left")
+    texts = distinct_texts(docs)
+    anchors = repeated(seeds(texts, window, seed), "anchor").groupBy("h1").agg(F.collect_set("pos").alias("places"))
+    found = repeated(windows(texts.join(anchors, "h1"), window, seed), "whash", "check")
+    marks = found.groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2")).agg(F.collect_set("pos").alias("starts"))
+    # only h1 is a join key and no column is left out, so that all steps share the shuffle of the texts
+    cut_from = texts.join(marks, (F.col("h1") == F.col("k1")) & same_value("h2", "k2"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for text, starts in zip(unpacked(b.column("z").to_pylist()), b.column("starts")):
                 words = text.split()
@@ -150,14 +138,16 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
                 kept += words[at:]
                 rows.append((len(words), len(words) - len(kept), [{"begin": x, "end": y} for x, y in spans],
                              b" ".join(kept).decode()))
-            cols = list(zip(*rows)) if rows else [[]] * 4
+            cols = list(zip(*rows))
             span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), span, pa.string())))],
-                ["doc_id", "n_words", "n_removed", "spans", "kept"])
+                [b.column("h1"), b.column("h2"),
+                 *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), span, pa.string())))],
+                ["h1", "h2", "n_words", "n_removed", "spans", "kept"])
 
-    return cut_from.select("doc_id", "z", "starts").mapInArrow(
-        cut, "doc_id long, n_words long, n_removed long, spans array<struct<begin: long, end: long>>, kept string")
+    done = cut_from.mapInArrow(
+        cut, "h1 long, h2 long, n_words long, n_removed long, spans array<struct<begin: long, end: long>>, kept string")
+    return text_keys(docs).drop("size").join(done, ["h1", "h2"]).drop("h1", "h2")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

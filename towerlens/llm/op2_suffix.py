@@ -1,26 +1,28 @@
 """Suffix-array dedup: bytes of repeated 100-byte strings, later occurrences removed.
 
 Sorting every suffix would move a hundred times the corpus, so the suffix array
-is sparse: it holds the suffixes at seeds (of the 48-byte strings in each
-100-byte window the one of least hash, about 4 in 100 bytes). Equal windows have
+is sparse: it holds the suffixes at seeds (of the 24-byte strings in each
+100-byte window the one of least hash, about 3 in 100 bytes). Equal windows have
 equal seeds at equal places, so each match of 100 bytes meets at a seed suffix.
 
-1. Seeds are shuffled by hash; those met once are dropped.
-2. Suffixes at the others go, with the bytes before them that their windows
+1. Texts: each distinct text is kept once (compressed), for its least doc_id. A
+   copy of it is an earlier text throughout: all of a copy's windows go.
+2. Seeds are shuffled by hash; those met once are dropped.
+3. Suffixes at the others go, with the bytes before them that their windows
    reach, to buckets: splitters sampled over all of them range-partition them by
-   their 48 leading bytes. All suffixes of one leading string are in one bucket,
+   their 24 leading bytes. All suffixes of one leading string are in one bucket,
    so a match never crosses the boundary of two buckets; what a task reads at
    once is cut between leading strings only, and a group cut by the end of a
    batch is carried over that boundary.
-3. A bucket sorts its suffixes by multikey quicksort, eight bytes a digit, and
+4. A bucket sorts its suffixes by multikey quicksort, eight bytes a digit, and
    takes the common prefix of neighbours. A window that begins l bytes before
    its seed is equal to another one where the l bytes before agree (64-bit hash)
    and the suffixes share 100 - l bytes (an interval of the suffix array).
    All but the earliest of equal windows are removed.
 
-Copies inside one batch are folded before the shuffle, so a passage that a third
-of the corpus holds costs a bucket a row for each batch and context. Texts cross
-one shuffle (compressed), shared by both uses.
+Copies of a text are folded before the shuffle, as are equal pieces inside a
+batch, so a passage that a third of the corpus holds costs a bucket a row for
+each batch and context. All steps read the one shuffle of the texts.
 
 Defined results: null counts as the empty text. Repeated rows (doc_id and text)
 are one document, neither is earlier; rows equal in doc_id alone are ordered by
@@ -37,11 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm.text import (BYTE_CODE, RADIX, Prefix, chunks, documents, joined, known_locally, mix, packed,
-                                powers, read_table, repeated, row_key, sliding_argmin, unpacked, utf8)
+from towerlens.llm.text import (BYTE_CODE, NO_DOC_ID, RADIX, Prefix, chunks, distinct_texts, documents, held_places,
+                                joined, known_locally, mix, powers, read_table, repeated, same_value, slices,
+                                sliding_argmin, text_keys, unpacked, utf8)
 
 WINDOW = 100
-SEED = 48
+SEED = 24
 #: Bytes of pieces that a bucket sorts at once; a group of one leading string is never cut.
 SORT_BYTES = 4 << 20
 
@@ -59,13 +62,13 @@ def byte_seeds(raw: np.ndarray, offs: np.ndarray, window: int, seed: int) -> tup
     return starts, place[starts].astype(np.int64), row, grams
 
 
-def seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """(anchor, known, row_key, pos): the seeds of all documents, pre-aggregated by batch."""
+def seeds(texts: DataFrame, window: int, seed: int) -> DataFrame:
+    """(anchor, known, h1, pos): the seeds of all texts, pre-aggregated by batch."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, offs = utf8(b.column("text"))
-            keys = b.column("row_key").to_numpy()
+        for b in slices(batches, 2000):
+            raw, offs = joined(unpacked(b.column("z").to_pylist()))
+            keys = b.column("h1").to_numpy()
             for i, j in chunks(raw, offs):
                 own = offs[i: j + 1] - offs[i]
                 _, place, row, grams = byte_seeds(raw[offs[i]: offs[j]], own, window, seed)
@@ -76,13 +79,12 @@ def seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
                 key, known = known_locally(grams[place], keys[i + row].view(np.uint64) + mix(pos.astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(known), pa.array(keys[i + row]),
-                     pa.array(pos.astype(np.int32))], ["anchor", "known", "row_key", "pos"])
+                     pa.array(pos.astype(np.int32))], ["anchor", "known", "h1", "pos"])
 
-    rows = docs.select(row_key(), "text")
-    return rows.mapInArrow(find, "anchor long, known boolean, row_key long NOT NULL, pos int")
+    return texts.mapInArrow(find, "anchor long, known boolean, h1 long NOT NULL, pos int")
 
 
-PIECE = pa.schema([("lead", pa.binary()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("first", pa.int64()),
+PIECE = pa.schema([("lead", pa.binary()), ("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("first", pa.int32()),
                    ("left", pa.int32()), ("n", pa.int32()), ("piece", pa.binary())])
 
 
@@ -95,16 +97,13 @@ def pieces(held: DataFrame, window: int, seed: int) -> DataFrame:
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            all_keys, all_places = b.column("row_key").to_numpy(), b.column("places")
-            all_ids = b.column("doc_id").fill_null(-(1 << 63)).to_numpy()
+        for b in slices(batches, 2000):
+            all_ids, all_h1, all_h2 = (b.column(c).to_numpy() for c in ("doc_id", "h1", "h2"))
             texts, offs_all = joined(unpacked(b.column("z").to_pylist()))
             for i, j in chunks(texts, offs_all):
                 raw, offs = texts[offs_all[i]: offs_all[j]], offs_all[i: j + 1] - offs_all[i]
                 starts, place, row, _ = byte_seeds(raw, offs, window, seed)
-                part = all_places.slice(i, j - i)
-                wanted = np.zeros(len(raw) + 1, dtype=bool)
-                wanted[np.repeat(offs[:-1], part.value_lengths().to_numpy()) + part.flatten().to_numpy()] = True
+                wanted = held_places(b.column("places").slice(i, j - i), offs, len(raw))
                 begins = np.ones(len(place), dtype=bool)
                 begins[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
                 at = np.flatnonzero(begins)
@@ -117,33 +116,23 @@ def pieces(held: DataFrame, window: int, seed: int) -> DataFrame:
                 end = begin + count - 1 + window
                 prefix = Prefix(BYTE_CODE[raw])
                 same = prefix.slices(begin, end) + mix((seat - begin).astype(np.uint64) * RADIX + (end - begin).astype(np.uint64))
-                doc, key, pos = all_ids[i + row], all_keys[i + row], begin - offs[row]
-                order = np.lexsort((pos, key, doc, same))
+                doc, h1, h2, pos = all_ids[i + row], all_h1[i + row], all_h2[i + row], begin - offs[row]
+                order = np.lexsort((pos, h1, doc, same))
                 later = np.zeros(len(order), dtype=bool)
-                o = order
-                alike = same[o[1:]] == same[o[:-1]]
-                twin = alike & (doc[o[1:]] == doc[o[:-1]]) & (key[o[1:]] == key[o[:-1]]) & (pos[o[1:]] == pos[o[:-1]])
-                # an occurrence read twice (repeated rows) is as early as its twin
-                run = np.cumsum(np.concatenate(([True], ~alike)))
-                strict = np.concatenate(([False], alike & ~twin))
-                passed = np.cumsum(strict)
-                base = np.full(run[-1] + 1, -1)
-                heads = np.flatnonzero(np.concatenate(([True], ~alike)))
-                base[run[heads]] = passed[heads]
-                later[o] = passed > base[run]
+                later[order[1:]] = same[order[1:]] == same[order[:-1]]
                 leads, blobs = [], []
                 data = raw.tobytes()
-                spread = mix(key.view(np.uint64) + mix(pos.astype(np.uint64)))
+                spread = mix(h1.view(np.uint64) + mix(pos.astype(np.uint64)))
                 for x, y, z, gone, s in zip(begin.tolist(), end.tolist(), seat.tolist(), later.tolist(), spread.tolist()):
                     leads.append(s.to_bytes(8, "big") if gone else data[z: z + seed])
                     blobs.append(None if gone else data[x:y])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(leads, pa.binary()), pa.array(doc), pa.array(key), pa.array(pos),
+                    [pa.array(leads, pa.binary()), pa.array(doc), pa.array(h1), pa.array(h2), pa.array(pos.astype(np.int32)),
                      pa.array((seat - begin).astype(np.int32)), pa.array(count.astype(np.int32)),
                      pa.array(blobs, pa.binary())], schema=PIECE)
 
-    return held.select("row_key", "doc_id", "z", "places").mapInArrow(
-        find, "lead binary, doc_id long, row_key long, first long, left int, n int, piece binary")
+    return held.mapInArrow(
+        find, "lead binary, doc_id long, h1 long, h2 long, first int, left int, n int, piece binary")
 
 
 def multikey_order(digits: np.ndarray) -> np.ndarray:
@@ -174,9 +163,10 @@ def padded(data: np.ndarray, begin: np.ndarray, length: np.ndarray, width: int,
 
 
 def later_windows(rows: pa.RecordBatch, window: int) -> list[tuple]:
-    """(row_key, doc_id, begin, end) of the windows that an earlier equal one precedes."""
+    """(h1, h2, begin, end) of the windows that an earlier equal one precedes."""
     data, offs = utf8(rows.column("piece"))
-    doc, key, first, left, n = (rows.column(c).to_numpy() for c in ("doc_id", "row_key", "first", "left", "n"))
+    doc, h1, h2, first, left, n = (rows.column(c).to_numpy().astype(np.int64)
+                                   for c in ("doc_id", "h1", "h2", "first", "left", "n"))
     reach = int(left.max()) + 1
     seat = offs[:-1] + left
     right = offs[1:] - seat
@@ -189,13 +179,10 @@ def later_windows(rows: pa.RecordBatch, window: int) -> list[tuple]:
     before = padded(data, seat - 1, left, max(reach - 1, 1), -1)
     codes = BYTE_CODE[before] * powers(RADIX, before.shape[1])
     sums = np.concatenate((np.zeros((len(seat), 1), np.uint64), np.cumsum(codes, axis=1, dtype=np.uint64)), axis=1)
-    # occurrences in the order in which the earliest of equal windows stays; twins share a rank
+    # occurrences in the order in which the earliest of equal windows stays
     seats = first + left
-    by_place = np.lexsort((seats, key, doc))
-    step = np.concatenate(([0], (np.diff(doc[by_place]) != 0) | (np.diff(key[by_place]) != 0)
-                           | (np.diff(seats[by_place]) != 0)))
     rank = np.empty(len(seat), dtype=np.int64)
-    rank[by_place] = np.cumsum(step)
+    rank[np.lexsort((seats, h2, h1, doc))] = np.arange(len(seat))
     gone = np.zeros((len(seat), reach + 1), dtype=bool)  # by distance from the seed
     low = left - n + 1
     for l in range(reach):
@@ -213,12 +200,12 @@ def later_windows(rows: pa.RecordBatch, window: int) -> list[tuple]:
     edge = np.diff(np.concatenate((np.zeros((len(seat), 1), np.int8), gone.astype(np.int8)), axis=1), axis=1)
     who, nearest = np.nonzero(edge == 1)
     _, past = np.nonzero(edge == -1)
-    return [key[who], doc[who], seats[who] - (past - 1), seats[who] - nearest + window]
+    return [h1[who], h2[who], seats[who] - (past - 1), seats[who] - nearest + window]
 
 
 def sort_buckets(dealt: DataFrame, window: int) -> DataFrame:
-    """(row_key, doc_id, begin, end): spans of later occurrences, from pieces in order of ``lead``."""
-    names = ["row_key", "doc_id", "begin", "end"]
+    """(h1, h2, begin, end): spans of later occurrences, from pieces in order of ``lead``."""
+    names = ["h1", "h2", "begin", "end"]
 
     def spans(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = rows.combine_chunks().to_batches()[0]
@@ -227,11 +214,12 @@ def sort_buckets(dealt: DataFrame, window: int) -> DataFrame:
         if len(folded):
             begin = folded.column("first").to_numpy()
             end = begin + folded.column("n").to_numpy() - 1 + window
-            yield pa.RecordBatch.from_arrays([folded.column("row_key"), folded.column("doc_id"),
-                                              pa.array(begin), pa.array(end)], names)
+            yield pa.RecordBatch.from_arrays([folded.column("h1"), folded.column("h2"),
+                                              pa.array(begin, pa.int32()), pa.array(end, pa.int32())], names)
         rest = rows.filter(pa.array(~blank))
         if len(rest):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in later_windows(rest, window)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                later_windows(rest, window), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -259,7 +247,7 @@ def sort_buckets(dealt: DataFrame, window: int) -> DataFrame:
         if held:
             yield from spans(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "row_key long NOT NULL, doc_id long, begin long, end long")
+    return dealt.mapInArrow(run, "h1 long NOT NULL, h2 long, begin int, end int")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -276,34 +264,42 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def suffix_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept): bytes left of each document, and the byte spans removed."""
     docs = documents(docs)
-    places = repeated(seeds(docs, window, seed), "anchor").groupBy("row_key").agg(F.collect_set("pos").alias("places"))
-    texts = packed(docs)
-    found = pieces(texts.join(places, "row_key"), window, seed)
+    texts = distinct_texts(docs)
+    places = repeated(seeds(texts, window, seed), "anchor").groupBy("h1").agg(F.collect_set("pos").alias("places"))
+    found = pieces(texts.join(places, "h1"), window, seed)
     marks = sort_buckets(found.repartitionByRange("lead").sortWithinPartitions("lead"), window)
-    marks = marks.groupBy(F.col("row_key").alias("k"), F.col("doc_id").alias("d")).agg(
+    marks = marks.groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2")).agg(
         F.collect_list(F.struct("begin", "end")).alias("marks"))
-    # only row_key is a join key, so that both joins share the shuffle of the texts
-    same_doc = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))) == F.col("d")
-    cut_from = texts.join(marks, (F.col("row_key") == F.col("k")) & F.coalesce(same_doc, F.lit(False)), "left")
+    # only h1 is a join key and no column is left out, so that all steps share the shuffle of the texts
+    cut_from = texts.join(marks, (F.col("h1") == F.col("k1")) & same_value("h2", "k2"), "left")
+    span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
-            sizes, gone, spans, kept = [], [], [], []
+        for b in slices(batches):
+            gone, spans, kept = [], [], []
             for text, marks in zip(unpacked(b.column("z").to_pylist()), b.column("marks").to_pylist()):
                 runs = merged([(m["begin"], m["end"]) for m in marks or []])
                 ends = [0, *(e for _, e in runs)]
                 left = b"".join(text[x:y] for x, y in zip(ends, [*(r[0] for r in runs), len(text)]))
-                sizes.append(len(text))
                 gone.append(len(text) - len(left))
                 spans.append([{"begin": x, "end": y} for x, y in runs])
                 kept.append(left)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, span),
-                 pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
-
-    return cut_from.select("doc_id", "z", "marks").mapInArrow(
-        cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary")
+                [*(b.column(c) for c in ("h1", "h2", "doc_id")), pa.array(gone, pa.int64()), pa.array(spans, span),
+                 pa.array(kept, pa.binary())], ["h1", "h2", "first_id", "gone", "runs", "left"])
+
+    spans = "array<struct<begin: long, end: long>>"
+    first = cut_from.mapInArrow(
+        cut, f"h1 long, h2 long, first_id long, gone long, runs {spans}, left binary")
+    rows = text_keys(docs).join(first, ["h1", "h2"])
+    own = F.coalesce("doc_id", F.lit(NO_DOC_ID)) == F.col("first_id")
+    # a copy's windows all occur earlier; a text shorter than a window has none
+    copied = ~own & (F.col("size") >= window)
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("size").alias("end")))
+    return rows.select(
+        "doc_id", F.col("size").alias("n_bytes"), F.when(copied, F.col("size")).otherwise(F.col("gone")).alias("n_removed"),
+        F.when(copied, whole).otherwise(F.col("runs")).alias("spans"),
+        F.when(copied, F.lit(b"")).otherwise(F.col("left")).alias("kept"))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

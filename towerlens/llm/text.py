@@ -8,6 +8,7 @@ by fixed numbers, so reruns and recomputed tasks agree.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -137,19 +138,61 @@ def sliding_argmin(value: np.ndarray, size: int) -> np.ndarray:
     return place[:n]
 
 
-def packed(docs: DataFrame, *extra: str) -> DataFrame:
-    """``doc_id``, ``row_key`` and the text as a zstd blob ``z``: what the joins by document move."""
-    names = ["doc_id", *extra]
-    rows = docs.select(*names, row_key(), F.col("text"))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for code that holds a batch's texts as Python objects."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
+def _text_keys(texts: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """128 bits of each text's BLAKE2b as two integers."""
+    both = np.frombuffer(b"".join(blake2b(t, digest_size=16).digest() for t in texts), dtype="<i8").reshape(-1, 2)
+    return pa.array(both[:, 0].astype(np.int64)), pa.array(both[:, 1].astype(np.int64))
+
+
+#: Takes the place of a null doc_id: less than any other.
+NO_DOC_ID = -(1 << 63)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for b in batches:
-            blobs = pa.array([squeeze((t or "").encode()) for t in b.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], blobs], [*b.schema.names[:-1], "z"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(pack, f"{fields.replace('row_key bigint', 'row_key bigint NOT NULL')}, z binary")
+def text_keys(docs: DataFrame) -> DataFrame:
+    """(doc_id, h1, h2, size): key and bytes of every row's text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            texts = [(t or "").encode() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), *_text_keys(texts), pa.array([len(t) for t in texts], pa.int64())],
+                ["doc_id", "h1", "h2", "size"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, h1 long NOT NULL, h2 long NOT NULL, size long")
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(h1, h2, doc_id, copies, z): each text once, as a zstd blob, with its least doc_id.
+
+    Copies in a part of a batch are folded before the shuffle. It is by ``h1``
+    alone, so that joins on ``h1`` read the same shuffle again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for b in slices(batches):
+            found: dict[str, list] = {}
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                doc_id = NO_DOC_ID if doc_id is None else doc_id
+                row = found.setdefault(text or "", [doc_id, 0])
+                row[0], row[1] = min(row[0], doc_id), row[1] + 1
+            texts = [t.encode() for t in found]
+            ids, copies = ([r[i] for r in found.values()] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [*_text_keys(texts), pa.array(ids, pa.int64()), pa.array(copies, pa.int64()),
+                 pa.array([squeeze(t) for t in texts], pa.binary())], ["h1", "h2", "doc_id", "copies", "z"])
+
+    folded = docs.select("doc_id", "text").mapInArrow(
+        run, "h1 long NOT NULL, h2 long NOT NULL, doc_id long NOT NULL, copies long NOT NULL, z binary")
+    return folded.repartition("h1").groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("doc_id"), F.sum("copies").alias("copies"), F.first("z").alias("z"))
 
 
 def unpacked(blobs: list[bytes]) -> list[bytes]:
@@ -164,9 +207,17 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), dtype=np.uint8), offs
 
 
-def row_key() -> Column:
-    """64-bit key of a row by doc_id and text: repeated rows share it, other rows do not."""
-    return F.xxhash64(F.col("doc_id"), F.lit(1), F.coalesce("text", F.lit(""))).alias("row_key")
+def same_value(a: str, b: str) -> Column:
+    """a = b in a form that Spark does not take for a join key."""
+    return ~(F.col(a) < F.col(b)) & ~(F.col(a) > F.col(b))
+
+
+def held_places(lists: pa.Array, first: np.ndarray, n: int) -> np.ndarray:
+    """Flags of ``n`` elements at the places that each row lists, counted from its ``first``."""
+    out = np.zeros(n + 1, dtype=bool)
+    at = np.repeat(first[:-1], lists.value_lengths().fill_null(0).to_numpy()) + lists.flatten().to_numpy()
+    out[at[at < n]] = True
+    return out
 
 
 def documents(docs: DataFrame) -> DataFrame:
@@ -200,15 +251,5 @@ def repeated(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.withColumn("_n", n).where("known OR _n > 1").drop("_n")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
