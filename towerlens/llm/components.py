@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.llm.text import shared_folder
+from towerlens.session import shared_dir
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     task) and is written to the shared checkpoint folder. Only a count and a
     checksum of the edges reach the driver.
     """
-    shared_folder(links.sparkSession)
+    shared_dir(links.sparkSession)
     edges = links.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where("u <> v").distinct().checkpoint()
     seen = None
     while True:

@@ -26,7 +26,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm.text import documents, read_table, shared_folder
+from towerlens.llm.text import documents, read_table
+from towerlens.session import shared_dir
 
 #: Entries a bucket holds before it splits.
 CAPACITY = 100_000
@@ -74,7 +75,7 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -
     is held only where a chain needs the bytes.
     """
     spark = docs.sparkSession
-    folder = f"{shared_folder(spark)}/exact-index-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/exact-index-{uuid.uuid4().hex}"
     entries = (_keyed(docs).groupBy(*KEYS, "text")
                .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
     alike = F.count(F.lit(1))

@@ -10,13 +10,16 @@ meets in one of them. The order puts shingles that are frequent in a bounded
 sample of documents last, so a passage that many documents share is seldom in a
 prefix; the order decides the work, never the result.
 
-Documents with equal sets are one set (64-bit signature). A list is first scanned
-once: its first set of each size class is paired with the others, these pairs
-are verified on whole sets, and links are grouped into components. A group of
-near copies is then one component, and only pairs between components are left
-to try; size and position bounds drop those that cannot link. So copies are
-never expanded into all pairs, and no link between different sets is lost that
-could join two components.
+Documents with equal sets are one set (64-bit signature). Sets that meet in a list
+become candidates if sizes and prefix positions allow a link and their MinHash
+sketches (64 values) agree in ``SKETCH_LEAST`` places; a pair that links has each
+place equal with probability 0.75 or more, and fails that with less than 2e-13,
+the order of a hash collision. A list gives out no more candidates than connect
+its sets. Components of candidates are groups; inside a group every set is
+compared exactly with all that it is not yet linked to, by scanning the group's
+inverted lists, so a group of near copies gives out one link for each set and not
+all pairs. A group of more than ``BLOCK`` sets is cut into blocks by hash, and each
+pair of blocks is one task's work, so no task holds more than two blocks.
 
 Defined results: null texts, empty texts and texts without words have an empty
 set, link with nothing and are their own component. Repeated rows have equal
@@ -33,17 +36,20 @@ from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from towerlens.llm.components import components
-from towerlens.llm.text import (Prefix, Words, chunks, documents, joined, mix, read_table, shared_folder, unpacked,
-                                utf8)
-from towerlens.llm.text import packed as packed_texts
+from towerlens.llm.text import Prefix, Words, chunks, documents, joined, mix, read_table, slices, unpacked, utf8
 
 SHINGLE = 5
 #: Documents sampled for the order of shingles, and shingles that the order puts last.
 ORDER_DOCS, ORDER_SHINGLES, ORDER_LEAST = 20_000, 1 << 17, 4
+#: MinHash values of a sketch, and how many must agree for a candidate.
+SKETCH, SKETCH_LEAST = 64, 18
+#: Sets of a group that one block holds.
+BLOCK = 2048
 
 
 def need(n, m):
@@ -193,10 +199,10 @@ def postings(docs: DataFrame, last: np.ndarray) -> DataFrame:
 
 
 def scan_lists(posted: DataFrame) -> DataFrame:
-    """Entries of lists that hold two sets or more, with the ``lead`` of their size class.
+    """Entries of lists that hold two sets or more; in those of subsets with the ``lead`` of the list.
 
-    (token, role, n, pos, sig, lead): lists are read in order of role and size; only the lead
-    of the class at hand is carried from batch to batch, so a list may have any length.
+    (token, role, n, pos, sig, lead): lists are read in order of role and size; only the last
+    entry and the lead at hand are carried from batch to batch, so a list may have any length.
     """
     names = ["token", "role", "n", "pos", "sig"]
 
@@ -209,16 +215,15 @@ def scan_lists(posted: DataFrame) -> DataFrame:
             if carried is not None:
                 cols = [np.concatenate(([old], new)).astype(new.dtype) for old, new in zip(carried[0], cols)]
             token, role, n, _, sig = cols
-            kind = np.where(role == 0, (np.log(n) / np.log(4 / 3) + 1e-9).astype(np.int64), -1)
             edge = np.ones(len(token), dtype=bool)
-            edge[1:] = (token[1:] != token[:-1]) | (kind[1:] != kind[:-1])
+            edge[1:] = token[1:] != token[:-1]
             lead_at = np.maximum.accumulate(np.where(edge, np.arange(len(token)), 0))
             lead, lead_role = sig[lead_at], role[lead_at]
             if carried is not None:
                 first = lead_at == 0
                 lead[first], lead_role[first] = carried[1], carried[2]
-            # a light list whose first entry is not of the smaller size links nothing
-            lead = np.where((role != 0) & (lead_role != 1), sig, lead)
+            # a list whose first entry is not a subset of the smaller size links nothing
+            lead = np.where(lead_role != 1, sig, lead)
             again = np.zeros(len(token), dtype=bool)
             again[1:] = (token[1:] == token[:-1]) & (sig[1:] == sig[:-1])  # the same set from two batches
             near = np.zeros(len(token), dtype=bool)
@@ -241,119 +246,220 @@ def scan_lists(posted: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "token long, role byte, n int, pos int, sig long, lead long")
 
 
-def cross_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b): pairs of a list's sets in different components that may link by size and position.
+def sketches(docs: DataFrame) -> DataFrame:
+    """(sig, sketch): a byte of each of ``SKETCH`` MinHash values of every set above the light ones."""
+    rng = np.random.default_rng(8)
+    factor = rng.integers(0, 1 << 31, SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    add = rng.integers(0, 1 << 32, SKETCH, dtype=np.uint32)
+    light = boundary()
 
-    ``lists``: token, n, pos, sig, lead, label. A list is held by one task; its pairs are tried
-    in blocks and only those that pass are given out.
-    """
-
-    def tried(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        token, n, pos, sig, lead, label = cols
-        edge = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
-        size = np.diff(edge)
-        span = np.repeat(edge[1:], size)  # end of the list of each entry
-        # entries are ordered by size: partners of i are the next ones up to 4/3 of its size
-        for step in range(1, int(size.max())):
-            i = np.flatnonzero(np.arange(len(token)) + step < span)
-            i = i[3 * n[i + step] <= 4 * n[i]]
-            if not len(i):
-                break
-            j = i + step
-            ok = (label[i] != label[j]) & (lead[j] != sig[i])
-            c = need(n[i], n[j])
-            ok &= 1 + np.minimum(n[i] - 1 - pos[i], n[j] - 1 - pos[j]) >= c
-            yield sig[i[ok]], sig[j[ok]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw, offs = utf8(b.column("text"))
+            for i, j in chunks(raw, offs):
+                row, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
+                size, sig = signatures(row, code, j - i)
+                heavy = np.flatnonzero(size > light)
+                if not len(heavy):
+                    continue
+                code = (code[(size > light)[row]] >> np.uint64(20)).astype(np.uint32)
+                first = np.cumsum(size[heavy]) - size[heavy]
+                out = np.empty((len(heavy), SKETCH), dtype=np.uint8)
+                for k in range(SKETCH):
+                    least = np.minimum.reduceat(code * factor[k] + add[k], first)
+                    out[:, k] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sig[heavy]), pa.array([r.tobytes() for r in out], pa.binary())], ["sig", "sketch"])
+
+    return docs.select("text").mapInArrow(run, "sig long, sketch binary").groupBy("sig").agg(
+        F.first("sketch").alias("sketch"))
+
+
+class Forest:
+    """Which of some nodes are connected."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def roots(self) -> np.ndarray:
+        while True:
+            up = self.parent[self.parent]
+            if (up == self.parent).all():
+                return up
+            self.parent = up
+
+    def join(self, a: int, b: int) -> bool:
+        while self.parent[a] != a:
+            a = self.parent[a]
+        while self.parent[b] != b:
+            b = self.parent[b]
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
+def near_in_lists(token: np.ndarray, n: np.ndarray, pos: np.ndarray, sig: np.ndarray, sketch: np.ndarray
+                  ) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs that connect what is connected in whole lists, in order of token and n."""
+    known, node = np.unique(sig, return_inverse=True)
+    forest, a, b = Forest(len(known)), [], []
+    edge = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
+    end = np.repeat(edge[1:], np.diff(edge))  # of the list of each entry
+    i, step = np.arange(len(token)), 0
+    while True:
+        step += 1
+        # partners of i are the next entries, up to 4/3 of its size
+        i = i[i + step < end[i]]
+        i = i[3 * n[i + step] <= 4 * n[i]]
+        if not len(i):
+            return np.array(a, np.int64), np.array(b, np.int64)
+        roots = forest.roots()
+        x = i[roots[node[i]] != roots[node[i + step]]]
+        y = x + step
+        ok = 1 + np.minimum(n[x] - 1 - pos[x], n[y] - 1 - pos[y]) >= need(n[x], n[y])
+        x, y = x[ok], y[ok]
+        ok = (sketch[x] == sketch[y]).sum(axis=1) >= SKETCH_LEAST
+        for u, v in zip(x[ok].tolist(), y[ok].tolist()):
+            if forest.join(node[u], node[v]):
+                a.append(sig[u])
+                b.append(sig[v])
+
+
+def candidates(lists: DataFrame) -> DataFrame:
+    """(a, b) from entries (token, n, pos, sig, sketch), dealt and sorted by token and n."""
+    names = ["token", "n", "pos", "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held = ["token", "n", "pos", "sig", "lead", "label"], None
+        held = None
         for b in batches:
-            cols = [b.column(c).to_numpy() for c in names]
+            if not len(b):
+                continue
+            cols = [b.column(c).to_numpy().astype(np.int64) for c in names]
+            cols.append(np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH))
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
-            cut = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
+            cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
             held = [c[cut:] for c in cols]
             if cut:
-                yield from given([c[:cut] for c in cols])
-        if held is not None and len(held[0]):
-            yield from given(held)
+                yield given([c[:cut] for c in cols])
+        if held is not None:
+            yield given(held)
 
-    def given(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for x, y in tried(cols):
-            if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+    def given(cols: list[np.ndarray]) -> pa.RecordBatch:
+        x, y = near_in_lists(*cols)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
     return lists.mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of signatures whose whole sets link. ``texts``: sig, z."""
-    right = pairs.join(texts.withColumnsRenamed({"sig": "b", "z": "zb"}), "b")
-    both = right.join(texts.withColumnsRenamed({"sig": "a", "z": "za"}), "a").select("a", "b", "za", "zb")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 256):
-                b = whole.slice(at, 256)
-                keys = np.concatenate([b.column(c).to_numpy() for c in ("a", "b")])
-                blobs = b.column("za").to_pylist() + b.column("zb").to_pylist()
-                keys, pick, place = np.unique(keys, return_index=True, return_inverse=True)
-                raw, offs = joined(unpacked([blobs[p] for p in pick]))
-                row, code = shingles(raw, offs)
-                held = np.split(code, np.cumsum(np.bincount(row, minlength=len(keys)))[:-1])
-                n = len(b)
-                linked = np.zeros(n, dtype=bool)
-                for k in range(n):
-                    x, y = held[place[k]], held[place[n + k]]
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    linked[k] = 100 * shared >= 75 * (len(x) + len(y) - shared)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(c).filter(pa.array(linked)) for c in ("a", "b")], ["a", "b"])
-
-    return both.mapInArrow(run, "a long, b long")
-
-
 def texts_by_set(docs: DataFrame) -> DataFrame:
-    """(sig, z): one text for each distinct set."""
-    packed = packed_texts(docs)
+    """(sig, z): one text for each distinct set above the light ones, as a zstd blob."""
+    light = boundary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, offs = joined(unpacked(b.column("z").to_pylist()))
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for b in slices(batches):
+            raw, offs = utf8(b.column("text"))
+            data = raw.tobytes()
             for i, j in chunks(raw, offs):
                 row, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
                 size, sig = signatures(row, code, j - i)
-                has = pa.array(size > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig).filter(has), b.column("z").slice(i, j - i).filter(has)], ["sig", "z"])
+                heavy = np.flatnonzero(size > light)
+                blobs = [squeeze(data[offs[i + r]: offs[i + r + 1]]) for r in heavy]
+                yield pa.RecordBatch.from_arrays([pa.array(sig[heavy]), pa.array(blobs, pa.binary())], ["sig", "z"])
 
-    return packed.mapInArrow(run, "sig long, z binary").groupBy("sig").agg(F.first("z").alias("z"))
+    return docs.select("text").mapInArrow(run, "sig long, z binary").groupBy("sig").agg(F.first("z").alias("z"))
+
+
+def linked_in_group(held: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect what is connected among the sets: each new set is reached once.
+
+    From a set, the inverted lists of the sets not reached yet give all overlaps; the
+    lists are built again when half of these sets are reached.
+    """
+    n = np.array([len(x) for x in held])
+    _, token = np.unique(np.concatenate(held), return_inverse=True)
+    token = np.split(token, np.cumsum(n)[:-1])
+    open_, links = np.ones(len(n), dtype=bool), []
+
+    def lists() -> tuple[np.ndarray, np.ndarray, int]:
+        left = np.flatnonzero(open_)
+        flat = np.concatenate([token[k] for k in left])
+        order = np.argsort(flat, kind="stable")
+        bounds = np.searchsorted(flat[order], np.arange(sum_tokens + 1))
+        return np.repeat(left, n[left])[order], bounds, len(left)
+
+    sum_tokens = max(int(t.max()) for t in token) + 1
+    entries, bounds, built = lists()
+    for seed in range(len(n)):
+        if not open_[seed]:
+            continue
+        open_[seed] = False
+        queue = [seed]
+        while queue and open_.any():
+            if 2 * open_.sum() <= built:
+                entries, bounds, built = lists()
+            x = queue.pop()
+            begin, size = bounds[token[x]], bounds[token[x] + 1] - bounds[token[x]]
+            at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            shared = np.bincount(entries[at], minlength=len(n))
+            for y in np.flatnonzero(open_ & (100 * shared >= 75 * (n[x] + n - shared))).tolist():
+                links.append((x, y))
+                open_[y] = False
+                queue.append(y)
+    return links
+
+
+def verified(groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links between sets of a group (node, label) that connect all that is linked."""
+    size = groups.groupBy("label").agg(F.count(F.lit(1)).alias("q"))
+    blocks = groups.join(size, "label").withColumn("blocks", F.ceil(F.col("q") / BLOCK).cast("long"))
+    blocks = blocks.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    paired = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    paired = paired.select(F.col("node").alias("sig"), "label", F.least("own", "other").alias("low"),
+                           F.greatest("own", "other").alias("high"))
+    work = paired.join(texts, "sig").repartition("label", "low", "high").sortWithinPartitions("label", "low", "high")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sigs, blobs = None, [], []
+        for b in slices(batches, 2000):
+            for key, sig, z in zip(zip(*(b.column(c).to_pylist() for c in ("label", "low", "high"))),
+                                   b.column("sig").to_pylist(), b.column("z").to_pylist()):
+                if key != at:
+                    if len(sigs) > 1:
+                        yield links_of(sigs, blobs)
+                    at, sigs, blobs = key, [], []
+                sigs.append(sig)
+                blobs.append(z)
+        if len(sigs) > 1:
+            yield links_of(sigs, blobs)
+
+    def links_of(sigs: list[int], blobs: list[bytes]) -> pa.RecordBatch:
+        held: list[np.ndarray] = []
+        raw, offs = joined(unpacked(blobs))
+        for i, j in chunks(raw, offs):
+            row, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
+            held += np.split(code, np.cumsum(np.bincount(row, minlength=j - i))[:-1])
+        links = linked_in_group(held)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([sigs[p[k]] for p in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return work.mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id): the least doc_id that links lead to, itself included."""
     docs = documents(docs)
-    shared_folder(docs.sparkSession)
-    lists = scan_lists(postings(docs, frequent_shingles(docs))).checkpoint()
-    texts = texts_by_set(docs)
-    star = lists.where("lead <> sig")
-    sure = star.where("role > 0").select(F.col("lead").alias("a"), F.col("sig").alias("b"))
-    tested = star.where("role = 0").select(F.col("lead").alias("a"), F.col("sig").alias("b")).distinct()
-    links = sure.unionByName(verified(tested, texts)).distinct().checkpoint()
-    label = components(links, "a", "b")
-    named = lists.where("role = 0").drop("role").join(label.withColumnRenamed("node", "sig"), "sig", "left")
-    named = named.withColumn("label", F.coalesce("label", "sig"))
-    mixed = named.groupBy("token").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed").drop("mixed")
-    open_lists = named.join(mixed, "token").select("token", "n", "pos", "sig", "lead", "label")
-    open_lists = open_lists.repartition("token").sortWithinPartitions("token", "n", "sig")
-    more = verified(cross_pairs(open_lists), texts)
-    label = components(links.unionByName(more), "a", "b")
+    lists = scan_lists(postings(docs, frequent_shingles(docs)))
+    sure = lists.where("role > 0 AND lead <> sig").select(F.col("lead").alias("a"), F.col("sig").alias("b"))
+    entries = lists.where("role = 0").select("token", "n", "pos", "sig").join(sketches(docs), "sig")
+    near = candidates(entries.repartition("token").sortWithinPartitions("token", "n", "sig"))
+    links = verified(components(near, "a", "b"), texts_by_set(docs))
+    label = components(sure.unionByName(links), "a", "b")
     own = sets(docs)
     rep = own.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     rep = rep.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
     least = rep.groupBy("label").agg(F.min("least").alias("component_id"))
     by_sig = rep.join(least, "label").select("sig", "component_id")
-    # an empty set gets a key of its own row and finds nothing
     return own.join(by_sig, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
