@@ -10,9 +10,9 @@ Rates become repetitions: with r = target / source size each document is taken
 floor(r) times, and a seeded part of the documents once more so that their words
 fill the rest of the target. The order of that part is the MD5 of seed and
 doc_id. Its cut is found in two steps: sizes are summed by the first three hex
-digits (4096 bins a source, summed before the shuffle), and only the bin that
-holds the cut is sorted, so a source with a third of all rows is never in one
-task. The words taken miss the target by half a document at most.
+digits (4096 bins a source, summed before the shuffle) and running sums of bins
+tell where each bin begins; inside its bin a document's place is a second running
+sum. So a source with a third of all rows is never in one task. The words taken miss the target by half a document at most.
 
 Defined results: null and empty texts have size 0 and follow the same cut. A
 null source is the last source. Rows equal in all of doc_id, size and order are
@@ -89,18 +89,14 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGE
     bins = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(upto), F.lit(0)))
     marks = bins.withColumnRenamed("source", "_s").join(plan, F.col("_s").eqNullSafe(F.col("source")))
     marks = marks.select(
-        F.col("_s"), F.col("bin").alias("_bin"), "before", "source_size", "target", "whole", "rest",
-        (F.col("before") + F.col("bin_size") <= F.col("rest")).alias("inside"),
-        ((F.col("before") < F.col("rest")) & (F.col("before") + F.col("bin_size") > F.col("rest"))).alias("cut"))
+        F.col("_s"), F.col("bin").alias("_bin"), "before", "source_size", "target", "whole", "rest")
     held = rows.join(marks, (F.col("bin") == F.col("_bin")) & F.col("source").eqNullSafe(F.col("_s")))
-    # rows outside the bin of the cut are decided; they would only crowd the sort
-    sorted_bin = Window.partitionBy("source", "bin").orderBy("ticket", "doc_id", "size")
-    running = F.coalesce(F.sum("size").over(sorted_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out = ["doc_id", "source", "size", "source_size", "target"]
-    decided = held.where(~F.col("cut")).select(*out, (F.col("whole") + F.col("inside").cast("long")).alias("copies"))
-    more = (F.col("before") + running + F.col("size") / 2 <= F.col("rest")).cast("long")
-    at_cut = held.where("cut").select(*out, (F.col("whole") + more).alias("copies"))
-    return decided.unionByName(at_cut)
+    # a group of this window is one bin of one source: a 4096th of its documents
+    in_bin = Window.partitionBy("source", "bin").orderBy("ticket", "doc_id", "size")
+    running = F.coalesce(F.sum("size").over(in_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    more = F.col("before") + running + F.col("size") / 2 <= F.col("rest")
+    return held.select("doc_id", "source", "size", "source_size", "target",
+                       (F.col("whole") + more.cast("long")).alias("copies"))
 
 
 def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
