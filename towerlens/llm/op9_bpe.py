@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding by a lazily determinised transducer.
 
-Encoding. Each match of the split pattern is read byte by byte. The state after
-a prefix is the bytes that a token can still reach back over (the longest token's
-length) with the last token of the encoding of each of these prefixes. The next
-last token is the one token that ends at the new byte and that stays apart from
-the token before it when both are merged (the pair encodes to itself); this
-follows from the merges alone, so states and steps are built when first met and
-kept in a table of bounded size. Once all states that the reach-back can use
-agree on a prefix of tokens, those are emitted: the lookahead is bounded by the
-longest token. A piece that is itself a token is that token.
+Encoding. Each match of the split pattern is read byte by byte. A prefix has the
+last token of its own encoding. With one more byte, the last token is the one
+token that ends there and that stays apart from the last token of the prefix
+before it (the pair encodes to itself). Only places from which the bytes since
+then begin some longer token can matter later: these, with their last tokens, are
+the state, so prefixes with one future share a state. States and steps follow from
+the merges alone; they are built when first met and kept in a table of bounded
+size. Tokens on which the paths from all live places agree are emitted: the
+lookahead is bounded by the longest token. A piece that is itself a token is that
+token.
 
 Decoding. Ids become bytes; a UTF-8 state machine tells after each token whether
 a character is still open, and text is emitted up to the last whole character.
@@ -21,7 +22,9 @@ repeated rows and ties are equal rows. Other columns are never read.
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +32,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm.text import documents, read_table
+from towerlens.llm.text import documents, read_table, slices
 
-#: States and encoded pieces that a task keeps before it starts afresh.
-MAX_STATES, MAX_PIECES = 50_000, 200_000
+#: States, pairs of tokens and encoded pieces that a task keeps before it starts afresh.
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 100_000, 400_000, 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -41,60 +44,92 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class State:
-    """Reach-back bytes, the last token's length at each of them, and the steps taken so far."""
+    """What later bytes can reach: ``live`` holds (distance back, last token there) of each place from
+    which the bytes since then begin a longer token; ``tail`` is the bytes since the furthest."""
 
-    __slots__ = ("tail", "lasts", "steps")
+    __slots__ = ("tail", "live", "size", "rank", "steps")
 
-    def __init__(self, tail: bytes, lasts: tuple):
-        self.tail, self.lasts, self.steps = tail, lasts, {}
+    def __init__(self, tail: bytes, live: tuple, rank: int = -1):
+        self.tail, self.live, self.steps = tail, live, {}
+        self.size, self.rank = len(live[-1][1]), rank  # of the last token
 
 
 class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.reach = ranks, max(map(len, ranks))
+        self.begun = {t[:k] for t in ranks for k in range(1, len(t))}
         self.apart: dict[tuple[bytes, bytes], bool] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.root = State(b"", ())
-        self.states = {(b"", ()): self.root}
+        self.root = State(b"", ((0, b""),))
+        self.states = {(b"", self.root.live): self.root}
 
     def merged(self, piece: bytes) -> list[bytes]:
         """Plain merges, for the short strings of two tokens."""
+        rank, never = self.ranks.get, 1 << 62
         parts = [piece[i: i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 62), i) for i in range(len(parts) - 1))
-            if rank == 1 << 62:
+        pairs = [rank(x + y, never) for x, y in zip(parts, parts[1:])]
+        while pairs:
+            best = min(pairs)
+            if best == never:
                 break
+            i = pairs.index(best)
             parts[i: i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], never)
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], never)
         return parts
 
     def stay_apart(self, left: bytes, right: bytes) -> bool:
         known = self.apart.get((left, right))
         if known is None:
-            if len(self.apart) >= 4 * MAX_STATES:
+            if len(self.apart) >= MAX_PAIRS:
                 self.apart.clear()
-            known = self.apart[left, right] = self.merged(left + right) == [left, right]
+            both = left + right
+            known = self.apart[left, right] = both not in self.ranks and self.merged(both) == [left, right]
         return known
 
     def step(self, state: State, byte: int) -> State:
-        """The state after one more byte; its last token is ``lasts[-1]`` bytes long."""
-        tail = state.tail + bytes((byte,))
-        n, lasts = len(tail), state.lasts
-        for size in range(min(n, self.reach), 0, -1):
-            token = tail[n - size:]
-            if token not in self.ranks:
-                continue
-            before = n - size
-            if before == 0 or self.stay_apart(tail[before - lasts[before - 1]: before], token):
-                break
-        key = (tail[-2 * self.reach:], (*lasts, size)[-2 * self.reach:])
+        """The state after one more byte."""
+        tail, ranks, begun, last, live = state.tail + bytes((byte,)), self.ranks, self.begun, None, []
+        end = len(tail) - 1
+        for back, left in state.live:
+            token = tail[end - back:]
+            if last is None and token in ranks and (not left or self.stay_apart(left, token)):
+                last = token
+            if token in begun:
+                live.append((back + 1, left))
+        live = (*live, (0, last))
+        key = (tail[len(tail) - live[0][0]:], live)
         found = self.states.get(key)
         if found is None:
-            found = self.states[key] = State(*key)
+            found = self.states[key] = State(*key, ranks[last])
         state.steps[byte] = found
         return found
 
+    def ids(self, piece: bytes) -> list[int]:
+        """Token ids of a piece."""
+        if piece in self.ranks:
+            return [self.ranks[piece]]
+        if len(piece) > 8 * self.reach:
+            return [self.ranks[t] for t in self.stream(piece)]
+        if len(self.states) > MAX_STATES:
+            self.forget()
+        state, path = self.root, []
+        for byte in piece:
+            state = state.steps.get(byte) or self.step(state, byte)
+            path.append(state)
+        out, end = [], len(piece)
+        while end:
+            state = path[end - 1]
+            out.append(state.rank)
+            end -= state.size
+        out.reverse()
+        return out
+
     def stream(self, piece: bytes) -> Iterator[bytes]:
         """Tokens of a piece, each emitted once later bytes cannot change it."""
         if piece in self.ranks:
@@ -105,15 +140,19 @@ class Transducer:
         state, sizes, done = self.root, [], 0
         for at, byte in enumerate(piece):
             state = state.steps.get(byte) or self.step(state, byte)
-            sizes.append(state.lasts[-1])
+            sizes.append(state.size)
             if at - done >= 8 * self.reach:
                 agreed = set(self.path(sizes, at + 1, done))
-                for end in range(at + 1 - self.reach, at + 1):
-                    agreed &= set(self.path(sizes, end, done))
+                for back, _ in state.live:
+                    agreed &= set(self.path(sizes, at + 1 - back, done))
                 for end in sorted(agreed - {done}):
                     yield piece[done:end]
                     done = end
-        for end in [*self.path(sizes, len(piece), done)][-2::-1]:
+        ends, end = [], len(piece)
+        while end > done:
+            ends.append(end)
+            end -= sizes[end - 1]
+        for end in reversed(ends):
             yield piece[done:end]
             done = end
 
@@ -195,23 +234,27 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids): the token ids of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = load_ranks(ranks_path)
-        machine, find, known = Transducer(ranks), regex.compile(pattern).findall, {}
-        for b in batches:
-            ids, ends = [], [0]
-            for text in b.column("text").to_pylist():
-                for piece in find(text or ""):
-                    out = known.get(piece)
-                    if out is None:
-                        if len(known) >= MAX_PIECES:
-                            known.clear()
-                        out = [ranks[t] for t in machine.stream(piece.encode())]
-                        if len(piece) <= 100:
-                            known[piece] = out
-                    ids += out
-                ends.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(ids, dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "ids"])
+        machine, find = Transducer(load_ranks(ranks_path)), regex.compile(pattern).findall
+        known: dict[str, bytes] = {}  # ids of each piece met, as int32
+
+        def ids_of(pieces: list[str]) -> bytes:
+            for piece in set(pieces).difference(known):
+                known[piece] = pack("<%di" % len(out := machine.ids(piece.encode())), *out)
+            return b"".join(map(known.__getitem__, pieces))
+
+        gc.disable()  # the tables hold no cycles, and walking them over and over is a third of the work
+        try:
+            for b in slices(batches, 2000):
+                parts = []
+                for text in b.column("text").to_pylist():
+                    if len(known) >= MAX_PIECES:
+                        known.clear()
+                    parts.append(ids_of(find(text or "")))
+                ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in parts]))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "ids"])
+        finally:
+            gc.enable()
 
     return documents(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -221,7 +264,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(load_ranks(ranks_path))
-        for b in batches:
+        for b in slices(batches, 2000):
             lists = b.column("ids")
             flat, ends = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
             texts = [b"".join(decoder.stream(flat[i:j])) for i, j in zip(ends[:-1], ends[1:])]
