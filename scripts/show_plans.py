@@ -33,8 +33,8 @@ def main() -> None:
           "plans shown before AQE re-optimisation).\n")
     print("What to look for:\n\n"
           "* `average_by_operator`: 4-column `ReadSchema`; partial `HashAggregate` below the only "
-          "key exchange (a hot operator costs one row per task in the shuffle). The round-robin "
-          "exchange appears only because the test file is one unsplittable row group.\n"
+          "key exchange (a hot operator costs one row per task in the shuffle). Raw rows are never "
+          "shuffled.\n"
           "* `kpi_operator_join`: the notebook join planned as one aggregate; the NULL-key filter "
           "reaches the scan (`PushedFilters`).\n"
           "* `distinct_profile`: one scan for all columns; distinct pre-aggregated per task.\n"

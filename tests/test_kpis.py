@@ -50,10 +50,16 @@ def test_distinct_profile_counts_null_as_value(spark):
 
 def test_describe_matches_dataframe_describe(spark):
     df = spark.createDataFrame([(1, 2.5), (3, None), (5, 4.5)], "a int, b double")
-    ours = {r.summary: (r.a, r.b) for r in kpis.describe_columns(df, ["a", "b"]).collect()}
-    theirs = {r.summary: (float(r.a), float(r.b)) for r in df.describe("a", "b").collect()}
-    for k in ("count", "mean", "stddev", "min", "max"):
-        assert abs(ours[k][0] - theirs[k][0]) < 1e-9 and abs(ours[k][1] - theirs[k][1]) < 1e-9
+    df = df.withColumns({"t": F.lit("x y"), "d": F.col("a").cast("string")})
+    ours = {r.column_name: r for r in kpis.describe_columns(df).collect()}
+    theirs = {r.summary: r for r in df.describe().collect()}
+    for c in ("a", "b", "d"):
+        for k in ("count", "mean", "stddev"):
+            assert abs(ours[c][k] - float(theirs[k][c])) < 1e-9
+    for c in ("a", "b"):
+        assert (ours[c].min_value, ours[c].max_value) == (float(theirs["min"][c]), float(theirs["max"][c]))
+    assert (ours["d"].min_text, ours["d"].max_text) == (theirs["min"].d, theirs["max"].d)
+    assert ours["t"].mean is None and ours["t"].min_text == "x y" and ours["t"].min_value is None
 
 
 @settings(max_examples=5, deadline=None)

@@ -83,3 +83,9 @@ def test_type_records_is_idempotent_on_renamed_hour(spark):
     again = type_records(typed)
     assert again.columns == typed.columns
     assert again.first()[MEASURED_AT] == "10:20:30" and again.first().signal == 4
+
+
+def test_bigint_text_keeps_all_digits(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("9007199254740993.0",), ("99999999999999999999",)], "s string")
+    got = [r.v for r in df.select(lenient_int("s", "bigint").alias("v")).collect()]
+    assert got == [9007199254740993, 9007199254740992, None]

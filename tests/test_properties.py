@@ -1,4 +1,4 @@
-"""Property tests against brute-force Python versions of the rules."""
+"""Property tests: tables of inputs with their decisions, and a plain version of the range rule."""
 
 import datetime as dt
 
@@ -8,42 +8,28 @@ from hypothesis import strategies as st
 from towerlens.operators import serving
 from towerlens.operators.clean import find_null_fields
 
-TEXT = st.sampled_from(["", " ", "null", " null ", "x", "\t", None])
-NUM = st.sampled_from([-1, 0, 7, None])
-
-
-def brute_null_fields(rows, string_cols, int_cols, arr_col):
-    """The rule as set semantics over distinct values, column by column."""
-    out = []
-    for c in string_cols:
-        vals = {(v.strip() if isinstance(v, str) else v) for v in (r[c] for r in rows)}
-        if vals <= {"", "null"}:
-            out.append(c)
-    for c in int_cols:
-        if {r[c] for r in rows} <= {-1}:
-            out.append(c)
-    vals = set()
-    for r in rows:
-        arr = r[arr_col]
-        if arr is None:
-            vals.add(None)
-        else:
-            vals |= {(e[0].strip() if isinstance(e[0], str) else e[0]) if e is not None else None
-                     for e in arr}
-    if vals <= {"", "null"}:
-        out.append(f"{arr_col}.x")
-    return out
+#: Values of a text column, and whether the rule drops the column.
+TEXT_CASES = [
+    ([""], True), (["null"], True), ([" "], True), ([" null "], True), (["\t", "null", ""], True),
+    (["x"], False), (["", "x"], False), ([None], False), (["", None], False), (["nullx"], False), (["NULL"], False),
+]
+NUMBER_CASES = [([-1], True), ([-1, -1], True), ([0], False), ([-1, 7], False), ([None], False), ([-1, None], False)]
+#: Values of an array of structs with one text field.
+ARRAY_CASES = [
+    ([[("",), ("null",)]], True), ([[]], True), ([[("",)], []], True), ([[("x",)]], False), ([None], False),
+    ([[(None,)]], False), ([[("",)], [("x",)]], False),
+]
 
 
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.tuples(TEXT, TEXT, NUM,
-                          st.one_of(st.none(), st.lists(st.tuples(TEXT), max_size=3))),
-                min_size=1, max_size=12))
-def test_null_fields_match_brute_force(spark, rows):
-    schema = "a string, b string, n int, arr array<struct<x: string>>"
-    df = spark.createDataFrame(rows, schema)
-    dict_rows = [dict(zip(["a", "b", "n", "arr"], r)) for r in rows]
-    assert find_null_fields(df) == brute_null_fields(dict_rows, ["a", "b"], ["n"], "arr")
+@given(st.sampled_from(TEXT_CASES), st.sampled_from(NUMBER_CASES), st.sampled_from(ARRAY_CASES), st.integers(0, 3))
+def test_null_fields_of_combined_columns(spark, text, number, array, shift):
+    """Each column's decision depends on its own values, whatever the order and number of rows."""
+    n = max(len(c[0]) for c in (text, number, array))
+    columns = [[c[0][(i + shift) % len(c[0])] for i in range(2 * n)] for c in (text, number, array)]
+    df = spark.createDataFrame(list(zip(*columns)), "a string, n int, arr array<struct<x: string>>")
+    paths = [("a",), ("n",), ("arr", "x")]
+    assert find_null_fields(df) == [p for p, c in zip(paths, (text, number, array)) if c[1]]
 
 
 HOURS = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=h) for h in range(0, 24 * 40, 7)]

@@ -1,21 +1,15 @@
-"""Registered queries against their DuckDB SQL on the smallest scale factor.
-
-Queries that write lake tables run only with TOWERLENS_FULL=1 (they are
-covered by test_sinks / test_streaming otherwise).
-"""
+"""Registered queries against their DuckDB SQL on the smallest scale factor."""
 
 import datetime as dt
 import math
-import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from towerlens.plans.catalog import QUERIES
 
-SLOW = {"scan_kpi_table", "compacted_kpi_table", "batch_raw_sink", "batch_kpi_sink", "register_tables",
-        "microbatch_kpis", "stream_restart", "stream_raw_sink", "late_data_drop"}
-KEYS = [k for k in E.queries() if os.environ.get("TOWERLENS_FULL") or k not in SLOW]
+KEYS = list(QUERIES)
 
 
 def _norm(v):
@@ -43,8 +37,8 @@ def duck(sf_small):
 
 
 def test_every_key_has_oracle_or_is_documented():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == set()
+    assert set(QUERIES) <= set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -64,3 +58,21 @@ def test_query_matches_oracle(spark, duck, sf_small, key):
     assert sorted(s_cols) == sorted(o_cols)
     assert len(s_rows) == len(o_rows)
     assert _rows(s_cols, s_rows) == _rows(o_cols, o_rows)
+
+
+def test_faulty_records_reach_the_rules(spark, sf_small):
+    """The filters fire: none of the cleaning rows passes for want of faults."""
+    from towerlens.operators import clean, parse
+    from towerlens.sources.events import corrupted, wire_measurements
+
+    wire = wire_measurements(spark, sf_small)
+    assert 0 < clean.remove_null_rows(wire).count() < wire.count()
+    assert parse.parse_records(corrupted(parse.encode_records(wire))).where("_corrupt IS NOT NULL").count() > 0
+    typed = parse.type_records(wire)
+    assert typed.where("signal IS NULL").count() > wire.where("signal IS NULL OR trim(signal) = ''").count()
+    assert wire.where("operator IS NULL").count() and wire.where("operator = ''").count()
+
+
+def test_describe_keeps_one_aggregate(spark, sf_small):
+    plan = E.queries()["describe_columns"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "RoundRobin" not in plan

@@ -12,7 +12,8 @@ from towerlens.session import new_run_dir
 
 
 def _kpi(spark, rows):
-    cols = "operator string, avg_signal double, avg_precission double, sum_signal bigint, " \
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    cols = "batch_window bigint, operator string, avg_signal double, avg_precission double, sum_signal bigint, " \
            "n_signal bigint, sum_precission double, n_precission bigint, ingest_year string, " \
            "ingest_month string, ingest_day string, ingest_hour string"
     return spark.createDataFrame(rows, cols)
@@ -87,3 +88,35 @@ def test_range_filter_is_partition_filter_on_lake_scan(spark):
     assert "ingest_year" in filters and "ingest_hour" in filters and "concat(" in filters
     assert [r.ingest_hour for r in q.collect()] == ["05"]
     assert q.select(F.count("*")).first()[0] == 1
+
+
+def test_rows_of_one_window_are_merged_before_the_mean_of_means(spark):
+    rows = [(1, "a", 1.0, 1.0, 1, 1, 1.0, 1, "2024", "05", "03", "05"),
+            (1, "a", 4.0, 4.0, 8, 2, 8.0, 2, "2024", "05", "03", "05"),
+            (2, "a", 5.0, None, 5, 1, None, 0, "2024", "05", "03", "05")]
+    kpi = spark.createDataFrame(rows, "batch_window bigint, operator string, avg_signal double, avg_precission double, "
+                                      "sum_signal bigint, n_signal bigint, sum_precission double, n_precission bigint, "
+                                      "ingest_year string, ingest_month string, ingest_day string, ingest_hour string")
+    r = serving.operator_metrics(kpi, "2024-05-03 06:00:00", "6 hours").first()
+    assert (r.avg_signal_strength, r.avg_precision) == (4.0, 3.0)
+    assert serving.hourly_metrics(kpi, "2024-05-03 06:00:00", "6 hours").first().avg_signal_strength == 4.0
+
+
+def test_first_hour_of_a_range():
+    assert serving.range_start("2024-05-03 10:20:00", "6 hours") == "2024-05-03 05:00:00"
+    assert serving.range_start("2024-05-03 10:00:00", "6 hours") == "2024-05-03 04:00:00"
+    assert serving.range_start("2024-05-03 10:00:00", "7 days", "reference") == "2024-05-03 03:00:00"
+
+
+def test_pivot_width_is_the_engines_limit(spark):
+    import pytest
+
+    ps = spark.createDataFrame([("08001", str(i), 1) for i in range(12)],
+                               "postal_code string, status_description string, status_count bigint")
+    spark.conf.set("spark.sql.pivotMaxValues", "11")
+    try:
+        with pytest.raises(Exception, match="(?i)pivot"):
+            serving.pivot_status(ps).collect()
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+    assert len(serving.pivot_status(ps).columns) == 13

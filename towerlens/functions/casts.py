@@ -2,9 +2,9 @@
 
 Spark 4 runs in ANSI mode, where ``cast('abc' AS INT)`` fails the whole job.
 External text must never fail a batch, so every cast of it is a ``try_cast``:
-bad text becomes NULL. Text to integer goes through DOUBLE first so that
-``'12.5'`` becomes 12 (truncation, as the legacy cast did) and
-``'9999999999'`` (out of range) becomes NULL.
+bad text becomes NULL. Text that is an integer is cast as one, so that all
+digits of a BIGINT survive; other text goes through DOUBLE, so that ``'12.5'``
+becomes 12 (truncation, as the legacy cast did). Out of range becomes NULL.
 """
 
 from __future__ import annotations
@@ -33,11 +33,11 @@ def lenient_double(c: str | Column) -> Column:
 
 
 def lenient_int(c: str | Column, target: str = "int") -> Column:
-    return _col(c).try_cast("double").try_cast(target)
+    return F.coalesce(_col(c).try_cast(target), _col(c).try_cast("double").try_cast(target))
 
 
 def lenient_cast(c: str | Column, target: str) -> Column:
-    """try_cast with text→integral going through DOUBLE (see module doc)."""
+    """try_cast; text→integral by ``lenient_int`` (see module doc)."""
     t = target.lower()
     if t in _INTEGRAL:
         return lenient_int(c, t)

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 # Length of one live micro-batch (the live job's trigger window).
 MICRO_BATCH_SECONDS = 100
 
-# The dashboard's range choices.
-RANGE_CHOICES = ["1 hour", "3 hours", "6 hours", "12 hours", "24 hours", "7 days"]
-
 _UNIT_HOURS = {"hour": 1, "hours": 1, "h": 1, "day": 24, "days": 24, "d": 24,
                "week": 168, "weeks": 168}
 
@@ -49,6 +46,12 @@ def ingest_parts(ts: str | Column) -> list[Column]:
     return [c.alias(n) for c, n in zip(zero_padded_parts(ts), names)]
 
 
+def check_window(seconds: int) -> None:
+    """A window length must divide an hour, or windows would straddle ingest hours."""
+    if seconds < 1 or 3600 % seconds:
+        raise ValueError(f"window of {seconds} s: a divisor of 3600 is needed")
+
+
 def batch_window(ts: str | Column, seconds: int = MICRO_BATCH_SECONDS) -> Column:
     """Id of the fixed-length arrival window (micro-batch) a record falls in."""
     micros = F.unix_micros(to_utc_timestamp_col(ts))

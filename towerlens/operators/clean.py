@@ -30,6 +30,12 @@ from towerlens.schema import NULL_NUMBER_SET, NULL_STRING_SET, PAYLOAD_FIELDS, M
 
 _NUMERIC = (T.IntegerType, T.LongType, T.DoubleType)
 
+Path = tuple[str, ...]
+
+
+def _column(path: list[str]) -> Column:
+    return F.col(".".join("`" + name.replace("`", "``") + "`" for name in path))
+
 
 def _is_blank(value: Column, dtype: T.DataType, null_strings, null_numbers,
               null_is_blank: bool) -> Column | None:
@@ -61,13 +67,13 @@ def _row_test(path: list[str], dtype: T.DataType, arrays: list[int], null_string
     if isinstance(dtype, T.NullType):
         return None
     if not arrays:
-        return _is_blank(F.col("`" + "`.`".join(path) + "`"), dtype, null_strings,
+        return _is_blank(_column(path), dtype, null_strings,
                          null_numbers, null_is_blank)
     if len(arrays) > 1:
         return F.lit(False)  # arrays of arrays: never dropped
 
     cut = arrays[0]
-    arr = F.col("`" + "`.`".join(path[:cut]) + "`")
+    arr = _column(path[:cut])
     inner = path[cut:]
 
     def elem_blank(x: Column) -> Column:
@@ -84,35 +90,37 @@ def _row_test(path: list[str], dtype: T.DataType, arrays: list[int], null_string
 
 def scan_null_fields(df: DataFrame, null_strings=NULL_STRING_SET,
                      null_numbers=NULL_NUMBER_SET,
-                     null_is_blank: bool = False) -> tuple[list[str], int]:
-    """(dotted paths the drop-null-fields rule removes, number of rows).
+                     null_is_blank: bool = False) -> tuple[list[Path], int]:
+    """(paths the drop-null-fields rule removes, number of rows).
+
+    A path is the tuple of names from the top column down, so a dot inside a
+    name means nothing.
 
     One aggregate job; the row count comes with it, so a caller that must
     skip empty batches needs no separate count.
     """
-    always: list[str] = []
-    tests: list[tuple[str, Column]] = []
+    always: list[Path] = []
+    tests: list[tuple[Path, Column]] = []
     leaves = list(_leaves(df.schema, [], []))
     for path, dtype, arrays in leaves:
-        dotted = ".".join(path)
         if isinstance(dtype, T.NullType):
-            always.append(dotted)
+            always.append(tuple(path))
             continue
         t = _row_test(path, dtype, arrays, null_strings, null_numbers, null_is_blank)
         if t is not None:
-            tests.append((dotted, t))
+            tests.append((tuple(path), t))
     # bool_and over zero rows is NULL: an empty set is a subset of any set
     aggs = [F.coalesce(F.bool_and(t), F.lit(True)).alias(f"c{i}")
             for i, (_, t) in enumerate(tests)]
     row = df.agg(F.count(F.lit(1)).alias("n"), *aggs).collect()[0]
     blank = [p for i, (p, _) in enumerate(tests) if row[f"c{i}"]]
-    order = {".".join(p): i for i, (p, _, _) in enumerate(leaves)}
+    order = {tuple(p): i for i, (p, _, _) in enumerate(leaves)}
     return sorted(always + blank, key=lambda p: order[p]), int(row["n"])
 
 
 def find_null_fields(df: DataFrame, null_strings=NULL_STRING_SET,
-                     null_numbers=NULL_NUMBER_SET, null_is_blank: bool = False) -> list[str]:
-    """Dotted paths of the leaf columns that the drop-null-fields rule removes."""
+                     null_numbers=NULL_NUMBER_SET, null_is_blank: bool = False) -> list[Path]:
+    """Paths of the leaf columns that the drop-null-fields rule removes."""
     return scan_null_fields(df, null_strings, null_numbers, null_is_blank)[0]
 
 
@@ -151,15 +159,15 @@ def _drop_in_type(dtype: T.DataType, value: Column, rel: list[list[str]]) -> Col
     return out
 
 
-def drop_fields(df: DataFrame, paths: list[str]) -> DataFrame:
-    """Drop columns by dotted path; nested struct and array-of-struct paths too.
+def drop_fields(df: DataFrame, paths: list[Path]) -> DataFrame:
+    """Drop columns by path; nested struct and array-of-struct paths too.
 
     A struct left without fields is dropped as a whole.
     """
     top: set[str] = set()
     nested: dict[str, list[list[str]]] = {}
     for p in paths:
-        parts = p.split(".")
+        parts = list(p)
         if len(parts) == 1:
             top.add(parts[0])
         else:
@@ -169,12 +177,12 @@ def drop_fields(df: DataFrame, paths: list[str]) -> DataFrame:
         if f.name in top:
             continue
         if f.name in nested:
-            v = _drop_in_type(f.dataType, F.col(f"`{f.name}`"), nested[f.name])
+            v = _drop_in_type(f.dataType, _column([f.name]), nested[f.name])
             if v is None:
                 continue
             cols.append(v.alias(f.name))
         else:
-            cols.append(F.col(f"`{f.name}`"))
+            cols.append(_column([f.name]))
     return df.select(*cols)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from towerlens.functions.casts import lenient_double
 from towerlens.functions.timeparts import batch_window, calendar_parts
@@ -81,14 +82,6 @@ def precision_by_operator_hour(typed: DataFrame, ts_col: str = RECORD_TS) -> Dat
             .agg(F.avg("precission").alias("avg_gps_precision")))
 
 
-def operator_hour_kpis(typed: DataFrame, ts_col: str = RECORD_TS) -> DataFrame:
-    """Both hourly means in one pass (one scan, one shuffle)."""
-    return (_hourly(typed, ts_col)
-            .groupBy("operator", "year", "month", "day", "hour")
-            .agg(F.avg("signal").alias("avg_signal_strength"),
-                 F.avg("precission").alias("avg_gps_precision")))
-
-
 def status_by_postal_hour(typed: DataFrame, ts_col: str = RECORD_TS) -> DataFrame:
     """Rows (not non-NULL statuses) per postal code, status text and hour."""
     return (_hourly(typed, ts_col)
@@ -163,21 +156,25 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def describe_columns(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, stddev (sample), min, max per numeric column, as DOUBLE.
+def describe_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """A row for each column (all by default): count, mean, stddev, min and max.
 
-    One aggregate, then a stack into five rows (as ``DataFrame.describe``).
+    (column_name, count, mean, stddev, min_value, max_value, min_text, max_text).
+    Text columns have their least and greatest text; their mean and deviation
+    are those of the values that read as numbers, NULL when none does. One
+    aggregate with a partial result a task, then a stack of its one row.
     """
-    aggs = []
-    for c in cols:
-        aggs += [F.count(c).cast("double").alias(f"count__{c}"),
-                 F.avg(c).alias(f"mean__{c}"),
-                 F.stddev_samp(c).alias(f"stddev__{c}"),
-                 F.min(c).cast("double").alias(f"min__{c}"),
-                 F.max(c).cast("double").alias(f"max__{c}")]
-    wide = df.agg(*aggs)
-    stats = ["count", "mean", "stddev", "min", "max"]
-    rows = F.array(*[F.struct(F.lit(s).alias("summary"),
-                              *[F.col(f"{s}__{c}").alias(c) for c in cols])
-                     for s in stats])
-    return wide.select(F.inline(rows))
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    aggs, rows = [], []
+    for i, c in enumerate(cols or df.columns):
+        col = F.col(f"`{c}`")
+        text = isinstance(kinds[c], T.StringType)
+        number = col.try_cast("double") if text else col.cast("double")
+        aggs += [F.count(col).alias(f"n{i}"), F.avg(number).alias(f"m{i}"), F.stddev_samp(number).alias(f"s{i}"),
+                 F.min(col if text else number).alias(f"a{i}"), F.max(col if text else number).alias(f"z{i}")]
+        none = [F.lit(None).cast("double")] * 2 if text else [F.lit(None).cast("string")] * 2
+        ends = [F.col(f"a{i}"), F.col(f"z{i}")]
+        rows.append(F.struct(*(x.alias(n) for x, n in zip(
+            [F.lit(c), F.col(f"n{i}"), F.col(f"m{i}"), F.col(f"s{i}"), *(none + ends if text else ends + none)],
+            ["column_name", "count", "mean", "stddev", "min_value", "max_value", "min_text", "max_text"]))))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))

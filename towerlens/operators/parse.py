@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.functions.casts import lenient_cast
-from towerlens.functions.timeparts import calendar_parts
 from towerlens.schema import (
     CORRUPT, MEASURED_AT, PAYLOAD_FIELDS, RECORD_TS, TYPED_FIELDS,
     WIRE_SCHEMA_WITH_CORRUPT,
@@ -28,10 +27,14 @@ def encode_records(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
 
     NULL fields are written as JSON null (as a dict dump would). The key is
     the network name when present and non-empty, else the current time in
-    seconds, as text.
+    seconds, as text. That time is drawn for each record (the query's clock
+    plus a part of a second by row), so such records spread over the
+    partitions of the bus.
     """
     fields = [f for f in (fields or PAYLOAD_FIELDS) if f in df.columns]
-    now_key = (F.unix_micros(F.current_timestamp()) / F.lit(1_000_000.0)).cast("string")
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1_000_000))
+    micros = (F.unix_micros(F.current_timestamp()) + part).cast("decimal(20,0)")
+    now_key = (micros / 1_000_000).cast("decimal(20,6)").cast("string")
     key = F.coalesce(F.nullif(F.col("network"), F.lit("")), now_key) \
         if "network" in df.columns else now_key
     keep = [c for c in df.columns if c not in fields]
@@ -81,13 +84,3 @@ def with_processing_time(df: DataFrame, col: str = "processing_time") -> DataFra
     """Processing-time stamp (one value per query / micro-batch)."""
     return df.withColumn(col, F.current_timestamp())
 
-
-def with_calendar_parts(df: DataFrame, ts_col: str = RECORD_TS) -> DataFrame:
-    """Add INT year, month, day, hour of ``ts_col`` (UTC).
-
-    The payload field ``hour`` must already be renamed (``type_records``),
-    otherwise it would be overwritten.
-    """
-    if "hour" in df.columns:
-        df = df.withColumnRenamed("hour", MEASURED_AT)
-    return df.select("*", *calendar_parts(ts_col))

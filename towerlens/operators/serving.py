@@ -6,19 +6,44 @@ Inputs are the per-batch KPI tables (``average_by_operator``,
 hour buckets whose label ``'yyyy-MM-dd HH:00:00'`` is at or after the bound
 text ``as_of − N h``. The bound is a constant expression, so on a table scan
 the filter is evaluated against partition values only (``PartitionFilters``):
-pruned hours are never listed or opened.
+pruned hours are never opened (nor listed, where a catalog holds the partitions).
+
+Means of means are over arrival windows. Two micro-batches may each hold a row of
+one window and operator, so such rows are merged from their sums and counts
+before windows are averaged: the result does not depend on where batches were cut.
 
 Sort orders put NULLs last, as the original SQL engine did.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.functions.timeparts import hour_label, parse_range_hours, range_bound_text
 
-MAX_PIVOT_VALUES = 10_000
+
+# Orders of the served results.
+
+def operator_order() -> list:
+    return [F.desc_nulls_last("avg_signal_strength")]
+
+
+def status_order() -> list:
+    return [F.asc_nulls_last("postal_code"), F.desc_nulls_last("status_count")]
+
+
+def hourly_order() -> list:
+    return [F.asc_nulls_last("hour"), F.asc_nulls_last("operator")]
+
+
+def range_start(as_of: str, time_range: str, mode: str = "interval") -> str:
+    """The first hour that a range can hold: what a filter on record times may use."""
+    bound = datetime.fromisoformat(as_of) - timedelta(hours=parse_range_hours(time_range, mode))
+    hour = bound.replace(minute=0, second=0, microsecond=0)
+    return str(hour if hour == bound else hour + timedelta(hours=1))
 
 
 def time_range_filter(kpi: DataFrame, as_of: str | None, time_range: str = "1 hour",
@@ -37,6 +62,16 @@ def time_range_filter(kpi: DataFrame, as_of: str | None, time_range: str = "1 ho
     return kpi.filter(coarse & (hour_label() >= bound))
 
 
+def merged_windows(kpi: DataFrame, *keys) -> DataFrame:
+    """One row per arrival window and operator: means from the sums and counts of its rows."""
+    out = kpi.groupBy("batch_window", "operator", *keys).agg(
+        F.sum("sum_signal").alias("sum_signal"), F.sum("n_signal").alias("n_signal"),
+        F.sum("sum_precission").alias("sum_precission"), F.sum("n_precission").alias("n_precission"))
+    return out.withColumns({
+        "avg_signal": F.try_divide("sum_signal", "n_signal"),
+        "avg_precission": F.try_divide("sum_precission", "n_precission")})
+
+
 def with_hour_label(kpi: DataFrame, name: str = "hour_label") -> DataFrame:
     return kpi.withColumn(name, hour_label())
 
@@ -49,12 +84,12 @@ def _sorted(df: DataFrame, ordered: bool, *keys) -> DataFrame:
 
 def operator_metrics(kpi: DataFrame, as_of: str | None, time_range: str = "1 hour",
                      mode: str = "interval", ordered: bool = True) -> DataFrame:
-    """Mean of the per-batch means per operator (unweighted, as served)."""
-    out = (time_range_filter(kpi, as_of, time_range, mode)
+    """Mean of the window means per operator (unweighted, as served)."""
+    out = (merged_windows(time_range_filter(kpi, as_of, time_range, mode))
            .groupBy("operator")
            .agg(F.avg("avg_signal").alias("avg_signal_strength"),
                 F.avg("avg_precission").alias("avg_precision")))
-    return _sorted(out, ordered, F.col("avg_signal_strength").desc_nulls_last())
+    return _sorted(out, ordered, *operator_order())
 
 
 def operator_metrics_weighted(kpi: DataFrame, as_of: str | None, time_range: str = "1 hour",
@@ -62,9 +97,9 @@ def operator_metrics_weighted(kpi: DataFrame, as_of: str | None, time_range: str
     """Exact per-operator means over all rows in range (batches weighted by rows)."""
     out = (time_range_filter(kpi, as_of, time_range, mode)
            .groupBy("operator")
-           .agg((F.sum("sum_signal") / F.sum("n_signal")).alias("avg_signal_strength"),
-                (F.sum("sum_precission") / F.sum("n_precission")).alias("avg_precision")))
-    return _sorted(out, ordered, F.col("avg_signal_strength").desc_nulls_last())
+           .agg(F.try_divide(F.sum("sum_signal"), F.sum("n_signal")).alias("avg_signal_strength"),
+                F.try_divide(F.sum("sum_precission"), F.sum("n_precission")).alias("avg_precision")))
+    return _sorted(out, ordered, *operator_order())
 
 
 def postal_code_status(status: DataFrame, as_of: str | None, time_range: str = "1 hour",
@@ -73,20 +108,19 @@ def postal_code_status(status: DataFrame, as_of: str | None, time_range: str = "
            .groupBy("postal_code", "description")
            .agg(F.sum("status_count").cast("bigint").alias("status_count"))
            .withColumnRenamed("description", "status_description"))
-    return _sorted(out, ordered, F.col("postal_code").asc_nulls_last(),
-                   F.col("status_count").desc_nulls_last())
+    return _sorted(out, ordered, *status_order())
 
 
 def hourly_metrics(kpi: DataFrame, as_of: str | None, time_range: str = "24 hours",
                    mode: str = "interval", ordered: bool = True) -> DataFrame:
-    out = (time_range_filter(kpi, as_of, time_range, mode)
-           .groupBy("operator", hour_label().alias("hour_text"))
+    out = (merged_windows(time_range_filter(kpi, as_of, time_range, mode), hour_label().alias("hour_text"))
+           .groupBy("operator", "hour_text")
            .agg(F.avg("avg_signal").alias("avg_signal_strength"),
                 F.avg("avg_precission").alias("avg_precision"))
            .select("operator",
                    F.to_timestamp_ntz("hour_text", F.lit("yyyy-MM-dd HH:mm:ss")).alias("hour"),
                    "avg_signal_strength", "avg_precision"))
-    return _sorted(out, ordered, F.col("hour").asc_nulls_last(), F.col("operator").asc_nulls_last())
+    return _sorted(out, ordered, *hourly_order())
 
 
 def summary_cards(op_metrics: DataFrame, postal_status: DataFrame) -> DataFrame:
@@ -117,26 +151,17 @@ def distinct_status(postal_status: DataFrame) -> DataFrame:
             .distinct().orderBy("status_description"))
 
 
-def pivot_status(postal_status: DataFrame, values: list[str] | None = None,
-                 max_values: int = MAX_PIVOT_VALUES) -> DataFrame:
+def pivot_status(postal_status: DataFrame, values: list[str] | None = None) -> DataFrame:
     """postal code × status text → summed count, 0 where absent.
 
-    Pivot columns must be known when the plan is built. Without ``values``
-    they are fetched with one distinct job whose size is checked: more than
-    ``max_values`` texts is an error (a pivot that wide is not a table), and
-    nothing is silently cut.
+    Pivot columns must be known when the plan is built: ``values``, or else the
+    texts of ``distinct_status``, in order. How many there may be is the engine's
+    own limit (``spark.sql.pivotMaxValues``), which fails and cuts nothing.
     """
     keyed = postal_status.select(
         F.coalesce("postal_code", F.lit("")).alias("postal_code"),
         F.coalesce("status_description", F.lit("")).alias("status_description"),
         "status_count")
-    if values is None:
-        found = (keyed.select("status_description").distinct()
-                 .limit(max_values + 1).collect())
-        if len(found) > max_values:
-            raise ValueError(f"more than {max_values} status texts; pass values")
-        values = sorted(r[0] for r in found)
-    out = (keyed.groupBy("postal_code").pivot("status_description", values)
-           .agg(F.sum("status_count")))
-    return out.select("postal_code", *[F.coalesce(F.col(f"`{v}`"), F.lit(0))
-                                       .cast("bigint").alias(v) for v in values])
+    out = keyed.groupBy("postal_code").pivot("status_description", values).agg(F.sum("status_count"))
+    return out.select("postal_code", *[F.coalesce(F.col("`" + v.replace("`", "``") + "`"), F.lit(0))
+                                       .cast("bigint").alias(v) for v in out.columns[1:]])

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,14 +24,14 @@ from towerlens.operators.mapping import apply_mapping
 from towerlens.operators.parse import (
     encode_records, parse_records, type_records, with_processing_time,
 )
-from towerlens.plans.microbatch import KPI_INPUTS, MicroBatchWriter, clean_records, kpi_frames
+from towerlens.plans.microbatch import MicroBatchWriter, clean_records, kpi_frames
 from towerlens.schema import (
-    AVERAGE_BY_OPERATOR_SCHEMA, BATCH_KEY, PAYLOAD_FIELDS, RECORD_TS,
+    AVERAGE_BY_OPERATOR_SCHEMA, BATCH_KEY, INGEST_COLS, PAYLOAD_FIELDS, RECORD_TS,
     STATUS_BY_POSTAL_CODE_SCHEMA, WIRE_SCHEMA,
 )
 from towerlens.session import apply_job_conf, new_run_dir
 from towerlens.sinks.lake import publish_records, register_tables, write_result
-from towerlens.sources.events import RECORD_ID, load_events, load_table, wire_from_events
+from towerlens.sources.events import RECORD_ID, corrupted, load_table, wire_from_events
 from towerlens.sources.files import CSV_NULL_TOKEN, read_lake_table, scan_csv
 from towerlens.sources.stream import stream_source, with_record_ts
 from towerlens.streaming import jobs
@@ -53,7 +53,8 @@ COMPACT_UNTIL = "2024-01-20 00:00:00"
 
 DISTINCT_COLUMNS = ["network", "operator", "activity"]
 PROFILE_COLUMNS = ["network", "operator", "activity", "description"]
-DESCRIBE_COLUMNS = ["signal", "precission", "speed"]
+FIRST_N = 250
+PREVIEW = 10
 
 
 def rounded(df: DataFrame, digits: int = DIGITS, sum_digits: int = SUM_DIGITS) -> DataFrame:
@@ -67,7 +68,7 @@ def rounded(df: DataFrame, digits: int = DIGITS, sum_digits: int = SUM_DIGITS) -
 
 def _wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_job_conf(spark)
-    return wire_from_events(load_events(spark, sf_dir))
+    return wire_from_events(load_table(spark, sf_dir, "events"))
 
 
 def _typed(spark, sf_dir):
@@ -75,11 +76,13 @@ def _typed(spark, sf_dir):
 
 
 def _mapped(spark, sf_dir):
-    return clean_records(_wire(spark, sf_dir), only=KPI_INPUTS)
+    return clean_records(_wire(spark, sf_dir))
 
 
-def _kpi_tables(spark, sf_dir):
-    return kpi_frames(_mapped(spark, sf_dir))
+def _kpi_tables(spark, sf_dir, time_range=None, mode="interval"):
+    """Both KPI frames; with a range only of the records that it can need."""
+    since = serving.range_start(AS_OF, time_range, mode) if time_range else None
+    return kpi_frames(_mapped(spark, sf_dir), since=since)
 
 
 # ---------------------------------------------------------------- batch KPIs
@@ -117,6 +120,13 @@ def q_status_count_batch(spark, sf_dir):
 
 
 def q_kpi_operator_join(spark, sf_dir):
+    """Inner join of two KPI frames, each computed on its own."""
+    w = _wire(spark, sf_dir)
+    return rounded(kpis.join_operator_kpis(kpis.avg_signal_batch(w), kpis.avg_precision_batch(w)))
+
+
+def q_operator_kpis(spark, sf_dir):
+    """The same result in one aggregate."""
     return rounded(kpis.operator_kpis(_wire(spark, sf_dir)))
 
 
@@ -146,7 +156,13 @@ def q_row_count(spark, sf_dir):
 
 
 def q_describe_columns(spark, sf_dir):
-    return rounded(kpis.describe_columns(_typed(spark, sf_dir), DESCRIBE_COLUMNS))
+    typed = _typed(spark, sf_dir)
+    return rounded(kpis.describe_columns(typed.drop(RECORD_ID, RECORD_TS)))
+
+
+def q_preview_rows(spark, sf_dir):
+    """The first rows that come, counted: which rows these are is not defined."""
+    return kpis.row_count(_wire(spark, sf_dir).limit(PREVIEW))
 
 
 # ------------------------------------------------------- projections, casts
@@ -177,19 +193,22 @@ def q_remove_null_rows(spark, sf_dir):
 
 
 def q_drop_null_fields(spark, sf_dir):
-    return clean.drop_null_fields(_wire(spark, sf_dir))
+    """The columns that are left, as text, since which they are depends on the data."""
+    left = clean.drop_null_fields(_wire(spark, sf_dir))
+    shown = [F.concat(F.lit(f"{c}="), F.coalesce(c, F.lit("<null>"))) for c in left.columns if c in PAYLOAD_FIELDS]
+    return left.select(RECORD_ID, RECORD_TS, F.concat_ws("|", *shown).alias("fields"))
 
 
 def q_drop_fields(spark, sf_dir):
     w = _wire(spark, sf_dir)
     nested = w.select(RECORD_ID, RECORD_TS, F.struct(*PAYLOAD_FIELDS).alias("payload"))
-    dropped = clean.drop_fields(nested, ["payload.satellites", "payload.provider"])
+    dropped = clean.drop_fields(nested, [("payload", "satellites"), ("payload", "provider")])
     return dropped.select(RECORD_ID, RECORD_TS, "payload.*")
 
 
 def q_parse_records(spark, sf_dir):
     w = _wire(spark, sf_dir)
-    return parse_records(encode_records(w).drop("key", RECORD_TS))
+    return parse_records(corrupted(encode_records(w)).drop("key", RECORD_TS))
 
 
 def q_with_record_ts(spark, sf_dir):
@@ -214,65 +233,136 @@ def q_hour_label(spark, sf_dir):
 
 
 def q_time_range_filter(spark, sf_dir):
-    avg, _ = _kpi_tables(spark, sf_dir)
+    avg, _ = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
     return rounded(serving.time_range_filter(avg, AS_OF, OPERATOR_RANGE)
                    .select("batch_window", "operator", "avg_signal", "avg_precission",
                            "ingest_year", "ingest_month", "ingest_day", "ingest_hour"))
 
 
 def q_operator_metrics(spark, sf_dir):
-    avg, _ = _kpi_tables(spark, sf_dir)
+    avg, _ = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
     return rounded(serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE))
 
 
 def q_operator_metrics_weighted(spark, sf_dir):
-    avg, _ = _kpi_tables(spark, sf_dir)
+    avg, _ = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
     return rounded(serving.operator_metrics_weighted(avg, AS_OF, OPERATOR_RANGE))
 
 
 def q_postal_code_status(spark, sf_dir):
-    _, status = _kpi_tables(spark, sf_dir)
+    _, status = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
     return serving.postal_code_status(status, AS_OF, OPERATOR_RANGE)
 
 
 def q_hourly_metrics(spark, sf_dir):
-    avg, _ = _kpi_tables(spark, sf_dir)
+    avg, _ = _kpi_tables(spark, sf_dir, HOURLY_RANGE)
     return rounded(serving.hourly_metrics(avg, AS_OF, HOURLY_RANGE))
 
 
 def q_summary_cards(spark, sf_dir):
-    avg, status = _kpi_tables(spark, sf_dir)
+    avg, status = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
     return rounded(serving.summary_cards(
         serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE, ordered=False),
         serving.postal_code_status(status, AS_OF, OPERATOR_RANGE, ordered=False)))
 
 
 def q_pivot_status(spark, sf_dir):
-    _, status = _kpi_tables(spark, sf_dir)
-    return serving.pivot_status(serving.postal_code_status(status, AS_OF, OPERATOR_RANGE,
-                                                           ordered=False))
+    _, status = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
+    return _named_pivot(serving.pivot_status(serving.postal_code_status(status, AS_OF, OPERATOR_RANGE,
+                                                                        ordered=False)))
+
+
+def _named_pivot(pivot):
+    """SQL has no column with an empty name."""
+    return pivot.withColumnRenamed("", "blank")
+
+
+def _placed(df, *order):
+    """The place of each row in a served order (ties share one): the result is a few rows."""
+    return df.withColumn("position", F.rank().over(Window.orderBy(*order)).cast("bigint"))
+
+
+def q_operator_metrics_order(spark, sf_dir):
+    avg, _ = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
+    out = rounded(serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE, ordered=False))
+    return _placed(out, *serving.operator_order())
+
+
+def q_postal_code_status_order(spark, sf_dir):
+    _, status = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
+    return _placed(serving.postal_code_status(status, AS_OF, OPERATOR_RANGE, ordered=False), *serving.status_order())
+
+
+def q_hourly_metrics_order(spark, sf_dir):
+    avg, _ = _kpi_tables(spark, sf_dir, HOURLY_RANGE)
+    return _placed(rounded(serving.hourly_metrics(avg, AS_OF, HOURLY_RANGE, ordered=False)), *serving.hourly_order())
+
+
+def q_operator_metrics_reference_range(spark, sf_dir):
+    """The range read as the original did: "7 days" is 7 hours."""
+    avg, _ = _kpi_tables(spark, sf_dir, OPERATOR_RANGE, "reference")
+    return rounded(serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE, mode="reference"))
 
 
 def q_distinct_status(spark, sf_dir):
-    _, status = _kpi_tables(spark, sf_dir)
+    _, status = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
     return serving.distinct_status(serving.postal_code_status(status, AS_OF, OPERATOR_RANGE,
                                                               ordered=False))
 
 
 # -------------------------------------------------------------- lake tables
 
-def _write_one_batch(spark, sf_dir, name) -> MicroBatchWriter:
+def _write_one_batch(spark, sf_dir, name, raw=True) -> MicroBatchWriter:
     """Run the micro-batch body once over the whole table (one batch)."""
-    apply_job_conf(spark)
-    out = new_run_dir(spark, name)
-    writer = MicroBatchWriter(out, f"{name}-backfill")
-    # unspread input: the writer range-partitions it by time for the hour folders
-    writer(wire_from_events(load_table(spark, sf_dir, "events")), 0)
+    writer = MicroBatchWriter(new_run_dir(spark, name), f"{name}-backfill", raw=raw)
+    writer(_wire(spark, sf_dir), 0)
     return writer
 
 
+_LAKES: dict[tuple[str, str], MicroBatchWriter] = {}
+
+
+def _lake(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Both KPI tables as written to the lake, once for each session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        _LAKES[key] = _write_one_batch(spark, sf_dir, "lake", raw=False)
+    p = _LAKES[key].paths()
+    return (read_lake_table(spark, p["average_by_operator"], AVERAGE_BY_OPERATOR_SCHEMA),
+            read_lake_table(spark, p["status_by_postal_code"], STATUS_BY_POSTAL_CODE_SCHEMA))
+
+
+def q_lake_operator_metrics(spark, sf_dir):
+    return rounded(serving.operator_metrics(_lake(spark, sf_dir)[0], AS_OF, OPERATOR_RANGE))
+
+
+def q_lake_hourly_metrics(spark, sf_dir):
+    return rounded(serving.hourly_metrics(_lake(spark, sf_dir)[0], AS_OF, HOURLY_RANGE))
+
+
+def q_lake_postal_code_status(spark, sf_dir):
+    return serving.postal_code_status(_lake(spark, sf_dir)[1], AS_OF, OPERATOR_RANGE)
+
+
+def _lake_status(spark, sf_dir):
+    return serving.postal_code_status(_lake(spark, sf_dir)[1], AS_OF, OPERATOR_RANGE, ordered=False)
+
+
+def q_lake_summary_cards(spark, sf_dir):
+    avg, _ = _lake(spark, sf_dir)
+    return rounded(serving.summary_cards(serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE, ordered=False),
+                                         _lake_status(spark, sf_dir)))
+
+
+def q_lake_pivot_status(spark, sf_dir):
+    return _named_pivot(serving.pivot_status(_lake_status(spark, sf_dir)))
+
+
+def q_lake_distinct_status(spark, sf_dir):
+    return serving.distinct_status(_lake_status(spark, sf_dir))
+
+
 def _raw_schema(wire_like: T.StructType) -> T.StructType:
-    from towerlens.schema import INGEST_COLS
     return T.StructType(list(wire_like.fields)
                         + [T.StructField(c, T.StringType()) for c in INGEST_COLS + [BATCH_KEY]])
 
@@ -307,30 +397,56 @@ def q_register_tables(spark, sf_dir):
 
 
 def q_compacted_kpi_table(spark, sf_dir):
-    """Closed hours compacted to one file per hour, read together with the live rest."""
+    """Closed hours compacted, then a late batch into one of them: nothing is hidden.
+
+    Two batches by record id: the first is compacted up to COMPACT_UNTIL, the
+    second arrives afterwards, also for hours that are compacted already.
+    """
     from towerlens.sinks.lake import compact_hours, read_compacted
 
-    writer = _write_one_batch(spark, sf_dir, "compacted_kpi_table")
+    writer = MicroBatchWriter(new_run_dir(spark, "compacted_kpi_table"), "backfill", raw=False)
     live = writer.paths()["average_by_operator"]
     comp = f"{writer.out_dir}/average_by_operator_compacted"
+    wire = _wire(spark, sf_dir)
+    late = F.col(RECORD_ID) % 2 == 1
+    writer(wire.where(~late), 0)
     compact_hours(spark, live, comp, AVERAGE_BY_OPERATOR_SCHEMA, COMPACT_UNTIL)
-    return rounded(read_compacted(spark, live, comp, AVERAGE_BY_OPERATOR_SCHEMA, COMPACT_UNTIL))
+    writer(wire.where(late), 1)
+    rows = read_compacted(spark, live, comp, AVERAGE_BY_OPERATOR_SCHEMA)
+    # the two batches hold rows of the same windows: served as one row each
+    return rounded(serving.merged_windows(rows, *INGEST_COLS).select(
+        "batch_window", "operator", "avg_signal", "avg_precission", "sum_signal", "n_signal", "sum_precission",
+        "n_precission", *INGEST_COLS))
 
 
 def q_write_result(spark, sf_dir):
-    avg, _ = _kpi_tables(spark, sf_dir)
+    avg, _ = _kpi_tables(spark, sf_dir, OPERATOR_RANGE)
     path = new_run_dir(spark, "write_result")
     write_result(serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE), path)
     schema = "operator STRING, avg_signal_strength DOUBLE, avg_precision DOUBLE"
-    return rounded(spark.read.schema(schema).option("header", "true").csv(path))
+    # a quoted empty text stays one; an empty cell is NULL
+    return rounded(spark.read.schema(schema).option("header", "true").option("emptyValue", "").csv(path))
+
+
+def _replayed(spark, path):
+    """Published records read back; a key that is a time is shown as 'time'."""
+    back = spark.read.schema("key STRING, value STRING").json(path)
+    by_time = F.col("key").rlike(r"^[0-9]+\.[0-9]{6}$")
+    return parse_records(back.withColumn("key", F.when(by_time, F.lit("time")).otherwise(F.col("key"))))
 
 
 def q_replay_records(spark, sf_dir):
-    w = _wire(spark, sf_dir)
     path = new_run_dir(spark, "replay_records")
-    publish_records(encode_records(w), fmt="json", path=path)
-    back = spark.read.schema("key STRING, value STRING").json(path)
-    return parse_records(back)
+    publish_records(encode_records(_wire(spark, sf_dir)), fmt="json", path=path)
+    return _replayed(spark, path)
+
+
+def q_replay_first_n(spark, sf_dir):
+    """The first records by id, as the replay tool's limit publishes them."""
+    path = new_run_dir(spark, "replay_first_n")
+    w = _wire(spark, sf_dir)
+    publish_records(encode_records(w), fmt="json", path=path, limit=FIRST_N, order=[RECORD_ID])
+    return _replayed(spark, path)
 
 
 def q_scan_csv_null_token(spark, sf_dir):
@@ -376,26 +492,32 @@ def q_microbatch_kpis(spark, sf_dir):
                                    AVERAGE_BY_OPERATOR_SCHEMA).drop(BATCH_KEY))
 
 
+def _days(ev: DataFrame, parts: int) -> list:
+    """The midnights that cut the table's time span into ``parts`` about equal parts."""
+    low, high = ev.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [low + (high - low) * i / parts for i in range(1, parts)]
+    return [c.replace(hour=0, minute=0, second=0, microsecond=0) for c in cuts]
+
+
 def q_stream_restart(spark, sf_dir):
-    """Restart from the checkpoint: only new files are processed.
+    """Restarts and a new checkpoint: no batch lost, none counted twice.
 
-    The table arrives as two files (first and second half of the month, split
-    at midnight, which is also a 100-second window boundary); the job runs
-    after each, then once more with nothing new. The KPI table must equal one
-    pass over everything: no batch lost, none counted twice.
+    The first half of the time span arrives, the job runs, then runs again from
+    its checkpoint with nothing new. The second half is read by a new query with
+    a new checkpoint, whose batch ids begin at 0 again, into the same tables.
+    Halves meet at midnight, which is also the bound of a 100-second window.
     """
     apply_job_conf(spark)
     out = new_run_dir(spark, "stream_restart")
-    stage, ckpt = f"{out}/stage", f"{out}/_checkpoint"
     ev = load_table(spark, sf_dir, "events")
-    day = F.dayofmonth("ts")
-    for part in (day < 16, day >= 16, None):
-        if part is not None:
-            ev.filter(part).write.mode("append").parquet(stage)
-        s = stream_source(spark, stage, fmt="parquet", schema=ev.schema, ts_col="ts")
-        q, writer = jobs.start_microbatch_job(wire_from_events(s.drop(RECORD_TS)), out, ckpt,
-                                              available_now=True)
-        _run(q)
+    cut = F.lit(_days(ev, 2)[0]).cast("timestamp_ntz")
+    for stage, rows, runs in (("a", F.col("ts") < cut, 2), ("b", F.col("ts") >= cut, 1)):
+        ev.filter(rows).write.parquet(f"{out}/stage-{stage}")
+        for _ in range(runs):
+            s = stream_source(spark, f"{out}/stage-{stage}", fmt="parquet", schema=ev.schema, ts_col="ts")
+            q, writer = jobs.start_microbatch_job(wire_from_events(s.drop(RECORD_TS)), out,
+                                                  f"{out}/_checkpoint-{stage}", available_now=True)
+            _run(q)
     return read_lake_table(spark, writer.paths()["status_by_postal_code"],
                            STATUS_BY_POSTAL_CODE_SCHEMA).drop(BATCH_KEY)
 
@@ -405,7 +527,7 @@ def q_stream_kpi_append(spark, sf_dir):
     out = new_run_dir(spark, "stream_kpi_append")
     kpi = jobs.event_time_operator_kpis(_typed_stream(spark, sf_dir), WINDOW, DELAY)
     _run(jobs.start_event_time_sink(kpi, f"{out}/data", f"{out}/_checkpoint", available_now=True))
-    return rounded(spark.read.parquet(f"{out}/data"))
+    return rounded(spark.read.parquet(f"{out}/data").drop(*jobs.WINDOW_HOUR))
 
 
 def q_stream_kpi_update(spark, sf_dir):
@@ -448,11 +570,11 @@ def q_stream_source_earliest(spark, sf_dir):
     """Replayed JSON records read from the start, parsed with the wire schema."""
     apply_job_conf(spark)
     stage = new_run_dir(spark, "stream_stage")
-    publish_records(encode_records(_wire(spark, sf_dir)), fmt="json", path=stage)
+    publish_records(corrupted(encode_records(_wire(spark, sf_dir))), fmt="json", path=stage)
     s = stream_source(spark, stage, fmt="json", schema=T.StructType([
         T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]),
         starting="earliest")
-    parsed = parse_records(s).drop(RECORD_TS)
+    parsed = parse_records(s).drop(RECORD_TS, "key")
     return _passthrough(spark, parsed, "stream_source_earliest")
 
 
@@ -467,8 +589,9 @@ def q_late_data_drop(spark, sf_dir):
     out = new_run_dir(spark, "late_data_drop")
     stage, ckpt, data = f"{out}/stage", f"{out}/_checkpoint", f"{out}/data"
     ev = load_table(spark, sf_dir, "events")
-    day = F.dayofmonth("ts")
-    chunks = [day < 11, (day >= 11) & (day < 21), day >= 21, day < 11]
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in _days(ev, 3))
+    ts = F.col("ts")
+    chunks = [ts < first, (ts >= first) & (ts < second), ts >= second, ts < first]
     for cond in chunks:
         ev.filter(cond).write.mode("append").parquet(stage)
         s = stream_source(spark, stage, fmt="parquet", schema=ev.schema, ts_col="ts")
@@ -476,7 +599,7 @@ def q_late_data_drop(spark, sf_dir):
         typed = typed.withColumn(RECORD_TS, F.col(RECORD_TS).cast("timestamp"))
         kpi = jobs.event_time_operator_kpis(typed, LATE_WINDOW, LATE_DELAY)
         _run(jobs.start_event_time_sink(kpi, data, ckpt, available_now=True))
-    return rounded(spark.read.parquet(data))
+    return rounded(spark.read.parquet(data).drop(*jobs.WINDOW_HOUR))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -489,12 +612,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_precision_batch": q_avg_precision_batch,
     "status_count_batch": q_status_count_batch,
     "kpi_operator_join": q_kpi_operator_join,
+    "operator_kpis": q_operator_kpis,
     "generic_aggregate": q_generic_aggregate,
     "generic_aggregate_global": q_generic_aggregate_global,
     "distinct_values": q_distinct_values,
     "distinct_profile": q_distinct_profile,
     "row_count": q_row_count,
     "describe_columns": q_describe_columns,
+    "preview_rows": q_preview_rows,
     "calendar_parts": q_calendar_parts,
     "hour_label": q_hour_label,
     "time_range_filter": q_time_range_filter,
@@ -514,6 +639,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_cards": q_summary_cards,
     "pivot_status": q_pivot_status,
     "distinct_status": q_distinct_status,
+    "operator_metrics_order": q_operator_metrics_order,
+    "postal_code_status_order": q_postal_code_status_order,
+    "hourly_metrics_order": q_hourly_metrics_order,
+    "operator_metrics_reference_range": q_operator_metrics_reference_range,
+    "lake_operator_metrics": q_lake_operator_metrics,
+    "lake_hourly_metrics": q_lake_hourly_metrics,
+    "lake_postal_code_status": q_lake_postal_code_status,
+    "lake_summary_cards": q_lake_summary_cards,
+    "lake_pivot_status": q_lake_pivot_status,
+    "lake_distinct_status": q_lake_distinct_status,
     "scan_kpi_table": q_scan_kpi_table,
     "batch_raw_sink": q_batch_raw_sink,
     "batch_kpi_sink": q_batch_kpi_sink,
@@ -521,6 +656,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compacted_kpi_table": q_compacted_kpi_table,
     "write_result": q_write_result,
     "replay_records": q_replay_records,
+    "replay_first_n": q_replay_first_n,
     "scan_csv_null_token": q_scan_csv_null_token,
     "microbatch_kpis": q_microbatch_kpis,
     "stream_restart": q_stream_restart,

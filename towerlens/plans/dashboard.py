@@ -1,7 +1,8 @@
 """Serving plan: every figure the dashboard shows, from the lake tables.
 
 The KPI tables are read with explicit schemas and filtered once by the range
-rule (a partition filter, so only the hours in range are listed and read).
+rule (a partition filter, so only the hours in range are opened; a catalog
+table does not list the others either).
 The filtered frames are small (rows per batch window × operator / postal
 code over the range) and are persisted for the five results built from them,
 then released with ``close()``.

@@ -1,64 +1,52 @@
 """The live job's micro-batch body.
 
 guard → persist → raw write (uncleaned) → drop blank fields → drop blank
-rows → mapping → two KPI aggregates → two KPI writes → unpersist.
+rows → mapping → two KPI aggregates → two KPI writes → unpersist. Records that
+are no JSON go to a dead-letter table of the same batch.
 
 KPIs are keyed by the arrival window of each record (``batch_window``,
-100-second windows by default), which is what one 100-second trigger holds in
-a live run. A replay or backfill that delivers many windows in one Spark
-batch therefore gives the same KPI rows as the live job would have.
+100-second windows by default). A trigger does not line up with these windows,
+so two batches may each write a row for one window and operator; readers that
+average the windows merge such rows from their sums and counts first
+(``operators.serving``). The blank-field decision is made for a batch as a
+whole: text that only a blank column holds ('null', '') is cleared in a batch
+whose column holds nothing else, and kept in a batch where it does. A backfill
+of many windows in one batch decides once for all of them.
 """
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from towerlens.functions.timeparts import MICRO_BATCH_SECONDS, ingest_parts
-from towerlens.operators.clean import (
-    drop_fields, drop_null_fields, remove_null_rows, scan_null_fields,
-)
+from towerlens.functions.timeparts import MICRO_BATCH_SECONDS, check_window, ingest_parts
+from towerlens.operators.clean import drop_fields, drop_null_fields, remove_null_rows, scan_null_fields
 from towerlens.operators.kpis import average_by_operator, status_by_postal_code, with_batch_window
 from towerlens.operators.mapping import apply_mapping
-from towerlens.schema import RECORD_TS
-from towerlens.operators.partitioning import spread_by_time
-from towerlens.sinks.lake import (
-    add_batch_partitions, add_ingest_partitions, cluster_by_partition, write_batch_table,
-)
+from towerlens.schema import CORRUPT, INGEST_COLS, RECORD_TS
+from towerlens.sinks.lake import add_batch_partitions, add_ingest_partitions, cluster_by_partition, write_batch_table
 
 
-# Columns the two KPI aggregates read (after mapping).
-KPI_INPUTS = ["operator", "signal", "precission", "postal_code", "description", "status", RECORD_TS]
+def clean_records(batch: DataFrame, null_is_blank: bool = False) -> DataFrame:
+    """drop blank fields → drop blank rows (over all payload fields) → mapping."""
+    return apply_mapping(remove_null_rows(drop_null_fields(batch, null_is_blank=null_is_blank)))
 
 
-def clean_records(batch: DataFrame, null_is_blank: bool = False,
-                  only: list[str] | None = None) -> DataFrame:
-    """drop blank fields → drop blank rows → mapping.
-
-    With ``only``, the blank-field scan looks at those columns alone. The
-    mapping re-creates every mapped column, so the drop decision for a column
-    that is not read later cannot change the result; skipping it makes the
-    scan (one aggregate job per batch) proportionally cheaper.
-    """
-    scoped = _scope(batch, only)
-    return apply_mapping(remove_null_rows(drop_null_fields(scoped, null_is_blank=null_is_blank)))
-
-
-def _scope(batch: DataFrame, only: list[str] | None) -> DataFrame:
-    return batch.select(*[c for c in batch.columns if c in set(only)]) if only else batch
-
-
-def kpi_frames(mapped: DataFrame, window_seconds: int = MICRO_BATCH_SECONDS
-               ) -> tuple[DataFrame, DataFrame]:
+def kpi_frames(mapped: DataFrame, window_seconds: int = MICRO_BATCH_SECONDS,
+               since: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(average_by_operator, status_by_postal_code) per arrival window.
 
-    Ingest partition text comes from the window start (windows never straddle
-    an hour: 3600 is a multiple of the window length).
+    Ingest partition text comes from the window start; the window length divides
+    an hour, so no window straddles one. ``since`` (a time) keeps the records from
+    then on: the range of a question, applied below the aggregates, where it
+    reaches the scan.
     """
+    check_window(window_seconds)
+    if since is not None:
+        mapped = mapped.where(F.col(RECORD_TS) >= F.lit(since).cast("timestamp_ntz"))
     tagged = with_batch_window(mapped, window_seconds)
     start = F.timestamp_seconds(F.col("batch_window") * F.lit(window_seconds))
     avg = average_by_operator(tagged, keys=("batch_window",)).select("*", *ingest_parts(start))
@@ -66,18 +54,14 @@ def kpi_frames(mapped: DataFrame, window_seconds: int = MICRO_BATCH_SECONDS
     return avg, status
 
 
-def query_tag(name: str, checkpoint: str) -> str:
-    """Identity of a writing query: its name plus its checkpoint location.
-
-    Batch ids restart at 0 with a new checkpoint; the tag keeps the batches of
-    two query incarnations apart so one can never overwrite the other.
-    """
-    return f"{name}-{hashlib.sha1(checkpoint.encode()).hexdigest()[:10]}"
-
-
 @dataclass
 class MicroBatchWriter:
-    """foreachBatch callable writing raw rows and both KPI tables."""
+    """foreachBatch callable writing raw rows, both KPI tables and dead letters.
+
+    The batches of a streaming query are tagged with the id that its checkpoint
+    holds, so batch ids that begin again with a new checkpoint (at whatever path)
+    never replace older batches. Outside a stream, ``tag`` is the identity.
+    """
 
     out_dir: str
     tag: str
@@ -86,37 +70,51 @@ class MicroBatchWriter:
     # catalog tables (name → qualified table) to extend with each batch's
     # partitions, e.g. {"average_by_operator": "db.average_by_operator"}
     catalog: dict[str, str] | None = None
+    raw: bool = True
+
+    def __post_init__(self) -> None:
+        check_window(self.window_seconds)
 
     def paths(self) -> dict[str, str]:
         return {n: f"{self.out_dir}/{n}" for n in
-                ("raw", "average_by_operator", "status_by_postal_code")}
+                ("raw", "average_by_operator", "status_by_postal_code", "dead_letter")}
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            key = f"{self.tag}-{query_id(batch_df) or 'batch'}-{epoch_id}"
+            p = self.paths()
+            if CORRUPT in batch.columns:
+                bad = batch.where(F.col(CORRUPT).isNotNull()).select(
+                    *[c for c in ("key", RECORD_TS, CORRUPT) if c in batch.columns])
+                if not bad.isEmpty():
+                    write_batch_table(add_ingest_partitions(bad), p["dead_letter"], key)
+            good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "key") if CORRUPT in batch.columns else batch
             # one job: the blank-field decision and the empty-batch guard
-            scoped = _scope(batch, KPI_INPUTS)
-            blank, n_rows = scan_null_fields(scoped, null_is_blank=self.null_is_blank)
+            blank, n_rows = scan_null_fields(good, null_is_blank=self.null_is_blank)
             if n_rows == 0:
                 return
-            key = f"{self.tag}-{epoch_id}"
-            p = self.paths()
-            raw = add_ingest_partitions(spread_by_time(batch, RECORD_TS), RECORD_TS)
-            write_batch_table(raw, p["raw"], key, compression="none")
-            mapped = apply_mapping(remove_null_rows(drop_fields(scoped, blank)))
+            if self.raw:
+                write_batch_table(cluster_by_partition(add_ingest_partitions(good)), p["raw"], key, compression="none")
+            mapped = apply_mapping(remove_null_rows(drop_fields(good, blank)))
             avg, status = kpi_frames(mapped, self.window_seconds)
             write_batch_table(cluster_by_partition(avg), p["average_by_operator"], key,
                               compression="none")
             write_batch_table(cluster_by_partition(status), p["status_by_postal_code"], key,
                               compression="snappy")
             if self.catalog:
-                self._register(batch, key)
+                self._register(good, key)
         finally:
             batch.unpersist()
 
     def _register(self, batch: DataFrame, key: str) -> None:
-        # the batch's hours: one row per hour it spans (1-2 for a live batch)
-        hours = [tuple(r) for r in batch.select(*ingest_parts(RECORD_TS)).distinct().collect()]
+        """Add the batch's hours to the catalog (1-2 for a live batch, a row for each hour of a backlog)."""
+        hours = [tuple(r) for r in batch.select(*ingest_parts(RECORD_TS)).distinct().sort(*INGEST_COLS).collect()]
         spark = batch.sparkSession
         for name, table in self.catalog.items():
             add_batch_partitions(spark, table, key, hours)
+
+
+def query_id(batch_df: DataFrame) -> str | None:
+    """Id of the streaming query whose batch this is, as its checkpoint holds it."""
+    return batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")

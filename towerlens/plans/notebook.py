@@ -9,7 +9,6 @@ from towerlens.operators.parse import type_records
 from towerlens.sources.files import CSV_NULL_TOKEN, scan_csv
 
 PROFILE_COLUMNS = ["network", "operator", "activity", "description"]
-DESCRIBE_COLUMNS = ["signal", "precission", "speed", "satellites", "lat", "long"]
 
 
 def notebook_frames(spark: SparkSession, csv_path: str,
@@ -19,11 +18,12 @@ def notebook_frames(spark: SparkSession, csv_path: str,
     typed = type_records(raw)
     return {
         "row_count": kpis.row_count(raw),
-        "describe": kpis.describe_columns(typed, DESCRIBE_COLUMNS),
+        "describe": kpis.describe_columns(typed),
         "distinct_values": kpis.distinct_values(raw, PROFILE_COLUMNS[:3]),
         "distinct_profile": kpis.distinct_profile(raw, PROFILE_COLUMNS),
         "avg_signal": kpis.avg_signal_batch(raw),
         "avg_precision": kpis.avg_precision_batch(raw),
         "status_count": kpis.status_count_batch(raw),
-        "kpi_operator": kpis.operator_kpis(raw),
+        "kpi_operator": kpis.join_operator_kpis(kpis.avg_signal_batch(raw), kpis.avg_precision_batch(raw)),
+        "kpi_operator_fused": kpis.operator_kpis(raw),
     }

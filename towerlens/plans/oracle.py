@@ -9,44 +9,56 @@ Spark side.
 from __future__ import annotations
 
 from towerlens.plans import catalog as C
+from towerlens.sources.events import CORRUPT_AT, CORRUPT_EVERY, FAULTS
 
 D = C.DIGITS
 
-_WIRE = """
+_PAYLOAD = ["hour", "lat", "long", "signal", "network", "operator", "status",
+            "description", "speed", "satellites", "precission", "provider",
+            "activity", "postal_code"]
+
+_CLEAN_WIRE = {
+    "hour": "strftime(ts, '%H:%M:%S')",
+    "lat": "'41.' || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0')",
+    "long": "'2.' || lpad(CAST((user_id * 7) % 1000 AS VARCHAR), 3, '0')",
+    "signal": "k_text",
+    "network": "'net_' || CAST(user_id % 3 AS VARCHAR)",
+    "operator": "event_type",
+    "status": "CAST(k % 4 AS VARCHAR)",
+    "description": "'state_' || CAST(k % 4 AS VARCHAR)",
+    "speed": "CAST(value AS VARCHAR)",
+    "satellites": "''",
+    "precission": "CAST(value AS VARCHAR)",
+    "provider": "'null'",
+    "activity": "'act_' || CAST(user_id % 5 AS VARCHAR)",
+    "postal_code": "'08' || lpad(CAST(user_id % 20 AS VARCHAR), 3, '0')",
+}
+
+
+def _faulty(field: str) -> str:
+    """The adapter's faulty records; a later rule goes before an earlier one."""
+    cases = "".join(
+        f" WHEN event_id % {every} = {at} THEN " + ("NULL" if text is None else f"'{text}'")
+        for fields, every, at, text in reversed(FAULTS) if field in fields)
+    return f"CASE{cases} ELSE {_CLEAN_WIRE[field]} END"
+
+
+_WIRE = f"""
 ev AS (
   SELECT *, json_extract_string(props, '$.k') AS k_text,
          TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
   FROM events
 ),
 wire AS (
-  SELECT strftime(ts, '%H:%M:%S') AS hour,
-         '41.' || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') AS lat,
-         '2.' || lpad(CAST((user_id * 7) % 1000 AS VARCHAR), 3, '0') AS long,
-         k_text AS signal,
-         'net_' || CAST(user_id % 3 AS VARCHAR) AS network,
-         event_type AS operator,
-         CAST(k % 4 AS VARCHAR) AS status,
-         'state_' || CAST(k % 4 AS VARCHAR) AS description,
-         CAST(value AS VARCHAR) AS speed,
-         '' AS satellites,
-         CAST(value AS VARCHAR) AS precission,
-         'null' AS provider,
-         'act_' || CAST(user_id % 5 AS VARCHAR) AS activity,
-         '08' || lpad(CAST(user_id % 20 AS VARCHAR), 3, '0') AS postal_code,
-         ts AS record_ts,
-         event_id AS record_id
+  SELECT {', '.join(f'{_faulty(c)} AS {c}' for c in _PAYLOAD)}, ts AS record_ts, event_id AS record_id
   FROM ev
 )"""
 
-_PAYLOAD = ["hour", "lat", "long", "signal", "network", "operator", "status",
-            "description", "speed", "satellites", "precission", "provider",
-            "activity", "postal_code"]
-
 _TYPED = """
 typed AS (
   SELECT hour AS measured_at_text, TRY_CAST(lat AS DOUBLE) AS lat,
          TRY_CAST(long AS DOUBLE) AS long,
-         TRY_CAST(TRY_CAST(signal AS DOUBLE) AS INTEGER) AS signal,
+         TRY_CAST(trunc(TRY_CAST(signal AS DOUBLE)) AS INTEGER) AS signal,
          network, operator, status, description,
          TRY_CAST(speed AS DOUBLE) AS speed, TRY_CAST(satellites AS DOUBLE) AS satellites,
          TRY_CAST(precission AS DOUBLE) AS precission, provider, activity, postal_code,
@@ -82,7 +94,7 @@ nonblank AS (
   WHERE NOT ({' AND '.join(f"coalesce(trim({c}), '') = ''" for c in _PAYLOAD)})
 ),
 mapped AS (
-  SELECT hour, lat, long, TRY_CAST(TRY_CAST(signal AS DOUBLE) AS INTEGER) AS signal,
+  SELECT hour, lat, long, TRY_CAST(trunc(TRY_CAST(signal AS DOUBLE)) AS INTEGER) AS signal,
          network, operator, status, description, speed, satellites,
          TRY_CAST(precission AS DOUBLE) AS precission, provider, activity, postal_code,
          record_ts
@@ -121,16 +133,16 @@ M = _with(_WIRE, _mapped())
 K = _with(_WIRE, _mapped(), _kpi())
 
 
-def _hours(text: str) -> int:
+def _hours(text: str, mode: str = "interval") -> int:
     from towerlens.functions.timeparts import parse_range_hours
-    return parse_range_hours(text)
+    return parse_range_hours(text, mode)
 
 
 LABEL = "ingest_year || '-' || ingest_month || '-' || ingest_day || ' ' || ingest_hour || ':00:00'"
 
 
-def _bound(range_text: str) -> str:
-    return (f"strftime(TIMESTAMP '{C.AS_OF}' - INTERVAL {_hours(range_text)} HOUR, "
+def _bound(range_text: str, mode: str = "interval") -> str:
+    return (f"strftime(TIMESTAMP '{C.AS_OF}' - INTERVAL {_hours(range_text, mode)} HOUR, "
             f"'%Y-%m-%d %H:%M:%S')")
 
 
@@ -184,6 +196,26 @@ _INGEST = ("strftime(record_ts, '%Y') AS ingest_year, strftime(record_ts, '%m')
 
 _KEPT = [c for c in _PAYLOAD if c not in ("satellites", "provider")]
 
+_LEFT = ", ".join(f"CASE WHEN (SELECT {c} FROM blank) THEN NULL ELSE '{c}=' || coalesce({c}, '<null>') END"
+                  for c in _PAYLOAD)
+
+_NO_JSON = f"record_id % {CORRUPT_EVERY} = {CORRUPT_AT}"
+_PARSED = (", ".join(f"CASE WHEN {_NO_JSON} THEN NULL ELSE {c} END AS {c}" for c in _PAYLOAD)
+           + f", CASE WHEN {_NO_JSON} THEN 'no json ' || record_id END AS _corrupt")
+_KEYED = f"coalesce(nullif(network, ''), 'time') AS key, {_WIRE_COLS}, CAST(NULL AS VARCHAR) AS _corrupt"
+
+_NUMBERS = ("lat", "long", "signal", "speed", "satellites", "precission")
+
+
+def _describe(c: str) -> str:
+    number = f"CAST({c} AS DOUBLE)" if c in _NUMBERS else f"TRY_CAST({c} AS DOUBLE)"
+    ends = (f"{_r(f'min({number})')} AS min_value, {_r(f'max({number})')} AS max_value, "
+            "CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text" if c in _NUMBERS else
+            "CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value, "
+            f"min({c}) AS min_text, max({c}) AS max_text")
+    return (f"SELECT '{c}' AS column_name, count({c}) AS count, {_r(f'avg({number})')} AS mean, "
+            f"{_r(f'stddev_samp({number})')} AS stddev, {ends} FROM typed")
+
 
 def _event_windows(width: str, delay: str | None, extra_where: str = "") -> str:
     close = (f"AND window_start + INTERVAL {width} <= "
@@ -198,15 +230,33 @@ GROUP BY window_start, operator"""
 
 
 def _pivot_sql() -> str:
-    states = [f"state_{i}" for i in range(4)]
     cols = ", ".join(
-        f"CAST(sum(CASE WHEN status_description = '{s}' THEN status_count ELSE 0 END) AS BIGINT) AS {s}"
-        for s in states)
+        f"CAST(sum(CASE WHEN coalesce(status_description, '') = '{s}' THEN status_count ELSE 0 END) AS BIGINT) AS {n}"
+        for s, n in [("", "blank"), *((f"state_{i}", f"state_{i}") for i in range(4))])
     return f"""{KO}
 SELECT coalesce(postal_code, '') AS postal_code, {cols}
 FROM postal GROUP BY 1"""
 
 
+_JOINED = f"""{W},
+s AS (SELECT operator, avg(TRY_CAST(signal AS DOUBLE)) AS avg_signal_strength FROM wire GROUP BY operator),
+p AS (SELECT operator, avg(TRY_CAST(precission AS DOUBLE)) AS avg_gps_precision FROM wire GROUP BY operator)
+SELECT s.operator, {_r('avg_signal_strength')} AS avg_signal_strength,
+       {_r('avg_gps_precision')} AS avg_gps_precision
+FROM s JOIN p ON s.operator = p.operator"""
+
+_OPERATOR_ROWS = f"""
+SELECT operator, {_r('avg_signal_strength')} AS avg_signal_strength,
+       {_r('avg_precision')} AS avg_precision FROM op_metrics"""
+
+_HOURLY_ROWS = f"""
+SELECT operator, strptime({LABEL}, '%Y-%m-%d %H:%M:%S') AS hour,
+       {_r('avg(avg_signal)')} AS avg_signal_strength,
+       {_r('avg(avg_precission)')} AS avg_precision
+FROM kpi WHERE {LABEL} >= {_bound(C.HOURLY_RANGE)}
+GROUP BY operator, {LABEL}"""
+
+
 ORACLE: dict[str, str] = {
     "average_by_operator": f"{M}\n{_AVG_BY_OP}",
     "status_by_postal_code": f"""{M}
@@ -229,12 +279,8 @@ SELECT operator, {_r('avg(TRY_CAST(precission AS DOUBLE))')} AS avg_gps_precisio
 FROM wire GROUP BY operator""",
     "status_count_batch": f"""{W}
 SELECT postal_code, status, count(*) AS status_count FROM wire GROUP BY postal_code, status""",
-    "kpi_operator_join": f"""{W},
-s AS (SELECT operator, avg(TRY_CAST(signal AS DOUBLE)) AS avg_signal_strength FROM wire GROUP BY operator),
-p AS (SELECT operator, avg(TRY_CAST(precission AS DOUBLE)) AS avg_gps_precision FROM wire GROUP BY operator)
-SELECT s.operator, {_r('avg_signal_strength')} AS avg_signal_strength,
-       {_r('avg_gps_precision')} AS avg_gps_precision
-FROM s JOIN p ON s.operator = p.operator""",
+    "kpi_operator_join": _JOINED,
+    "operator_kpis": _JOINED,
     "generic_aggregate": f"""{T}
 SELECT network, max(signal) AS max_signal, {_r('min(speed)')} AS min_speed,
        count(status) AS count_status
@@ -253,14 +299,8 @@ UNION ALL SELECT 'operator', count(*) FROM (SELECT DISTINCT operator FROM wire)
 UNION ALL SELECT 'activity', count(*) FROM (SELECT DISTINCT activity FROM wire)
 UNION ALL SELECT 'description', count(*) FROM (SELECT DISTINCT description FROM wire)""",
     "row_count": "SELECT count(*) AS n_rows FROM events",
-    "describe_columns": f"""{T}
-""" + "\nUNION ALL ".join(
-        f"SELECT '{name}' AS summary, "
-        + ", ".join(f"{_r(fn.format(c=c))} AS {c}" for c in C.DESCRIBE_COLUMNS)
-        + " FROM typed"
-        for name, fn in [("count", "CAST(count({c}) AS DOUBLE)"), ("mean", "avg({c})"),
-                         ("stddev", "stddev_samp({c})"), ("min", "CAST(min({c}) AS DOUBLE)"),
-                         ("max", "CAST(max({c}) AS DOUBLE)")]),
+    "describe_columns": f"{T}\n" + "\nUNION ALL ".join(map(_describe, ["measured_at_text", *_PAYLOAD[1:]])),
+    "preview_rows": f"SELECT least(count(*), {C.PREVIEW}) AS n_rows FROM events",
     "calendar_parts": f"{T}\nSELECT record_id, {_CAL} FROM typed",
     "hour_label": f"""{K}
 SELECT batch_window, operator, {LABEL} AS hour_label FROM kpi""",
@@ -274,7 +314,7 @@ FROM kpi WHERE {LABEL} >= {_bound(C.OPERATOR_RANGE)}""",
 SELECT record_id, {_r('TRY_CAST(signal AS DOUBLE)')} AS signal,
        {_r('TRY_CAST(precission AS DOUBLE)')} AS precission FROM wire""",
     "apply_mapping": f"""{W}
-SELECT hour, lat, long, TRY_CAST(TRY_CAST(signal AS DOUBLE) AS INTEGER) AS signal, network,
+SELECT hour, lat, long, TRY_CAST(trunc(TRY_CAST(signal AS DOUBLE)) AS INTEGER) AS signal, network,
        operator, status, description, speed, satellites,
        {_r('TRY_CAST(precission AS DOUBLE)')} AS precission, provider, activity, postal_code,
        record_ts
@@ -282,12 +322,11 @@ FROM wire""",
     "remove_null_rows": f"""{W}
 SELECT * FROM wire
 WHERE NOT ({' AND '.join(f"coalesce(trim({c}), '') = ''" for c in _PAYLOAD)})""",
-    "drop_null_fields": f"{W}\nSELECT {', '.join(_KEPT)}, record_ts, record_id FROM wire",
+    "drop_null_fields": f"{W},{_blank_flags()}\nSELECT record_id, record_ts, concat_ws('|', {_LEFT}) AS fields FROM wire",
     "drop_fields": f"{W}\nSELECT record_id, record_ts, {', '.join(_KEPT)} FROM wire",
-    "parse_records": f"{W}\nSELECT record_id, {_WIRE_COLS}, CAST(NULL AS VARCHAR) AS _corrupt FROM wire",
+    "parse_records": f"{W}\nSELECT record_id, {_PARSED} FROM wire",
     "with_record_ts": "SELECT event_id AS record_id, ts AS record_ts FROM events",
-    "with_processing_time": "SELECT event_id AS record_id, event_type AS operator, "
-                            "true AS has_processing_time FROM events",
+    "with_processing_time": f"{W}\nSELECT record_id, operator, true AS has_processing_time FROM wire",
     "operator_metrics": f"""{KO}
 SELECT operator, {_r('avg_signal_strength')} AS avg_signal_strength,
        {_r('avg_precision')} AS avg_precision FROM op_metrics""",
@@ -309,6 +348,18 @@ SELECT (SELECT count(*) FROM op_metrics) AS operators,
        (SELECT count(DISTINCT coalesce(postal_code, '')) FROM postal) AS postal_codes""",
     "pivot_status": _pivot_sql(),
     "distinct_status": f"{KO}\nSELECT DISTINCT coalesce(status_description, '') AS status_description FROM postal",
+    "operator_metrics_order": f"""{KO}
+SELECT *, rank() OVER (ORDER BY avg_signal_strength DESC NULLS LAST) AS position FROM ({_OPERATOR_ROWS})""",
+    "postal_code_status_order": f"""{KO}
+SELECT *, rank() OVER (ORDER BY postal_code NULLS LAST, status_count DESC NULLS LAST) AS position FROM postal""",
+    "hourly_metrics_order": f"""{K}
+SELECT *, rank() OVER (ORDER BY hour NULLS LAST, operator NULLS LAST) AS position FROM ({_HOURLY_ROWS})""",
+    "operator_metrics_reference_range": f"""{K}
+SELECT operator, {_r('avg(avg_signal)')} AS avg_signal_strength, {_r('avg(avg_precission)')} AS avg_precision
+FROM kpi WHERE {LABEL} >= {_bound(C.OPERATOR_RANGE, 'reference')} GROUP BY operator""",
+    "lake_operator_metrics": f"{KO}{_OPERATOR_ROWS}",
+    "lake_hourly_metrics": f"{K}{_HOURLY_ROWS}",
+    "lake_postal_code_status": f"{KO}\nSELECT * FROM postal",
     "scan_kpi_table": f"""{KO}
 SELECT operator, {_r('avg_signal_strength')} AS avg_signal_strength,
        {_r('avg_precision')} AS avg_precision FROM op_metrics""",
@@ -319,7 +370,8 @@ SELECT operator, {_r('avg_signal_strength')} AS avg_signal_strength,
     "write_result": f"""{KO}
 SELECT operator, {_r('avg_signal_strength')} AS avg_signal_strength,
        {_r('avg_precision')} AS avg_precision FROM op_metrics""",
-    "replay_records": f"{W}\nSELECT network AS key, {_WIRE_COLS}, CAST(NULL AS VARCHAR) AS _corrupt FROM wire",
+    "replay_records": f"{W}\nSELECT {_KEYED} FROM wire",
+    "replay_first_n": f"{W}\nSELECT {_KEYED} FROM (SELECT * FROM wire ORDER BY record_id LIMIT {C.FIRST_N})",
     "scan_csv_null_token": f"{W}\nSELECT {_WIRE_COLS} FROM wire",
     "microbatch_kpis": f"{K}\n{_KPI_ROWS}",
     "stream_restart": f"{K}\n{_STATUS_ROWS}",
@@ -335,6 +387,7 @@ SELECT hour AS measured_at_text, lat, long, signal, network, operator, status, d
        {_CAL} FROM wire""",
     "stream_source": f"""{W}
 SELECT * FROM wire WHERE record_ts >= TIMESTAMP '{C.STREAM_START}'""",
-    "stream_source_earliest": f"{W}\nSELECT network AS key, {_WIRE_COLS}, CAST(NULL AS VARCHAR) AS _corrupt FROM wire",
+    "stream_source_earliest": f"{W}\nSELECT {_PARSED} FROM wire",
     "late_data_drop": _event_windows("1 DAY", "1 HOUR"),
 }
+ORACLE |= {f"lake_{k}": ORACLE[k] for k in ("summary_cards", "pivot_status", "distinct_status")}

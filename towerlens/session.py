@@ -1,13 +1,15 @@
 """Session construction and the shared working folder.
 
-On a cluster the shared folder is the one named by ``spark.checkpoint.dir``
-(HDFS / object store), read from the running session. Only when the session
-has none (unit tests, a bare local session) do we create one.
+The shared folder is the one named by ``spark.checkpoint.dir`` (HDFS / object
+store), read from the running session. A session on a cluster must name one. Only
+a ``local`` master, whose executors are the driver, may do without: it gets a
+folder of its own.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,7 +36,7 @@ def build_session(master: str | None = None, app_name: str = "towerlens",
         builder = builder.master(master)
     conf = dict(_JOB_CONF)
     conf["spark.ui.enabled"] = "false"
-    conf["spark.driver.memory"] = os.environ.get("TOWERLENS_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("TOWERLENS_DRIVER_MEMORY", "4g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -59,26 +61,21 @@ def apply_job_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-visible working folder (``spark.checkpoint.dir``).
 
-    Read from the session; a private folder is created only when unset.
+    Unset: a folder of its own under a ``local`` master, an error on a cluster
+    (each executor would write to its own disk).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext)
-        sc = None
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = spark.sparkContext
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="towerlens-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(configured)
+        if not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="towerlens-local-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared working folder."""
-    base = shared_dir(spark)
-    path = f"{base}/towerlens/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, never reused path under the shared working folder (writers create it)."""
+    return f"{shared_dir(spark)}/towerlens/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,56 +1,57 @@
 """Lake writes.
 
-Layout: ``<table>/batch_key=<query>-<batch>/ingest_year=YYYY/ingest_month=MM/
-ingest_day=DD/ingest_hour=HH/part-*.parquet``. The ingest hour is derived from
-the records' own arrival time (not the driver clock), and ``batch_key``
-identifies the writing query and micro-batch. A batch write replaces its own
-``batch_key=`` folder (a static overwrite of that one path), so a retried or
-replayed batch leaves the table unchanged instead of duplicating rows, and no
-other batch's files are ever touched. Readers see all five as partition
-columns; a filter on the ingest columns prunes folders whatever their depth.
+Layout: ``<table>/ingest_year=YYYY/ingest_month=MM/ingest_day=DD/ingest_hour=HH/
+batch_key=<query>-<batch>/part-*.parquet``. The ingest hour is derived from the
+records' own arrival time (not the driver clock), and ``batch_key`` identifies
+the writing query and micro-batch. A batch write replaces the leaves that it
+writes (dynamic partition overwrite), so a retried or replayed batch leaves the
+table unchanged instead of duplicating rows, and no other batch's files are ever
+touched. Hours come first: a catalog table lists and opens only the hours of a
+question. A read by path lists the table's folders first and then opens only
+those hours.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from towerlens.functions.timeparts import ingest_parts
-from towerlens.operators.select import first_n_rows
+from towerlens.functions.timeparts import hour_label, ingest_parts
 from towerlens.schema import BATCH_KEY, INGEST_COLS, RECORD_TS
+from towerlens.sources.files import read_lake_table
 
+LEAF_COLS = INGEST_COLS + [BATCH_KEY]
 
-def add_ingest_partitions(df: DataFrame, ts: str = RECORD_TS) -> DataFrame:
-    return df.select("*", *ingest_parts(ts))
+#: How Spark names the partition of a NULL value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+#: Partitions that one catalog statement adds.
+ADD_AT_ONCE = 200
 
 
-def batch_path(table_path: str, batch_key: str) -> str:
-    return f"{table_path.rstrip('/')}/{BATCH_KEY}={batch_key}"
+def add_ingest_partitions(df: DataFrame, ts: str = RECORD_TS) -> DataFrame:
+    return df.select("*", *ingest_parts(ts))
 
 
 def cluster_by_partition(df: DataFrame, partition_cols: list[str] | None = None) -> DataFrame:
-    """Hash-cluster a small (aggregated) frame by its partition columns.
+    """Cluster a frame by its partition columns before a write.
 
-    Each partition folder is then written by one task: one file per folder
-    instead of one per (task, folder). The partition count is explicit, so
-    AQE does not fold the writers into a single task.
+    A rebalance: rows of one folder go together where they are few (a file a
+    folder), and AQE splits a folder that is large over several tasks.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *(partition_cols or INGEST_COLS))
+    return df.hint("rebalance", *(partition_cols or INGEST_COLS))
 
 
 def write_batch_table(df: DataFrame, path: str, batch_key: str,
                       compression: str = "snappy",
-                      partition_cols: list[str] | None = None) -> str:
+                      partition_cols: list[str] | None = None) -> None:
     """Idempotent write of one batch into a partitioned Parquet table."""
-    target = batch_path(path, batch_key)
-    (df.write.mode("overwrite")
-       .option("partitionOverwriteMode", "static")
+    (df.withColumn(BATCH_KEY, F.lit(batch_key)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic")
        .option("compression", compression)
-       .partitionBy(*(partition_cols or INGEST_COLS))
-       .parquet(target))
-    return target
+       .partitionBy(*(partition_cols or INGEST_COLS), BATCH_KEY)
+       .parquet(path))
 
 
 def register_tables(spark: SparkSession, database: str,
@@ -65,7 +66,7 @@ def register_tables(spark: SparkSession, database: str,
     ``database_location`` puts the database folder on shared storage when
     the session's warehouse folder is not (the tables themselves are external).
     """
-    parts = list(partition_cols or ([BATCH_KEY] + INGEST_COLS))
+    parts = list(partition_cols or LEAF_COLS)
     loc = f" LOCATION '{database_location}'" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     names = []
@@ -80,21 +81,21 @@ def register_tables(spark: SparkSession, database: str,
 
 
 def add_batch_partitions(spark: SparkSession, table: str, batch_key: str,
-                         hours: list[tuple[str, str, str, str]]) -> None:
+                         hours: list[tuple]) -> None:
     """Register one batch's partitions in the catalog without listing the table.
 
     ``MSCK REPAIR`` lists every folder of the table, which grows with every
     batch; after a write the new partitions are known (the batch's hours), so
-    they are added directly. Re-running it for a replayed batch is harmless.
+    they are added directly, ``ADD_AT_ONCE`` a statement. Re-running it for a
+    replayed batch is harmless.
     """
-    if not hours:
-        return
-    specs = " ".join(
-        "PARTITION (" + ", ".join(
-            [f"{BATCH_KEY}='{batch_key}'"]
-            + [f"{c}='{v}'" for c, v in zip(INGEST_COLS, h)]) + ")"
-        for h in hours)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    for at in range(0, len(hours), ADD_AT_ONCE):
+        specs = " ".join(
+            "PARTITION (" + ", ".join(
+                [f"{c}='{NULL_PARTITION if v is None else v}'" for c, v in zip(INGEST_COLS, h)]
+                + [f"{BATCH_KEY}='{batch_key}'"]) + ")"
+            for h in hours[at: at + ADD_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
@@ -106,18 +107,16 @@ def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def publish_records(encoded: DataFrame, fmt: str = "json", path: str | None = None,
-                    options: dict[str, str] | None = None, limit: int | None = None) -> None:
+                    options: dict[str, str] | None = None, limit: int | None = None,
+                    order: list[str] | None = None) -> None:
     """Publish (key, value) records: Kafka in production, files in tests.
 
-    ``limit`` is the "first N records" choice of the replay tool: the first N
-    in source order (scan position), selected in place by
-    ``operators.select.first_n_rows`` (no single task holds the N rows).
-    Pass ``encoded`` straight from the source scan so positions follow it.
+    ``limit`` is the "first N records" choice of the replay tool: the first N by
+    ``order`` (columns of ``encoded``), or any N without one.
     """
-    out = encoded.select("key", "value")
     if limit is not None:
-        out = first_n_rows(out, limit)
-    w = out.write.format(fmt).options(**(options or {}))
+        encoded = (encoded.orderBy(*order) if order else encoded).limit(limit)
+    w = encoded.select("key", "value").write.format(fmt).options(**(options or {}))
     if fmt != "kafka":
         w = w.mode("append")
     w.save(path) if path else w.save()
@@ -125,40 +124,36 @@ def publish_records(encoded: DataFrame, fmt: str = "json", path: str | None = No
 
 def compact_hours(spark: SparkSession, table_path: str, compacted_path: str,
                   schema: T.StructType, until_label: str, since_label: str | None = None) -> None:
-    """Rewrite the per-batch files of closed hours into one file per hour.
+    """Rewrite the per-batch files of closed hours into few files per hour.
 
     Hours with label in [since, until) are read from the live table (partition
-    filter) and written to ``compacted_path`` partitioned by the ingest
-    columns, replacing only those hour folders (dynamic overwrite), so a rerun
-    is harmless. Rows are kept as they are (per-batch rows; the mean-of-means
-    rollup needs them); only the file layout changes. The live table is never
-    modified: without an atomic swap, deleting there would let readers see
-    gaps or duplicates. Read both through ``read_compacted``.
+    filter) and written to ``compacted_path`` partitioned by the ingest columns,
+    replacing only those hour folders (dynamic overwrite), so a rerun is harmless
+    and also takes in batches that came late. Rows keep their ``batch_key`` (as a
+    column), which says what the compacted hour holds. The live table is never
+    modified: without an atomic swap, deleting there would let readers see gaps
+    or duplicates. Read both through ``read_compacted``.
     """
-    from towerlens.functions.timeparts import hour_label
-    from towerlens.sources.files import read_lake_table
-
     sel = read_lake_table(spark, table_path, schema).filter(hour_label() < F.lit(until_label))
     if since_label:
         sel = sel.filter(hour_label() >= F.lit(since_label))
-    (cluster_by_partition(sel.drop(BATCH_KEY))
+    (cluster_by_partition(sel)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*INGEST_COLS).parquet(compacted_path))
 
 
 def read_compacted(spark: SparkSession, table_path: str, compacted_path: str,
-                   schema: T.StructType, until_label: str) -> DataFrame:
-    """Hours before ``until_label`` from the compacted table, the rest live.
+                   schema: T.StructType, where: Column | None = None) -> DataFrame:
+    """Compacted hours, and of the live table every batch that they don't hold, whatever its hour.
 
-    Same rows as the live table alone (without ``batch_key``); both sides are
-    pruned by partition filters.
+    Same rows as the live table alone. ``where`` is a filter on the ingest columns
+    for both sides. A (hour, batch) leaf of the live table is skipped if the
+    compacted hour has rows of that batch.
     """
-    from towerlens.functions.timeparts import hour_label
-    from towerlens.sources.files import read_lake_table
-
-    compact_schema = T.StructType([f for f in schema.fields if f.name != BATCH_KEY])
-    old = read_lake_table(spark, compacted_path, compact_schema).filter(
-        hour_label() < F.lit(until_label))
-    new = read_lake_table(spark, table_path, schema).filter(
-        hour_label() >= F.lit(until_label)).drop(BATCH_KEY)
-    return old.unionByName(new)
+    moved = T.StructType([f for f in schema.fields if f.name not in INGEST_COLS]
+                         + [f for f in schema.fields if f.name in INGEST_COLS])
+    old, live = read_lake_table(spark, compacted_path, moved), read_lake_table(spark, table_path, schema)
+    if where is not None:
+        old, live = old.where(where), live.where(where)
+    held = old.select(*LEAF_COLS).distinct()
+    return old.unionByName(live.join(held, LEAF_COLS, "left_anti"))

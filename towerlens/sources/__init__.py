@@ -1,14 +1,14 @@
 """Sources: the driver-table adapter, file scans, lake tables and streams."""
 
 from towerlens.sources.events import (
-    load_table, typed_measurements, wire_measurements, wire_from_events,
+    load_table, wire_measurements, wire_from_events,
 )
 from towerlens.sources.files import (
-    read_lake_table, scan_csv, scan_json_records,
+    read_lake_table, scan_csv,
 )
 from towerlens.sources.stream import stream_source
 
 __all__ = [
-    "load_table", "typed_measurements", "wire_measurements", "wire_from_events",
-    "read_lake_table", "scan_csv", "scan_json_records", "stream_source",
+    "load_table", "wire_measurements", "wire_from_events",
+    "read_lake_table", "scan_csv", "stream_source",
 ]

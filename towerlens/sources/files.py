@@ -39,11 +39,6 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         for f in schema.fields])
 
 
-def scan_json_records(spark: SparkSession, path: str,
-                      schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
-
-
 def read_lake_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Partitioned Parquet table with an explicit schema.
 

@@ -19,58 +19,56 @@ from pyspark.sql.streaming import StreamingQuery
 
 from towerlens.functions.timeparts import MICRO_BATCH_SECONDS
 from towerlens.operators.parse import parse_records, split_corrupt, type_records
-from towerlens.schema import CORRUPT, RECORD_TS
+from towerlens.schema import AVERAGE_BY_OPERATOR_SCHEMA, RECORD_TS, STATUS_BY_POSTAL_CODE_SCHEMA
 from towerlens.session import apply_job_conf
+from towerlens.sinks.lake import register_tables
 from towerlens.sources.stream import stream_source
 from towerlens.streaming import jobs
+from towerlens.streaming.listener import LateRowsListener
 
 JSON_FILE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                                  T.StructField("value", T.StringType())])
 
 
 def parsed_stream(spark: SparkSession, source_format: str, path: str | None,
-                  options: dict[str, str], starting: str = "earliest") -> DataFrame:
+                  options: dict[str, str], starting: str = "earliest", ts_col: str | None = None,
+                  bookmark: str | None = None) -> DataFrame:
+    """``ts_col``: an arrival-time field of the file records (text or timestamp)."""
     schema = JSON_FILE_SCHEMA if source_format != "kafka" else None
+    if schema is not None and ts_col:
+        schema = T.StructType([*schema.fields, T.StructField(ts_col, T.TimestampType())])
     s = stream_source(spark, path, fmt=source_format, schema=schema, starting=starting,
-                      options=options)
+                      options=options, ts_col=ts_col, bookmark=bookmark)
     keep = [c for c in s.columns if c in ("key", "value", RECORD_TS)]
     return parse_records(s.select(*keep).withColumn("key", F.col("key").cast("string")))
 
 
-def _dead_letters(parsed: DataFrame, out_dir: str, available_now: bool) -> StreamingQuery:
-    _, bad = split_corrupt(parsed)
-    return (bad.select("key", CORRUPT, RECORD_TS).writeStream.format("json")
-            .option("path", f"{out_dir}/dead_letter")
-            .option("checkpointLocation", f"{out_dir}/_checkpoints/dead_letter")
-            .trigger(**jobs.trigger_options(available_now)).start())
-
-
 def start_live_job(spark: SparkSession, parsed: DataFrame, out_dir: str,
                    available_now: bool = False,
-                   window_seconds: int = MICRO_BATCH_SECONDS) -> list[StreamingQuery]:
-    """foreachBatch every ``window_seconds``: raw + two KPI tables; dead letters."""
-    good, _ = split_corrupt(parsed)
-    q, _ = jobs.start_microbatch_job(good.drop("key"), out_dir, f"{out_dir}/_checkpoints/live",
+                   window_seconds: int = MICRO_BATCH_SECONDS,
+                   catalog: dict[str, str] | None = None) -> list[StreamingQuery]:
+    """foreachBatch every ``window_seconds``: raw, two KPI tables and dead letters from one read."""
+    q, _ = jobs.start_microbatch_job(parsed, out_dir, f"{out_dir}/_checkpoints/live", catalog=catalog,
                                      available_now=available_now, window_seconds=window_seconds)
-    return [q, _dead_letters(parsed, out_dir, available_now)]
+    return [q]
 
 
 def start_hourly_job(spark: SparkSession, parsed: DataFrame, out_dir: str,
                      available_now: bool = False, delay: str = jobs.DEFAULT_DELAY,
                      seconds: int = MICRO_BATCH_SECONDS) -> list[StreamingQuery]:
-    """Raw sink by event hour, operator means and status counts per hour window."""
+    """Operator means and status counts per hour window; raw records and dead letters from one read."""
     good, _ = split_corrupt(parsed)
     typed = type_records(good.drop("key"))
     ck = f"{out_dir}/_checkpoints"
     return [
-        jobs.start_raw_sink(typed, f"{out_dir}/raw", f"{ck}/raw", available_now, seconds),
+        jobs.start_raw_and_dead_letters(parsed, f"{out_dir}/raw", f"{out_dir}/dead_letter", f"{ck}/raw",
+                                        lambda good: type_records(good.drop("key")), available_now, seconds),
         jobs.start_event_time_sink(jobs.event_time_operator_kpis(typed, "1 hour", delay),
                                    f"{out_dir}/metrics/operator_hourly", f"{ck}/operator_hourly",
-                                   available_now, seconds),
+                                   available_now, seconds, name="operator_hourly"),
         jobs.start_event_time_sink(jobs.event_time_status_counts(typed, "1 hour", delay),
                                    f"{out_dir}/metrics/network_status", f"{ck}/network_status",
-                                   available_now, seconds),
-        _dead_letters(parsed, out_dir, available_now),
+                                   available_now, seconds, name="network_status"),
     ]
 
 
@@ -95,6 +93,14 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery],
         raise RuntimeError(str(errors[0]))
 
 
+def kpi_catalog(spark: SparkSession, database: str, out_dir: str) -> dict[str, str]:
+    """Register the live job's KPI tables once; returns what ``MicroBatchWriter`` extends."""
+    tables = {"average_by_operator": AVERAGE_BY_OPERATOR_SCHEMA, "status_by_postal_code": STATUS_BY_POSTAL_CODE_SCHEMA}
+    register_tables(spark, database, {n: (f"{out_dir}/{n}", s) for n, s in tables.items()},
+                    database_location=f"{out_dir}/_catalog/{database}.db")
+    return {n: f"{database}.{n}" for n in tables}
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="towerlens.streaming.runner")
     ap.add_argument("job", choices=["live", "hourly"])
@@ -110,6 +116,9 @@ def main(argv: list[str] | None = None) -> None:
                     help="keep streaming state in RocksDB (large key spaces)")
     ap.add_argument("--max-offsets-per-trigger", type=int, default=None,
                     help="Kafka: cap records per micro-batch (bounded batch size on backlog)")
+    ap.add_argument("--database", default=None,
+                    help="live: catalog database whose KPI tables get each batch's partitions")
+    ap.add_argument("--ts-col", default=None, help="arrival-time field of file records")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"towerlens-{a.job}").getOrCreate()
     apply_job_conf(spark)
@@ -119,12 +128,21 @@ def main(argv: list[str] | None = None) -> None:
     opts = dict(o.split("=", 1) for o in a.option)
     if a.max_offsets_per_trigger and a.source_format == "kafka":
         opts.setdefault("maxOffsetsPerTrigger", str(a.max_offsets_per_trigger))
-    parsed = parsed_stream(spark, a.source_format, a.source_path, opts, a.starting)
-    if a.job == "live":
-        qs = start_live_job(spark, parsed, a.out, a.available_now, a.window_seconds)
-    else:
-        qs = start_hourly_job(spark, parsed, a.out, a.available_now, a.delay, a.window_seconds)
-    await_all(spark, qs, a.available_now)
+    late = LateRowsListener()
+    spark.streams.addListener(late)
+    parsed = parsed_stream(spark, a.source_format, a.source_path, opts, a.starting, a.ts_col,
+                           f"{a.out}/_checkpoints/start-{a.job}")
+    try:
+        if a.job == "live":
+            catalog = kpi_catalog(spark, a.database, a.out) if a.database else None
+            qs = start_live_job(spark, parsed, a.out, a.available_now, a.window_seconds, catalog)
+        else:
+            qs = start_hourly_job(spark, parsed, a.out, a.available_now, a.delay, a.window_seconds)
+        await_all(spark, qs, a.available_now)
+    finally:
+        spark.streams.removeListener(late)
+        for name, n in sorted(late.dropped.items()):
+            print(f"{name}: {n} groups of late rows dropped")
 
 
 if __name__ == "__main__":
