@@ -138,8 +138,8 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
     return np.sort(top.token.to_numpy(np.int64).view(np.uint64))
 
 
-def postings(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """(token, role, n, pos, sig): prefix shingles of heavy sets (role 0), subsets of light ones.
+def postings(docs: DataFrame, heavy: bool, last: np.ndarray | None = None) -> DataFrame:
+    """(token, role, n, pos, sig): prefix shingles of heavy sets (role 0), or subsets of light ones.
 
     A subset that the smaller of two sizes emits has role 1, of the larger one role 2.
     """
@@ -172,7 +172,14 @@ def postings(docs: DataFrame, last: np.ndarray) -> DataFrame:
                 fresh[once] = ~np.isin(sig[once], met)
                 met = np.union1d(met, sig)
                 first = np.cumsum(size) - size
-                if len(last):
+                if not heavy:
+                    extra = [(k, role, size[r], r) for r in np.flatnonzero(fresh & (size > 0) & (size <= reach))
+                             for k, role in subsets(code[first[r]: first[r] + size[r]])]
+                    if extra:
+                        token, role, n, row_ = zip(*extra)
+                        yield entries(np.array(token, np.uint64).view(np.int64), role, n, [0] * len(n), sig[list(row_)])
+                    continue
+                if last is not None and len(last):
                     at = np.searchsorted(last, code)
                     late = last[np.minimum(at, len(last) - 1)] == code
                     order = np.lexsort((late, row))  # stable: by hash among equals
@@ -181,19 +188,13 @@ def postings(docs: DataFrame, last: np.ndarray) -> DataFrame:
                     code_ = code
                 pos = np.arange(len(row)) - first[row]
                 inside = (pos < prefix_size(size)[row]) & fresh[row] & (size[row] > light)
-                row_, n = row[inside], size[row[inside]]
-                token, place = code_[inside].view(np.int64), pos[inside]
-                extra = [(k, role, len(c), r) for r in np.flatnonzero(fresh & (size > 0) & (size <= reach))
-                         for c in [code[first[r]: first[r] + size[r]]] for k, role in subsets(c)]
-                keys, roles, sizes, rows_ = (np.array(x) for x in zip(*extra)) if extra else ([], [], [], [])
-                rows_ = np.array(rows_, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate((token, np.array(keys, np.uint64).view(np.int64)))),
-                     pa.array(np.concatenate((np.zeros(len(row_), np.int8), np.array(roles, np.int8)))),
-                     pa.array(np.concatenate((n, np.array(sizes, np.int64))).astype(np.int32)),
-                     pa.array(np.concatenate((place, np.zeros(len(rows_), np.int64))).astype(np.int32)),
-                     pa.array(np.concatenate((sig[row_], sig[rows_])))],
-                    ["token", "role", "n", "pos", "sig"])
+                yield entries(code_[inside].view(np.int64), np.zeros(inside.sum()), size[row[inside]], pos[inside],
+                              sig[row[inside]])
+
+    def entries(token, role, n, pos, sig) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(token), pa.array(np.asarray(role, np.int8)), pa.array(np.asarray(n, np.int32)),
+             pa.array(np.asarray(pos, np.int32)), pa.array(sig)], ["token", "role", "n", "pos", "sig"])
 
     return docs.select("text").mapInArrow(run, "token long, role byte, n int, pos int, sig long")
 
@@ -449,9 +450,10 @@ def verified(groups: DataFrame, texts: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id): the least doc_id that links lead to, itself included."""
     docs = documents(docs)
-    lists = scan_lists(postings(docs, frequent_shingles(docs)))
-    sure = lists.where("role > 0 AND lead <> sig").select(F.col("lead").alias("a"), F.col("sig").alias("b"))
-    entries = lists.where("role = 0").select("token", "n", "pos", "sig").join(sketches(docs), "sig")
+    subsets = scan_lists(postings(docs, heavy=False))
+    sure = subsets.where("lead <> sig").select(F.col("lead").alias("a"), F.col("sig").alias("b"))
+    lists = scan_lists(postings(docs, True, frequent_shingles(docs)))
+    entries = lists.select("token", "n", "pos", "sig").join(sketches(docs), "sig")
     near = candidates(entries.repartition("token").sortWithinPartitions("token", "n", "sig"))
     links = verified(components(near, "a", "b"), texts_by_set(docs))
     label = components(sure.unionByName(links), "a", "b")
