@@ -57,12 +57,13 @@ def write_batch_table(df: DataFrame, path: str, batch_key: str,
 def register_tables(spark: SparkSession, database: str,
                     tables: dict[str, tuple[str, T.StructType]],
                     partition_cols: list[str] | None = None,
-                    database_location: str | None = None) -> list[str]:
+                    database_location: str | None = None, discover: bool = True) -> list[str]:
     """Create catalog tables over partition folders and discover partitions.
 
     ``tables`` maps name → (location, schema including partition columns).
     New partition folders become visible after ``MSCK REPAIR TABLE``; this
-    is re-run on every call, so it also picks up hours written since.
+    is re-run on every call, so it also picks up hours written since. Without
+    ``discover`` the tables may have no folder yet (a job is about to write it).
     ``database_location`` puts the database folder on shared storage when
     the session's warehouse folder is not (the tables themselves are external).
     """
@@ -75,7 +76,8 @@ def register_tables(spark: SparkSession, database: str,
         pcols = ", ".join(f"`{c}`" for c in parts)
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({cols}) "
                   f"USING parquet PARTITIONED BY ({pcols}) LOCATION '{location}'")
-        spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
+        if discover:
+            spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
         names.append(f"{database}.{name}")
     return names
 

@@ -97,7 +97,7 @@ def kpi_catalog(spark: SparkSession, database: str, out_dir: str) -> dict[str, s
     """Register the live job's KPI tables once; returns what ``MicroBatchWriter`` extends."""
     tables = {"average_by_operator": AVERAGE_BY_OPERATOR_SCHEMA, "status_by_postal_code": STATUS_BY_POSTAL_CODE_SCHEMA}
     register_tables(spark, database, {n: (f"{out_dir}/{n}", s) for n, s in tables.items()},
-                    database_location=f"{out_dir}/_catalog/{database}.db")
+                    database_location=f"{out_dir}/_catalog/{database}.db", discover=False)
     return {n: f"{database}.{n}" for n in tables}
 
 
