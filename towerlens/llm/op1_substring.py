@@ -123,7 +123,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     found = repeated(windows(texts.join(anchors, "h1"), window, seed), "whash", "check")
     marks = found.groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2")).agg(F.collect_set("pos").alias("starts"))
     # only h1 is a join key and no column is left out, so that all steps share the shuffle of the texts
-    cut_from = texts.join(marks, (F.col("h1") == F.col("k1")) & same_value("h2", "k2"), "left")
+    marked = texts.join(marks, (F.col("h1") == F.col("k1")) & same_value("h2", "k2"), "left")
+    # rows come to the texts, so that no text moves again
+    cut_from = text_keys(docs).join(marked, (F.col("r1") == F.col("h1")) & same_value("r2", "h2"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -141,13 +143,12 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
             cols = list(zip(*rows))
             span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [b.column("h1"), b.column("h2"),
+                [b.column("row_id"),
                  *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), span, pa.string())))],
-                ["h1", "h2", "n_words", "n_removed", "spans", "kept"])
+                ["doc_id", "n_words", "n_removed", "spans", "kept"])
 
-    done = cut_from.mapInArrow(
-        cut, "h1 long, h2 long, n_words long, n_removed long, spans array<struct<begin: long, end: long>>, kept string")
-    return text_keys(docs).drop("size").join(done, ["h1", "h2"]).drop("h1", "h2")
+    return cut_from.mapInArrow(
+        cut, "doc_id long, n_words long, n_removed long, spans array<struct<begin: long, end: long>>, kept string")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

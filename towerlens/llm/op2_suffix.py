@@ -271,35 +271,29 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
     marks = marks.groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2")).agg(
         F.collect_list(F.struct("begin", "end")).alias("marks"))
     # only h1 is a join key and no column is left out, so that all steps share the shuffle of the texts
-    cut_from = texts.join(marks, (F.col("h1") == F.col("k1")) & same_value("h2", "k2"), "left")
+    marked = texts.join(marks, (F.col("h1") == F.col("k1")) & same_value("h2", "k2"), "left")
+    # rows come to the texts, so that no text moves again
+    cut_from = text_keys(docs).join(marked, (F.col("r1") == F.col("h1")) & same_value("r2", "h2"))
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            gone, spans, kept = [], [], []
-            for text, marks in zip(unpacked(b.column("z").to_pylist()), b.column("marks").to_pylist()):
-                runs = merged([(m["begin"], m["end"]) for m in marks or []])
+            rows = []
+            own = b.column("row_id").fill_null(NO_DOC_ID).to_numpy() == b.column("doc_id").to_numpy()
+            for text, first, marks in zip(unpacked(b.column("z").to_pylist()), own, b.column("marks").to_pylist()):
+                if first:
+                    runs = merged([(m["begin"], m["end"]) for m in marks or []])
+                else:  # a copy's windows all occur earlier; a text shorter than a window has none
+                    runs = [(0, len(text))] if len(text) >= window else []
                 ends = [0, *(e for _, e in runs)]
                 left = b"".join(text[x:y] for x, y in zip(ends, [*(r[0] for r in runs), len(text)]))
-                gone.append(len(text) - len(left))
-                spans.append([{"begin": x, "end": y} for x, y in runs])
-                kept.append(left)
+                rows.append((len(text), len(text) - len(left), [{"begin": x, "end": y} for x, y in runs], left))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("h1", "h2", "doc_id")), pa.array(gone, pa.int64()), pa.array(spans, span),
-                 pa.array(kept, pa.binary())], ["h1", "h2", "first_id", "gone", "runs", "left"])
-
-    spans = "array<struct<begin: long, end: long>>"
-    first = cut_from.mapInArrow(
-        cut, f"h1 long, h2 long, first_id long, gone long, runs {spans}, left binary")
-    rows = text_keys(docs).join(first, ["h1", "h2"])
-    own = F.coalesce("doc_id", F.lit(NO_DOC_ID)) == F.col("first_id")
-    # a copy's windows all occur earlier; a text shorter than a window has none
-    copied = ~own & (F.col("size") >= window)
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("size").alias("end")))
-    return rows.select(
-        "doc_id", F.col("size").alias("n_bytes"), F.when(copied, F.col("size")).otherwise(F.col("gone")).alias("n_removed"),
-        F.when(copied, whole).otherwise(F.col("runs")).alias("spans"),
-        F.when(copied, F.lit(b"")).otherwise(F.col("left")).alias("kept"))
+                [b.column("row_id"), *(pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), span, pa.binary())))],
+                ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+
+    return cut_from.mapInArrow(
+        cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

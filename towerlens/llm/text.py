@@ -156,16 +156,16 @@ NO_DOC_ID = -(1 << 63)
 
 
 def text_keys(docs: DataFrame) -> DataFrame:
-    """(doc_id, h1, h2, size): key and bytes of every row's text."""
+    """(row_id, r1, r2, size): doc_id, key and bytes of every row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = [(t or "").encode() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *_text_keys(texts), pa.array([len(t) for t in texts], pa.int64())],
-                ["doc_id", "h1", "h2", "size"])
+                ["row_id", "r1", "r2", "size"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, h1 long NOT NULL, h2 long NOT NULL, size long")
+    return docs.select("doc_id", "text").mapInArrow(run, "row_id long, r1 long NOT NULL, r2 long NOT NULL, size long")
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
