@@ -1,13 +1,6 @@
 import pytest
 
 
-@pytest.fixture(scope="session", autouse=True)
-def shared_folder(spark, tmp_path_factory):
-    """The tests' own shared folder, as a cluster's configuration would name one."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
 @pytest.fixture(scope="session")
 def awkward(spark):
     """Documents with nulls in every column, empty and long texts, ties, repeated rows and clashing names."""
