@@ -85,7 +85,8 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -
     light = spark.read.parquet(f"{folder}/entries")
     clash = light.groupBy(*KEYS).agg(alike.alias("same")).where("same > 1").drop("same")
     buckets = directory(light, folder, capacity, depth)
-    depths = sorted(r.depth for r in buckets.select("depth").distinct().collect())  # 60 values at most
+    # 60 values at most; an empty table has no bucket
+    depths = sorted(r.depth for r in buckets.select("depth").distinct().collect()) or [depth]
     slot = F.coalesce(*(F.col(f"b{d}") for d in depths))
     placed = light
     for d in depths:
