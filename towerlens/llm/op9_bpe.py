@@ -59,9 +59,13 @@ class Transducer:
         self.ranks, self.reach = ranks, max(map(len, ranks))
         self.begun = {t[:k] for t in ranks for k in range(1, len(t))}
         self.apart: dict[tuple[bytes, bytes], bool] = {}
+        self.states: dict[tuple, State] = {}
         self.forget()
 
     def forget(self) -> None:
+        """Start afresh. Steps lead from state to state and back: cut, they free all states at once."""
+        for state in self.states.values():
+            state.steps.clear()
         self.root = State(b"", ((0, b""),))
         self.states = {(b"", self.root.live): self.root}
 
@@ -242,7 +246,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 known[piece] = pack("<%di" % len(out := machine.ids(piece.encode())), *out)
             return b"".join(map(known.__getitem__, pieces))
 
-        gc.disable()  # the tables hold no cycles, and walking them over and over is a third of the work
+        gc.disable()  # forget() frees the states; walking them over and over is a third of the work
         try:
             for b in slices(batches, 2000):
                 parts = []
@@ -254,6 +258,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "ids"])
         finally:
+            machine.forget()
             gc.enable()
 
     return documents(docs).mapInArrow(run, "doc_id long, ids array<int>")
