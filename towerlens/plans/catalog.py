@@ -424,8 +424,8 @@ def q_write_result(spark, sf_dir):
     path = new_run_dir(spark, "write_result")
     write_result(serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE), path)
     schema = "operator STRING, avg_signal_strength DOUBLE, avg_precision DOUBLE"
-    # a quoted empty text stays one; an empty cell is NULL
-    return rounded(spark.read.schema(schema).option("header", "true").option("emptyValue", "").csv(path))
+    reader = spark.read.schema(schema).option("header", "true").option("emptyValue", "")
+    return rounded(reader.option("nullValue", CSV_NULL_TOKEN).csv(path))
 
 
 def _replayed(spark, path):

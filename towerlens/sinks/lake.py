@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from towerlens.functions.timeparts import hour_label, ingest_parts
 from towerlens.schema import BATCH_KEY, INGEST_COLS, RECORD_TS
-from towerlens.sources.files import read_lake_table
+from towerlens.sources.files import CSV_NULL_TOKEN, read_lake_table
 
 LEAF_COLS = INGEST_COLS + [BATCH_KEY]
 
@@ -101,10 +101,13 @@ def add_batch_partitions(spark: SparkSession, table: str, batch_key: str,
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Write a (small, already aggregated) query result to a location."""
+    """Write a (small, already aggregated) query result to a location.
+
+    CSV has the null token for NULL, so that it stays apart from empty text.
+    """
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w = w.option("header", "true")
+        w = w.option("header", "true").option("nullValue", CSV_NULL_TOKEN)
     w.format(fmt).save(path)
 
 
