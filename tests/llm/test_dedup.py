@@ -59,6 +59,27 @@ def test_suffix_matches_brute_force(spark):
     assert op2_rows(frame(spark, docs)) == brute.suffix(docs)
 
 
+def test_suffix_cuts_a_hot_leading_string(spark, monkeypatch):
+    """A passage in other surroundings each time: no task's rows grow with its number of pieces."""
+    rnd = random.Random(7)
+    passage = "".join(rnd.choice("abcdefgh") for _ in range(230))
+    docs = {i: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(20, 90))) + passage
+            + "".join(rnd.choice("ab") for _ in range(90)) for i in range(300)}
+    whole = op2_suffix.later_windows
+
+    def bounded(rows, *args):
+        assert len(rows) <= 80, f"{len(rows)} pieces at once"
+        return whole(rows, *args)
+
+    monkeypatch.setattr(op2_suffix, "later_windows", bounded)
+    monkeypatch.setattr(op2_suffix, "SORT_BYTES", 1000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        assert op2_rows(frame(spark, docs, 30)) == brute.suffix(docs)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_suffix_of_awkward_rows(awkward):
     assert op2_rows(awkward.repartition(4)) == brute.suffix(dict(pairs_of(awkward)))
 

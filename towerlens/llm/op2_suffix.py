@@ -10,19 +10,23 @@ equal seeds at equal places, so each match of 100 bytes meets at a seed suffix.
 2. Seeds are shuffled by hash; those met once are dropped.
 3. Suffixes at the others go, with the bytes before them that their windows
    reach, to buckets: splitters sampled over all of them range-partition them by
-   their 24 leading bytes. All suffixes of one leading string are in one bucket,
-   so a match never crosses the boundary of two buckets; what a task reads at
-   once is cut between leading strings only, and a group cut by the end of a
-   batch is carried over that boundary.
+   the whole suffix (100 bytes at most), ties by a hash of their place, so a
+   leading string that many documents share spans as many buckets as it needs.
+   A task sorts ``SORT_BYTES`` at once, cut between leading strings of 24 bytes
+   where it can be.
 4. A bucket sorts its suffixes by multikey quicksort, eight bytes a digit, and
    takes the common prefix of neighbours. A window that begins l bytes before
    its seed is equal to another one where the l bytes before agree (64-bit hash)
    and the suffixes share 100 - l bytes (an interval of the suffix array).
    All but the earliest of equal windows are removed.
+5. An interval that touches a cut may go on behind it. Its least occurrence for
+   each l and bytes before is given out under a hash of the window, one row for
+   each part; of the rows that agree all but the earliest are removed.
 
 Copies of a text are folded before the shuffle, as are equal pieces inside a
-batch, so a passage that a third of the corpus holds costs a bucket a row for
-each batch and context. All steps read the one shuffle of the texts.
+batch, so a passage that a third of the corpus holds costs the buckets a row for
+each batch and context, in parts of bounded size. All steps read the one shuffle
+of the texts.
 
 Defined results: null counts as the empty text. Repeated rows (doc_id and text)
 are one document, neither is earlier; rows equal in doc_id alone are ordered by
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from towerlens.llm.text import (BYTE_CODE, NO_DOC_ID, RADIX, Prefix, chunks, distinct_texts, documents, held_places,
@@ -45,7 +49,7 @@ from towerlens.llm.text import (BYTE_CODE, NO_DOC_ID, RADIX, Prefix, chunks, dis
 
 WINDOW = 100
 SEED = 24
-#: Bytes of pieces that a bucket sorts at once; a group of one leading string is never cut.
+#: Bytes of pieces that a bucket sorts at once (and those of one Arrow batch more).
 SORT_BYTES = 4 << 20
 
 
@@ -93,7 +97,7 @@ def pieces(held: DataFrame, window: int, seed: int) -> DataFrame:
 
     ``first`` is the start of the first window, ``left`` its distance from the seed,
     ``n`` the number of windows. A piece met before in the batch comes without
-    bytes: all its windows are later occurrences.
+    bytes and with a random ``lead``: all its windows are later occurrences.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,8 +127,8 @@ def pieces(held: DataFrame, window: int, seed: int) -> DataFrame:
                 leads, blobs = [], []
                 data = raw.tobytes()
                 spread = mix(h1.view(np.uint64) + mix(pos.astype(np.uint64)))
-                for x, y, z, gone, s in zip(begin.tolist(), end.tolist(), seat.tolist(), later.tolist(), spread.tolist()):
-                    leads.append(s.to_bytes(8, "big") if gone else data[z: z + seed])
+                for x, y, gone, s in zip(begin.tolist(), end.tolist(), later.tolist(), spread.tolist()):
+                    leads.append(s.to_bytes(8, "big") if gone else None)
                     blobs.append(None if gone else data[x:y])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(leads, pa.binary()), pa.array(doc), pa.array(h1), pa.array(h2), pa.array(pos.astype(np.int32)),
@@ -162,8 +166,11 @@ def padded(data: np.ndarray, begin: np.ndarray, length: np.ndarray, width: int,
     return np.where(inside, data[np.where(inside, begin[:, None] + step * col, 0)], 0).astype(np.uint8)
 
 
-def later_windows(rows: pa.RecordBatch, window: int) -> list[tuple]:
-    """(h1, h2, begin, end) of the windows that an earlier equal one precedes."""
+def later_windows(rows: pa.RecordBatch, window: int, goes_on: tuple[bool, bool] = (False, False)
+                  ) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(h1, h2, begin, end) of the windows that an earlier equal one precedes, and (h1, h2, begin, doc_id, g1, g2)
+    of the earliest ones that may have equal windows before or after these rows, where the suffixes go on.
+    """
     data, offs = utf8(rows.column("piece"))
     doc, h1, h2, first, left, n = (rows.column(c).to_numpy().astype(np.int64)
                                    for c in ("doc_id", "h1", "h2", "first", "left", "n"))
@@ -185,44 +192,68 @@ def later_windows(rows: pa.RecordBatch, window: int) -> list[tuple]:
     rank[np.lexsort((seats, h2, h1, doc))] = np.arange(len(seat))
     gone = np.zeros((len(seat), reach + 1), dtype=bool)  # by distance from the seed
     low = left - n + 1
+    # all suffixes of the first and the last interval begin as the first and the last suffix do
+    ends = np.cumsum(BYTE_CODE[ordered[[0, -1], :window]] * powers(RADIX, window), axis=1, dtype=np.uint64)
+    parts = [tuple(np.zeros(0, np.int64) for _ in range(6))]
     for l in range(reach):
-        interval = np.cumsum(common < window - l)
+        interval = np.cumsum(common < window - l)  # the first one is 1
         has = (low[order] <= l) & (left[order] >= l)
-        who = order[has]
-        if len(who) < 2:
+        who, interval, last = order[has], interval[has], interval[-1]
+        if not len(who):
             continue
-        same = mix(sums[who, l] + mix(interval[has].astype(np.uint64)))
+        same = mix(sums[who, l] + mix(interval.astype(np.uint64)))
         inner = np.lexsort((rank[who], same))
         s, r = same[inner], rank[who][inner]
         head = np.concatenate(([True], s[1:] != s[:-1]))
         least = r[np.flatnonzero(head)][np.cumsum(head) - 1]
         gone[who[inner], l] = r > least
+        first_, last_ = goes_on[0] & (interval == 1), goes_on[1] & (interval == last)
+        given = inner[head & (first_ | last_)[inner]]
+        if len(given):
+            x = who[given]
+            tail = ends[np.where(first_[given], 0, 1), window - l - 1]
+            parts.append((h1[x], h2[x], seats[x] - l, doc[x], mix(sums[x, l] + mix(np.full(len(x), l, np.uint64))).view(np.int64),
+                          mix(tail).view(np.int64)))
     edge = np.diff(np.concatenate((np.zeros((len(seat), 1), np.int8), gone.astype(np.int8)), axis=1), axis=1)
     who, nearest = np.nonzero(edge == 1)
     _, past = np.nonzero(edge == -1)
-    return [h1[who], h2[who], seats[who] - (past - 1), seats[who] - nearest + window]
+    marks = [h1[who], h2[who], seats[who] - (past - 1), seats[who] - nearest + window]
+    return marks, [np.concatenate(x) for x in zip(*parts)]
+
+
+MARK = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()),
+                  ("doc_id", pa.int64()), ("g1", pa.int64()), ("g2", pa.int64())])
+
 
+def sort_buckets(found: DataFrame, window: int, seed: int) -> DataFrame:
+    """(h1, h2, begin, end, doc_id, g1, g2): spans of later occurrences, and windows to compare by ``g1`` and ``g2``."""
 
-def sort_buckets(dealt: DataFrame, window: int) -> DataFrame:
-    """(h1, h2, begin, end): spans of later occurrences, from pieces in order of ``lead``."""
-    names = ["h1", "h2", "begin", "end"]
+    def batch(cols: list, names: list[str]) -> pa.RecordBatch:
+        given = dict(zip(names, cols))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(given[f.name], f.type) if f.name in given else pa.nulls(len(cols[0]), f.type) for f in MARK],
+            schema=MARK)
 
-    def spans(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def spans(rows: pa.Table, goes_on: tuple[bool, bool]) -> Iterator[pa.RecordBatch]:
         rows = rows.combine_chunks().to_batches()[0]
         blank = np.asarray(rows.column("piece").is_null())
         folded = rows.filter(pa.array(blank))
         if len(folded):
-            begin = folded.column("first").to_numpy()
-            end = begin + folded.column("n").to_numpy() - 1 + window
-            yield pa.RecordBatch.from_arrays([folded.column("h1"), folded.column("h2"),
-                                              pa.array(begin, pa.int32()), pa.array(end, pa.int32())], names)
+            h1, h2, begin, n = (folded.column(c).to_numpy() for c in ("h1", "h2", "first", "n"))
+            yield batch([h1, h2, begin, begin + n - 1 + window], ["h1", "h2", "begin", "end"])
         rest = rows.filter(pa.array(~blank))
         if len(rest):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                later_windows(rest, window), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names)
+            marks, parts = later_windows(rest, window, goes_on)
+            yield batch(marks, ["h1", "h2", "begin", "end"])
+            if len(parts[0]):
+                yield batch([*parts, parts[2] + window], ["h1", "h2", "begin", "doc_id", "g1", "g2", "end"])
+
+    def lead(rows: pa.Table, at: int) -> bytes:
+        piece, left = rows["piece"][at].as_py(), rows["left"][at].as_py()
+        return rows["lead"][at].as_py() if piece is None else piece[left: left + seed]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, before = [], 0, True  # whether the first suffixes may go on in what was read before
         for b in batches:
             if not len(b):
                 continue
@@ -231,23 +262,33 @@ def sort_buckets(dealt: DataFrame, window: int) -> DataFrame:
             if size < SORT_BYTES:
                 continue
             rows = pa.Table.from_batches(held)
-            leads = rows.column("lead")
-            last, cut = leads[-1], len(rows)  # the last group may go on in the next batch
-            low = 0
+            last, cut, low = lead(rows, len(rows) - 1), len(rows), 0
             while low < cut:  # leads are sorted: find where the last one begins
                 mid = (low + cut) // 2
-                if leads[mid].as_py() < last.as_py():
+                if lead(rows, mid) < last:
                     low = mid + 1
                 else:
                     cut = mid
-            if cut:
-                yield from spans(rows.slice(0, cut))
-            held = rows.slice(cut).to_batches()
-            size = sum(x.column("piece").nbytes for x in held) if cut else 0
+            # one lead alone is cut here, all others where the last one begins
+            yield from spans(rows.slice(0, cut or len(rows)), (before, not cut))
+            held, before = rows.slice(cut).to_batches() if cut else [], not cut
+            size = sum(x.column("piece").nbytes for x in held)
         if held:
-            yield from spans(pa.Table.from_batches(held))
+            yield from spans(pa.Table.from_batches(held), (before, True))
+
+    suffix = F.coalesce("lead", F.substring("piece", F.col("left") + 1, F.lit(window)))
+    dealt = found.repartitionByRange(suffix, F.xxhash64("h1", "first")).sortWithinPartitions(suffix)
+    return dealt.mapInArrow(run, "h1 long, h2 long, begin int, end int, doc_id long, g1 long, g2 long")
+
 
-    return dealt.mapInArrow(run, "h1 long NOT NULL, h2 long, begin int, end int")
+def later_spans(found: DataFrame, window: int, seed: int) -> DataFrame:
+    """(h1, h2, begin, end): spans of all later occurrences, those across buckets included."""
+    marks = sort_buckets(found, window, seed)
+    # sure spans are alone or stay beside each other; one flow of both kinds, so that buckets are sorted once
+    own = Window.partitionBy("sure", F.coalesce("g1", "h1"), F.coalesce("g2", "begin"))
+    nth = F.row_number().over(own.orderBy("doc_id", "h1", "h2", "begin"))
+    marks = marks.withColumn("sure", F.col("g1").isNull()).withColumn("nth", nth)
+    return marks.where("sure OR nth > 1").select("h1", "h2", "begin", "end")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -267,9 +308,8 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
     texts = distinct_texts(docs)
     places = repeated(seeds(texts, window, seed), "anchor").groupBy("h1").agg(F.collect_set("pos").alias("places"))
     found = pieces(texts.join(places, "h1"), window, seed)
-    marks = sort_buckets(found.repartitionByRange("lead").sortWithinPartitions("lead"), window)
-    marks = marks.groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2")).agg(
-        F.collect_list(F.struct("begin", "end")).alias("marks"))
+    marks = later_spans(found, window, seed).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "begin", "end")
+    marks = marks.repartition("k1").groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("marks"))
     # only h1 is a join key and no column is left out, so that all steps share the shuffle of the texts
     marked = texts.join(marks, (F.col("h1") == F.col("k1")) & same_value("h2", "k2"), "left")
     # rows come to the texts, so that no text moves again
