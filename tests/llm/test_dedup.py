@@ -89,6 +89,27 @@ def test_groups_are_cut_into_blocks(spark, near_copies, monkeypatch):
     assert op8_rows(frame(spark, near_copies)) == brute.jaccard(near_copies)
 
 
+def test_blocks_of_near_copies_are_not_all_paired(spark, monkeypatch):
+    """A group of near copies of one text: its texts are not sent to every pair of blocks."""
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    docs = {i: " ".join(base[:i % 60 + 30] + [f"x{i}"] + base[i % 60 + 31:]) for i in range(300)}
+    texts = [(i, t) for i, t in docs.items()]
+    sent = spark.sparkContext.accumulator(0)
+    whole = op8_jaccard.linked_in_group
+
+    def counted(held):
+        sent.add(len(held))
+        return whole(held)
+
+    monkeypatch.setattr(op8_jaccard, "linked_in_group", counted)
+    monkeypatch.setattr(op8_jaccard, "BLOCK", 10)
+    monkeypatch.setattr(op8_jaccard, "PIVOTS", 2, raising=False)
+    rnd.shuffle(texts)
+    assert op8_rows(frame(spark, dict(texts))) == brute.jaccard(docs)
+    assert sent.value < 6 * len(docs)
+
+
 def test_multikey_order_is_the_order_of_the_suffixes():
     import numpy as np
 

@@ -18,8 +18,10 @@ the order of a hash collision. A list gives out no more candidates than connect
 its sets. Components of candidates are groups; inside a group every set is
 compared exactly with all that it is not yet linked to, by scanning the group's
 inverted lists, so a group of near copies gives out one link for each set and not
-all pairs. A group of more than ``BLOCK`` sets is cut into blocks by hash, and each
-pair of blocks is one task's work, so no task holds more than two blocks.
+all pairs. A group of more than ``BLOCK`` sets is cut into blocks by hash, no task
+holds more than two blocks, and links come in rounds: inside blocks; then each
+block with the ``PIVOTS`` sets of the group that linked most; then pairs of blocks,
+but only where one holds sets outside the group's largest cluster.
 
 Defined results: null texts, empty texts and texts without words have an empty
 set, link with nothing and are their own component. Repeated rows have equal
@@ -37,7 +39,7 @@ from math import ceil, comb
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from towerlens.llm.components import components
@@ -50,6 +52,8 @@ ORDER_DOCS, ORDER_SHINGLES, ORDER_LEAST = 20_000, 1 << 17, 4
 SKETCH, SKETCH_LEAST = 64, 18
 #: Sets of a group that one block holds.
 BLOCK = 2048
+#: Sets of a large group that all of its blocks are compared with.
+PIVOTS = 64
 
 
 def need(n, m):
@@ -314,6 +318,10 @@ def near_in_lists(token: np.ndarray, n: np.ndarray, pos: np.ndarray, sig: np.nda
         if not len(i):
             return np.array(a, np.int64), np.array(b, np.int64)
         roots = forest.roots()
+        # a list whose sets are all connected has no more to give
+        of_list = roots[node]
+        apart = np.minimum.reduceat(of_list, edge[:-1]) != np.maximum.reduceat(of_list, edge[:-1])
+        i = i[np.repeat(apart, np.diff(edge))[i]]
         x = i[roots[node[i]] != roots[node[i + step]]]
         y = x + step
         ok = 1 + np.minimum(n[x] - 1 - pos[x], n[y] - 1 - pos[y]) >= need(n[x], n[y])
@@ -411,14 +419,54 @@ def linked_in_group(held: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def verified(groups: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): links between sets of a group (node, label) that connect all that is linked."""
-    size = groups.groupBy("label").agg(F.count(F.lit(1)).alias("q"))
-    blocks = groups.join(size, "label").withColumn("blocks", F.ceil(F.col("q") / BLOCK).cast("long"))
+    """(a, b): links between sets of a group (node, label) that connect all that is linked.
+
+    Groups of up to ``BLOCK`` sets are done after the first round. Only whether a
+    group is left reaches the driver.
+    """
+    q = groups.groupBy("label").agg(F.count(F.lit(1)).alias("q"))
+    blocks = groups.join(q, "label").withColumn("blocks", F.ceil(F.col("q") / BLOCK).cast("long"))
     blocks = blocks.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    paired = blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    paired = paired.select(F.col("node").alias("sig"), "label", F.least("own", "other").alias("low"),
-                           F.greatest("own", "other").alias("high"))
-    work = paired.join(texts, "sig").repartition("label", "low", "high").sortWithinPartitions("label", "low", "high")
+    links = compared(blocks.select("node", "label", F.col("own").alias("low"), F.col("own").alias("high")), texts).checkpoint()
+    large = blocks.where("blocks > 1").select("node", "label", "blocks", "own").checkpoint()
+    if large.isEmpty():
+        return links
+
+    # the sets that reached most others: the best of each block, then of the group
+    reached = links.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n"))
+    best = large.join(reached, "node")
+    for keys in (("label", "own"), ("label",)):
+        order = Window.partitionBy(*keys).orderBy(F.desc("n"), "node")
+        best = best.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= (4 if len(keys) > 1 else PIVOTS))
+    everywhere = best.withColumn("own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    met = large.select("node", "label", "own").unionByName(everywhere.select("node", "label", "own")).distinct()
+    met = met.select("node", "label", F.col("own").alias("low"), F.col("own").alias("high"))
+    links = links.unionByName(compared(met, texts)).checkpoint()
+
+    cluster = components(links, "a", "b").select("node", F.col("label").alias("root"))
+    state = large.select("node", "label").join(cluster, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    state = state.checkpoint()
+    sizes = state.groupBy("label", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("label").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("q"))
+    main = main.select("label", F.col("m.root").alias("main"), F.col("m.n").alias("n_main"), (F.col("q") - F.col("m.n")).alias("n_rest"))
+    left = state.join(main.where("n_rest > 0"), "label")
+    if left.isEmpty():
+        return links
+    # sets outside the main cluster meet all, those inside meet only the ones outside
+    left = left.withColumn("rest", F.ceil(F.col("n_rest") / BLOCK).cast("long"))
+    left = left.withColumn("mains", F.ceil(F.col("n_main") / BLOCK).cast("long")).withColumn("inside", F.expr("root = main"))
+    ticket = F.xxhash64("node")
+    left = left.withColumn("own", F.when(F.col("inside"), F.col("rest") + F.pmod(ticket, "mains")).otherwise(F.pmod(ticket, "rest")))
+    past = F.when(F.col("inside"), F.col("rest")).otherwise(F.col("rest") + F.col("mains"))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), past - 1)))
+    paired = left.select("node", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    return links.unionByName(compared(paired, texts))
+
+
+def compared(paired: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links between sets (node, label, low, high) that have the last three alike."""
+    work = paired.withColumnRenamed("node", "sig").join(texts, "sig")
+    work = work.repartition("label", "low", "high").sortWithinPartitions("label", "low", "high")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, sigs, blobs = None, [], []
