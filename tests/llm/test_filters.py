@@ -302,3 +302,18 @@ def test_classifier_of_awkward_rows(spark, awkward, tables, no_documents):
     assert got.count() == awkward.count() and got.where("score IS NULL OR score < 0 OR score > 1").count() == 0
     assert {r.score for r in op10_mil.quality_scores(awkward, no_labels(spark)).collect()} == {0.5}
     assert op10_mil.quality_scores(no_documents, tables[1]).count() == 0
+
+
+def test_all_good_labels_count(spark):
+    """More good labels than any bounded sample held: all are in the target and in the threshold."""
+    docs = spark.range(20_100).selectExpr("id AS doc_id", "concat('w', id % 3, ' v') AS text")
+    labels = spark.range(20_100).selectExpr("id AS doc_id", "1 AS quality")
+    counts = op6_quality.bucket_counts(op6_quality.trusted_texts(docs, labels))
+    assert counts.sum() == 3 * 20_100
+
+
+def test_quantile_is_the_percentile(spark):
+    scores = spark.range(5000).selectExpr("sin(id % 1700) AS score")
+    for q in (0.0, 0.002, 0.5, 1.0):
+        want = scores.selectExpr(f"percentile(score, {q}) AS q").first().q
+        assert abs(op6_quality.quantile(scores, q) - want) < 1e-12

@@ -1,14 +1,15 @@
 """Quality rules: hashed n-gram log-likelihood ratio, and counts of simple faults.
 
 Two multinomials over hashed words and word pairs (2**16 buckets): the raw corpus,
-counted over every document, and the trusted target, counted over documents
-labelled good (a bounded sample of labels, by hash, of ``TRUSTED_ROWS`` rows). The
+counted over every document, and the trusted target, counted over every document
+labelled good (found by a join; their texts go compressed to the shared folder). The
 target is smoothed with ``PRIOR`` pseudo-counts spread as the raw corpus. A text's
 score is the mean of log(target / raw) over its n-grams. The threshold is fixed
 before any verdict: the ``QUANTILE`` of the scores of the trusted documents, each
 scored without its own counts, so it depends on the data alone and a document's
 verdict only on its text and these numbers. What reaches the driver has a fixed
-size: two counts a bucket and one threshold.
+size: two counts a bucket, and histograms of ``CELLS`` cells that narrow the quantile
+down to one score.
 
 A document fails the base rules if it has under 20 words, or if more than 30 of
 100 words lie in 8-word windows found twice or more in it.
@@ -21,19 +22,23 @@ so repeated rows and null doc_ids get equal verdicts. Other columns are carried
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm.text import BYTE_CODE, Prefix, Words, chunks, mix, read_table, utf8
+from towerlens.llm.text import BYTE_CODE, Prefix, Words, chunks, mix, read_table, slices, unpacked, utf8
+from towerlens.session import shared_dir
 
 BUCKET_BITS = 16
-TRUSTED_ROWS = 20_000
 PRIOR = 20_000.0
 QUANTILE = 0.002
+#: Cells of a histogram of scores.
+CELLS = 1 << 14
 
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -58,36 +63,78 @@ def by_chunk(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         yield i, j, raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i]
 
 
-def trusted_ids(labels: DataFrame, rows: int) -> DataFrame:
-    """doc_ids labelled good: at most ``rows``, those of least hash."""
+def trusted_texts(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text): the texts of (doc_id, text) rows that are labelled good, written to the shared folder."""
+    spark = texts.sparkSession
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"))
-    return good.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for b in slices(batches):
+            blobs = [squeeze((t or "").encode()) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(blobs, pa.binary())], ["doc_id", "z"])
 
-def fit(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> tuple[np.ndarray, float]:
-    """Log-ratio of each bucket, and the threshold of the mean ratio."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(unpacked(b.column("z").to_pylist()), pa.binary())], ["text"])
+
+    folder = f"{shared_dir(spark)}/trusted-{uuid.uuid4().hex}"
+    packed = texts.where("doc_id IS NOT NULL").mapInArrow(pack, "doc_id long, z binary")
+    packed.join(good, "doc_id", "left_semi").select("z").write.parquet(f"{folder}/texts")
+    return spark.read.parquet(f"{folder}/texts").mapInArrow(unpack, "text binary")
+
+
+def bucket_counts(texts: DataFrame) -> np.ndarray:
+    """Words and pairs of all texts in each bucket."""
     size = 1 << BUCKET_BITS
-    trusted = F.broadcast(trusted_ids(labels, trusted_rows).withColumn("good", F.lit(True)))  # bounded above
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    flagged = texts.join(trusted, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw_count, target_count = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        n = np.zeros(size, np.int64)
         for b in batches:
-            good = b.column("good").to_numpy(zero_copy_only=False)
-            for i, j, raw, offs in by_chunk(b.column("text")):
-                row, bucket = buckets(Words(raw, offs))
-                raw_count += np.bincount(bucket, minlength=size)
-                target_count += np.bincount(bucket[good[i:j][row]], minlength=size)
-        used = np.flatnonzero(raw_count)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array(raw_count[used]), pa.array(target_count[used])],
-            ["bucket", "raw", "target"])
-
-    counted = flagged.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()  # 2**16 rows at most
-    raw, target = np.zeros(size), np.zeros(size)
-    raw[counted.bucket], target[counted.bucket] = counted.raw, counted.target
+            for _, _, raw, offs in by_chunk(b.column("text")):
+                n += np.bincount(buckets(Words(raw, offs))[1], minlength=size)
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n[used])], ["bucket", "n"])
+
+    counted = texts.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n")).toPandas()  # 2**16 rows at most
+    out = np.zeros(size)
+    out[counted.bucket] = counted.n
+    return out
+
+
+def quantile(scores: DataFrame, q: float) -> float | None:
+    """percentile(score, q), by histograms that narrow down its two ranks."""
+    n, least, most = scores.agg(F.count("score"), F.min("score"), F.max("score")).first()
+    if not n:
+        return None
+
+    def ranked(rank: int) -> float:
+        low, high, before = least, most, 0
+        while low < high:
+            cell = F.least(F.floor((F.col("score") - low) / (high - low) * CELLS), F.lit(CELLS - 1))
+            held = scores.where(F.col("score").between(low, high)).groupBy(cell.alias("cell")).agg(
+                F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
+            for r in sorted(held.collect(), key=lambda r: r.cell):  # CELLS rows at most
+                if before + r.n > rank:
+                    low, high = r.low, r.high
+                    break
+                before += r.n
+        return low
+
+    place = (n - 1) * q
+    under, over = int(np.floor(place)), int(np.ceil(place))
+    low = ranked(under)
+    high = low if over == under else ranked(over)
+    return low if low == high else (over - place) * low + (place - under) * high
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
+    """Log-ratio of each bucket, and the threshold of the mean ratio."""
+    size = 1 << BUCKET_BITS
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    trusted = trusted_texts(texts, labels)
+    raw, target = bucket_counts(texts), bucket_counts(trusted)
     if not target.any():
         return np.zeros(size), -np.inf
     base = (raw + 0.5) / (raw.sum() + 0.5 * size)
@@ -104,8 +151,9 @@ def fit(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) ->
                 score = np.bincount(row, np.log(left / base[bucket]), minlength=len(n)) / np.maximum(n, 1)
                 yield pa.RecordBatch.from_arrays([pa.array(score[words.count >= MIN_WORDS])], ["score"])
 
-    own = flagged.where("good").select("text").mapInArrow(score_without_self, "score double")
-    threshold = own.agg(F.percentile("score", QUANTILE).alias("q")).first().q
+    folder = f"{shared_dir(docs.sparkSession)}/trusted-scores-{uuid.uuid4().hex}"
+    trusted.mapInArrow(score_without_self, "score double").write.parquet(folder)
+    threshold = quantile(docs.sparkSession.read.parquet(folder), QUANTILE)
     ratio = np.log((target + PRIOR * base) / (target.sum() + PRIOR) / base)
     return ratio, -np.inf if threshold is None else float(threshold)
 
@@ -181,16 +229,16 @@ def judge(rows: DataFrame, ratio: np.ndarray, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, f"{kinds}{', '.join(f'{s} long' for s in STATS)}, score double, base_failed boolean, kept boolean")
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed, kept)."""
-    ratio, threshold = fit(docs, labels, trusted_rows)
+    ratio, threshold = fit(docs, labels)
     return judge(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
                  ratio, threshold)
 
 
-def keep_rows(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def keep_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    ratio, threshold = fit(docs, labels, trusted_rows)
+    ratio, threshold = fit(docs, labels)
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
     return judge(whole, ratio, threshold).where("kept").select("row.*")
 
