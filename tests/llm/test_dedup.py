@@ -192,6 +192,13 @@ def test_jaccard_keeps_one_row_of_each_group(spark, near_copies):
     assert sorted(r.doc_id for r in kept.collect()) == want and kept.columns[-1] == "component_id"
 
 
+def test_jaccard_keeps_rows_by_set_not_by_doc_id(spark):
+    a, b = ("one two three four five six seven", "red green blue white black brown grey")
+    rows = [(1, a), (1, a), (2, a), (2, b), (None, a), (3, ""), (3, "")]
+    kept = op8_jaccard.keep_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (2, b), (3, ""), (3, "")]
+
+
 def test_light_bounds():
     for n in range(1, 40):
         for m in range(n, 60):

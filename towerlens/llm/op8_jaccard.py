@@ -495,9 +495,8 @@ def compared(paired: DataFrame, texts: DataFrame) -> DataFrame:
     return work.mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the least doc_id that links lead to, itself included."""
-    docs = documents(docs)
+def labelled_sets(docs: DataFrame) -> DataFrame:
+    """(sig, least, label): the least doc_id of each set that isn't empty, and the component of the set."""
     subsets = scan_lists(postings(docs, heavy=False))
     sure = subsets.where("lead <> sig").select(F.col("lead").alias("a"), F.col("sig").alias("b"))
     lists = scan_lists(postings(docs, True, frequent_shingles(docs)))
@@ -505,20 +504,49 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     near = candidates(entries.repartition("token").sortWithinPartitions("token", "n", "sig"))
     links = verified(components(near, "a", "b"), texts_by_set(docs))
     label = components(sure.unionByName(links), "a", "b")
-    own = sets(docs)
-    rep = own.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
-    rep = rep.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    rep = sets(docs).where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
+    rep = rep.join(label.withColumnRenamed("node", "sig"), "sig", "left")
+    return rep.withColumn("label", F.coalesce("label", "sig"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id): the least doc_id that links lead to, itself included."""
+    docs = documents(docs)
+    rep = labelled_sets(docs)
     least = rep.groupBy("label").agg(F.min("least").alias("component_id"))
     by_sig = rep.join(least, "label").select("sig", "component_id")
-    return own.join(by_sig, "sig", "left").select(
+    return sets(docs).join(by_sig, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all columns: of each group the one of least doc_id."""
-    gone = jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, with all columns: one of each group, that of least doc_id (null last).
+
+    Of several sets with this doc_id the one of least signature stays, of repeated
+    rows any one. Rows without words are in no group and stay.
+    """
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                        F.col("text").cast("string").alias("text"))
+    kind = whole.schema["row"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw, offs = utf8(b.column("text"))
+            for i, j in chunks(raw, offs):
+                row, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
+                size, sig = signatures(row, code, j - i)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("row").slice(i, j - i), b.column("doc_id").slice(i, j - i), pa.array(size), pa.array(sig)],
+                    ["row", "doc_id", "n", "sig"])
+
+    rows = whole.mapInArrow(run, f"row {kind}, doc_id long, n long, sig long")
+    first = labelled_sets(documents(docs)).groupBy("label").agg(
+        F.min(F.struct(F.col("least").isNull(), "least", "sig")).alias("f"))
+    first = first.select(F.col("f.sig").alias("sig"), F.col("f.least").alias("least"))
+    stays = rows.join(first, "sig").where(F.col("n") > 0).where(F.col("doc_id").eqNullSafe(F.col("least")))
+    one = stays.groupBy("sig").agg(F.first("row").alias("row")).select("row")
+    return one.unionByName(rows.where("n = 0").select("row")).select("row.*")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
