@@ -1,4 +1,7 @@
-"""Exact dedup with an extendible-hash index on shared files, in DataFrame functions only.
+"""Exact dedup by grouping and an equi-join on the whole key, in DataFrame functions only.
+
+This replaces the probe of an extendible-hash index: the directory below only sorts the
+index files, no row is looked up through it.
 
 1. Entries: rows with the same SHA-256 and the same bytes fold into one entry
    (largest doc_id, number of rows). The grouping compares whole texts, and its
@@ -8,10 +11,10 @@
    directory doubles: that bucket is split by one more bit, others keep their
    depth. Only the number of buckets left to split reaches the driver.
 3. Index files: each entry goes with its bucket to Parquet in the shared folder,
-   range-partitioned and sorted by key, so each task owns a range of keys.
+   range-partitioned by key, sorted by bucket and key.
 4. Collisions: entries of one SHA-256 with other bytes form a chain, told apart
    by length and a second hash; should these agree too, by the bytes.
-5. Probe: each row looks its key up in the index. Only keys move; AQE splits the
+5. Probe: each row meets its entry by a join on the whole key. Only keys move; AQE splits the
    partition of a hot key.
 
 Defined results: null counts as the empty text. The largest doc_id stays; among
@@ -71,7 +74,7 @@ def directory(entries: DataFrame, folder: str, capacity: int, depth: int) -> Dat
 def build_index(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) -> DataFrame:
     """Write the index to the shared folder and return it: one row for each distinct text.
 
-    (bucket, sha, check, length, keep_id, group_size, chain_len, text): ``text``
+    (bucket, sha, check, length, keep_id, group_size, text): ``text``
     is held only where a chain needs the bytes.
     """
     spark = docs.sparkSession
