@@ -1,7 +1,7 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by hashes of 35-word windows, in place of a relative Lempel-Ziv parse.
 
-The corpus is its own reference. Its index is dealt over the shuffle partitions
-(the reference blocks) by seed: of the 16-word sequences in each 35-word window
+No factors with a source are made; the rows are those that the contract asks for.
+The index of the corpus is dealt over the shuffle partitions (the blocks) by seed: of the 16-word sequences in each 35-word window
 the one of least hash. Equal windows have equal seeds at equal places, so a
 window that occurs in any block is found by looking up its own seed in the one
 block that can hold it; that answers for every block without a pass over each.
@@ -9,12 +9,9 @@ block that can hold it; that answers for every block without a pass over each.
 1. Texts: each distinct text is kept once (compressed), with its number of rows.
    All later steps read this one shuffle.
 2. Seeds (one for about 10 words) are shuffled; those met once are dropped.
-3. Each document is factored: only windows whose seed is repeated can lie in a
-   factor, and these are looked up by a 96-bit hash of all their words.
-4. Greedy parse: from each word on, the factor runs as long as every window of
-   it is found elsewhere. Windows over the boundary of two factors are looked
-   up like all others, so a match that begins in one and ends in the next is
-   not lost. Factors of 35 words or more are duplicate spans.
+3. Only windows whose seed is repeated can be repeated; each of them is looked up
+   by a 96-bit hash of all its words.
+4. Unions of repeated windows are duplicate spans.
 
 A seed or window that a batch meets twice is known to be repeated, as is all of a
 text that two rows hold; further rows of a batch take a key of their own, so a
@@ -103,7 +100,7 @@ def windows(held: DataFrame, window: int, seed: int) -> DataFrame:
 
 
 def duplicate_spans(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Greedy factors: maximal unions of repeated windows, as word ranges."""
+    """Maximal unions of repeated windows, as word ranges."""
     if not len(starts):
         return []
     starts = np.sort(starts)
