@@ -98,3 +98,15 @@ def test_merged_windows_do_not_depend_on_the_cut_of_batches(spark, sf_small):
     for a, b in zip(serving.operator_metrics(got, AS_OF, "7 days").collect(),
                     serving.operator_metrics(want, AS_OF, "7 days").collect()):
         assert a.operator == b.operator and abs((a.avg_signal_strength or 0) - (b.avg_signal_strength or 0)) < 1e-9
+
+
+def test_lake_queries_read_the_tables_of_now(spark, sf_small, tmp_path):
+    """A table replaced at the same path is read by the next query of the session."""
+    from towerlens.plans.catalog import QUERIES
+
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    seen = []
+    for part in (events.where("event_id % 2 = 0"), events):
+        part.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+        seen.append(QUERIES["lake_postal_code_status"](spark, str(tmp_path)).collect())
+    assert seen[0] != seen[1]

@@ -319,15 +319,9 @@ def _write_one_batch(spark, sf_dir, name, raw=True) -> MicroBatchWriter:
     return writer
 
 
-_LAKES: dict[tuple[str, str], MicroBatchWriter] = {}
-
-
 def _lake(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Both KPI tables as written to the lake, once for each session and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        _LAKES[key] = _write_one_batch(spark, sf_dir, "lake", raw=False)
-    p = _LAKES[key].paths()
+    """Both KPI tables as written to the lake, anew for each query."""
+    p = _write_one_batch(spark, sf_dir, "lake", raw=False).paths()
     return (read_lake_table(spark, p["average_by_operator"], AVERAGE_BY_OPERATOR_SCHEMA),
             read_lake_table(spark, p["status_by_postal_code"], STATUS_BY_POSTAL_CODE_SCHEMA))
 
@@ -344,22 +338,22 @@ def q_lake_postal_code_status(spark, sf_dir):
     return serving.postal_code_status(_lake(spark, sf_dir)[1], AS_OF, OPERATOR_RANGE)
 
 
-def _lake_status(spark, sf_dir):
-    return serving.postal_code_status(_lake(spark, sf_dir)[1], AS_OF, OPERATOR_RANGE, ordered=False)
+def _lake_status(status):
+    return serving.postal_code_status(status, AS_OF, OPERATOR_RANGE, ordered=False)
 
 
 def q_lake_summary_cards(spark, sf_dir):
-    avg, _ = _lake(spark, sf_dir)
+    avg, status = _lake(spark, sf_dir)
     return rounded(serving.summary_cards(serving.operator_metrics(avg, AS_OF, OPERATOR_RANGE, ordered=False),
-                                         _lake_status(spark, sf_dir)))
+                                         _lake_status(status)))
 
 
 def q_lake_pivot_status(spark, sf_dir):
-    return _named_pivot(serving.pivot_status(_lake_status(spark, sf_dir)))
+    return _named_pivot(serving.pivot_status(_lake_status(_lake(spark, sf_dir)[1])))
 
 
 def q_lake_distinct_status(spark, sf_dir):
-    return serving.distinct_status(_lake_status(spark, sf_dir))
+    return serving.distinct_status(_lake_status(_lake(spark, sf_dir)[1]))
 
 
 def _raw_schema(wire_like: T.StructType) -> T.StructType:
