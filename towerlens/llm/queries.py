@@ -5,6 +5,9 @@ from __future__ import annotations
 from towerlens.llm import op3_exact, op4_mixture, op7_urls
 from towerlens.llm.op1_substring import op1_substring_dedup
 from towerlens.llm.op10_mil import op10_quality_classifier
+from towerlens.llm.op11_whitening import op11_embedding_whitening
+from towerlens.llm.op12_pieces import op12_sentencepiece
+from towerlens.llm.op13_align import op13_token_alignment
 from towerlens.llm.op2_suffix import op2_suffix_dedup
 from towerlens.llm.op5_license import op5_license_scan
 from towerlens.llm.op6_quality import op6_quality_rules
@@ -22,6 +25,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
