@@ -15,8 +15,8 @@ Then one pass over the rows projects them, and one over the fit list measures th
 covariance of what comes out.
 
 Defined results: rows whose vector is null, or holds null or non-finite entries, are dropped, and so
-are rows whose vector has another length than most valid ones (of lengths as frequent, the
-greatest counts). Entries beyond a long are set to its bounds, as Spark's floor does.
+are empty vectors and rows whose vector has another length than most valid ones (of lengths
+as frequent, the greatest counts). Entries beyond a long are set to its bounds, as Spark's floor does.
 Repeated rows and rows that tie each get their own rows; null ids stay null. Components
 whose eigenvalue is not above the rounding of the trace do not exist: one distinct vector, or
 an empty table, gives no rows. Among equal eigenvalues any turn of the eigenvectors is as good.
@@ -69,7 +69,7 @@ def integer_vectors(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     ends = np.append(0, np.cumsum(np.maximum(size, 0)))
     flat = column.flatten().cast(pa.float64())
     values = flat.fill_null(np.nan).to_numpy(zero_copy_only=False)
-    for n in np.unique(size[size >= 0]).tolist():
+    for n in np.unique(size[size > 0]).tolist():
         at = np.flatnonzero(size == n)
         x = values[(ends[at][:, None] + np.arange(n)).ravel()].reshape(len(at), n)
         fine = np.isfinite(x).all(axis=1)
@@ -184,23 +184,21 @@ def eigenvectors(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(d, np.longdouble), np.eye(d, dtype=np.longdouble)
     a = a / top
     x = np.linalg.eigh(a.astype(np.float32))[1].astype(np.longdouble)
-    norm, eye, best = np.longdouble(np.linalg.norm(a.astype(np.float64), 2)), np.eye(d, dtype=np.longdouble), np.inf
+    norm, eye = np.longdouble(np.linalg.norm(a.astype(np.float64), 2)), np.eye(d, dtype=np.longdouble)
     for _ in range(CORRECTIONS):
         r, s = eye - x.T @ x, x.T @ (a @ x)
         value = np.diag(s) / (1 - np.diag(r))
         off = s - np.diag(value)
-        worst = max(np.abs(off).max(), np.abs(r).max())
         reach = 2 * (np.sqrt((off ** 2).sum()) + norm * np.sqrt((r ** 2).sum()))  # Frobenius bounds the 2-norm
         gap = value[None, :] - value[:, None]
-        close = np.abs(gap) <= reach
         with np.errstate(divide="ignore", invalid="ignore"):
-            e = np.where(close, r / 2, (s + value[None, :] * r) / gap)
+            e = np.where(np.abs(gap) <= reach, r / 2, (s + value[None, :] * r) / gap)
+        e = (e - e.T + r) / 2  # e + e.T = r: small gaps shall not cost orthogonality
         x = x + x @ e
         for group in clusters(value, reach):
             x[:, group] = turned(a, x[:, group])
-        if worst >= best / 2 and worst < 1e-15:
+        if np.abs(e).max() < 1e-12:  # what is left is its square
             break
-        best = min(best, worst)
     value = np.diag(x.T @ (a @ x)) / np.diag(x.T @ x)
     order = np.argsort(-value, kind="stable")
     return value[order] * top, x[:, order]
@@ -224,7 +222,10 @@ def turned(a: np.ndarray, v: np.ndarray) -> np.ndarray:
     small = (small + small.T) / 2
     small -= np.trace(small) / len(small) * np.eye(len(small), dtype=np.longdouble)
     size = np.abs(small).max()
-    return v if size == 0 else v @ np.linalg.eigh((small / size).astype(np.float64))[1].astype(np.longdouble)
+    if size == 0:
+        return v
+    turn = np.linalg.eigh((small / size).astype(np.float64))[1].astype(np.longdouble)
+    return v @ turn @ (3 * np.eye(len(turn), dtype=np.longdouble) - turn.T @ turn) / 2
 
 
 def projected(x: np.ndarray, n: int, total: list[int], axes: np.ndarray) -> np.ndarray:
