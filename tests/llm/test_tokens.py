@@ -163,6 +163,7 @@ def byte_chars():
 @pytest.mark.parametrize("chunk", [1 << 23, 5000])
 def test_op13_rows(spark, sf_small, awkward, no_documents, byte_library, piece_library, chunk, monkeypatch):
     monkeypatch.setattr(op13_align, "CHUNK", chunk)
+    monkeypatch.setattr(op13_align, "PART", max(chunk // 8, 1000))
     marked = spark.createDataFrame([(1, "a ▁ b"), (2, "plain <|endoftext|> </s> text"), (None, "plain text"),
                                     (None, "plain text"), (3, " "), (4, "naïve 字🙂 " * 40)], "doc_id long, text string")
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
@@ -186,11 +187,16 @@ def test_diagonal_runs_find_all_common_ends(seed):
     a, b = (sorted({n, *(x for x in range(1, n) if pick.random() < share)}) for share in (pick.random(), pick.random()))
     if seed % 3 == 0:  # long one-to-one stretches
         b = sorted({*a} ^ {x for x in range(1, n) if pick.random() < 0.01})
-    runs, odd = op13_align.diagonal_runs(a, b)
+    runs, odd, _ = op13_align.diagonal_runs(a, b)
     ends = sorted([a[i + k] for i, _, size in runs for k in range(size)] + [a[e - 1] for _, e, _, _ in odd])
     assert ends == sorted(set(a) & set(b))
     assert all(a[i + k] == b[j + k] for i, j, size in runs for k in range(size))
-    left, right = op13_align.links(a, b, runs, odd)
+    found = op13_align.Aligned(np.array(a), np.array(b))
     starts = [[0, *x[:-1]] for x in (a, b)]
-    assert sorted(zip(left, right)) == [(i, j) for i in range(len(a)) for j in range(len(b))
-                                        if max(starts[0][i], starts[1][j]) < min(a[i], b[j])]
+    assert sorted(zip(found.left.tolist(), found.right.tolist())) == [
+        (i, j) for i in range(len(a)) for j in range(len(b)) if max(starts[0][i], starts[1][j]) < min(a[i], b[j])]
+    x, y = np.arange(len(a)), np.arange(len(b))
+    spelled = "".join(op13_align.spellings(len(a), len(b))[k] for k in found.in_order(x, y, len(a), len(b)))
+    cuts = [(a.index(c) + 1, b.index(c) + 1) for c in ends]
+    assert spelled == "".join(",".join(map(str, range(i, k))) + "|" + ",".join(map(str, range(j, m))) + ";"
+                              for (i, j), (k, m) in zip([(0, 0), *cuts], cuts))

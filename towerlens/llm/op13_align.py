@@ -7,7 +7,8 @@ Alignment by diagonal run skipping. The ends of A's and B's tokens are compared
 current shift between the two arrays: slices of 1, 2, 4, ... ends while they are
 equal, then halves, so that a one-to-one stretch is jumped in logarithmically many
 comparisons. Where it stops, the irregular group is resolved token by token up to
-the next common end, which gives its links (overlapping tokens) and the new shift.
+the next common end, which gives its links (overlapping tokens) and the new shift. The end of a
+document is a common end, so documents of one part are aligned in one go.
 
 Counts. A task aligns documents in chunks of about ``CHUNK`` bytes and writes, for a
 chunk, its distinct pairs of linked ids with the number of documents that hold
@@ -18,8 +19,8 @@ The chunks are a table in the shared folder, under a name of its own; whoever ow
 folder retires it. The number of pairs is not bounded by the vocabularies in any useful way,
 so nothing is broadcast or collected.
 
-Memory: a task holds one Arrow batch of texts, the tokens of one document and the links of a chunk.
-A document is aligned whole, so one larger than ``CHUNK`` makes a chunk of its own size.
+Memory: a task holds one Arrow batch of texts, the tokens of a part (``PART`` bytes, one document at
+least) and the links of a chunk. A document is aligned whole, so a longer one makes a part of its own size.
 
 Defined results: null and empty texts, and texts that a tokenizer does not spell as a space and the text
 (U+2581 is a space to B), have no tokens: zeros and no groups. Strings of special
@@ -48,7 +49,7 @@ from towerlens.llm.text import documents, read_table
 from towerlens.session import shared_dir
 
 #: Bytes of text whose pairs are counted together, and bytes tokenised at once.
-CHUNK, PART = 8 << 20, 1 << 20
+CHUNK, PART = 8 << 20, 2 << 20
 
 
 class ByteModel:
@@ -89,12 +90,14 @@ class ByteModel:
         return ids, np.append(0, np.cumsum(size))[first]
 
 
-def diagonal_runs(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
-    """Groups between common ends: one-to-one runs (i, j, length) and irregular groups (i, i end, j, j end).
+def diagonal_runs(a: list[int], b: list[int]) -> tuple[list, list, tuple[list[int], list[int]]]:
+    """Groups between common ends, and the links inside irregular ones.
 
-    ``a`` and ``b`` are the ends of two token sequences over the same bytes.
+    ``a`` and ``b`` are the ends of two token sequences over the same bytes. One-to-one
+    runs come as (i, j, length), irregular groups as (i, i end, j, j end), links as two lists of token numbers.
     """
-    runs, odd, i, j, n = [], [], 0, 0, len(a)
+    runs, odd, left, right = [], [], [], []
+    i, j, n = 0, 0, len(a)
     while i < n:
         begin = i
         if a[i] == b[j]:
@@ -113,54 +116,79 @@ def diagonal_runs(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]
         at, to = i, j
         x, y = a[i], b[j]
         while x != y:
+            left.append(i)
+            right.append(j)
             if x < y:
                 i += 1
                 x = a[i]
             else:
                 j += 1
                 y = b[j]
+        left.append(i)
+        right.append(j)
         i, j = i + 1, j + 1
         odd.append((at, i, to, j))
-    return runs, odd
+    return runs, odd, (left, right)
 
 
-def links(a: list[int], b: list[int], runs: list, odd: list) -> tuple[list[int], list[int]]:
-    """Token numbers of every pair of tokens whose byte ranges overlap."""
-    left, right = [], []
-    for i, j, size in runs:
-        left += range(i, i + size)
-        right += range(j, j + size)
-    for i, i_end, j, j_end in odd:
-        while True:
-            left.append(i)
-            right.append(j)
-            x, y = a[i], b[j]
-            i, j = i + (x <= y), j + (y <= x)
-            if i == i_end:
-                break
-    return left, right
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
 
+class Aligned:
+    """Documents of one part, their tokens one after the other: the end of a document is a common end."""
 
-def spell(a: list[str], b: list[str], runs: list, odd: list) -> str:
-    """The groups as ``a1,a2|b1;a3|b2``, ids in decimal."""
-    parts = [(i, ";".join(map("%s|%s".__mod__, zip(a[i: i + size], b[j: j + size])))) for i, j, size in runs]
-    parts += [(i, ",".join(a[i:i_end]) + "|" + ",".join(b[j:j_end])) for i, i_end, j, j_end in odd]
-    parts.sort()
-    return ";".join([p for _, p in parts])
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        """``a`` and ``b``: ends of the tokens over all documents' bytes."""
+        runs, odd, (left, right) = diagonal_runs(a.tolist(), b.tolist())
+        runs, odd = np.array(runs, dtype=np.int64).reshape(-1, 3), np.array(odd, dtype=np.int64).reshape(-1, 4)
+        self.left = np.concatenate([ranges(runs[:, 0], runs[:, 2]), np.array(left, dtype=np.int64)])
+        self.right = np.concatenate([ranges(runs[:, 1], runs[:, 2]), np.array(right, dtype=np.int64)])
+        self.last = np.ones(len(a), dtype=bool), np.ones(len(b), dtype=bool)  # tokens that end a group
+        for flags, at, end in ((self.last[0], odd[:, 0], odd[:, 1]), (self.last[1], odd[:, 2], odd[:, 3])):
+            flags[ranges(at, end - at - 1)] = False
+
+    def groups(self) -> np.ndarray:
+        """n+1 numbers: groups that end before each token of A."""
+        return np.append(0, np.cumsum(self.last[0]))
+
+    def in_order(self, x: np.ndarray, y: np.ndarray, n_a: int, n_b: int) -> np.ndarray:
+        """Spellings of all tokens, A's of a group before B's: numbers of ``spellings(n_a, n_b)``."""
+        ends = [np.flatnonzero(f) + 1 for f in self.last]
+        group = [np.cumsum(f) - f for f in self.last]
+        out = np.empty(len(x) + len(y), dtype=np.int64)
+        out[np.arange(len(x)) + np.append(0, ends[1])[group[0]]] = x + n_a * self.last[0]
+        out[np.arange(len(y)) + ends[0][group[1]]] = y + 2 * n_a + n_b * self.last[1]
+        return out
+
+
+def spellings(n_a: int, n_b: int) -> list[str]:
+    """Ids in decimal with what follows them: inside A's part of a group, at its end, inside B's, at its end."""
+    return [f"{i}{mark}" for n, marks in ((n_a, ",|"), (n_b, ",;")) for mark in marks for i in range(n)]
 
 
 class Chunk:
     """Aligned documents, until their pairs are counted together."""
 
     def __init__(self):
-        self.size, self.rows, self.keys = 0, [], []
+        self.size, self.rows, self.keys, self.docs = 0, [], [], []
+
+    def add(self, rows: list[tuple], keys: np.ndarray, docs: np.ndarray, size: int) -> None:
+        """Rows of documents, and their links: keys of id pairs and the place of each one's row."""
+        self.docs.append(docs + len(self.rows))
+        self.rows += rows
+        self.keys.append(keys)
+        self.size += size
 
     def row(self, number: int) -> pa.RecordBatch:
-        keys = [k for k in self.keys if k is not None]
-        of = np.repeat(np.arange(len(self.rows)), [0 if k is None else len(k) for k in self.keys])
-        pairs, place = np.unique(np.concatenate(keys or [np.zeros(0, np.int64)]), return_inverse=True)
-        held, times = np.unique(of * len(pairs) + place, return_counts=True)
-        of, place = np.divmod(held, max(len(pairs), 1))
+        found = pa.array(np.concatenate(self.keys)).dictionary_encode()
+        pairs = found.dictionary.to_numpy()
+        held = pa.array(np.concatenate(self.docs) * len(pairs) + found.indices.to_numpy()).value_counts()
+        place = np.asarray(held.field(0))
+        order = np.argsort(place)
+        of, place = np.divmod(place[order], max(len(pairs), 1))
+        times = np.asarray(held.field(1))[order]
         ends = np.cumsum(np.bincount(of, minlength=len(self.rows)))
         doc_id, n_a, n_b, n_groups, n_links, groups = zip(*self.rows)
         values = {
@@ -185,30 +213,35 @@ def aligned_chunks(docs: DataFrame, byte_path: str, pattern: str, piece_path: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = ByteModel(byte_data, pattern), Model(piece_data)
-        names = [str(i) for i in range(max(len(left.ends), len(right.ends)))]
-        name = names.__getitem__
-        width = [np.diff(m.ends) for m in (left, right)]
+        sizes = [len(m.ends) - 1 for m in (left, right)]
+        spelling, width = spellings(*sizes).__getitem__, [np.diff(m.ends) for m in (left, right)]
         task, number, chunk = TaskContext.get().partitionId(), 0, Chunk()
         for b, texts in batches_of(batches, PART):
             ids = [left.encode([" " + t if t else "" for t in texts]), right.encode(texts)]
-            for n, (doc_id, text) in enumerate(zip(b.column("doc_id").to_pylist(), texts)):
-                (x, y), spelled = [i[e[n]: e[n + 1]] for i, e in ids], text and (" " + text).encode()
-                chunk.size += len(spelled)
-                if not text or any(ragged_take(m.bytes, m.ends, i)[0].tobytes() != spelled
-                                   for m, i in ((left, x), (right, y))):
-                    chunk.rows.append((doc_id, 0, 0, 0, 0, ""))
-                    chunk.keys.append(None)
-                else:
-                    a, b_ends = np.cumsum(width[0][x]).tolist(), np.cumsum(width[1][y]).tolist()
-                    runs, odd = diagonal_runs(a, b_ends)
-                    i, j = links(a, b_ends, runs, odd)
-                    groups = spell(list(map(name, x.tolist())), list(map(name, y.tolist())), runs, odd)
-                    chunk.rows.append((doc_id, len(x), len(y), sum(r[2] for r in runs) + len(odd), len(i),
-                                       sha256(groups.encode()).hexdigest() if digest else groups))
-                    chunk.keys.append(x[i].astype(np.int64) << 32 | y[j])
-                if chunk.size >= CHUNK:
-                    yield chunk.row(task << 32 | number)
-                    number, chunk = number + 1, Chunk()
+            want = np.array([len(t.encode()) + 1 if t else 0 for t in texts])
+            # Both spell what they keep in order, so they spell the text if they are as long.
+            fine = want > 0
+            for (i, e), w in zip(ids, width):
+                fine &= np.diff(np.append(0, np.cumsum(w[i]))[e]) == want
+            (x, n_a), (y, n_b) = (ragged_take(i, e, np.flatnonzero(fine)) for i, e in ids)
+            found = Aligned(np.cumsum(width[0][x]), np.cumsum(width[1][y]))
+            order = found.in_order(x, y, *sizes)
+            first, both = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_a + n_b))
+            n_groups = np.diff(found.groups()[first])
+            rows, at = [], 0
+            for doc_id, ok in zip(b.column("doc_id").to_pylist(), fine.tolist()):
+                if not ok:
+                    rows.append((doc_id, 0, 0, 0, 0, ""))
+                    continue
+                groups = "".join(map(spelling, order[both[at]: both[at + 1]].tolist()))[:-1]
+                rows.append((doc_id, n_a[at], n_b[at], n_groups[at], n_a[at] + n_b[at] - n_groups[at],
+                             sha256(groups.encode()).hexdigest() if digest else groups))
+                at += 1
+            of = np.flatnonzero(fine)[np.searchsorted(first, found.left, side="right") - 1]
+            chunk.add(rows, x[found.left].astype(np.int64) << 32 | y[found.right], of, int(want.sum()))
+            if chunk.size >= CHUNK:
+                yield chunk.row(task << 32 | number)
+                number, chunk = number + 1, Chunk()
         if chunk.rows:
             yield chunk.row(task << 32 | number)
 
