@@ -94,3 +94,11 @@ def range_bound_text(as_of: str | None, hours: int) -> Column:
             else F.lit(as_of).cast("timestamp_ntz"))
     return F.date_format(base - F.make_dt_interval(F.lit(0), F.lit(hours)),
                          "yyyy-MM-dd HH:mm:ss")
+
+
+def interval_seconds(text: str) -> int:
+    """Seconds of ``"<n> second(s) | minute(s) | hour(s) | day(s)"``."""
+    found = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day)s?\s*", text)
+    if not found:
+        raise ValueError(f"not an interval: {text!r}")
+    return int(found[1]) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[found[2]]

@@ -191,6 +191,31 @@ def drop_null_fields(df: DataFrame, null_strings=NULL_STRING_SET,
     return drop_fields(df, find_null_fields(df, null_strings, null_numbers, null_is_blank))
 
 
+def clear_null_fields_by(df: DataFrame, keys: list[str], null_strings=NULL_STRING_SET,
+                         null_numbers=NULL_NUMBER_SET, null_is_blank: bool = False) -> DataFrame:
+    """The drop-null-fields rule decided in each group of ``keys`` on its own.
+
+    A field that is blank in a whole group is NULL in its rows: groups share one
+    schema, and a dropped field is restored as NULL by the mapping anyway. The
+    flags are one row a group (partial ``bool_and`` in each task), joined back on the keys; a
+    NULL key is a group. Columns that may be blank are top-level text and numbers.
+    """
+    tests = {}
+    for f in df.schema.fields:
+        if f.name not in keys:
+            test = _is_blank(_column([f.name]), f.dataType, null_strings, null_numbers, null_is_blank)
+            if test is not None:
+                tests[f.name] = test
+    if not tests:
+        return df
+    flags = df.groupBy(*[_column([k]).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(
+        *[F.bool_and(t).alias(f"_blank{i}") for i, t in enumerate(tests.values())])
+    same = reduce(lambda a, b: a & b, [_column([k]).eqNullSafe(flags[f"_key{i}"]) for i, k in enumerate(keys)])
+    at = {c: i for i, c in enumerate(tests)}
+    return df.join(flags, same).select(*[
+        F.when(~flags[f"_blank{at[c]}"], _column([c])).alias(c) if c in at else _column([c]) for c in df.columns])
+
+
 def remove_null_rows(df: DataFrame, payload: list[str] | None = None,
                      extended: bool = True) -> DataFrame:
     """Remove rows whose payload fields are all NULL (``extended``: or blank text).

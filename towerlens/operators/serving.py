@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.functions.timeparts import hour_label, parse_range_hours, range_bound_text
+from towerlens.session import shared_dir
 
 
 # Orders of the served results.
@@ -154,14 +155,26 @@ def distinct_status(postal_status: DataFrame) -> DataFrame:
 def pivot_status(postal_status: DataFrame, values: list[str] | None = None) -> DataFrame:
     """postal code × status text → summed count, 0 where absent.
 
-    Pivot columns must be known when the plan is built: ``values``, or else the
-    texts of ``distinct_status``, in order. How many there may be is the engine's
-    own limit (``spark.sql.pivotMaxValues``), which fails and cuts nothing.
+    The counts become one map per postal code, which is spread over columns. Columns
+    must be known when the plan is built: ``values``, or else the keys of the
+    maps, in order. For these the maps are computed at once and kept by a
+    checkpoint in the shared folder, so the source is read once; keys and
+    columns come from the kept maps, a row a postal code. How many columns there may be is the
+    engine's own limit (``spark.sql.pivotMaxValues``), which fails and cuts nothing.
     """
-    keyed = postal_status.select(
+    spark = postal_status.sparkSession
+    counts = postal_status.groupBy(
         F.coalesce("postal_code", F.lit("")).alias("postal_code"),
         F.coalesce("status_description", F.lit("")).alias("status_description"),
-        "status_count")
-    out = keyed.groupBy("postal_code").pivot("status_description", values).agg(F.sum("status_count"))
-    return out.select("postal_code", *[F.coalesce(F.col("`" + v.replace("`", "``") + "`"), F.lit(0))
-                                       .cast("bigint").alias(v) for v in out.columns[1:]])
+    ).agg(F.sum("status_count").alias("status_count"))
+    maps = counts.groupBy("postal_code").agg(
+        F.map_from_entries(F.collect_list(F.struct("status_description", "status_count"))).alias("counts"))
+    if values is None:
+        shared_dir(spark)  # names the checkpoint folder where the session has none
+        maps = maps.checkpoint()
+        most = int(spark.conf.get("spark.sql.pivotMaxValues"))
+        keys = maps.select(F.explode(F.map_keys("counts")).alias("key")).distinct().orderBy("key").limit(most + 1)
+        values = [r.key for r in keys.collect()]
+        if len(values) > most:
+            raise ValueError(f"more than {most} status texts: raise spark.sql.pivotMaxValues")
+    return maps.select("postal_code", *[F.coalesce(F.col("counts")[v], F.lit(0)).cast("bigint").alias(v) for v in values])

@@ -24,17 +24,19 @@ from towerlens.operators.mapping import apply_mapping
 from towerlens.operators.parse import (
     encode_records, parse_records, type_records, with_processing_time,
 )
-from towerlens.plans.microbatch import MicroBatchWriter, clean_records, kpi_frames
+from towerlens.plans.microbatch import MicroBatchWriter, clean_records, clean_records_by_window, kpi_frames
 from towerlens.schema import (
     AVERAGE_BY_OPERATOR_SCHEMA, BATCH_KEY, INGEST_COLS, PAYLOAD_FIELDS, RECORD_TS,
     STATUS_BY_POSTAL_CODE_SCHEMA, WIRE_SCHEMA,
 )
 from towerlens.session import apply_job_conf, new_run_dir
+from towerlens.sinks.commits import committed, snapshot
 from towerlens.sinks.lake import publish_records, register_tables, write_result
 from towerlens.sources.events import RECORD_ID, corrupted, load_table, wire_from_events
 from towerlens.sources.files import CSV_NULL_TOKEN, read_lake_table, scan_csv
 from towerlens.sources.stream import stream_source, with_record_ts
-from towerlens.streaming import jobs
+from towerlens.streaming import jobs, ledger
+from towerlens.streaming.runner import kpi_catalog
 
 DIGITS = 9
 SUM_DIGITS = 4
@@ -320,10 +322,15 @@ def _write_one_batch(spark, sf_dir, name, raw=True) -> MicroBatchWriter:
 
 
 def _lake(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Both KPI tables as written to the lake, anew for each query."""
-    p = _write_one_batch(spark, sf_dir, "lake", raw=False).paths()
-    return (read_lake_table(spark, p["average_by_operator"], AVERAGE_BY_OPERATOR_SCHEMA),
-            read_lake_table(spark, p["status_by_postal_code"], STATUS_BY_POSTAL_CODE_SCHEMA))
+    """Both KPI tables as the catalog holds them, written anew for each query.
+
+    The writer adds its partitions to the catalog, so a range is pruned there and
+    the table's folders are not listed.
+    """
+    out = new_run_dir(spark, "lake")
+    tables = kpi_catalog(spark, "towerlens_" + out.rsplit("-", 1)[-1], out)
+    MicroBatchWriter(out, "lake-backfill", raw=False, catalog=tables)(_wire(spark, sf_dir), 0)
+    return spark.table(tables["average_by_operator"]), spark.table(tables["status_by_postal_code"])
 
 
 def q_lake_operator_metrics(spark, sf_dir):
@@ -596,6 +603,91 @@ def q_late_data_drop(spark, sf_dir):
     return rounded(spark.read.parquet(data).drop(*jobs.WINDOW_HOUR))
 
 
+def _ledger(spark, sf_dir, name) -> str:
+    """Event-time job over four batches; returns its folder.
+
+    Three time-ordered chunks, then every other record of the whole span again: those
+    whose day has ended by the stored watermark are late, the others count twice.
+    """
+    apply_job_conf(spark)
+    out = new_run_dir(spark, name)
+    ev = load_table(spark, sf_dir, "events")
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in _days(ev, 3))
+    ts = F.col("ts")
+    for cond in (ts < first, (ts >= first) & (ts < second), ts >= second, F.col("event_id") % 2 == 0):
+        ev.filter(cond).write.mode("append").parquet(f"{out}/stage")
+        s = stream_source(spark, f"{out}/stage", fmt="parquet", schema=ev.schema, ts_col="ts")
+        job = ledger.EventTimeLedger(out, "ledger", 86400, 3600, shape=type_records, raw=False)
+        _run(ledger.start_ledger_job(wire_from_events(s.drop(RECORD_TS)), job, f"{out}/_checkpoint",
+                                     available_now=True, name=name))
+    return out
+
+
+def _no_zone(df: DataFrame) -> DataFrame:
+    """Times as SQL shows them."""
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else f.name for f in df.schema.fields])
+
+
+def q_late_records(spark, sf_dir):
+    """The late records themselves: input rows, not groups."""
+    return rounded(_no_zone(ledger.late_records(spark, _ledger(spark, sf_dir, "late_records"))))
+
+
+def q_ledger_operator_windows(spark, sf_dir):
+    out = _ledger(spark, sf_dir, "ledger_operator_windows")
+    return rounded(_no_zone(ledger.final_windows(spark, out, "operator_hourly")))
+
+
+def q_ledger_status_windows(spark, sf_dir):
+    out = _ledger(spark, sf_dir, "ledger_status_windows")
+    return _no_zone(ledger.final_windows(spark, out, "network_status"))
+
+
+def q_ledger_open_windows(spark, sf_dir):
+    """Windows that are still open, with what was counted so far."""
+    out = _ledger(spark, sf_dir, "ledger_open_windows")
+    return rounded(_no_zone(ledger.open_windows(spark, out, "operator_hourly", 3600)))
+
+
+class _Killed(Exception):
+    pass
+
+
+def q_committed_kpis(spark, sf_dir):
+    """Three batches, the last one killed after its first table: readers see two in both tables.
+
+    Its first KPI table is written whole, so a reader by folder would count it.
+    """
+    class DiesBetweenTables(MicroBatchWriter):
+        def write_kpis(self, avg, status, key):
+            self.write_average(avg, key)
+            raise _Killed
+
+    out = new_run_dir(spark, "committed_kpis")
+    wire = _wire(spark, sf_dir)
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in _days(load_table(spark, sf_dir, "events"), 3))
+    ts = F.col(RECORD_TS)
+    writer = MicroBatchWriter(out, "committed", raw=False)
+    writer(wire.where(ts < first), 0)
+    writer(wire.where((ts >= first) & (ts < second)), 1)
+    try:
+        DiesBetweenTables(out, "committed", raw=False)(wire.where(ts >= second), 2)
+    except _Killed:
+        pass
+    at, p = snapshot(spark, out), writer.paths()
+    rows = [committed(read_lake_table(spark, p[name], schema), out, at).groupBy("batch_window").agg(
+        F.sum(value).cast("bigint").alias("n")).select(F.lit(name).alias("table_name"), "batch_window", "n")
+        for name, schema, value in (("average_by_operator", AVERAGE_BY_OPERATOR_SCHEMA, "n_signal"),
+                                    ("status_by_postal_code", STATUS_BY_POSTAL_CODE_SCHEMA, "status_count"))]
+    return rows[0].unionByName(rows[1])
+
+
+def q_window_blank_kpis(spark, sf_dir):
+    """KPIs of a backfill whose blank fields are decided in each arrival window."""
+    return rounded(kpi_frames(clean_records_by_window(_wire(spark, sf_dir)))[0])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "average_by_operator": q_average_by_operator,
     "status_by_postal_code": q_status_by_postal_code,
@@ -660,4 +752,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_source": q_stream_source,
     "stream_source_earliest": q_stream_source_earliest,
     "late_data_drop": q_late_data_drop,
+    "late_records": q_late_records,
+    "ledger_operator_windows": q_ledger_operator_windows,
+    "ledger_status_windows": q_ledger_status_windows,
+    "ledger_open_windows": q_ledger_open_windows,
+    "committed_kpis": q_committed_kpis,
+    "window_blank_kpis": q_window_blank_kpis,
 }

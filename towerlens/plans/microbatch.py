@@ -10,8 +10,12 @@ so two batches may each write a row for one window and operator; readers that
 average the windows merge such rows from their sums and counts first
 (``operators.serving``). The blank-field decision is made for a batch as a
 whole: text that only a blank column holds ('null', '') is cleared in a batch
-whose column holds nothing else, and kept in a batch where it does. A backfill
-of many windows in one batch decides once for all of them.
+whose column holds nothing else, and kept in a batch where it does. A backfill of many windows in one
+batch decides once for all of them, unless it decides ``blank_by_window``: then each
+arrival window decides alone, as if it had been a batch.
+
+The last act of a batch is its commit record (``sinks.commits``): readers that ask
+for committed batches see all of its tables or none.
 """
 
 from __future__ import annotations
@@ -23,10 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from towerlens.functions.timeparts import MICRO_BATCH_SECONDS, check_window, ingest_parts
-from towerlens.operators.clean import drop_fields, drop_null_fields, remove_null_rows, scan_null_fields
+from towerlens.operators.clean import (
+    clear_null_fields_by, drop_fields, drop_null_fields, remove_null_rows, scan_null_fields,
+)
 from towerlens.operators.kpis import average_by_operator, status_by_postal_code, with_batch_window
 from towerlens.operators.mapping import apply_mapping
 from towerlens.schema import CORRUPT, INGEST_COLS, RECORD_TS
+from towerlens.sinks.commits import CommitLog
 from towerlens.sinks.lake import add_batch_partitions, add_ingest_partitions, cluster_by_partition, write_batch_table
 
 
@@ -35,6 +42,14 @@ def clean_records(batch: DataFrame, null_is_blank: bool = False) -> DataFrame:
     return apply_mapping(remove_null_rows(drop_null_fields(batch, null_is_blank=null_is_blank)))
 
 
+def clean_records_by_window(batch: DataFrame, window_seconds: int = MICRO_BATCH_SECONDS,
+                            null_is_blank: bool = False) -> DataFrame:
+    """The same, with the blank fields of each arrival window on its own."""
+    tagged = with_batch_window(batch, window_seconds)
+    cleared = clear_null_fields_by(tagged, ["batch_window"], null_is_blank=null_is_blank).drop("batch_window")
+    return apply_mapping(remove_null_rows(cleared))
+
+
 def kpi_frames(mapped: DataFrame, window_seconds: int = MICRO_BATCH_SECONDS,
                since: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(average_by_operator, status_by_postal_code) per arrival window.
@@ -71,9 +86,11 @@ class MicroBatchWriter:
     # partitions, e.g. {"average_by_operator": "db.average_by_operator"}
     catalog: dict[str, str] | None = None
     raw: bool = True
+    blank_by_window: bool = False
 
     def __post_init__(self) -> None:
         check_window(self.window_seconds)
+        self.log = CommitLog(self.out_dir)
 
     def paths(self) -> dict[str, str]:
         return {n: f"{self.out_dir}/{n}" for n in
@@ -93,20 +110,29 @@ class MicroBatchWriter:
             # one job: the blank-field decision and the empty-batch guard
             blank, n_rows = scan_null_fields(good, null_is_blank=self.null_is_blank)
             if n_rows == 0:
+                self.log.commit(batch_df.sparkSession, key, 0)
                 return
             if self.raw:
                 write_batch_table(cluster_by_partition(add_ingest_partitions(good)), p["raw"], key, compression="none")
-            mapped = apply_mapping(remove_null_rows(drop_fields(good, blank)))
+            if self.blank_by_window:
+                mapped = clean_records_by_window(good, self.window_seconds, self.null_is_blank)
+            else:
+                mapped = apply_mapping(remove_null_rows(drop_fields(good, blank)))
             avg, status = kpi_frames(mapped, self.window_seconds)
-            write_batch_table(cluster_by_partition(avg), p["average_by_operator"], key,
-                              compression="none")
-            write_batch_table(cluster_by_partition(status), p["status_by_postal_code"], key,
-                              compression="snappy")
+            self.write_kpis(avg, status, key)
             if self.catalog:
                 self._register(good, key)
+            self.log.commit(batch_df.sparkSession, key, n_rows)
         finally:
             batch.unpersist()
 
+    def write_kpis(self, avg: DataFrame, status: DataFrame, key: str) -> None:
+        self.write_average(avg, key)
+        write_batch_table(cluster_by_partition(status), self.paths()["status_by_postal_code"], key, compression="snappy")
+
+    def write_average(self, avg: DataFrame, key: str) -> None:
+        write_batch_table(cluster_by_partition(avg), self.paths()["average_by_operator"], key, compression="none")
+
     def _register(self, batch: DataFrame, key: str) -> None:
         """Add the batch's hours to the catalog (1-2 for a live batch, a row for each hour of a backlog)."""
         hours = [tuple(r) for r in batch.select(*ingest_parts(RECORD_TS)).distinct().sort(*INGEST_COLS).collect()]

@@ -391,3 +391,54 @@ SELECT * FROM wire WHERE record_ts >= TIMESTAMP '{C.STREAM_START}'""",
     "late_data_drop": _event_windows("1 DAY", "1 HOUR"),
 }
 ORACLE |= {f"lake_{k}": ORACLE[k] for k in ("summary_cards", "pivot_status", "distinct_status")}
+
+# Event-time ledger: every other record arrives again at the end, late where its day had ended.
+_WATERMARK = "(SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
+_DAYS = f"""{T},
+days AS (SELECT *, time_bucket(INTERVAL 1 DAY, record_ts) AS window_start,
+                time_bucket(INTERVAL 1 DAY, record_ts) + INTERVAL 1 DAY AS window_end FROM typed),
+again AS (SELECT * FROM days WHERE record_id % 2 = 0),
+counted AS (SELECT * FROM days UNION ALL SELECT * FROM again WHERE window_end > {_WATERMARK})"""
+
+
+def _ledger_operators(test: str) -> str:
+    return f"""{_DAYS}
+SELECT window_start, window_end, operator, {_r('avg(signal)')} AS avg_signal_strength,
+       {_r('avg(precission)')} AS avg_gps_precision, count(*) AS n_records
+FROM counted WHERE window_end {test} {_WATERMARK} GROUP BY ALL"""
+
+
+def _window_blank() -> str:
+    flags = ", ".join(f"bool_and(coalesce(trim({c}) IN ('', 'null'), false)) AS {c}" for c in _PAYLOAD)
+    cols = ", ".join(f"CASE WHEN b.{c} THEN NULL ELSE w.{c} END AS {c}" for c in _PAYLOAD)
+    empty = " AND ".join(f"coalesce(trim({c}), '') = ''" for c in _PAYLOAD)
+    return f"""{W},
+tagged AS (SELECT *, CAST(floor(epoch_us(record_ts) / 100000000) AS BIGINT) AS batch_window FROM wire),
+blank AS (SELECT batch_window, {flags} FROM tagged GROUP BY batch_window),
+cleaned AS (SELECT {cols}, w.record_ts FROM tagged w JOIN blank b ON w.batch_window = b.batch_window),
+mapped AS (
+  SELECT TRY_CAST(trunc(TRY_CAST(signal AS DOUBLE)) AS INTEGER) AS signal, operator, status, description,
+         TRY_CAST(precission AS DOUBLE) AS precission, postal_code, record_ts
+  FROM cleaned WHERE NOT ({empty})
+),{_kpi()}"""
+
+
+_CUT = """date_trunc('day', (SELECT min(ts) + (max(ts) - min(ts)) * 2 / 3 FROM events))"""
+ORACLE |= {
+    "late_records": f"""{_DAYS}
+SELECT * REPLACE ({', '.join(f"{_r(c)} AS {c}" for c in ('lat', 'long', 'speed', 'satellites', 'precission'))}),
+       {_WATERMARK} AS watermark
+FROM again WHERE window_end <= {_WATERMARK}""",
+    "ledger_operator_windows": _ledger_operators("<="),
+    "ledger_open_windows": _ledger_operators(">"),
+    "ledger_status_windows": f"""{_DAYS}
+SELECT window_start, window_end, postal_code, description, count(*) AS status_count
+FROM counted WHERE window_end <= {_WATERMARK} GROUP BY ALL""",
+    "committed_kpis": f"""{K}
+SELECT 'average_by_operator' AS table_name, batch_window, CAST(sum(n_signal) AS BIGINT) AS n
+FROM kpi WHERE to_timestamp(batch_window * 100)::TIMESTAMP < {_CUT} GROUP BY ALL
+UNION ALL
+SELECT 'status_by_postal_code', batch_window, CAST(sum(status_count) AS BIGINT)
+FROM status_kpi WHERE to_timestamp(batch_window * 100)::TIMESTAMP < {_CUT} GROUP BY ALL""",
+    "window_blank_kpis": f"{_window_blank()}\n{_KPI_ROWS}",
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,3 +49,13 @@ def read_lake_table(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     for a pruned hour).
     """
     return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
+def read_lake_table_if_any(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``read_lake_table``, or no rows where nothing was written yet."""
+    try:
+        return read_lake_table(spark, path, schema)
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -94,8 +94,12 @@ def _window_hour() -> list:
 def start_event_time_sink(kpis: DataFrame, path: str, checkpoint: str,
                           available_now: bool = False, seconds: int = MICRO_BATCH_SECONDS,
                           name: str | None = None) -> StreamingQuery:
-    """Append final windows to Parquet, in folders by window hour (one write per closed window)."""
-    w = (kpis.select("*", *_window_hour()).writeStream.outputMode("append").format("parquet")
+    """Append final windows to Parquet, in folders by window hour (one write per closed window).
+
+    Rows are dealt out by window hour before the write, so a batch writes one file
+    for each hour that it closes, however many tasks its aggregate has.
+    """
+    w = (kpis.select("*", *_window_hour()).repartition(*WINDOW_HOUR).writeStream.outputMode("append").format("parquet")
          .partitionBy(*WINDOW_HOUR)
          .option("path", path).option("checkpointLocation", checkpoint)
          .trigger(**trigger_options(available_now, seconds)))
@@ -128,15 +132,15 @@ class _RawWriter:
         try:
             bad = F.col(CORRUPT).isNotNull()
             good = self.shape(batch.where(~bad).drop(CORRUPT)).select("*", *calendar_parts(RECORD_TS))
-            _replace_leaves(good, self.path, key, ["year", "month", "day", "hour"])
+            replace_leaves(good, self.path, key, ["year", "month", "day", "hour"])
             letters = batch.where(bad).select(*[c for c in ("key", RECORD_TS, CORRUPT) if c in batch.columns])
             if not letters.isEmpty():
-                _replace_leaves(letters, self.dead_letters, key, [])
+                replace_leaves(letters, self.dead_letters, key, [])
         finally:
             batch.unpersist()
 
 
-def _replace_leaves(df: DataFrame, path: str, key: str, by: list[str]) -> None:
+def replace_leaves(df: DataFrame, path: str, key: str, by: list[str]) -> None:
     """Write one batch into folders ``by`` and, innermost, its key; a replay replaces its own leaves."""
     (df.withColumn(BATCH_KEY, F.lit(key)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH_KEY).parquet(path))
@@ -164,7 +168,7 @@ class _UpdateWriter:
         query = query_id(batch_df) or "batch"
         out = batch_df.select("*", F.lit(query).alias("query_id"), F.lit(epoch_id).cast("bigint").alias("epoch_id"),
                               F.current_timestamp().alias("written_at"), *_window_hour())
-        _replace_leaves(cluster_by_partition(out, WINDOW_HOUR), self.path, f"{query}-{epoch_id}", WINDOW_HOUR)
+        replace_leaves(cluster_by_partition(out, WINDOW_HOUR), self.path, f"{query}-{epoch_id}", WINDOW_HOUR)
 
 
 def start_update_sink(kpis: DataFrame, path: str, checkpoint: str,

@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from towerlens.functions.timeparts import MICRO_BATCH_SECONDS
-from towerlens.operators.parse import parse_records, split_corrupt, type_records
+from towerlens.functions.timeparts import MICRO_BATCH_SECONDS, interval_seconds
+from towerlens.operators.parse import parse_records, type_records
 from towerlens.schema import AVERAGE_BY_OPERATOR_SCHEMA, RECORD_TS, STATUS_BY_POSTAL_CODE_SCHEMA
 from towerlens.session import apply_job_conf
+from towerlens.sinks.commits import read_commits
 from towerlens.sinks.lake import register_tables
 from towerlens.sources.stream import stream_source
 from towerlens.streaming import jobs
+from towerlens.streaming.ledger import EventTimeLedger, start_ledger_job
 from towerlens.streaming.listener import LateRowsListener
 
 JSON_FILE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
@@ -56,20 +58,13 @@ def start_live_job(spark: SparkSession, parsed: DataFrame, out_dir: str,
 def start_hourly_job(spark: SparkSession, parsed: DataFrame, out_dir: str,
                      available_now: bool = False, delay: str = jobs.DEFAULT_DELAY,
                      seconds: int = MICRO_BATCH_SECONDS) -> list[StreamingQuery]:
-    """Operator means and status counts per hour window; raw records and dead letters from one read."""
-    good, _ = split_corrupt(parsed)
-    typed = type_records(good.drop("key"))
-    ck = f"{out_dir}/_checkpoints"
-    return [
-        jobs.start_raw_and_dead_letters(parsed, f"{out_dir}/raw", f"{out_dir}/dead_letter", f"{ck}/raw",
-                                        lambda good: type_records(good.drop("key")), available_now, seconds),
-        jobs.start_event_time_sink(jobs.event_time_operator_kpis(typed, "1 hour", delay),
-                                   f"{out_dir}/metrics/operator_hourly", f"{ck}/operator_hourly",
-                                   available_now, seconds, name="operator_hourly"),
-        jobs.start_event_time_sink(jobs.event_time_status_counts(typed, "1 hour", delay),
-                                   f"{out_dir}/metrics/network_status", f"{ck}/network_status",
-                                   available_now, seconds, name="network_status"),
-    ]
+    """Operator means and status counts per hour window, raw records, dead letters and late records.
+
+    One query, so one read of the source (see ``streaming.ledger``).
+    """
+    ledger = EventTimeLedger(out_dir, "hourly", 3600, interval_seconds(delay),
+                             shape=lambda good: type_records(good.drop("key")))
+    return [start_ledger_job(parsed, ledger, f"{out_dir}/_checkpoints/hourly", available_now, seconds, name="hourly")]
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery],
@@ -143,6 +138,9 @@ def main(argv: list[str] | None = None) -> None:
         spark.streams.removeListener(late)
         for name, n in sorted(late.dropped.items()):
             print(f"{name}: {n} groups of late rows dropped")
+        if a.job == "hourly":
+            n = read_commits(spark, a.out).agg(F.sum("n_late")).first()[0] or 0
+            print(f"{n} late records in {a.out}/late")
 
 
 if __name__ == "__main__":
