@@ -34,6 +34,7 @@ from towerlens.sinks.commits import committed, snapshot
 from towerlens.sinks.lake import publish_records, register_tables, write_result
 from towerlens.sources.events import RECORD_ID, corrupted, load_table, wire_from_events
 from towerlens.sources.files import CSV_NULL_TOKEN, read_lake_table, scan_csv
+from towerlens.sources.inferred import InferredBatches
 from towerlens.sources.stream import stream_source, with_record_ts
 from towerlens.streaming import jobs, ledger
 from towerlens.streaming.runner import kpi_catalog
@@ -579,6 +580,41 @@ def q_stream_source_earliest(spark, sf_dir):
     return _passthrough(spark, parsed, "stream_source_earliest")
 
 
+def q_stream_inferred_schema(spark, sf_dir):
+    """JSON without a schema: the first batch is inferred whole.
+
+    A field that only the last record of the time span has is found, and one whose
+    values are of two kinds is text; records of a second batch keep to the schema.
+    """
+    apply_job_conf(spark)
+    out = new_run_dir(spark, "stream_inferred_schema")
+    ev = load_table(spark, sf_dir, "events")
+    last = ev.agg(F.max("event_id")).first()[0]
+    cut = F.lit(_days(ev, 2)[0]).cast("timestamp_ntz")
+    fields = {
+        RECORD_ID: F.col("event_id"), "operator": F.col("event_type"), "precission": F.col("value"),
+        "place": F.struct(F.col("user_id"), F.date_format("ts", "HH:mm").alias("at")),
+        "mixed": F.when(F.col("event_id") % 2 == 0, F.to_variant_object(F.array("user_id"))).otherwise(
+            F.parse_json(F.col("user_id").cast("string"))),
+        "rare": F.when(F.col("event_id") == last, F.lit("seen"))}
+    rows = ev.select("ts", F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("value"))
+    rows = rows.withColumn("value", F.when(F.col("ts") == ev.agg(F.min("ts")).first()[0], F.lit("no json"))
+                           .otherwise(F.col("value")))
+    parts = ((F.col("ts") < cut) | (F.col("value").contains('"rare"')), (F.col("ts") >= cut) & ~F.col("value").contains('"rare"'))
+    for part in parts:
+        rows.where(part).select("value").write.mode("append").json(f"{out}/stage")
+        s = stream_source(spark, f"{out}/stage", fmt="json", schema="value STRING")
+
+        def body(batch, epoch):
+            jobs.replace_leaves(batch.drop(RECORD_TS), f"{out}/data", str(epoch), [])
+
+        q = (s.writeStream.option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True)
+             .foreachBatch(InferredBatches(f"{out}/_schema", body)).start())
+        _run(q)
+    back = spark.read.parquet(f"{out}/data")
+    return rounded(back.select("*", "place.*").drop("place", BATCH_KEY))
+
+
 def q_late_data_drop(spark, sf_dir):
     """Files arrive in three time-ordered chunks, then the first chunk again.
 
@@ -751,6 +787,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_raw_sink": q_stream_raw_sink,
     "stream_source": q_stream_source,
     "stream_source_earliest": q_stream_source_earliest,
+    "stream_inferred_schema": q_stream_inferred_schema,
     "late_data_drop": q_late_data_drop,
     "late_records": q_late_records,
     "ledger_operator_windows": q_ledger_operator_windows,

@@ -442,3 +442,17 @@ SELECT 'status_by_postal_code', batch_window, CAST(sum(status_count) AS BIGINT)
 FROM status_kpi WHERE to_timestamp(batch_window * 100)::TIMESTAMP < {_CUT} GROUP BY ALL""",
     "window_blank_kpis": f"{_window_blank()}\n{_KPI_ROWS}",
 }
+_BAD = "ts = (SELECT min(ts) FROM events)"
+
+
+def _good(expr: str, name: str) -> str:
+    return f"CASE WHEN {_BAD} THEN NULL ELSE {expr} END AS {name}"
+
+
+ORACLE["stream_inferred_schema"] = f"""
+SELECT {_good('event_id', 'record_id')}, {_good('event_type', 'operator')}, {_good(_r('value'), 'precission')},
+       {_good('user_id', 'user_id')}, {_good("strftime(ts, '%H:%M')", '"at"')},
+       {_good("CASE WHEN event_id % 2 = 0 THEN '[' || user_id || ']' ELSE CAST(user_id AS VARCHAR) END", 'mixed')},
+       {_good("CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN 'seen' END", 'rare')},
+       CASE WHEN {_BAD} THEN 'no json' END AS _corrupt
+FROM events"""
