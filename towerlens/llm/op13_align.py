@@ -49,7 +49,7 @@ from towerlens.llm.text import documents, read_table
 from towerlens.session import shared_dir
 
 #: Bytes of text whose pairs are counted together, and bytes tokenised at once.
-CHUNK, PART = 8 << 20, 2 << 20
+CHUNK, PART = 4 << 20, 1 << 19
 
 
 class ByteModel:
