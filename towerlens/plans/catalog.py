@@ -24,6 +24,7 @@ from towerlens.operators.mapping import apply_mapping
 from towerlens.operators.parse import (
     encode_records, parse_records, type_records, with_processing_time,
 )
+from towerlens.plans import rollup
 from towerlens.plans.microbatch import MicroBatchWriter, clean_records, clean_records_by_window, kpi_frames
 from towerlens.schema import (
     AVERAGE_BY_OPERATOR_SCHEMA, BATCH_KEY, INGEST_COLS, PAYLOAD_FIELDS, RECORD_TS,
@@ -686,6 +687,30 @@ def q_ledger_open_windows(spark, sf_dir):
     return rounded(_no_zone(ledger.open_windows(spark, out, "operator_hourly", 3600)))
 
 
+def q_rollup_dashboard(spark, sf_dir):
+    """Every dashboard result from the hourly roll-up, as tagged rows.
+
+    Two batches meet within a window, so the second one rolls up the hour of the cut again.
+    """
+    writer = MicroBatchWriter(new_run_dir(spark, "rollup_dashboard"), "rollup", raw=False, rollup=True)
+    wire = _wire(spark, sf_dir)
+    cut = F.lit(_days(load_table(spark, sf_dir, "events"), 3)[1]).cast("timestamp_ntz") + F.expr("INTERVAL 1850 SECONDS")
+    for n, part in enumerate((F.col(RECORD_TS) < cut, F.col(RECORD_TS) >= cut)):
+        writer(wire.where(part), n)
+    at = snapshot(spark, writer.out_dir)
+    results = {
+        "operators": rollup.operator_metrics(spark, writer.out_dir, AS_OF, OPERATOR_RANGE, at),
+        "weighted": rollup.operator_metrics_weighted(spark, writer.out_dir, AS_OF, OPERATOR_RANGE, at),
+        "hours": rollup.hourly_metrics(spark, writer.out_dir, AS_OF, HOURLY_RANGE, at),
+        "status": rollup.postal_code_status(spark, writer.out_dir, AS_OF, OPERATOR_RANGE, at),
+        "cards": rollup.summary_cards(spark, writer.out_dir, AS_OF, OPERATOR_RANGE, at)}
+    rows = None
+    for name, result in results.items():
+        tagged = rounded(result).withColumn("result", F.lit(name))
+        rows = tagged if rows is None else rows.unionByName(tagged, allowMissingColumns=True)
+    return rows
+
+
 class _Killed(Exception):
     pass
 
@@ -794,5 +819,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_status_windows": q_ledger_status_windows,
     "ledger_open_windows": q_ledger_open_windows,
     "committed_kpis": q_committed_kpis,
+    "rollup_dashboard": q_rollup_dashboard,
     "window_blank_kpis": q_window_blank_kpis,
 }

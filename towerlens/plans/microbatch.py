@@ -32,6 +32,7 @@ from towerlens.operators.clean import (
 )
 from towerlens.operators.kpis import average_by_operator, status_by_postal_code, with_batch_window
 from towerlens.operators.mapping import apply_mapping
+from towerlens.plans.rollup import update_rollup
 from towerlens.schema import CORRUPT, INGEST_COLS, RECORD_TS
 from towerlens.sinks.commits import CommitLog
 from towerlens.sinks.lake import add_batch_partitions, add_ingest_partitions, cluster_by_partition, write_batch_table
@@ -87,6 +88,8 @@ class MicroBatchWriter:
     catalog: dict[str, str] | None = None
     raw: bool = True
     blank_by_window: bool = False
+    # keep the hourly roll-up (plans.rollup) of the hours that each batch touches
+    rollup: bool = False
 
     def __post_init__(self) -> None:
         check_window(self.window_seconds)
@@ -120,9 +123,10 @@ class MicroBatchWriter:
                 mapped = apply_mapping(remove_null_rows(drop_fields(good, blank)))
             avg, status = kpi_frames(mapped, self.window_seconds)
             self.write_kpis(avg, status, key)
+            hours = update_rollup(batch_df.sparkSession, self.out_dir, key) if self.rollup else None
             if self.catalog:
                 self._register(good, key)
-            self.log.commit(batch_df.sparkSession, key, n_rows)
+            self.log.commit(batch_df.sparkSession, key, n_rows, hours=hours)
         finally:
             batch.unpersist()
 
@@ -137,7 +141,7 @@ class MicroBatchWriter:
         """Add the batch's hours to the catalog (1-2 for a live batch, a row for each hour of a backlog)."""
         hours = [tuple(r) for r in batch.select(*ingest_parts(RECORD_TS)).distinct().sort(*INGEST_COLS).collect()]
         spark = batch.sparkSession
-        for name, table in self.catalog.items():
+        for table in self.catalog.values():
             add_batch_partitions(spark, table, key, hours)
 
 

@@ -456,3 +456,18 @@ SELECT {_good('event_id', 'record_id')}, {_good('event_type', 'operator')}, {_go
        {_good("CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN 'seen' END", 'rare')},
        CASE WHEN {_BAD} THEN 'no json' END AS _corrupt
 FROM events"""
+
+
+def _dashboard_sql() -> str:
+    columns = ["operator", "avg_signal_strength", "avg_precision", "hour", "postal_code", "status_description",
+               "status_count", "operators", "avg_signal", "postal_codes"]
+    have = {"operators": columns[:3], "weighted": columns[:3], "hours": columns[:4], "status": columns[4:7],
+            "cards": ["operators", "avg_signal", "avg_precision", "postal_codes"]}
+    keys = {"operators": "operator_metrics", "weighted": "operator_metrics_weighted", "hours": "hourly_metrics",
+            "status": "postal_code_status", "cards": "summary_cards"}
+    parts = [f"SELECT '{name}' AS result, {', '.join(c if c in have[name] else f'NULL AS {c}' for c in columns)} "
+             f"FROM ({ORACLE[key]})" for name, key in keys.items()]
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["rollup_dashboard"] = _dashboard_sql()

@@ -23,13 +23,14 @@ from pyspark.sql import types as T
 from towerlens.schema import BATCH_KEY
 from towerlens.sources.files import read_lake_table_if_any
 
-#: ``watermark`` is the one that the batch was judged by; ``newest_ts`` counts the batch in.
+#: ``hours``: labels of the ingest hours with rows of the batch, where its writer keeps a roll-up. ``watermark`` is the one that the batch was judged by; ``newest_ts`` counts the batch in.
 COMMIT_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("n_rows", T.LongType()),
     T.StructField("n_late", T.LongType()),
     T.StructField("watermark", T.TimestampType()),
     T.StructField("newest_ts", T.TimestampType()),
+    T.StructField("hours", T.ArrayType(T.StringType())),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField(BATCH_KEY, T.StringType()),
 ])
@@ -60,11 +61,12 @@ class CommitLog:
         return (before[0][0] + 1, before[0][2]) if before else (0, None)
 
     def commit(self, spark: SparkSession, batch_key: str, n_rows: int, n_late: int = 0,
-               watermark: datetime | None = None, last_ts: datetime | None = None) -> None:
+               watermark: datetime | None = None, last_ts: datetime | None = None,
+               hours: list[str] | None = None) -> None:
         """Write the batch's record: the last act of its body."""
         seq, newest = self.past(spark, batch_key)
         newest = max((t for t in (newest, last_ts) if t is not None), default=None)
-        row = spark.createDataFrame([(seq, n_rows, n_late, watermark, newest)], T.StructType(COMMIT_SCHEMA.fields[:5]))
+        row = spark.createDataFrame([(seq, n_rows, n_late, watermark, newest, hours)], T.StructType(COMMIT_SCHEMA.fields[:6]))
         (row.withColumns({"committed_at": F.current_timestamp(), BATCH_KEY: F.lit(batch_key)}).coalesce(1)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_KEY)
          .parquet(commits_path(self.out_dir)))
