@@ -29,7 +29,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from towerlens.llm.text import documents, read_table
+from towerlens.llm.text import documents, read_table, whole_row
 from towerlens.session import shared_dir
 
 #: Entries a bucket holds before it splits.
@@ -130,16 +130,19 @@ def keep_rows(docs: DataFrame, capacity: int = CAPACITY, depth: int = DEPTH) ->
     """The rows of ``docs`` that stay, with all their columns."""
     index = build_index(documents(docs), capacity, depth)
     out = exact_rows(docs, index)
-    return out.select(*docs.columns)
+    return out.select("row.*")
 
 
 def exact_rows(docs: DataFrame, index: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the one that its entry keeps."""
-    key = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    owner = index.select(F.col("sha").alias("_sha"), F.col("keep_id").alias("_keep"), F.col("text").alias("_text"))
-    same = (key == F.col("_sha")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_keep"))
-    same &= F.coalesce(F.col("_text") == F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(True))
-    return docs.join(owner, same, "left_semi")
+    """Rows of ``docs`` whose doc_id is the one that its entry keeps, as one struct ``row``."""
+    owner = index.select("sha", "keep_id", F.col("text").alias("chained"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.sha2(text, 256).alias("key"))
+    same = (F.col("key") == F.col("sha")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    own = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    same &= F.coalesce(F.col("chained") == own, F.lit(True))
+    return rows.join(owner, same, "left_semi").select("row")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

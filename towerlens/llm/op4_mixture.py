@@ -16,7 +16,8 @@ sum. So a source with a third of all rows is never in one task. The words taken
 
 Defined results: null and empty texts have size 0 and follow the same cut. A
 null source is the last source. Rows equal in all of doc_id, size and order are
-interchangeable. Other columns are never read, and ``mixed_rows`` carries them.
+interchangeable; repeated rows count as often as they are there. Other columns are never read, and
+``mixed_rows`` carries them, whatever their names.
 An empty table gives no rows.
 """
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from towerlens.llm.text import read_table
+from towerlens.llm.text import read_table, whole_row
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -99,16 +100,32 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGE
                        (F.col("whole") + more.cast("long")).alias("copies"))
 
 
+#: What rows and their plan share; nulls are equal to each other.
+SAME = ["id", "no_id", "named", "no_name", "size"]
+
+
+def _same(doc_id: Column, source: Column) -> list[Column]:
+    return [F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id"),
+            F.coalesce(source, F.lit("")).alias("named"), source.isNull().alias("no_name")]
+
+
 def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it."""
-    plan = mix_sources(docs, **settings).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_copies"))
-    plan = plan.withColumnsRenamed({"doc_id": "_d", "source": "_s", "size": "_n"})
-    rows = docs.withColumn("_words", word_count(F.col("text").cast("string")))
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.col("_words") == F.col("_n"))
-            & F.col("source").cast("string").eqNullSafe(F.col("_s")))
-    taken = rows.join(plan.where("_copies > 0"), same)
-    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
-    return taken.select(*docs.columns, again).select(*docs.columns)
+    """``docs`` with each row as often as the mix takes it.
+
+    Rows that share doc_id, source and size lie next to each other in the order, so the first ``more``
+    of them (by a hash of the text) are taken once more than the others.
+    """
+    plan = mix_sources(docs, **settings).select(*_same(F.col("doc_id"), F.col("source")), "size", "copies")
+    plan = plan.groupBy(*SAME).agg(F.min("copies").alias("least"), F.sum("copies").alias("all"),
+                                   F.count(F.lit(1)).alias("n"))
+    plan = plan.select(*SAME, "least", (F.col("all") - F.col("n") * F.col("least")).alias("more"))
+    text = F.col("text").cast("string")
+    rows = docs.select(whole_row(docs).alias("row"), *_same(F.col("doc_id").cast("long"), F.col("source").cast("string")),
+                       word_count(text).alias("size"), F.xxhash64(text).alias("mark"))
+    place = F.row_number().over(Window.partitionBy(*SAME).orderBy("mark"))
+    taken = rows.join(plan, SAME).withColumn("copies", F.col("least") + (place <= F.col("more")).cast("long"))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+    return taken.where("copies > 0").select("row", again).select("row.*")
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

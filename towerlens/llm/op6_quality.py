@@ -2,7 +2,8 @@
 
 Two multinomials over hashed words and word pairs (2**16 buckets): the raw corpus,
 counted over every document, and the trusted target, counted over every document
-labelled good (found by a join; their texts go compressed to the shared folder). The
+labelled good (found by a merge join at every size of the labels, so the plan never changes with
+them; texts are shuffled and kept in the shared folder compressed). The
 target is smoothed with ``PRIOR`` pseudo-counts spread as the raw corpus. A text's
 score is the mean of log(target / raw) over its n-grams. The threshold is fixed
 before any verdict: the ``QUANTILE`` of the scores of the trusted documents, each
@@ -30,8 +31,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from towerlens.llm.text import BYTE_CODE, Prefix, Words, chunks, mix, read_table, slices, unpacked, utf8
+from towerlens.llm.text import (
+    Prefix, Words, chunks, mix, placed_codes, read_table, slices, unpacked, utf8, whole_row,
+)
 from towerlens.session import shared_dir
 
 BUCKET_BITS = 16
@@ -80,7 +84,7 @@ def trusted_texts(texts: DataFrame, labels: DataFrame) -> DataFrame:
 
     folder = f"{shared_dir(spark)}/trusted-{uuid.uuid4().hex}"
     packed = texts.where("doc_id IS NOT NULL").mapInArrow(pack, "doc_id long, z binary")
-    packed.join(good, "doc_id", "left_semi").select("z").write.parquet(f"{folder}/texts")
+    packed.join(good.hint("merge"), "doc_id", "left_semi").select("z").write.parquet(f"{folder}/texts")
     return spark.read.parquet(f"{folder}/texts").mapInArrow(unpack, "text binary")
 
 
@@ -168,9 +172,12 @@ def duplicate_lines(raw: np.ndarray, offs: np.ndarray, words: Words) -> np.ndarr
     row = np.searchsorted(offs, begin, side="right") - 1
     stop = np.append(begin[1:], len(raw))
     end = np.where(edge[stop - 1], stop - 1, stop)
+    begin_all, stop_all = begin, stop
     solid = np.searchsorted(words.start, end) > np.searchsorted(words.start, begin)
     begin, end, row = begin[solid], end[solid], row[solid]
-    code = Prefix(BYTE_CODE[raw]).slices(begin, end) + mix((end - begin).astype(np.uint64))
+    place = np.arange(len(raw)) - np.repeat(begin_all, stop_all - begin_all)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(placed_codes(raw, place), dtype=np.uint64)))
+    code = mix(sums[end] - sums[begin]) + mix((end - begin).astype(np.uint64))
     order = np.lexsort((code, row))
     again = (code[order[1:]] == code[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
     return np.bincount(row[order[1:]][again], minlength=len(offs) - 1)
@@ -200,12 +207,19 @@ STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def judge(rows: DataFrame, ratio: np.ndarray, threshold: float) -> DataFrame:
-    """``rows`` (carried columns, then text) with the counts, ``score``, ``base_failed`` and ``kept``."""
-    carried = rows.columns[:-1]
+    """``rows`` (carried columns, then text) with the counts, ``score``, ``base_failed`` and ``kept``.
+
+    A text that is a field of the carried row is not sent twice: see ``keep_rows``.
+    """
+    carried = [c for c in rows.columns if c != "text"]
+    own = rows.schema.fields[0].dataType
+    inside_row = rows.columns == ["row"]
+    at = own.names.index("text") if inside_row else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, j, raw, offs in by_chunk(b.column(len(carried))):
+            column = b.column(0).field(at) if inside_row else b.column(len(carried))
+            for i, j, raw, offs in by_chunk(column):
                 words, n = Words(raw, offs), j - i
                 solid = np.zeros(len(raw) + 1, np.int64)
                 inside = np.zeros(len(raw) + 1, np.int64)
@@ -221,12 +235,14 @@ def judge(rows: DataFrame, ratio: np.ndarray, threshold: float) -> DataFrame:
                 out = [words.count, np.diff(solid[offs]), np.diff(marks[offs]), duplicate_lines(raw, offs, words), repeats]
                 part = b.slice(i, n)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], *(pa.array(x, pa.int64()) for x in out), pa.array(score), pa.array(failed),
+                    [*part.columns[:len(carried)], *(pa.array(x, pa.int64()) for x in out), pa.array(score), pa.array(failed),
                      pa.array(~failed & (score >= threshold))],
                     [*carried, *STATS, "score", "base_failed", "kept"])
 
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kinds}{', '.join(f'{s} long' for s in STATS)}, score double, base_failed boolean, kept boolean")
+    schema = T.StructType([rows.schema[c] for c in carried] + [T.StructField(c, T.LongType()) for c in STATS] + [
+        T.StructField("score", T.DoubleType()), T.StructField("base_failed", T.BooleanType()),
+        T.StructField("kept", T.BooleanType())])
+    return rows.mapInArrow(run, schema)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -239,7 +255,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     ratio, threshold = fit(docs, labels)
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"))
+    whole = docs.select(whole_row(docs).alias("row"))
+    if not isinstance(docs.schema["text"].dataType, T.StringType):
+        whole = docs.select(whole_row(docs).alias("row"), F.col("text").cast("string").alias("text"))
     return judge(whole, ratio, threshold).where("kept").select("row.*")
 
 

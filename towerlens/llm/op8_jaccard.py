@@ -41,9 +41,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from towerlens.llm.components import components
-from towerlens.llm.text import Prefix, Words, chunks, documents, joined, mix, read_table, slices, unpacked, utf8
+from towerlens.llm.text import (
+    Prefix, Words, chunks, documents, joined, mix, read_table, slices, unpacked, utf8, whole_row,
+)
 
 SHINGLE = 5
 #: Documents sampled for the order of shingles, and shingles that the order puts last.
@@ -526,21 +529,22 @@ def keep_rows(docs: DataFrame) -> DataFrame:
     Of several sets with this doc_id the one of least signature stays, of repeated
     rows any one. Rows without words are in no group and stay.
     """
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                        F.col("text").cast("string").alias("text"))
-    kind = whole.schema["row"].dataType.simpleString()
+    whole = docs.select(whole_row(docs).alias("row"))
+    own = isinstance(docs.schema["text"].dataType, T.StringType)  # then it is not sent twice
+    if not own:
+        whole = whole.withColumn("text", F.col("row.text").cast("string"))
+    at = docs.columns.index("text")
+    schema = T.StructType([whole.schema["row"], *(T.StructField(c, T.LongType()) for c in ("n", "sig"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw, offs = utf8(b.column("text"))
+            raw, offs = utf8(b.column(0).field(at) if own else b.column(1))
             for i, j in chunks(raw, offs):
                 row, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
                 size, sig = signatures(row, code, j - i)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("row").slice(i, j - i), b.column("doc_id").slice(i, j - i), pa.array(size), pa.array(sig)],
-                    ["row", "doc_id", "n", "sig"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(size), pa.array(sig)], ["row", "n", "sig"])
 
-    rows = whole.mapInArrow(run, f"row {kind}, doc_id long, n long, sig long")
+    rows = whole.mapInArrow(run, schema).withColumn("doc_id", F.col("row.doc_id").cast("long"))
     first = labelled_sets(documents(docs)).groupBy("label").agg(
         F.min(F.struct(F.col("least").isNull(), "least", "sig")).alias("f"))
     first = first.select(F.col("f.sig").alias("sig"), F.col("f.least").alias("least"))

@@ -24,8 +24,8 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _RNG = np.random.default_rng(20240229)
 BYTE_CODE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BYTE_CODE_LOWER = BYTE_CODE.copy()
-BYTE_CODE_LOWER[65:91] = BYTE_CODE[97:123]
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 RADIX = np.uint64(0x9E3779B97F4A7C15)
 RADIX_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -40,6 +40,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Words are told apart by sums of one random number for each (place, byte): equal sums are chance, 2**-64.
+PLACES = 64
+PLACE_CODE = _RNG.integers(0, 1 << 64, (PLACES, 256), dtype=np.uint64)
+
+
+def placed_codes(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A number for each byte at its place in a word or line; sums of them tell these apart.
+
+    A polynomial of the place would not do: modulo 2**64 it is equal for certain strings.
+    """
+    out = PLACE_CODE.ravel()[(np.minimum(place, PLACES - 1) << 8) + raw]
+    far = np.flatnonzero(place >= PLACES)
+    if len(far):
+        out[far] = mix(out[far] + mix(place[far].astype(np.uint64) * RADIX))
+    return out
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     out = np.full(n, base, dtype=np.uint64)
@@ -111,10 +128,18 @@ class Words:
         self.count = np.diff(self.first)
         self.row = np.repeat(np.arange(len(offs) - 1), self.count)
         self.index = np.arange(len(self.start)) - self.first[:-1][self.row]
-        self._raw, self._code = raw, BYTE_CODE_LOWER if lower else BYTE_CODE
+        self._raw, self._solid, self._lower = raw, solid, lower
 
     def hashes(self) -> np.ndarray:
-        return Prefix(self._code[self._raw]).slices(self.start, self.end)
+        if not len(self.start):
+            return np.zeros(0, dtype=np.uint64)
+        size = self.end - self.start
+        first = np.cumsum(size) - size
+        raw = self._raw[self._solid]
+        if self._lower:
+            raw = LOWER[raw]
+        place = np.arange(len(raw)) - np.repeat(first, size)
+        return mix(np.add.reduceat(placed_codes(raw, place), first) + size.astype(np.uint64) * RADIX)
 
     def room(self) -> np.ndarray:
         """Words from each word to the end of its row, itself included."""
@@ -251,5 +276,10 @@ def repeated(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.withColumn("_n", n).where("known OR _n > 1").drop("_n")
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct: whatever they are named, no column of a stage clashes with them."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`").alias(c) for c in docs.columns])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
