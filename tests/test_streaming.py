@@ -244,3 +244,26 @@ def test_live_job_extends_the_catalog(spark, sf_small):
                                                   available_now=True, catalog=catalog), available_now=True)
     table = spark.table(f"{db}.average_by_operator")
     assert table.count() == read_lake_table(spark, f"{out}/average_by_operator", AVERAGE_BY_OPERATOR_SCHEMA).count() > 0
+
+
+def test_a_failing_query_stops_the_others(spark):
+    """The runner waits for any query to end: an error in one is raised, and the rest are stopped."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    from towerlens.streaming import runner
+
+    out = new_run_dir(spark, "t_fails")
+    source = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+
+    def fails(batch, epoch):
+        raise RuntimeError("disk full")
+
+    healthy = (source.writeStream.option("checkpointLocation", f"{out}/a").foreachBatch(lambda b, e: None)
+               .trigger(processingTime="1 second").start())
+    failing = (source.writeStream.option("checkpointLocation", f"{out}/b").foreachBatch(fails)
+               .trigger(processingTime="1 second").start())
+    with pytest.raises(StreamingQueryException, match="disk full"):
+        runner.await_all(spark, [healthy, failing])
+    assert not healthy.isActive and not failing.isActive and healthy.exception() is None
+    spark.streams.resetTerminated()

@@ -165,11 +165,13 @@ def describe_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     aggregate with a partial result a task, then a stack of its one row.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    aggs, rows = [], []
+    values, aggs, rows = [], [], []
     for i, c in enumerate(cols or df.columns):
         col = F.col(f"`{c}`")
         text = isinstance(kinds[c], T.StringType)
-        number = col.try_cast("double") if text else col.cast("double")
+        # the number is read once, below the aggregate
+        values += [col.alias(f"v{i}"), (col.try_cast("double") if text else col.cast("double")).alias(f"d{i}")]
+        col, number = F.col(f"v{i}"), F.col(f"d{i}")
         aggs += [F.count(col).alias(f"n{i}"), F.avg(number).alias(f"m{i}"), F.stddev_samp(number).alias(f"s{i}"),
                  F.min(col if text else number).alias(f"a{i}"), F.max(col if text else number).alias(f"z{i}")]
         none = [F.lit(None).cast("double")] * 2 if text else [F.lit(None).cast("string")] * 2
@@ -177,4 +179,4 @@ def describe_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         rows.append(F.struct(*(x.alias(n) for x, n in zip(
             [F.lit(c), F.col(f"n{i}"), F.col(f"m{i}"), F.col(f"s{i}"), *(none + ends if text else ends + none)],
             ["column_name", "count", "mean", "stddev", "min_value", "max_value", "min_text", "max_text"]))))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return df.select(*values).agg(*aggs).select(F.inline(F.array(*rows)))
