@@ -11,13 +11,12 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from towerlens.operators import serving  # noqa: E402
-from towerlens.plans import catalog as C  # noqa: E402
+from towerlens.plans import catalog as C, rollup  # noqa: E402
 from towerlens.plans.microbatch import MicroBatchWriter  # noqa: E402
-from towerlens.schema import AVERAGE_BY_OPERATOR_SCHEMA  # noqa: E402
 from towerlens.session import build_session, new_run_dir  # noqa: E402
 from towerlens.sources.events import load_table, wire_from_events  # noqa: E402
-from towerlens.sources.files import read_lake_table  # noqa: E402
 from towerlens.streaming import jobs  # noqa: E402
+from towerlens.streaming.runner import kpi_catalog  # noqa: E402
 
 
 def show(title: str, df) -> None:
@@ -35,22 +34,24 @@ def main() -> None:
           "* `average_by_operator`: 4-column `ReadSchema`; partial `HashAggregate` below the only "
           "key exchange (a hot operator costs one row per task in the shuffle). Raw rows are never "
           "shuffled.\n"
-          "* `kpi_operator_join`: the notebook join planned as one aggregate; the NULL-key filter "
-          "reaches the scan (`PushedFilters`).\n"
+          "* `operator_kpis`: the notebook join as one aggregate; the NULL-key filter reaches the scan "
+          "(`PushedFilters`).\n"
           "* `distinct_profile`: one scan for all columns; distinct pre-aggregated per task.\n"
           "* `summary_cards`: two results combined by a tagged union and one aggregate: no join, "
           "no sort.\n"
-          "* lake-table rollup: the range rule as `PartitionFilters` (year/month bound first), "
-          "3-column `ReadSchema`.\n"
+          "* `operator_metrics` over the catalog table: the range rule as `PartitionFilters`; the scan is over the "
+          "range's leaves (`InMemoryFileIndex(n paths)`), the table's folder is not listed.\n"
+          "* the same question from the hourly roll-up: commit records choose one leaf an hour.\n"
           "* event-time KPIs: partial aggregate before the state-store shuffle; watermark filter.\n")
-    for k in ["average_by_operator", "kpi_operator_join", "distinct_profile", "summary_cards"]:
+    for k in ["average_by_operator", "operator_kpis", "distinct_profile", "summary_cards", "window_blank_kpis"]:
         show(f"`{k}`", C.QUERIES[k](spark, sf))
     out = new_run_dir(spark, "plans")
-    w = MicroBatchWriter(out, "plans")
-    w(wire_from_events(load_table(spark, sf, "events")), 0)
-    kpi = read_lake_table(spark, w.paths()["average_by_operator"], AVERAGE_BY_OPERATOR_SCHEMA)
-    show("`operator_metrics` over the written lake table (partition pruning)",
-         serving.operator_metrics(kpi, C.AS_OF, C.OPERATOR_RANGE))
+    tables = kpi_catalog(spark, "towerlens_plans_" + out.rsplit("-", 1)[-1], out)
+    MicroBatchWriter(out, "plans", raw=False, catalog=tables, rollup=True)(
+        wire_from_events(load_table(spark, sf, "events")), 0)
+    show("`operator_metrics` over the catalog table (partition pruning)",
+         serving.operator_metrics(spark.table(tables["average_by_operator"]), C.AS_OF, C.OPERATOR_RANGE))
+    show("`operator_metrics` from the hourly roll-up", rollup.operator_metrics(spark, out, C.AS_OF, C.OPERATOR_RANGE))
     typed = C._typed_stream(spark, sf)
     show("event-time KPIs (streaming, window + watermark)",
          jobs.event_time_operator_kpis(typed, C.WINDOW, C.DELAY))

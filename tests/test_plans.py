@@ -110,3 +110,27 @@ def test_lake_queries_read_the_tables_of_now(spark, sf_small, tmp_path):
         part.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
         seen.append(QUERIES["lake_postal_code_status"](spark, str(tmp_path)).collect())
     assert seen[0] != seen[1]
+
+
+def test_catalog_tables_list_only_the_hours_of_a_question(spark, sf_small):
+    """Partitions come from the catalog: the scan is over the range's leaves, the table's folder is not listed."""
+    import re
+
+    from towerlens.sources.events import wire_measurements
+    from towerlens.streaming.runner import kpi_catalog
+
+    out = new_run_dir(spark, "t_pruned")
+    tables = kpi_catalog(spark, "tl_pruned_" + out.rsplit("-", 1)[-1], out)
+    wire = wire_measurements(spark, sf_small).where("record_ts < timestamp_ntz'2024-01-04 00:00:00'")
+    MicroBatchWriter(out, "t", raw=False, catalog=tables)(wire, 0)
+    table = spark.table(tables["average_by_operator"])
+    query = serving.operator_metrics(table, "2024-01-04 00:00:00", "1 days")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100")
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    hours = table.where("ingest_day = '03'").select("ingest_hour").distinct().count()
+    assert int(re.search(r"InMemoryFileIndex\((\d+) paths\)", plan)[1]) == hours < table.select(
+        "ingest_day", "ingest_hour").distinct().count()
+    by_path = read_lake_table(spark, f"{out}/average_by_operator", AVERAGE_BY_OPERATOR_SCHEMA)
+    assert sorted(map(str, query.collect())) == sorted(
+        map(str, serving.operator_metrics(by_path, "2024-01-04 00:00:00", "1 days").collect()))
