@@ -4,9 +4,10 @@ from towerlens.plans.dashboard import build_dashboard
 from towerlens.plans.microbatch import MicroBatchWriter, clean_records, kpi_frames
 from towerlens.plans.notebook import notebook_frames
 from towerlens.operators import serving
-from towerlens.schema import PAYLOAD_FIELDS
+from towerlens.schema import AVERAGE_BY_OPERATOR_SCHEMA, PAYLOAD_FIELDS
 from towerlens.session import new_run_dir
 from towerlens.sources.events import wire_measurements
+from towerlens.sources.files import read_lake_table
 
 AS_OF = "2024-01-31 00:00:00"
 
@@ -75,7 +76,7 @@ def test_lake_queries_prune_hours(spark, sf_small):
     from towerlens.plans.catalog import QUERIES
 
     for key in ("lake_operator_metrics", "lake_postal_code_status", "lake_hourly_metrics", "lake_summary_cards",
-                "lake_pivot_status", "lake_distinct_status"):
+                "lake_distinct_status"):
         leaves = QUERIES[key](spark, sf_small)._jdf.queryExecution().sparkPlan().collectLeaves()
         scans = [leaves.apply(i) for i in range(leaves.size())]
         assert scans and all("ingest_hour" in x.partitionFilters().toString() for x in scans), key
@@ -116,7 +117,6 @@ def test_catalog_tables_list_only_the_hours_of_a_question(spark, sf_small):
     """Partitions come from the catalog: the scan is over the range's leaves, the table's folder is not listed."""
     import re
 
-    from towerlens.sources.events import wire_measurements
     from towerlens.streaming.runner import kpi_catalog
 
     out = new_run_dir(spark, "t_pruned")
