@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from towerlens.llm.text import documents, read_table, slices
 
-#: States, pairs of tokens and encoded pieces that a task keeps before it starts afresh.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 100_000, 400_000, 200_000
+#: States, pairs of tokens and encoded pieces that a task keeps before it starts afresh: some 200 MB when full.
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 200_000, 400_000, 300_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
