@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from towerlens.llm.text import (
-    Prefix, Words, chunks, mix, placed_codes, read_table, slices, unpacked, utf8, whole_row,
+    Prefix, Words, chunks, mix, read_table, slice_hashes, slices, unpacked, utf8, whole_row,
 )
 from towerlens.session import shared_dir
 
@@ -172,12 +172,9 @@ def duplicate_lines(raw: np.ndarray, offs: np.ndarray, words: Words) -> np.ndarr
     row = np.searchsorted(offs, begin, side="right") - 1
     stop = np.append(begin[1:], len(raw))
     end = np.where(edge[stop - 1], stop - 1, stop)
-    begin_all, stop_all = begin, stop
     solid = np.searchsorted(words.start, end) > np.searchsorted(words.start, begin)
     begin, end, row = begin[solid], end[solid], row[solid]
-    place = np.arange(len(raw)) - np.repeat(begin_all, stop_all - begin_all)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(placed_codes(raw, place), dtype=np.uint64)))
-    code = mix(sums[end] - sums[begin]) + mix((end - begin).astype(np.uint64))
+    code = slice_hashes(raw, begin, end)
     order = np.lexsort((code, row))
     again = (code[order[1:]] == code[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
     return np.bincount(row[order[1:]][again], minlength=len(offs) - 1)

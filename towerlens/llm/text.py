@@ -40,20 +40,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-#: Words are told apart by sums of one random number for each (place, byte): equal sums are chance, 2**-64.
-PLACES = 64
-PLACE_CODE = _RNG.integers(0, 1 << 64, (PLACES, 256), dtype=np.uint64)
+#: The first n of 8 bytes, and the longest slice that is hashed 8 bytes at a time.
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+STEPPED = 512
 
 
-def placed_codes(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A number for each byte at its place in a word or line; sums of them tell these apart.
+def slice_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte slice, chained over its 8-byte parts; of long ones by BLAKE2b.
 
-    A polynomial of the place would not do: modulo 2**64 it is equal for certain strings.
+    A polynomial of the place would not do: modulo 2**64 it has one value for certain strings.
     """
-    out = PLACE_CODE.ravel()[(np.minimum(place, PLACES - 1) << 8) + raw]
-    far = np.flatnonzero(place >= PLACES)
-    if len(far):
-        out[far] = mix(out[far] + mix(place[far].astype(np.uint64) * RADIX))
+    size = end - start
+    padded = np.concatenate((raw, np.zeros(8, dtype=np.uint8)))
+    eight = np.ndarray(len(raw) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    out = mix((eight[start] & FIRST_BYTES[np.minimum(size, 8)]) + mix(size.astype(np.uint64)))
+    more, k = np.flatnonzero((size > 8) & (size <= STEPPED)), 8
+    while len(more):
+        part = eight[start[more] + k] & FIRST_BYTES[np.minimum(size[more] - k, 8)]
+        out[more] = mix(out[more] * RADIX + mix(part))
+        k += 8
+        more = more[size[more] > k]
+    for i in np.flatnonzero(size > STEPPED).tolist():
+        out[i] = int.from_bytes(blake2b(raw[start[i]: end[i]].tobytes(), digest_size=8).digest(), "little")
     return out
 
 
@@ -128,18 +136,10 @@ class Words:
         self.count = np.diff(self.first)
         self.row = np.repeat(np.arange(len(offs) - 1), self.count)
         self.index = np.arange(len(self.start)) - self.first[:-1][self.row]
-        self._raw, self._solid, self._lower = raw, solid, lower
+        self._raw, self._lower = raw, lower
 
     def hashes(self) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        size = self.end - self.start
-        first = np.cumsum(size) - size
-        raw = self._raw[self._solid]
-        if self._lower:
-            raw = LOWER[raw]
-        place = np.arange(len(raw)) - np.repeat(first, size)
-        return mix(np.add.reduceat(placed_codes(raw, place), first) + size.astype(np.uint64) * RADIX)
+        return slice_hashes(LOWER[self._raw] if self._lower else self._raw, self.start, self.end)
 
     def room(self) -> np.ndarray:
         """Words from each word to the end of its row, itself included."""
