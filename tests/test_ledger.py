@@ -68,7 +68,7 @@ def test_a_batch_killed_between_two_tables_is_in_none(spark, monkeypatch):
 
 def test_replays_keep_their_number_and_their_past(spark):
     out = new_run_dir(spark, "t_log")
-    times = [T0 + dt.timedelta(hours=h) for h in (5, 3, 9)]
+    times = [T0.replace(tzinfo=dt.timezone.utc) + dt.timedelta(hours=h) for h in (5, 3, 9)]
     log = CommitLog(out)
     for n, t in enumerate(times):
         assert log.past(spark, f"k-{n}")[0] == n

@@ -1,7 +1,5 @@
 """The hourly roll-up against the window tables."""
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -14,7 +14,7 @@ of them. There is one writer at a time, as for any checkpoint.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,11 @@ def commits_path(out_dir: str) -> str:
     return f"{out_dir}/commits"
 
 
+def utc(micros: int | None) -> datetime | None:
+    """A time from ``unix_micros``: with its zone, so that no session's or driver's own zone matters."""
+    return None if micros is None else datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
+
+
 def read_commits(spark: SparkSession, out_dir: str) -> DataFrame:
     """One row a committed batch; none where nothing was committed yet."""
     return read_lake_table_if_any(spark, commits_path(out_dir), COMMIT_SCHEMA)
@@ -55,8 +60,8 @@ class CommitLog:
     def past(self, spark: SparkSession, batch_key: str) -> tuple[int, datetime | None]:
         """(number of this batch, newest record time of the batches before it)."""
         if self.last is None:
-            self.last = [tuple(r) for r in read_commits(spark, self.out_dir).orderBy(F.desc("seq")).limit(2)
-                         .select("seq", BATCH_KEY, "newest_ts").collect()]
+            rows = read_commits(spark, self.out_dir).orderBy(F.desc("seq")).limit(2)
+            self.last = [(r[0], r[1], utc(r[2])) for r in rows.select("seq", BATCH_KEY, F.unix_micros("newest_ts")).collect()]
         before = self.last[1:] if self.last and self.last[0][1] == batch_key else self.last
         return (before[0][0] + 1, before[0][2]) if before else (0, None)
 

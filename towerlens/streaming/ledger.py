@@ -34,7 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 from towerlens.functions.timeparts import MICRO_BATCH_SECONDS, calendar_parts
 from towerlens.plans.microbatch import query_id
 from towerlens.schema import BATCH_KEY, CORRUPT, RECORD_TS
-from towerlens.sinks.commits import CommitLog, committed, read_commits
+from towerlens.sinks.commits import CommitLog, committed, read_commits, utc
 from towerlens.sinks.lake import cluster_by_partition
 from towerlens.sources.files import read_lake_table_if_any
 from towerlens.streaming.jobs import WINDOW_HOUR, replace_leaves, trigger_options
@@ -110,7 +110,8 @@ class EventTimeLedger:
             good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in batch.columns else batch
             typed = with_window(self.shape(good).withColumn(RECORD_TS, F.col(RECORD_TS).cast("timestamp")), self.window)
             late = F.coalesce(F.col("window_end") <= F.lit(watermark).cast("timestamp"), F.lit(False))
-            n_rows, n_late, last_ts = typed.agg(F.count(F.lit(1)), F.count_if(late), F.max(RECORD_TS)).first()
+            n_rows, n_late, last = typed.agg(F.count(F.lit(1)), F.count_if(late), F.max(F.unix_micros(RECORD_TS))).first()
+            last_ts = utc(last)
             if self.raw and n_rows:
                 hour = ["year", "month", "day", "hour"]
                 rows = typed.drop("window_start", "window_end").select("*", *calendar_parts(RECORD_TS))
@@ -175,10 +176,10 @@ def open_windows(spark: SparkSession, out_dir: str, name: str, delay_seconds: in
                  at: int | None = None) -> DataFrame:
     """Windows that the stored watermark has not closed yet, as counted so far."""
     commits = read_commits(spark, out_dir)
-    newest = (commits if at is None else commits.where(F.col("seq") <= at)).agg(F.max("newest_ts")).first()[0]
+    newest = (commits if at is None else commits.where(F.col("seq") <= at)).agg(F.max(F.unix_micros("newest_ts"))).first()[0]
     parts = read_parts(spark, out_dir, name, at=at)
     if newest is not None:
-        parts = parts.where(F.col("window_end") > F.lit(newest - timedelta(seconds=delay_seconds)).cast("timestamp"))
+        parts = parts.where(F.col("window_end") > F.lit(utc(newest) - timedelta(seconds=delay_seconds)).cast("timestamp"))
     return served(merged(parts, name), name)
 
 
