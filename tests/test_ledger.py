@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from towerlens.operators import clean, serving
 from towerlens.operators.kpis import average_by_operator
 from towerlens.operators.parse import type_records as typed
-from towerlens.plans import microbatch
+from towerlens.plans import catalog, microbatch
 from towerlens.plans.microbatch import MicroBatchWriter, clean_records, clean_records_by_window, kpi_frames
 from towerlens.schema import AVERAGE_BY_OPERATOR_SCHEMA, BATCH_KEY, PAYLOAD_FIELDS, RECORD_TS, STATUS_BY_POSTAL_CODE_SCHEMA
 from towerlens.session import new_run_dir
@@ -270,3 +270,29 @@ def test_pivot_fails_rather_than_cuts(spark):
     finally:
         spark.conf.unset("spark.sql.pivotMaxValues")
     assert len(serving.pivot_status(many).columns) == 31
+
+
+# what a large batch costs
+
+def test_an_arriving_batch_is_dealt_over_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    """One long row group of the table was one task of each batch."""
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, base + dt.timedelta(minutes=17 * i), i % 7, "abc"[i % 3], i / 4, f'{{"k": {i % 9}}}') for i in range(400)]
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    ev.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = []
+    for limit in (10_000, 25):
+        monkeypatch.setattr(catalog, "STAGE_ROWS", limit)
+        out = catalog._ledger(spark, str(tmp_path), "t_stage_rows")
+        staged = spark.read.parquet(f"{out}/stage").groupBy(F.input_file_name()).count()
+        assert staged.agg(F.max("count")).first()[0] <= limit
+        found.append([sorted(map(str, t.collect())) for t in (
+            ledger.late_records(spark, out).drop("watermark"), ledger.open_windows(spark, out, "operator_hourly", 3600),
+            ledger.final_windows(spark, out, "operator_hourly"))])
+    assert found[0] == found[1] and all(found[0])
+
+
+def test_the_text_of_an_event_is_parsed_once(spark, sf_small):
+    wire = wire_measurements(spark, sf_small)
+    plan = wire._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1

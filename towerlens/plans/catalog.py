@@ -58,6 +58,9 @@ COMPACT_UNTIL = "2024-01-20 00:00:00"
 DISTINCT_COLUMNS = ["network", "operator", "activity"]
 PROFILE_COLUMNS = ["network", "operator", "activity", "description"]
 FIRST_N = 250
+
+#: Records of a file that arrives: tasks of a batch are files or parts of them, however the table is cut.
+STAGE_ROWS = 200_000
 PREVIEW = 10
 
 
@@ -652,7 +655,7 @@ def _ledger(spark, sf_dir, name) -> str:
     first, second = (F.lit(d).cast("timestamp_ntz") for d in _days(ev, 3))
     ts = F.col("ts")
     for cond in (ts < first, (ts >= first) & (ts < second), ts >= second, F.col("event_id") % 2 == 0):
-        ev.filter(cond).write.mode("append").parquet(f"{out}/stage")
+        ev.filter(cond).write.mode("append").option("maxRecordsPerFile", STAGE_ROWS).parquet(f"{out}/stage")
         s = stream_source(spark, f"{out}/stage", fmt="parquet", schema=ev.schema, ts_col="ts")
         job = ledger.EventTimeLedger(out, "ledger", 86400, 3600, shape=type_records, raw=False)
         _run(ledger.start_ledger_job(wire_from_events(s.drop(RECORD_TS)), job, f"{out}/_checkpoint",

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from towerlens.schema import PAYLOAD_FIELDS, RECORD_TS
 
 RECORD_ID = "record_id"
+K_TEXT = "_k_text"
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 KPI_FIELDS = ["signal", "operator", "status", "description", "precission", "postal_code"]
@@ -63,7 +64,9 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def wire_from_events(events: DataFrame) -> DataFrame:
-    k_text = F.get_json_object("props", "$.k")
+    # a column of its own: three fields use it, and the text is parsed once
+    events = events.select("*", F.get_json_object("props", "$.k").alias(K_TEXT))
+    k_text = F.col(K_TEXT)
     k = k_text.try_cast("int")
     status = (k % 4).cast("string")
     uid = F.col("user_id")
