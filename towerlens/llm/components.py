@@ -7,6 +7,20 @@ from pyspark.sql import functions as F
 
 from towerlens.session import shared_dir
 
+#: Rows of a link table that one task holds.
+TASK_ROWS = 200_000
+
+
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of ``rows`` rows in as many tasks as they need: each task of a shuffle leaves files, however short."""
+    return df.coalesce(-(-rows // TASK_ROWS) or 1)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` from the shared checkpoint folder, in as many tasks as its rows need."""
+    df = df.checkpoint()
+    return few_tasks(df, df.count())
+
 
 def _least(edges: DataFrame) -> DataFrame:
     """(u, m): the least node among u and its neighbours in ``edges`` (u, v)."""
@@ -22,18 +36,20 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     shared_dir(links.sparkSession)
     edges = links.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where("u <> v").distinct().checkpoint()
-    seen = None
+    rows, seen = edges.count(), None
     while True:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        edges = few_tasks(edges, rows)
+        both = few_tasks(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), 2 * rows)
         large = both.join(_least(both), "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
+        large = few_tasks(few_tasks(large, rows).distinct(), rows)
         least = _least(large)
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        edges = small.checkpoint()
+                 .unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v"))
+        edges = few_tasks(few_tasks(small, rows).distinct(), rows).checkpoint()
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if state == seen:
             break
-        seen = state
+        rows, seen = state.n, state
+    edges = few_tasks(edges, rows)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
