@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from towerlens.llm import components, op1_substring, op2_suffix, op3_exact, op8_jaccard
+from towerlens.llm.text import joined, unpacked
 
 
 def pairs_of(frame):
@@ -199,6 +201,45 @@ def test_jaccard_keeps_rows_by_set_not_by_doc_id(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (2, b), (3, ""), (3, "")]
 
 
+def test_the_order_of_shingles_counts_every_document(spark):
+    """A passage of a few of many documents, none of them in a sample of 20,000, is put last too."""
+    few = F.pmod(F.xxhash64(F.col("id")), F.lit(1_000_000)) >= 900_000
+    docs = spark.range(0, 30_000, 1, 4).select(F.col("id").alias("doc_id"), F.when(few, "a long passage that is shared by some").otherwise(
+        F.concat_ws(" ", *[F.concat(F.lit(c), F.col("id")) for c in "uvwxy"])).alias("text")).union(
+        spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string"))
+    measured = op8_jaccard.Measured(docs)
+    assert measured.sets.count() == 30_002
+    loads = [np.frombuffer(unpacked([r.loads])[0], np.int64) for r in measured.loads.collect()]
+    n = docs.where(F.col("text").startswith("a long")).count()
+    assert sum(int(x.sum()) for x in loads) == 30_000 - n + 4 * n  # a shingle of its own, or the four of the passage
+    levels = op8_jaccard.order_levels(measured.loads)
+    raw, offs = joined([b"a long passage that is shared by some"])
+    assert (levels[op8_jaccard.bucket_of(op8_jaccard.shingles(raw, offs)[1])] > 5).all()
+    assert (levels > 0).mean() < 2 * op8_jaccard.ORDER_SHARE
+
+
+def test_the_order_does_not_change_links(spark, near_copies, monkeypatch):
+    flat = lambda loads: np.zeros(op8_jaccard.ORDER_BUCKETS, np.uint8)
+    found = op8_rows(frame(spark, near_copies))
+    monkeypatch.setattr(op8_jaccard, "order_levels", flat)
+    assert found == op8_rows(frame(spark, near_copies)) == brute.jaccard(near_copies)
+
+
+def test_short_link_tables_take_few_tasks(spark, monkeypatch):
+    """Rounds over a short table left files for each of all shuffle partitions."""
+    links = spark.range(40).selectExpr("id AS a", "id + 1 AS b").repartition(7)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        assert components.components(links, "a", "b").rdd.getNumPartitions() <= 2
+        monkeypatch.setattr(components, "TASK_ROWS", 9)
+        out = components.components(links, "a", "b")
+        assert out.rdd.getNumPartitions() > 2
+        assert sorted(map(tuple, out.collect())) == [(i, 0) for i in range(41)]
+    finally:
+        spark.conf.unset(key)
+
+
 def test_light_bounds():
     for n in range(1, 40):
         for m in range(n, 60):

@@ -6,9 +6,9 @@ shingles, and equal subsets are links with nothing left to verify. The boundary
 is the largest size whose subsets cost less than the scan of inverted lists.
 Larger sets are heavy: the prefix of a set (its first n - ceil(3 n / 4) + 1
 shingles in one order for all sets) goes to inverted lists, and a linked pair
-meets in one of them. The order puts shingles that are frequent in a bounded
-sample of documents last, so a passage that many documents share is seldom in a
-prefix; the order decides the work, never the result.
+meets in one of them. The order puts frequent shingles last, so a passage that many
+documents share is seldom in a prefix; every document is counted, in a fixed number
+of hash buckets. The order decides the work, never the result.
 
 Documents with equal sets are one set (64-bit signature). Sets that meet in a list
 become candidates if sizes and prefix positions allow a link and their MinHash
@@ -43,14 +43,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from towerlens.llm.components import components
+from towerlens.llm.components import components, written
 from towerlens.llm.text import (
     Prefix, Words, chunks, documents, joined, mix, read_table, slices, unpacked, utf8, whole_row,
 )
+from towerlens.session import new_run_dir
 
 SHINGLE = 5
-#: Documents sampled for the order of shingles, and shingles that the order puts last.
-ORDER_DOCS, ORDER_SHINGLES, ORDER_LEAST = 20_000, 1 << 17, 4
+#: Buckets in which shingles are counted for their order, and slices of buckets that are summed apart.
+ORDER_BUCKETS, ORDER_SLICES = 1 << 19, 32
+#: Share of the buckets that the order puts last, and the least count of one of them.
+ORDER_SHARE, ORDER_LEAST = 1 / 8, 4
 #: MinHash values of a sketch, and how many must agree for a candidate.
 SKETCH, SKETCH_LEAST = 64, 18
 #: Sets of a group that one block holds.
@@ -108,44 +111,80 @@ def signatures(row: np.ndarray, code: np.ndarray, rows: int) -> tuple[np.ndarray
     return size, mix(total[ends] - total[ends - size] + size.astype(np.uint64)).view(np.int64)
 
 
-def sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, sig): size and signature of each document's set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, offs = utf8(b.column("text"))
-            for i, j in chunks(raw, offs):
-                row, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
-                size, sig = signatures(row, code, j - i)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(size), pa.array(sig)],
-                                                 ["doc_id", "n", "sig"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig long")
+def bucket_of(code: np.ndarray) -> np.ndarray:
+    return (code & np.uint64(ORDER_BUCKETS - 1)).astype(np.int64)
 
 
-def frequent_shingles(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the shingles that the order puts last (at most ``ORDER_SHINGLES``)."""
-    total = docs.count()
-    if not total:
-        return np.zeros(0, np.uint64)
-    rate = min(1.0, ORDER_DOCS / total)
-    ticket = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+class Measured:
+    """What one pass over all documents tells: their sets, and how often shingles occur.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw, offs = utf8(b.column("text"))
-            for i, j in chunks(raw, offs):
-                _, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
-                code, n = np.unique(code, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n)], ["token", "n"])
-
-    picked = docs.where(ticket < int(rate * 1_000_000)).select("text").mapInArrow(run, "token long, n long")
-    counted = picked.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= ORDER_LEAST)
-    top = counted.orderBy(F.desc("n"), "token").limit(ORDER_SHINGLES).select("token").toPandas()
-    return np.sort(top.token.to_numpy(np.int64).view(np.uint64))
+    ``sets``: (doc_id, n, sig), size and signature of each document's set. ``loads``: (slice, loads),
+    by task and slice of the buckets how many documents hold shingles of each bucket, as int64 bytes;
+    a task gives out its sums once, so they grow with the tasks and not with the shingles.
+    """
 
+    def __init__(self, docs: DataFrame):
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(ORDER_BUCKETS, np.int64)
+            for b in batches:
+                raw, offs = utf8(b.column("text"))
+                for i, j in chunks(raw, offs):
+                    row, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
+                    size, sig = signatures(row, code, j - i)
+                    total += np.bincount(bucket_of(code), minlength=ORDER_BUCKETS)
+                    yield given([b.column("doc_id").slice(i, j - i), pa.array(size), pa.array(sig), None, None], j - i)
+            if total.any():
+                squeeze = zstandard.ZstdCompressor(level=3).compress
+                loads = [squeeze(x.tobytes()) for x in total.reshape(ORDER_SLICES, -1)]
+                yield given([None, None, None, pa.array(np.arange(ORDER_SLICES, dtype=np.int32)), pa.array(loads, pa.binary())],
+                            ORDER_SLICES)
+
+        def given(cols: list[pa.Array | None], n: int) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.nulls(n, kind) if c is None else c for c, kind in zip(cols, kinds)],
+                                              ["doc_id", "n", "sig", "slice", "loads"])
+
+        folder = new_run_dir(docs.sparkSession, "op8_jaccard")
+        docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sig long, slice int, loads binary").write.parquet(folder)
+        both = docs.sparkSession.read.parquet(folder)
+        self.sets = both.where("slice IS NULL").select("doc_id", "n", "sig")
+        self.loads = both.where("slice IS NOT NULL").select("slice", "loads")
+
+
+def order_levels(loads: DataFrame) -> np.ndarray:
+    """Place of each bucket in the order of shingles: 0, or a step more each time that its load doubles.
+
+    The driver gets the sums of the buckets, a fixed number.
+    """
+    size = ORDER_BUCKETS // ORDER_SLICES
 
-def postings(docs: DataFrame, heavy: bool, last: np.ndarray | None = None) -> DataFrame:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, np.zeros(size, np.int64)
+        for b in slices(batches):
+            for k, z in zip(b.column("slice").to_pylist(), b.column("loads").to_pylist()):
+                if k != at and at is not None:
+                    yield given(at, total)
+                    total = np.zeros(size, np.int64)
+                at = k
+                total += np.frombuffer(unpacked([z])[0], np.int64)
+        if at is not None:
+            yield given(at, total)
+
+    def given(k: int, total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                          ["slice", "loads"])
+
+    sums = loads.repartition("slice").sortWithinPartitions("slice").mapInArrow(add, "slice int, loads binary")
+    total = np.zeros((ORDER_SLICES, size), np.int64)
+    for r in sums.collect():
+        total[r.slice] = np.frombuffer(r.loads, np.int64)
+    total = total.ravel()
+    bar = max(ORDER_LEAST, int(np.quantile(total, 1 - ORDER_SHARE)) + 1)
+    return np.where(total < bar, 0, 1 + np.log2(np.maximum(total, bar) / bar)).astype(np.uint8)
+
+
+def postings(docs: DataFrame, heavy: bool, levels: np.ndarray | None = None) -> DataFrame:
     """(token, role, n, pos, sig): prefix shingles of heavy sets (role 0), or subsets of light ones.
 
     A subset that the smaller of two sizes emits has role 1, of the larger one role 2.
@@ -186,13 +225,8 @@ def postings(docs: DataFrame, heavy: bool, last: np.ndarray | None = None) -> Da
                         token, role, n, row_ = zip(*extra)
                         yield entries(np.array(token, np.uint64).view(np.int64), role, n, [0] * len(n), sig[list(row_)])
                     continue
-                if last is not None and len(last):
-                    at = np.searchsorted(last, code)
-                    late = last[np.minimum(at, len(last) - 1)] == code
-                    order = np.lexsort((late, row))  # stable: by hash among equals
-                    code_ = code[order]
-                else:
-                    code_ = code
+                # stable: by hash among equals
+                code_ = code if levels is None else code[np.lexsort((levels[bucket_of(code)], row))]
                 pos = np.arange(len(row)) - first[row]
                 inside = (pos < prefix_size(size)[row]) & fresh[row] & (size[row] > light)
                 yield entries(code_[inside].view(np.int64), np.zeros(inside.sum()), size[row[inside]], pos[inside],
@@ -337,7 +371,7 @@ def near_in_lists(token: np.ndarray, n: np.ndarray, pos: np.ndarray, sig: np.nda
 
 
 def candidates(lists: DataFrame) -> DataFrame:
-    """(a, b) from entries (token, n, pos, sig, sketch), dealt and sorted by token and n."""
+    """(a, b) from entries (token, n, pos, sig, sketch), dealt and sorted by token and n; a pair may repeat."""
     names = ["token", "n", "pos", "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +394,7 @@ def candidates(lists: DataFrame) -> DataFrame:
         x, y = near_in_lists(*cols)
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
-    return lists.mapInArrow(run, "a long, b long").distinct()
+    return lists.mapInArrow(run, "a long, b long")
 
 
 def texts_by_set(docs: DataFrame) -> DataFrame:
@@ -430,8 +464,9 @@ def verified(groups: DataFrame, texts: DataFrame) -> DataFrame:
     q = groups.groupBy("label").agg(F.count(F.lit(1)).alias("q"))
     blocks = groups.join(q, "label").withColumn("blocks", F.ceil(F.col("q") / BLOCK).cast("long"))
     blocks = blocks.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    links = compared(blocks.select("node", "label", F.col("own").alias("low"), F.col("own").alias("high")), texts).checkpoint()
-    large = blocks.where("blocks > 1").select("node", "label", "blocks", "own").checkpoint()
+    blocks = written(blocks.select("node", "label", "blocks", "own"))
+    links = written(compared(blocks.select("node", "label", F.col("own").alias("low"), F.col("own").alias("high")), texts))
+    large = blocks.where("blocks > 1")
     if large.isEmpty():
         return links
 
@@ -443,12 +478,12 @@ def verified(groups: DataFrame, texts: DataFrame) -> DataFrame:
         best = best.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= (4 if len(keys) > 1 else PIVOTS))
     everywhere = best.withColumn("own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     met = large.select("node", "label", "own").unionByName(everywhere.select("node", "label", "own")).distinct()
-    met = met.select("node", "label", F.col("own").alias("low"), F.col("own").alias("high"))
-    links = links.unionByName(compared(met, texts)).checkpoint()
+    met = written(met.select("node", "label", F.col("own").alias("low"), F.col("own").alias("high")))
+    links = written(links.unionByName(compared(met, texts)))
 
     cluster = components(links, "a", "b").select("node", F.col("label").alias("root"))
     state = large.select("node", "label").join(cluster, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    state = state.checkpoint()
+    state = written(state)
     sizes = state.groupBy("label", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("label").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("q"))
     main = main.select("label", F.col("m.root").alias("main"), F.col("m.n").alias("n_main"), (F.col("q") - F.col("m.n")).alias("n_rest"))
@@ -463,7 +498,7 @@ def verified(groups: DataFrame, texts: DataFrame) -> DataFrame:
     past = F.when(F.col("inside"), F.col("rest")).otherwise(F.col("rest") + F.col("mains"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), past - 1)))
     paired = left.select("node", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    return links.unionByName(compared(paired, texts))
+    return links.unionByName(compared(written(paired), texts))
 
 
 def compared(paired: DataFrame, texts: DataFrame) -> DataFrame:
@@ -498,16 +533,16 @@ def compared(paired: DataFrame, texts: DataFrame) -> DataFrame:
     return work.mapInArrow(run, "a long, b long")
 
 
-def labelled_sets(docs: DataFrame) -> DataFrame:
+def labelled_sets(docs: DataFrame, measured: Measured) -> DataFrame:
     """(sig, least, label): the least doc_id of each set that isn't empty, and the component of the set."""
     subsets = scan_lists(postings(docs, heavy=False))
     sure = subsets.where("lead <> sig").select(F.col("lead").alias("a"), F.col("sig").alias("b"))
-    lists = scan_lists(postings(docs, True, frequent_shingles(docs)))
+    lists = scan_lists(postings(docs, True, order_levels(measured.loads)))
     entries = lists.select("token", "n", "pos", "sig").join(sketches(docs), "sig")
     near = candidates(entries.repartition("token").sortWithinPartitions("token", "n", "sig"))
     links = verified(components(near, "a", "b"), texts_by_set(docs))
     label = components(sure.unionByName(links), "a", "b")
-    rep = sets(docs).where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
+    rep = measured.sets.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     rep = rep.join(label.withColumnRenamed("node", "sig"), "sig", "left")
     return rep.withColumn("label", F.coalesce("label", "sig"))
 
@@ -515,10 +550,11 @@ def labelled_sets(docs: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id): the least doc_id that links lead to, itself included."""
     docs = documents(docs)
-    rep = labelled_sets(docs)
+    measured = Measured(docs)
+    rep = labelled_sets(docs, measured)
     least = rep.groupBy("label").agg(F.min("least").alias("component_id"))
     by_sig = rep.join(least, "label").select("sig", "component_id")
-    return sets(docs).join(by_sig, "sig", "left").select(
+    return measured.sets.join(by_sig, "sig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
@@ -545,7 +581,8 @@ def keep_rows(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(size), pa.array(sig)], ["row", "n", "sig"])
 
     rows = whole.mapInArrow(run, schema).withColumn("doc_id", F.col("row.doc_id").cast("long"))
-    first = labelled_sets(documents(docs)).groupBy("label").agg(
+    texts = documents(docs)
+    first = labelled_sets(texts, Measured(texts)).groupBy("label").agg(
         F.min(F.struct(F.col("least").isNull(), "least", "sig")).alias("f"))
     first = first.select(F.col("f.sig").alias("sig"), F.col("f.least").alias("least"))
     stays = rows.join(first, "sig").where(F.col("n") > 0).where(F.col("doc_id").eqNullSafe(F.col("least")))
