@@ -78,7 +78,12 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery],
             for q in queries:
                 q.awaitTermination()
         else:
-            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()  # else a query that ended before would end this wait
+            ended = [q for q in queries if not q.isActive]
+            for q in ended:
+                q.awaitTermination()
+            if not ended:
+                spark.streams.awaitAnyTermination()
     finally:
         errors = [q.exception() for q in queries if q.exception() is not None]
         for q in queries:
