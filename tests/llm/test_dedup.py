@@ -1,6 +1,8 @@
 """Substring, suffix and exact dedup and the Jaccard join against plain versions."""
 
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -201,6 +203,20 @@ def test_jaccard_keeps_rows_by_set_not_by_doc_id(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (2, b), (3, ""), (3, "")]
 
 
+def test_jaccard_shuffles_whole_rows_once(spark):
+    """Rows went by signature and doc_id to the join, and again by signature to the grouping after it."""
+    rnd = random.Random(5)
+    rows = [(i, " ".join(f"{rnd.getrandbits(64):x}" for _ in range(20))) for i in range(60)]
+    rows += [(None, rows[7][1] + " more words than the text before it had"), (None, None), (5, "")]
+    again = rows[:9] + rows[60:61]
+    kept = op8_jaccard.keep_rows(spark.createDataFrame(rows + again + again, "doc_id long, text string").repartition(3))
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("\n")
+    grouped = next(i for i, x in enumerate(plan) if re.search(r"Aggregate\(.*first\(row", x))
+    join = next(i for i, x in enumerate(plan) if i > grouped and "Join" in x)
+    assert not [x for x in plan[grouped:join] if "Exchange" in x]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(rows)
+
+
 def test_the_order_of_shingles_counts_every_document(spark):
     """A passage of a few of many documents, none of them in a sample of 20,000, is put last too."""
     few = F.pmod(F.xxhash64(F.col("id")), F.lit(1_000_000)) >= 900_000

@@ -185,9 +185,10 @@ def order_levels(loads: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, heavy: bool, levels: np.ndarray | None = None) -> DataFrame:
-    """(token, role, n, pos, sig): prefix shingles of heavy sets (role 0), or subsets of light ones.
+    """(role, n, sig, token, pos): prefix shingles of heavy sets (role 0), or subsets of light ones.
 
-    A subset that the smaller of two sizes emits has role 1, of the larger one role 2.
+    A subset that the smaller of two sizes emits has role 1, of the larger one role 2. Columns
+    that a set's entries have alike come first, so that they compress as one in the shuffle.
     """
     light, reach = boundary(), 4 * boundary() // 3
 
@@ -234,10 +235,10 @@ def postings(docs: DataFrame, heavy: bool, levels: np.ndarray | None = None) ->
 
     def entries(token, role, n, pos, sig) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(token), pa.array(np.asarray(role, np.int8)), pa.array(np.asarray(n, np.int32)),
-             pa.array(np.asarray(pos, np.int32)), pa.array(sig)], ["token", "role", "n", "pos", "sig"])
+            [pa.array(np.asarray(role, np.int8)), pa.array(np.asarray(n, np.int32)), pa.array(sig),
+             pa.array(token), pa.array(np.asarray(pos, np.int32))], ["role", "n", "sig", "token", "pos"])
 
-    return docs.select("text").mapInArrow(run, "token long, role byte, n int, pos int, sig long")
+    return docs.select("text").mapInArrow(run, "role byte, n int, sig long, token long, pos int")
 
 
 def scan_lists(posted: DataFrame) -> DataFrame:
@@ -563,30 +564,41 @@ def keep_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: one of each group, that of least doc_id (null last).
 
     Of several sets with this doc_id the one of least signature stays, of repeated
-    rows any one. Rows without words are in no group and stay.
+    rows any one. Rows without words are in no group and stay. Whole rows are shuffled
+    once, by signature and doc_id: that brings repeated rows together too, and those of
+    one chunk are one before.
     """
-    whole = docs.select(whole_row(docs).alias("row"))
+    whole = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     own = isinstance(docs.schema["text"].dataType, T.StringType)  # then it is not sent twice
     if not own:
         whole = whole.withColumn("text", F.col("row.text").cast("string"))
     at = docs.columns.index("text")
-    schema = T.StructType([whole.schema["row"], *(T.StructField(c, T.LongType()) for c in ("n", "sig"))])
+    schema = T.StructType([whole.schema["row"], *(T.StructField(c, T.LongType()) for c in ("n", "sig", "doc_id"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw, offs = utf8(b.column(0).field(at) if own else b.column(1))
+            raw, offs = utf8(b.column(0).field(at) if own else b.column(2))
+            ids = b.column(1)
             for i, j in chunks(raw, offs):
                 row, code = shingles(raw[offs[i]: offs[j]], offs[i: j + 1] - offs[i])
                 size, sig = signatures(row, code, j - i)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(size), pa.array(sig)], ["row", "n", "sig"])
-
-    rows = whole.mapInArrow(run, schema).withColumn("doc_id", F.col("row.doc_id").cast("long"))
+                id_ = ids.slice(i, j - i)
+                same = np.column_stack((sig, id_.fill_null(0).to_numpy(), id_.is_null().to_numpy(zero_copy_only=False)))
+                fresh = size == 0
+                fresh[np.unique(same, axis=0, return_index=True)[1]] = True
+                out = pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(size), pa.array(sig), id_],
+                                                 ["row", "n", "sig", "doc_id"])
+                yield out if fresh.all() else out.filter(pa.array(fresh))
+
+    # a null doc_id in two columns, so that the join and the grouping have the same plain keys
+    key = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id")]
+    rows = whole.mapInArrow(run, schema).select("row", "n", "sig", *key)
     texts = documents(docs)
     first = labelled_sets(texts, Measured(texts)).groupBy("label").agg(
         F.min(F.struct(F.col("least").isNull(), "least", "sig")).alias("f"))
-    first = first.select(F.col("f.sig").alias("sig"), F.col("f.least").alias("least"))
-    stays = rows.join(first, "sig").where(F.col("n") > 0).where(F.col("doc_id").eqNullSafe(F.col("least")))
-    one = stays.groupBy("sig").agg(F.first("row").alias("row")).select("row")
+    first = first.select(F.col("f.sig").alias("sig"), F.col("f.least").alias("doc_id")).select("sig", *key)
+    stays = rows.where("n > 0").join(first, ["sig", "id", "no_id"])
+    one = stays.groupBy("sig", "id", "no_id").agg(F.first("row").alias("row")).select("row")
     return one.unionByName(rows.where("n = 0").select("row")).select("row.*")
 
 
