@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from towerlens.llm import merges, op12_pieces, op13_align
@@ -180,6 +181,25 @@ def test_op13_query_hashes_the_groups(spark, sf_small, byte_library, piece_libra
         [(*r[:-1], brute.sha(r[-1]) if r[-1] else "") for r in want], key=str)
 
 
+def test_op13_rows_of_chunks_are_small(spark, piece_library, byte_library, tmp_path, monkeypatch):
+    monkeypatch.setattr(op13_align, "HELD", 50, raising=False)
+    # Texts of their own letters: the pairs of a chunk, and those of the long documents, are many times HELD.
+    pick = random.Random(5)
+    texts = [" ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randrange(2, 9))) for _ in range(n))
+             for n in (400, 3, 700, 1, 400)]
+    table = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (None, texts[2]), (3, ""), (4, None), (1, texts[0]),
+                                   (5, texts[3]), (6, texts[4])], "doc_id long, text string").coalesce(1)
+    op13_align.aligned_chunks(table, BYTES, P.PATTERN, PIECES).write.parquet(f"{tmp_path}/chunks")
+    chunks = spark.read.parquet(f"{tmp_path}/chunks")
+    lists = [f.name for f in chunks.schema if f.dataType.typeName() == "array"]
+    widest = chunks.select([F.max(F.size(c)) for c in lists]).first()
+    assert chunks.select("chunk").distinct().count() == 1 and max(widest) == 50
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = op13_align.align(table, BYTES, P.PATTERN, PIECES)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == kept
+    assert sorted(map(tuple, got.collect()), key=str) == plain_alignment(table, byte_library, piece_library)
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_diagonal_runs_find_all_common_ends(seed):
     pick = random.Random(seed)

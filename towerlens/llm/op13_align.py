@@ -12,15 +12,18 @@ document is a common end, so documents of one part are aligned in one go.
 
 Counts. A task aligns documents in chunks of about ``CHUNK`` bytes and writes, for a
 chunk, its distinct pairs of linked ids with the number of documents that hold
-each, and for each document the places of its pairs among them. So pairs that
-occur in every document cost one row a chunk. The pairs are counted over all chunks,
+each, and for each document the places of its pairs among them, in rows of ``HELD`` pairs or places at most.
+So pairs that occur in every document are written once a chunk. The pairs are counted over all chunks,
 joined with the counts, and each chunk gets the counts of its own pairs back.
 The chunks are a table in the shared folder, under a name of its own; whoever owns that
 folder retires it. The number of pairs is not bounded by the vocabularies in any useful way,
 so nothing is broadcast or collected.
 
-Memory: a task holds one Arrow batch of texts, the tokens of a part (``PART`` bytes, one document at
-least) and the links of a chunk. A document is aligned whole, so a longer one makes a part of its own size.
+Memory: a task holds one Arrow batch of texts (``BATCH`` rows), the tokens of a part (``PART`` bytes, one document at
+least) and the pairs of a chunk. A document is aligned whole, so a longer one makes a part of its own size.
+Parquet looks at the size of its pages and row groups every 100 rows at the soonest and reads 4,096 rows at once, so what
+executors hold does not grow with a task's documents only if no row is large: hence ``HELD``, and row groups of
+``BLOCK`` bytes.
 
 Defined results: null and empty texts, and texts that a tokenizer does not spell as a space and the text
 (U+2581 is a space to B), have no tokens: zeros and no groups. Strings of special
@@ -34,10 +37,12 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +55,8 @@ from towerlens.session import shared_dir
 
 #: Bytes of text whose pairs are counted together, and bytes tokenised at once.
 CHUNK, PART = 4 << 20, 1 << 19
+#: Texts sent to a task at once, pairs of a row, and bytes of a row group of the chunks.
+BATCH, HELD, BLOCK = 1000, 4096, 16 << 20
 
 
 class ByteModel:
@@ -168,47 +175,71 @@ def spellings(n_a: int, n_b: int) -> list[str]:
     return [f"{i}{mark}" for n, marks in ((n_a, ",|"), (n_b, ",;")) for mark in marks for i in range(n)]
 
 
+def pair_times(keys: np.ndarray, docs: np.ndarray, times: np.ndarray | None = None
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys; and places of keys among them, documents and times of each pair of a document, in their order."""
+    found = pa.array(keys).dictionary_encode()
+    pairs, place = found.dictionary.to_numpy(), found.indices.to_numpy()
+    if times is None:
+        held = pa.array(docs * len(pairs) + place).value_counts()
+        docs, place = np.divmod(np.asarray(held.field(0)), max(len(pairs), 1))
+        times = np.asarray(held.field(1))
+    order = np.argsort(docs * len(pairs) + place)
+    return pairs, place[order], docs[order], times[order]
+
+
 class Chunk:
     """Aligned documents, until their pairs are counted together."""
 
     def __init__(self):
-        self.size, self.rows, self.keys, self.docs = 0, [], [], []
+        self.size, self.rows, self.keys, self.docs, self.times = 0, [], [], [], []
 
     def add(self, rows: list[tuple], keys: np.ndarray, docs: np.ndarray, size: int) -> None:
         """Rows of documents, and their links: keys of id pairs and the place of each one's row."""
+        pairs, place, docs, times = pair_times(keys, docs)
+        self.keys.append(pairs[place])
         self.docs.append(docs + len(self.rows))
+        self.times.append(times)
         self.rows += rows
-        self.keys.append(keys)
         self.size += size
 
-    def row(self, number: int) -> pa.RecordBatch:
-        found = pa.array(np.concatenate(self.keys)).dictionary_encode()
-        pairs = found.dictionary.to_numpy()
-        held = pa.array(np.concatenate(self.docs) * len(pairs) + found.indices.to_numpy()).value_counts()
-        place = np.asarray(held.field(0))
-        order = np.argsort(place)
-        of, place = np.divmod(place[order], max(len(pairs), 1))
-        times = np.asarray(held.field(1))[order]
-        ends = np.cumsum(np.bincount(of, minlength=len(self.rows)))
-        doc_id, n_a, n_b, n_groups, n_links, groups = zip(*self.rows)
-        values = {
-            "chunk": number, "doc_id": pa.array(doc_id, pa.int64()), "groups": pa.array(groups, pa.string()),
-            **{k: pa.array(v, pa.int32()) for k, v in (
-                ("n_a", n_a), ("n_b", n_b), ("n_groups", n_groups), ("n_links", n_links),
-                ("pair_a", pairs >> 32), ("pair_b", pairs & 0xFFFFFFFF), ("pair_docs", np.bincount(place, minlength=len(pairs))),
-                ("held_end", ends), ("held_pair", place), ("held_times", times))}}
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()) if k == "chunk" else pa.ListArray.from_arrays([0, len(v)], v)
-             for k, v in values.items()], list(values))
-
-
-CHUNK_SCHEMA = ("chunk long, doc_id array<long>, groups array<string>, n_a array<int>, n_b array<int>, "
-                "n_groups array<int>, n_links array<int>, pair_a array<int>, pair_b array<int>, pair_docs array<int>, "
-                "held_end array<int>, held_pair array<int>, held_times array<int>")
+    def batches(self, number: int) -> Iterator[pa.RecordBatch]:
+        """Rows of the documents, each followed by one for each further ``HELD`` of its pairs, then rows of the pairs."""
+        pairs, place, docs, times = pair_times(*(np.concatenate(x) for x in (self.keys, self.docs, self.times)))
+        of, first, ends = slices_of(np.bincount(docs, minlength=len(self.rows)))
+        value_at = pa.array(of, mask=~first)
+        values = [pa.array(v, kind).take(value_at) for v, kind in zip(zip(*self.rows), CHUNK_TYPES[2:8])]
+        lists = [pa.ListArray.from_arrays(ends, pa.array(v, pa.int32())) for v in (place, times)]
+        yield self.batch(number, [pa.array(of, pa.int32()), *values, *lists, *[None] * 4])
+        _, _, ends = slices_of(np.array([len(pairs)]))
+        n_docs = np.bincount(place, minlength=len(pairs))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(v, pa.int32())) for v in (pairs >> 32, pairs & 0xFFFFFFFF, n_docs)]
+        yield self.batch(number, [*[None] * 9, pa.array(ends[:-1]), *lists])
+
+    @staticmethod
+    def batch(number: int, columns: list[pa.Array | None]) -> pa.RecordBatch:
+        size = len(columns[-1] if columns[0] is None else columns[0])
+        columns = [pa.nulls(size, kind) if c is None else c for c, kind in zip(columns, CHUNK_TYPES[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(size, number)), *columns], CHUNK_NAMES)
+
+
+def slices_of(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of these sizes in slices of ``HELD`` values, one at least: the list of each, whether it is the first, n+1 ends."""
+    parts = np.maximum(-(-size // HELD), 1)
+    of = np.repeat(np.arange(len(size)), parts)
+    nth = ranges(np.zeros(len(parts), dtype=np.int64), parts)
+    return of, nth == 0, np.append(0, np.cumsum(np.minimum(size[of] - nth * HELD, HELD))).astype(np.int32)
+
+
+#: ``doc``: number of a document in its chunk, ``place``: that of a row's first pair; from there on, columns are of pairs.
+CHUNK_SCHEMA = ("chunk long, doc int, doc_id long, n_a int, n_b int, n_groups int, n_links int, groups string, "
+                "held array<int>, times array<int>, place int, a array<int>, b array<int>, docs array<int>")
+CHUNK_NAMES, CHUNK_KINDS = zip(*(field.split(" ") for field in CHUNK_SCHEMA.split(", ")))
+CHUNK_TYPES = [{"long": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(k, pa.list_(pa.int32())) for k in CHUNK_KINDS]
 
 
 def aligned_chunks(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, digest: bool = False) -> DataFrame:
-    """One row a chunk of documents (``Chunk``); ``groups`` are texts, or their SHA-256 where ``digest``."""
+    """Rows of the documents and of the pairs of chunks (``Chunk``); ``groups`` are texts, or their SHA-256 where ``digest``."""
     byte_data, piece_data = read_file(byte_path), read_file(piece_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,19 +271,20 @@ def aligned_chunks(docs: DataFrame, byte_path: str, pattern: str, piece_path: st
             of = np.flatnonzero(fine)[np.searchsorted(first, found.left, side="right") - 1]
             chunk.add(rows, x[found.left].astype(np.int64) << 32 | y[found.right], of, int(want.sum()))
             if chunk.size >= CHUNK:
-                yield chunk.row(task << 32 | number)
+                yield from chunk.batches(task << 32 | number)
                 number, chunk = number + 1, Chunk()
         if chunk.rows:
-            yield chunk.row(task << 32 | number)
+            yield from chunk.batches(task << 32 | number)
 
     return documents(docs).mapInArrow(run, CHUNK_SCHEMA)
 
 
 def chunk_pairs(chunks: DataFrame) -> DataFrame:
     """(chunk, place, a, b, docs): the distinct pairs of each chunk."""
-    rows = chunks.select("chunk", F.posexplode(F.arrays_zip("pair_a", "pair_b", "pair_docs")).alias("place", "p"))
-    return rows.select("chunk", "place", F.col("p.pair_a").alias("a"), F.col("p.pair_b").alias("b"),
-                       F.col("p.pair_docs").cast("long").alias("docs"))
+    rows = chunks.where(F.col("place").isNotNull()).select(
+        "chunk", F.col("place").alias("first"), F.posexplode(F.arrays_zip("a", "b", "docs")).alias("nth", "p"))
+    return rows.select("chunk", (F.col("first") + F.col("nth")).alias("place"), F.col("p.a").alias("a"),
+                       F.col("p.b").alias("b"), F.col("p.docs").cast("long").alias("docs"))
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -262,31 +294,54 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
     return counts.join(highest, "a").select("a", "b", "n_docs", (F.col("n_docs") == F.col("highest")).alias("best"))
 
 
-def scored(chunks: pa.Table, pairs: pa.Table) -> pa.Table:
+def scored(rows: pa.Table, pairs: pa.Table) -> pa.Table:
     """Rows of a chunk's documents, given the counts of its pairs."""
-    one = {k: chunks.column(k).combine_chunks().flatten() for k in chunks.column_names if k != "chunk"}
     count, best = (np.zeros(len(pairs), dtype=np.int64) for _ in range(2))
     at = pairs.column("place").to_numpy()
     count[at], best[at] = pairs.column("n_docs").to_numpy(), pairs.column("best").to_numpy()
-    place, times = one["held_pair"].to_numpy(), one["held_times"].to_numpy().astype(np.int64)
-    ends = np.append(0, one["held_end"].to_numpy())
-    n_best, total = (np.diff(np.append(0, np.cumsum(v[place] * times))[ends]) for v in (best, count))
-    wide = {k: one[k].cast(pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")}
-    return pa.table({"doc_id": one["doc_id"], **wide, "n_best": n_best, "count_sum": total, "groups": one["groups"]})
+    place, times = (rows.column(k).combine_chunks().flatten().to_numpy() for k in ("held", "times"))
+    of = np.repeat(rows.column("doc").to_numpy(), pc.list_value_length(rows.column("held")).to_numpy())
+    one = rows.filter(pc.is_valid(rows.column("n_a")))
+    total, n_best = (np.zeros(len(one), dtype=np.int64) for _ in range(2))
+    for out, value in ((total, count), (n_best, best)):
+        np.add.at(out, of, value[place] * times)
+    doc = one.column("doc").to_numpy()
+    wide = {k: one.column(k).cast(pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")}
+    return pa.table({"doc_id": one.column("doc_id"), **wide, "n_best": n_best[doc], "count_sum": total[doc],
+                     "groups": one.column("groups")})
+
+
+def counted(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the documents of all chunks, with the counts of their pairs."""
+    chunks, held = (spark.read.schema(CHUNK_SCHEMA).parquet(folder) for _ in range(2))
+    pairs = chunk_pairs(chunks).select("chunk", "place", "a", "b").join(pair_counts(chunks), ["a", "b"])
+    held = held.where(F.col("doc").isNotNull()).drop("place", "a", "b", "docs")
+    return held.groupBy("chunk").cogroup(
+        pairs.select("chunk", "place", "n_docs", "best").groupBy("chunk")).applyInArrow(
+        lambda left, right: scored(left, right),
+        "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """``BATCH`` rows at most go to Python at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= BATCH:
+        spark.conf.set(name, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def align(docs: DataFrame, byte_path: str, pattern: str, piece_path: str, digest: bool = False) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups) of every document."""
     spark = docs.sparkSession
     folder = f"{shared_dir(spark)}/aligned-{uuid.uuid4().hex}"
-    aligned_chunks(docs, byte_path, pattern, piece_path, digest).write.parquet(folder)
-    chunks = spark.read.parquet(folder)
-    pairs = chunk_pairs(chunks).select("chunk", "place", "a", "b").join(pair_counts(chunks), ["a", "b"])
-    held = spark.read.parquet(folder).drop("pair_a", "pair_b", "pair_docs")
-    return held.groupBy("chunk").cogroup(
-        pairs.select("chunk", "place", "n_docs", "best").groupBy("chunk")).applyInArrow(
-        lambda left, right: scored(left, right),
-        "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
+    with small_batches(spark):
+        aligned_chunks(docs, byte_path, pattern, piece_path, digest).write.option("parquet.block.size", BLOCK).parquet(folder)
+    return counted(spark, folder)
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
